@@ -4,23 +4,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from logweir.constants import EPOCH_TEXT
-from logweir.functions.text import format_decimal
-from logweir.functions.times import seconds_text
+from logweir.functions.text import literal, quoted
 from logweir.schemas import PERSONAL_COLUMNS
 
 # Left out: volatile columns, the display time (it repeats final_ts), personal data.
 EXCLUDED = ["row_id", "created_at", "timestamp", "time_inferred", "parse_kind", *PERSONAL_COLUMNS]
 
 
-def _text(field: T.StructField) -> Column:
-    column = F.col(field.name)
+def _text(field: T.StructField) -> str:
+    """SQL text of a column as text; floating point with a fixed number of decimals."""
+    name = quoted(field.name)
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        return format_decimal(column)
+        return (
+            f"coalesce(CAST(try_cast({name} AS DECIMAL(38,6)) AS STRING), CAST({name} AS STRING))"
+        )
     if isinstance(field.dataType, T.MapType):
-        return F.to_json(F.array_sort(F.map_entries(column)))
+        return f"to_json(array_sort(map_entries({name})))"
     if isinstance(field.dataType, (T.StructType, T.ArrayType)):
-        return F.to_json(column)
-    return column.cast("string")
+        return f"to_json({name})"
+    return f"CAST({name} AS STRING)"
 
 
 def fingerprint(df: DataFrame, columns: list[str] | None = None) -> Column:
@@ -29,16 +31,16 @@ def fingerprint(df: DataFrame, columns: list[str] | None = None) -> Column:
     A time that is only the ingest time counts as missing, so that re-reading the same
     line does not give a new id.
     """
-    inferred = F.col("time_inferred") if "time_inferred" in df.columns else F.lit(False)
+    known = "NOT time_inferred" if "time_inferred" in df.columns else "true"
+    fields = {f.name: f for f in df.schema}
     parts = []
     for name in sorted(columns or [c for c in df.columns if c not in EXCLUDED]):
         if name == "final_ts":
-            parts.append(
-                F.coalesce(F.when(~inferred, seconds_text("final_ts")), F.lit(EPOCH_TEXT))
-            )
+            seconds = "substring_index(CAST(try_cast(final_ts AS TIMESTAMP_NTZ) AS STRING), '.', 1)"
+            parts.append(f"coalesce(IF({known}, {seconds}, NULL), {literal(EPOCH_TEXT)})")
         else:
-            parts.append(F.lower(F.trim(F.coalesce(_text(df.schema[name]), F.lit("null")))))
-    return F.md5(F.concat_ws("|", *parts))
+            parts.append(f"lower(trim(coalesce({_text(fields[name])}, 'null')))")
+    return F.expr(f"md5(concat_ws('|', {', '.join(parts)}))")
 
 
 def with_row_id(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -44,10 +44,11 @@ class LinePattern:
         )
         return F.when(line.contains(_SEPARATOR), slow).otherwise(direct)
 
-    def value(self, values, name) -> Column:
+    def value_sql(self, values: str, name: str) -> str:
+        """SQL text of one group of the array `values`; an optional group left out is null."""
         number = self.groups[name]
-        value = values[number - 1]
-        return F.nullif(value, F.lit("")) if number in self.optional else value
+        value = f"{values}[{number - 1}]"
+        return f"nullif({value}, '')" if number in self.optional else value
 
 
 def line_pattern(text: str) -> LinePattern:

@@ -8,6 +8,16 @@ WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 _JSON = {"allowSingleQuotes": "false"}
 
 
+def quoted(name: str) -> str:
+    """A column name in SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(text: str) -> str:
+    """A string in SQL text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def strip(c) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
@@ -47,9 +57,3 @@ def last_key_wins(m) -> Column:
         )
     )
     return F.when(F.size(F.array_distinct(keys)) < F.size(keys), unique).otherwise(m)
-
-
-def format_decimal(c) -> Column:
-    """Text of a floating point number that does not depend on its size."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(c.try_cast("decimal(38,6)").cast("string"), c.cast("string"))

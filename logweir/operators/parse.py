@@ -4,9 +4,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from logweir.constants import ANY_TIME_PATTERN, EPOCH_TEXT
 from logweir.functions.patterns import line_pattern
-from logweir.functions.text import json_object, last_key_wins, strip
+from logweir.functions.text import json_object, last_key_wins, literal, quoted, strip
 
-_WORK = ["_json", "_groups"]
+_WORK = ["_json", "_groups", "_text_time"]
 
 
 def nonblank_lines(df: DataFrame, line_col: str = "value") -> DataFrame:
@@ -25,12 +25,14 @@ def any_time(line) -> Column:
 class LineParser:
     """Parses `line` with one optional named-group pattern.
 
-    `tokens` runs the JSON reader once and the pattern once per line; `field` then
-    picks a value by name, so columns nobody asks for cost nothing.
+    `tokens` runs the JSON reader once and the pattern once per line; `field` then picks
+    a value by name, so columns nobody asks for cost nothing. Fields are SQL text: a plan
+    with many of them is built with few calls into the JVM.
     """
 
     def __init__(self, pattern: str | None = None):
         self.pattern = line_pattern(pattern) if pattern else None
+        self.groups = self.pattern.names if self.pattern else []
 
     def tokens(self, df: DataFrame, line_col: str = "value") -> DataFrame:
         lines = nonblank_lines(df, line_col).withColumn("_json", json_object("line"))
@@ -43,49 +45,49 @@ class LineParser:
             .when(F.col("_groups").isNotNull(), "regex")
             .otherwise("fallback")
         )
-        return lines.withColumn("parse_kind", kind)
-
-    def _group(self, name) -> Column:
-        if self.pattern and name in self.pattern.groups:
-            return self.pattern.value(F.col("_groups"), name)
-        return F.lit(None).cast("string")
-
-    def field(self, name: str) -> Column:
-        """Text of one field of a tokenised line, null where the line lacks it."""
-        kind, found = F.col("parse_kind"), F.col("_json")
-        from_json, from_group, from_text = found[name], self._group(name), F.lit(None).cast("string")
-        if name == "final_ts":
-            stamp = F.replace(found["timestamp"], F.lit("T"), F.lit(" "))
-            from_json = F.when(F.map_contains_key(found, "timestamp"), stamp).otherwise(from_json)
-            if self.pattern and "timestamp" in self.pattern.groups:
-                from_group = self._group("timestamp")
-            from_text = any_time("line")
-        elif name == "raw_message":
-            from_text = F.col("line")
+        lines = lines.withColumn("parse_kind", kind)
+        time = F.when(F.col("parse_kind") == "fallback", any_time("line"))
+        return lines.withColumn("_text_time", time)
+
+    def _from_json(self, name) -> str:
+        value = f"_json[{literal(name)}]"
+        if name != "final_ts":
+            return value
+        stamp = "replace(_json['timestamp'], 'T', ' ')"
+        return f"IF(map_contains_key(_json, 'timestamp'), {stamp}, {value})"
+
+    def _from_groups(self, name) -> str:
+        source = "timestamp" if name == "final_ts" and "timestamp" in self.groups else name
+        return self.pattern.value_sql("_groups", source) if source in self.groups else "NULL"
+
+    def field(self, name: str) -> str:
+        """SQL text of one field of a tokenised line, null where the line lacks it."""
+        from_text = {"final_ts": "_text_time", "raw_message": "line"}.get(name, "NULL")
         return (
-            F.when(kind == "json", from_json).when(kind == "regex", from_group).otherwise(from_text)
+            f"CAST(CASE parse_kind WHEN 'json' THEN {self._from_json(name)} "
+            f"WHEN 'regex' THEN {self._from_groups(name)} ELSE {from_text} END AS STRING)"
         )
 
-    def all_fields(self) -> Column:
-        """Every field of a tokenised line as one map."""
-        kind, found = F.col("parse_kind"), F.col("_json")
-        time_only = F.create_map(F.lit("final_ts"), self.field("final_ts"))
-        from_json = F.when(
-            F.map_contains_key(found, "timestamp"),
-            F.map_concat(F.map_filter(found, lambda k, _: k != "final_ts"), time_only),
-        ).otherwise(found)
-        from_text = F.create_map(
-            F.lit("final_ts"), self.field("final_ts"), F.lit("raw_message"), F.col("line")
-        )
-        names = self.pattern.names if self.pattern else []
-        if "timestamp" in names:
-            names = [n for n in names if n != "final_ts"] + ["final_ts"]
-        pairs = [p for n in names for p in (F.lit(n), self.field(n))]
-        from_groups = F.create_map(*pairs) if pairs else from_text
+    def fields_except(self, known: list[str]) -> str:
+        """SQL text of the map of all fields of a line but the known ones."""
+        hidden = ", ".join(literal(k) for k in known)
+        from_json = "_json"
+        if "final_ts" not in known:
+            stamped = f"map('final_ts', {self._from_json('final_ts')})"
+            others = "map_filter(_json, (k, v) -> k <> 'final_ts')"
+            from_json = (
+                f"IF(map_contains_key(_json, 'timestamp'), map_concat({others}, {stamped}), _json)"
+            )
+        if known:
+            from_json = f"map_filter({from_json}, (k, v) -> NOT k IN ({hidden}))"
+        timed = ["final_ts"] if "timestamp" in self.groups else []
+        names = [n for n in dict.fromkeys([*self.groups, *timed]) if n not in known]
+        in_groups = ", ".join(f"{literal(n)}, {self._from_groups(n)}" for n in names)
+        texts = {"final_ts": "_text_time", "raw_message": "line"}
+        in_text = ", ".join(f"{literal(n)}, {v}" for n, v in texts.items() if n not in known)
         return (
-            F.when(kind == "json", from_json)
-            .when(kind == "regex", from_groups)
-            .otherwise(from_text)
+            f"CAST(CASE parse_kind WHEN 'json' THEN {from_json} WHEN 'regex' THEN map({in_groups}) "
+            f"ELSE map({in_text}) END AS MAP<STRING, STRING>)"
         )
 
 
@@ -94,7 +96,8 @@ def parse_lines(
 ) -> DataFrame:
     """Open form: the input columns, `line`, `parse_kind` and `fields` (a map of all keys)."""
     parser = LineParser(pattern)
-    return parser.tokens(df, line_col).withColumn("fields", parser.all_fields()).drop(*_WORK)
+    fields = F.expr(parser.fields_except([]))
+    return parser.tokens(df, line_col).withColumn("fields", fields).drop(*_WORK)
 
 
 def parse_columns(
@@ -107,12 +110,12 @@ def parse_columns(
     """Fixed form: one text column per name and, if asked, the other keys in `extras`."""
     parser = LineParser(pattern)
     passed = [c for c in df.columns if c != line_col and c not in names]
-    columns = [parser.field(n).alias(n) for n in names]
+    columns = [f"{parser.field(n)} AS {quoted(n)}" for n in names]
     if extras:
-        known = list(names)
-        rest = F.map_filter(parser.all_fields(), lambda k, _: ~k.isin(known))
-        columns.append(rest.alias("extras"))
-    return parser.tokens(df, line_col).select(*passed, "parse_kind", *columns)
+        columns.append(f"{parser.fields_except(names)} AS extras")
+    return parser.tokens(df, line_col).selectExpr(
+        *[quoted(c) for c in passed], "parse_kind", *columns
+    )
 
 
 def widen(df: DataFrame, keys: list[str], map_col: str = "fields") -> DataFrame:

@@ -2,7 +2,8 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from logweir.constants import REQUIRED_COLUMNS
+from logweir.constants import DEFAULT_ALERT_MESSAGE, DEFAULT_RISK_SCORE, REQUIRED_COLUMNS
+from logweir.functions.text import literal
 from logweir.operators.columns import event_time_of, nan_to_null, standard_event
 from logweir.operators.enrich import broadcast_if_small, enrich, person_lookup
 from logweir.operators.mapping import apply_rules
@@ -82,4 +83,19 @@ def scored_events(
     if spec.kind in LINE_KINDS and spec.late_policy == "drop" and last is not None:
         events = events.observe(f"{spec.name} lines", F.count(F.lit(1)).alias("lines"))
         events = events.filter(F.col("final_ts") > F.lit(last).try_cast("timestamp_ntz"))
-    return run_stages(events, DETECTION if stages is None else stages)
+    return run_stages(_given_scores(events), DETECTION if stages is None else stages)
+
+
+def _given_scores(events: DataFrame) -> DataFrame:
+    """A score or message that a line brings along stands until a rule replaces it."""
+    if "extras" not in events.columns:
+        return events
+    defaults = {
+        "risk_score": (f"try_cast(extras['risk_score'] AS DOUBLE), {DEFAULT_RISK_SCORE}D"),
+        "alert_message": f"extras['alert_message'], {literal(DEFAULT_ALERT_MESSAGE)}",
+    }
+    given = {c: F.expr(f"coalesce({v})") for c, v in defaults.items() if c not in events.columns}
+    own = [literal(c) for c in given]
+    if own:
+        given["extras"] = F.expr(f"map_filter(extras, (k, v) -> NOT k IN ({', '.join(own)}))")
+    return events.withColumns(given)

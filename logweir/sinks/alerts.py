@@ -10,39 +10,59 @@ from logweir.constants import (
     UNIQUE_KEY,
 )
 from logweir.functions.fingerprint import EXCLUDED, with_row_id
+from logweir.functions.text import literal, quoted
 from logweir.functions.times import sink_time
-from logweir.operators.keyed import conform, insert_unique, latest_per_key, zero_nulls
+from logweir.operators.keyed import conform, insert_unique, latest_per_key
 from logweir.schemas import ALERT_DOC, alert_table
 from logweir.sinks.loads import LoadTable
 
 PARTITIONS = ["load_status", "event_date"]
-_OUTSIDE = {"log_source", "load_seq", "parse_kind"}
+# stored columns that a source may send without declaring them
+_FROM_EXTRAS = [*NUMERIC_SINK_COLUMNS, "emp_name"]
 
 
 def as_documents(events: DataFrame) -> DataFrame:
     """Scored events in the stored form: fixed columns, all others as text in `extras`.
 
-    The row id is taken from this form, so it does not depend on which keys a source
-    declares as columns.
+    Numbers are doubles; one that is missing or malformed in a field the source has is 0.
+    The row id is taken from this form, before the zeros, so it does not depend on which
+    keys a source declares as columns.
     """
     fixed = [f for f in ALERT_DOC if f.name not in ("row_id", "extras", *PARTITIONS)]
-    names = {f.name for f in fixed} | _OUTSIDE | {"extras", "row_id"}
-    spare = [c for c in events.columns if c not in names]
-    pairs = [x for c in spare for x in (F.lit(c), F.col(c).cast("string"))]
-    own = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
-    own = F.map_filter(own, lambda _, v: v.isNotNull())
-    if "extras" in events.columns:
-        given = F.coalesce("extras", F.create_map().cast("map<string,string>"))
-        own = F.map_concat(F.map_filter(given, lambda k, _: ~k.isin(spare)), own) if spare else given
-    present = set(events.columns)
-    columns = [
-        (F.col(f.name).try_cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in fixed
-    ]
-    rows = events.select("log_source", *columns, own.alias("extras"))
-    hashed = [c for c in rows.columns if c not in (*EXCLUDED, "error_reason")]
+    outside = {"log_source", "load_seq", "parse_kind", "extras", "row_id"}
+    present = [c for c in events.columns if c not in outside]
+    spare = [c for c in present if c not in {f.name for f in fixed}]
+    open_form = "extras" in events.columns
+    given = "coalesce(extras, map())" if open_form else "CAST(map() AS MAP<STRING, STRING>)"
+    taken = [n for n in _FROM_EXTRAS if open_form and n not in present]
+
+    columns = []
+    for field in fixed:
+        value = "NULL"
+        if field.name in present:
+            value = quoted(field.name)
+        elif field.name in taken:
+            value = f"extras[{literal(field.name)}]"
+        kind = field.dataType.simpleString()
+        columns.append(f"try_cast({value} AS {kind}) AS {quoted(field.name)}")
+    if taken:
+        names = ", ".join(literal(n) for n in taken)
+        columns.append(f"filter(array({names}), n -> map_contains_key({given}, n)) AS _taken")
+    hidden = ", ".join(literal(n) for n in [*spare, *taken])
+    kept = f"map_filter({given}, (k, v) -> NOT k IN ({hidden}))" if hidden else given
+    if spare:
+        pairs = ", ".join(f"{literal(c)}, CAST({quoted(c)} AS STRING)" for c in spare)
+        kept = f"map_concat({kept}, map({pairs}))"
+    rows = events.selectExpr(
+        "log_source", *columns, f"map_filter({kept}, (k, v) -> v IS NOT NULL) AS extras"
+    )
+    hashed = [c for c in rows.columns if c not in (*EXCLUDED, "error_reason", "_taken")]
     rows = with_row_id(rows, hashed)
-    return zero_nulls(rows, [c for c in NUMERIC_SINK_COLUMNS if c in present])
+    zeros = {c: F.expr(f"coalesce({c}, 0D)") for c in NUMERIC_SINK_COLUMNS if c in present}
+    for c in NUMERIC_SINK_COLUMNS:
+        if c in taken:
+            zeros[c] = F.expr(f"coalesce({c}, IF(array_contains(_taken, '{c}'), 0D, NULL))")
+    return rows.withColumns(zeros).drop("_taken")
 
 
 def with_partitions(documents: DataFrame) -> DataFrame:
