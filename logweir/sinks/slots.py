@@ -20,41 +20,35 @@ class SlotTable:
         self.schema = T.StructType([*schema.fields, T.StructField("version", T.LongType())])
         self.keys = keys
 
-    def _slot(self, slot: int) -> DataFrame:
+    def _rows(self, before: int | None) -> DataFrame:
+        """Both folders' rows, up to just before a version."""
+        shape = T.StructType([*self.schema.fields, T.StructField("slot", T.IntegerType())])
         try:
-            return self.spark.read.schema(self.schema).parquet(f"{self.path}/slot={slot}")
+            rows = self.spark.read.schema(shape).parquet(self.path)
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], self.schema)
-
-    def _current(self, before: int | None):
-        """Slot and version of the newest content, seen from just before `before`."""
-        best = (1, None)
-        for slot in (0, 1):
-            rows = self._slot(slot)
-            if before is not None:
-                rows = rows.filter(F.col("version") < before)
-            version = rows.agg(F.max("version")).first()[0]
-            if version is not None and (best[1] is None or version > best[1]):
-                best = (slot, version)
-        return best
+            rows = self.spark.createDataFrame([], shape)
+        return rows if before is None else rows.filter(F.col("version") < before)
 
     def read(self, before: int | None = None) -> DataFrame:
-        """The content; with `before`, what stood before that version was written."""
-        slot, version = self._current(before)
-        rows = self._slot(slot)
-        return rows.filter(F.col("version") == F.lit(version)).drop("version")
+        """The content; with `before`, what stood before that version was written.
+
+        Each write holds all keys, so the newest row of each key is the newest content.
+        """
+        newest = [F.col("version").desc()]
+        return latest_per_key(self._rows(before), self.keys, newest).drop("version", "slot")
 
     def upsert(self, rows: DataFrame, version: int) -> None:
         """Put rows by key; writing a version again gives the same content."""
-        slot, last = self._current(version)
-        old = self._slot(slot).filter(F.col("version") == F.lit(last)).drop("version")
+        current = self._rows(version).agg(F.max_by("slot", "version")).first()[0]
+        target = 0 if current is None else 1 - current
         names = [f.name for f in self.schema if f.name != "version"]
-        both = old.select(*names, F.lit(0).alias("_new")).unionByName(
-            rows.select(*names, F.lit(1).alias("_new"))
-        )
-        merged = latest_per_key(both, self.keys, [F.col("_new").desc()]).drop("_new")
+        new = rows.select(*names).withColumn("_new", F.lit(1))
+        if current is not None:
+            old = self._rows(version).filter(F.col("slot") == current)
+            new = new.unionByName(old.select(*names).withColumn("_new", F.lit(0)))
+        merged = latest_per_key(new, self.keys, [F.col("_new").desc()]).drop("_new")
         merged.withColumn("version", F.lit(version).cast("bigint")).coalesce(1).write.mode(
             "overwrite"
-        ).parquet(f"{self.path}/slot={1 - slot}")
+        ).parquet(f"{self.path}/slot={target}")
