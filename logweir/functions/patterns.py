@@ -7,7 +7,7 @@ a plain group and its number remembered.
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
+from logweir.functions.text import literal
 
 # White space also includes the four separator controls, as in the patterns' own dialect.
 _SPACE = r"\s\x1c-\x1f"
@@ -27,22 +27,20 @@ class LinePattern:
     def names(self):
         return list(self.groups)
 
-    def values(self, line) -> Column:
-        """Array of all groups (index = number - 1), null where the line does not match.
+    def values(self, line: str) -> str:
+        """SQL text of the array of all groups (index = number - 1) and one empty text, of
+        that size only where the line matches.
 
         One regex run per line: the match is rewritten to separated groups and split.
         """
-        line = F.col(line) if isinstance(line, str) else line
-        whole = f"{self.regex}(?s:.*)"
         numbers = range(1, self.count + 1)
-        joined = "".join(f"${i}{_SEPARATOR}" for i in numbers)
-        parts = F.split(F.regexp_replace(line, whole, joined), _SEPARATOR)
-        direct = F.when(F.size(parts) == self.count + 1, parts)
-        slow = F.when(
-            line.rlike(self.regex),
-            F.array(*[F.regexp_extract(line, self.regex, i) for i in numbers], F.lit("")),
-        )
-        return F.when(line.contains(_SEPARATOR), slow).otherwise(direct)
+        regex, mark = literal(self.regex), literal(_SEPARATOR)
+        joined = literal("".join(f"${i}{_SEPARATOR}" for i in numbers))
+        groups = ", ".join(f"regexp_extract({line}, {regex}, {i})" for i in numbers)
+        slow = f"IF({line} RLIKE {regex}, array({groups}, ''), NULL)"
+        whole = literal(f"{self.regex}(?s:.*)")
+        fast = f"split(regexp_replace({line}, {whole}, {joined}), {mark})"
+        return f"IF(contains({line}, {mark}), {slow}, {fast})"
 
     def value_sql(self, values: str, name: str) -> str:
         """SQL text of one group of the array `values`; an optional group left out is null."""

@@ -5,7 +5,8 @@ from pyspark.sql import Column, functions as F
 # Every character that counts as white space for stripping, not only the blank.
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
-_JSON = {"allowSingleQuotes": "false"}
+_NOT_BLANK = r"(?U)[^\s\x1c-\x1f]"
+_DOUBTFUL = r"\}\s*[\],]"
 
 
 def quoted(name: str) -> str:
@@ -18,11 +19,17 @@ def literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def strip(c) -> Column:
-    return F.btrim(c, F.lit(WHITESPACE))
+def strip(text: str) -> Column:
+    """`text`, an SQL expression, without white space at both ends."""
+    return F.expr(f"btrim({text}, {literal(WHITESPACE)})")
 
 
-def json_object(line) -> Column:
+def not_blank(text: str) -> Column:
+    """True where some character is no white space; cheaper than stripping first."""
+    return F.expr(f"{text} RLIKE {literal(_NOT_BLANK)}")
+
+
+def json_object(line: str) -> Column:
     """Map of a line that is exactly one JSON object, else null.
 
     `from_json` ignores text after the first value. Read as the only element of an
@@ -30,30 +37,21 @@ def json_object(line) -> Column:
     member of an object, unless it starts with `}` or `, "key":`. No text passes both.
     The second reading is only needed where `}` is followed by `]` or `,`.
     """
-    line = F.col(line) if isinstance(line, str) else line
-    in_array = F.from_json(
-        F.concat(F.lit("["), line, F.lit("]")), "array<map<string,string>>", _JSON
+    options = "map('allowSingleQuotes', 'false')"
+    in_array = f"from_json(concat('[', {line}, ']'), 'array<map<string,string>>', {options})"
+    in_object = (
+        f"from_json(concat('{{\"w\":', {line}, ',\"e\":1}}'), 'w map<string,string>, e int', {options})"
     )
-    in_object = F.from_json(
-        F.concat(F.lit('{"w":'), line, F.lit(',"e":1}')), "w map<string,string>, e int", _JSON
+    return F.expr(
+        f"CASE WHEN startswith({line}, '{{') AND endswith({line}, '}}') "
+        f"AND (NOT {line} RLIKE {literal(_DOUBTFUL)} OR {in_object}.w IS NOT NULL) "
+        f"THEN {in_array}[0] END"
     )
-    shaped = line.startswith("{") & line.endswith("}")
-    doubtful = line.rlike(r"\}\s*[\],]")
-    return F.when(shaped & (~doubtful | in_object["w"].isNotNull()), in_array[0])
 
 
-def last_key_wins(m) -> Column:
+def last_key_wins(m: str) -> Column:
     """Keep the last value of a key that a JSON object repeats."""
-    m = F.col(m) if isinstance(m, str) else m
-    keys = F.map_keys(m)
-    entries = F.map_entries(m)
-    unique = F.map_from_entries(
-        F.transform(
-            F.array_distinct(keys),
-            lambda k: F.struct(
-                k.alias("key"),
-                F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"].alias("value"),
-            ),
-        )
-    )
-    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), unique).otherwise(m)
+    keys = f"array_distinct(map_keys({m}))"
+    last = f"element_at(filter(map_entries({m}), e -> e.key = k), -1).value"
+    unique = f"map_from_entries(transform({keys}, k -> struct(k, {last})))"
+    return F.expr(f"IF(size({keys}) < size({m}), {unique}, {m})")

@@ -3,17 +3,11 @@
 from pyspark.sql import Column, functions as F
 
 
-def to_event_time(text) -> Column:
-    text = F.col(text) if isinstance(text, str) else text
-    return text.try_cast("timestamp_ntz")
+def seconds_sql(ts: str) -> str:
+    """SQL text of `yyyy-MM-dd HH:mm:ss` without the fraction."""
+    return f"substring_index(CAST(CAST({ts} AS TIMESTAMP_NTZ) AS STRING), '.', 1)"
 
 
-def seconds_text(ts) -> Column:
-    """`yyyy-MM-dd HH:mm:ss` without the fraction."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.substring_index(ts.cast("timestamp_ntz").cast("string"), ".", 1)
-
-
-def sink_time(ts, offset) -> Column:
+def sink_time(ts: str, offset: str) -> Column:
     """ISO time with the configured UTC offset."""
-    return F.concat(F.replace(seconds_text(ts), F.lit(" "), F.lit("T")), F.lit(offset))
+    return F.expr(f"concat(replace({seconds_sql(ts)}, ' ', 'T'), '{offset}')")

@@ -4,7 +4,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from logweir.constants import DEFAULTS, FILE_NAME_SOURCES, REQUIRED_COLUMNS, UNKNOWN_SOURCE
-from logweir.functions.times import seconds_text, to_event_time
+from logweir.functions.text import literal, quoted
+from logweir.functions.times import seconds_sql
 
 
 def non_null_counts(df: DataFrame) -> DataFrame:
@@ -26,20 +27,21 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 def complete_required(df: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:
     missing = [c for c in required if c not in df.columns]
-    return df.withColumns({c: F.lit(None).cast("string") for c in missing})
+    return df.withColumns({c: F.expr("CAST(NULL AS STRING)") for c in missing})
 
 
 def fill_defaults(df: DataFrame, defaults=DEFAULTS) -> DataFrame:
+    filled = "coalesce(CAST({} AS STRING), {})"
     return df.withColumns(
-        {c: F.coalesce(F.col(c).cast("string"), F.lit(v)) for c, v in defaults.items()}
+        {c: F.expr(filled.format(quoted(c), literal(v))) for c, v in defaults.items()}
     )
 
 
-def event_time_of(df: DataFrame, name: str) -> Column:
-    """A text or time column as event time, null where it is no time."""
+def event_time_of(df: DataFrame, name: str) -> str:
+    """SQL text of a text or time column as event time, null where it is no time."""
     if isinstance(df.schema[name].dataType, (T.TimestampNTZType, T.TimestampType)):
-        return F.col(name).cast("timestamp_ntz")
-    return to_event_time(F.col(name).cast("string"))
+        return f"CAST({quoted(name)} AS TIMESTAMP_NTZ)"
+    return f"try_cast(CAST({quoted(name)} AS STRING) AS TIMESTAMP_NTZ)"
 
 
 def event_times(df: DataFrame, ingest_time: Column | None = None) -> DataFrame:
@@ -48,13 +50,15 @@ def event_times(df: DataFrame, ingest_time: Column | None = None) -> DataFrame:
     `time_inferred` marks rows whose time is only the ingest time.
     """
     known = [event_time_of(df, c) for c in ("final_ts", "timestamp") if c in df.columns]
-    known = F.coalesce(*known) if known else F.lit(None).cast("timestamp_ntz")
+    known = f"coalesce({', '.join(known)})" if known else "CAST(NULL AS TIMESTAMP_NTZ)"
     now = ingest_time if ingest_time is not None else F.localtimestamp()
-    df = df.withColumn("_known", known).withColumn(
-        "final_ts", F.coalesce("_known", now.cast("timestamp_ntz"))
+    df = df.withColumn("_known", F.expr(known)).withColumns(
+        {
+            "final_ts": F.coalesce("_known", now.cast("timestamp_ntz")),
+            "time_inferred": F.expr("_known IS NULL"),
+        }
     )
-    df = df.withColumn("time_inferred", F.col("_known").isNull()).drop("_known")
-    return df.withColumn("timestamp", seconds_text("final_ts"))
+    return df.drop("_known").withColumn("timestamp", F.expr(seconds_sql("final_ts")))
 
 
 def standard_event(

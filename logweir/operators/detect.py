@@ -10,6 +10,7 @@ from logweir.constants import (
     DETECTION_RULES,
     NOTIFY_SCORE,
 )
+from logweir.functions.text import literal, quoted
 from logweir.operators.enrich import broadcast_if_small
 
 
@@ -24,14 +25,13 @@ def _with_defaults(df):
 def score_rules(df: DataFrame, rules=DETECTION_RULES, match_col="action") -> DataFrame:
     """Risk score and message by equality on one column; other rows keep theirs."""
     df = _with_defaults(df)
-    score, message = F, F
-    for value, risk, text in rules:
-        hit = F.col(match_col) == value
-        score, message = score.when(hit, F.lit(risk)), message.when(hit, F.lit(text))
+    column = quoted(match_col)
+    scores = " ".join(f"WHEN {literal(v)} THEN {float(risk)!r}D" for v, risk, _ in rules)
+    texts = " ".join(f"WHEN {literal(v)} THEN {literal(text)}" for v, _, text in rules)
     return df.withColumns(
         {
-            "risk_score": score.otherwise(F.col("risk_score")),
-            "alert_message": message.otherwise(F.col("alert_message")),
+            "risk_score": F.expr(f"CASE {column} {scores} ELSE risk_score END"),
+            "alert_message": F.expr(f"CASE {column} {texts} ELSE alert_message END"),
         }
     )
 

@@ -42,7 +42,7 @@ def insert_unique(
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     first = latest_per_key(batch.filter(whole), keys, order)
     if target is not None:
-        first = first.join(target.select(*keys), keys, "left_anti")
+        first = first.join(target.select(*keys), keys, "left_anti").select(*batch.columns)
     return first.unionByName(batch.filter(~whole))
 
 

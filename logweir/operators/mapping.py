@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from logweir.constants import KEY_SYNONYMS, PERSON_RULE
+from logweir.functions.text import quoted
 
 POLICIES = ("last", "last_present", "first_present")
 
@@ -55,21 +56,21 @@ def apply_rules_by_source(
     One small row per source is joined; Spark broadcasts it when its size allows.
     The last rule whose source key is in the row wins.
     """
-    per_source = rules.groupBy(F.col("log_source").alias("_rule_source")).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "target", "source"))).alias("_rules")
+    ordered = F.reverse(F.array_sort(F.collect_list(F.struct("pos", "source"))))["source"]
+    per_target = rules.groupBy(F.col("log_source").alias("_rule_source"), "target").agg(
+        ordered.alias("sources")
     )
-    joined = df.join(per_source, F.col(source_col) == F.col("_rule_source"), "left")
-    fields = F.col(map_col)
-    usable = F.filter(F.col("_rules"), lambda r: F.map_contains_key(fields, r["source"]))
-    targets = F.array_distinct(F.transform(usable, lambda r: r["target"]))
-    pairs = F.transform(
-        targets,
-        lambda t: F.struct(
-            t.alias("key"),
-            fields[F.element_at(F.filter(usable, lambda r: r["target"] == t), -1)["source"]].alias("value"),
-        ),
+    per_source = per_target.groupBy("_rule_source").agg(
+        F.collect_list(F.struct("target", "sources")).alias("_rules")
     )
-    mapped = F.coalesce(F.map_from_entries(pairs), F.create_map().cast("map<string,string>"))
+    joined = df.join(per_source, F.col(source_col) == F.col("_rule_source"), "left")
+    fields = quoted(map_col)
+    usable = f"get(filter(r.sources, s -> map_contains_key({fields}, s)), 0)"
+    pairs = f"transform(_rules, r -> named_struct('key', r.target, 'source', {usable}))"
+    present = f"filter({pairs}, p -> p.source IS NOT NULL)"
+    mapped = f"map_from_entries(transform({present}, p -> struct(p.key, {fields}[p.source])))"
+    empty = "CAST(map() AS MAP<STRING, STRING>)"
+    mapped = F.expr(f"coalesce({mapped}, {empty})")
     return joined.withColumn("mapped", mapped).drop("_rules", "_rule_source")
 
 

@@ -1,25 +1,31 @@
 """Log lines to columns: JSON object first, then the source's pattern, then fallback."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from logweir.constants import ANY_TIME_PATTERN, EPOCH_TEXT
 from logweir.functions.patterns import line_pattern
-from logweir.functions.text import json_object, last_key_wins, literal, quoted, strip
+from logweir.functions.text import (
+    json_object,
+    last_key_wins,
+    literal,
+    not_blank,
+    quoted,
+    strip,
+)
 
 _WORK = ["_json", "_groups", "_text_time"]
 
 
 def nonblank_lines(df: DataFrame, line_col: str = "value") -> DataFrame:
     """Strip each line and drop the blank ones; the result is in `line`."""
-    return df.withColumn("line", strip(F.col(line_col))).filter(F.length("line") > 0)
+    value = quoted(line_col)
+    return df.filter(not_blank(value)).withColumn("line", strip(value))
 
 
-def any_time(line) -> Column:
-    """First time found anywhere in the text, else the epoch."""
-    found = F.regexp_extract(line, "(?U)" + ANY_TIME_PATTERN, 1)
-    return F.when(found == "", F.lit(EPOCH_TEXT)).otherwise(
-        F.replace(found, F.lit("T"), F.lit(" "))
-    )
+def any_time(line: str) -> str:
+    """SQL text of the first time found anywhere in the text, else the epoch."""
+    found = f"regexp_extract({line}, {literal('(?U)' + ANY_TIME_PATTERN)}, 1)"
+    return f"coalesce(nullif(replace({found}, 'T', ' '), ''), {literal(EPOCH_TEXT)})"
 
 
 class LineParser:
@@ -35,19 +41,28 @@ class LineParser:
         self.groups = self.pattern.names if self.pattern else []
 
     def tokens(self, df: DataFrame, line_col: str = "value") -> DataFrame:
-        lines = nonblank_lines(df, line_col).withColumn("_json", json_object("line"))
+        """Adds the JSON map, the pattern's groups and `parse_kind`.
+
+        `parse_kind` comes out of an explode of one element, none for a blank line. Spark
+        moves no filter on generated columns, and so on no field, below it, where a line
+        would be parsed a second time for the filter.
+        """
+        groups, size = "CAST(NULL AS ARRAY<STRING>)", 0
+        if self.pattern:
+            groups, size = self.pattern.values("line"), self.pattern.count + 1
+        lines = df.withColumn("line", strip(quoted(line_col)))
+        lines = lines.withColumn("_json", json_object("line"))
         lines = lines.withColumn("_json", last_key_wins("_json"))
-        no_json = F.col("_json").isNull()
-        groups = self.pattern.values("line") if self.pattern else F.lit(None).cast("array<string>")
-        lines = lines.withColumn("_groups", F.when(no_json, groups))
+        lines = lines.withColumn("_groups", F.expr(f"IF(_json IS NULL, {groups}, NULL)"))
         kind = (
-            F.when(~no_json, "json")
-            .when(F.col("_groups").isNotNull(), "regex")
-            .otherwise("fallback")
+            "CASE WHEN _json IS NOT NULL THEN 'json' "
+            f"WHEN size(_groups) = {size} THEN 'regex' ELSE 'fallback' END"
+        )
+        lines = lines.selectExpr(
+            "*", f"explode(IF(length(line) > 0, array({kind}), array())) AS parse_kind"
         )
-        lines = lines.withColumn("parse_kind", kind)
-        time = F.when(F.col("parse_kind") == "fallback", any_time("line"))
-        return lines.withColumn("_text_time", time)
+        time = f"IF(parse_kind = 'fallback', {any_time('line')}, NULL)"
+        return lines.withColumn("_text_time", F.expr(time))
 
     def _from_json(self, name) -> str:
         value = f"_json[{literal(name)}]"

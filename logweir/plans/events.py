@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logweir.constants import DEFAULT_ALERT_MESSAGE, DEFAULT_RISK_SCORE, REQUIRED_COLUMNS
-from logweir.functions.text import literal
+from logweir.functions.text import literal, quoted
 from logweir.operators.columns import event_time_of, nan_to_null, standard_event
 from logweir.operators.enrich import broadcast_if_small, enrich, person_lookup
 from logweir.operators.mapping import apply_rules
@@ -40,14 +40,12 @@ def parsed_rows(raw: DataFrame, spec: SourceSpec) -> DataFrame:
 def _time_error(df: DataFrame) -> Column:
     """A time that is present but unreadable makes the row unloadable."""
     reasons = [
-        F.when(
-            F.col(c).isNotNull() & event_time_of(df, c).isNull(),
-            F.concat(F.lit(f"{c}: not a time: "), F.col(c).cast("string")),
-        )
+        f"IF({quoted(c)} IS NOT NULL AND {event_time_of(df, c)} IS NULL, "
+        f"concat('{c}: not a time: ', CAST({quoted(c)} AS STRING)), NULL)"
         for c in ("final_ts", "timestamp")
         if c in df.columns
     ]
-    return F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
+    return F.expr(f"CAST(coalesce({', '.join(reasons or ['NULL'])}) AS STRING)")
 
 
 def clean_events(
@@ -76,12 +74,10 @@ def scored_events(
     """Clean events after the cursor, scored.
 
     Line sources are cut by event time here; tables were cut by their own cursor column
-    when read. The metrics node keeps the filter from being moved below the parser,
-    where the lines would be parsed a second time for it.
+    when read.
     """
     events = clean_events(raw, spec, lookup, ingest_time, rules)
     if spec.kind in LINE_KINDS and spec.late_policy == "drop" and last is not None:
-        events = events.observe(f"{spec.name} lines", F.count(F.lit(1)).alias("lines"))
         events = events.filter(F.col("final_ts") > F.lit(last).try_cast("timestamp_ntz"))
     return run_stages(_given_scores(events), DETECTION if stages is None else stages)
 

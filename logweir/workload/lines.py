@@ -99,7 +99,7 @@ def parse_firewall_lines(spark, folder):
     return rows.groupBy("action", "src_ip", "dst_port", "app_name").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("bytes").cast("bigint")).alias("bytes"),
-        F.max("dst_ip").alias("last_dst"),
+        F.max(F.length("dst_ip").cast("bigint")).alias("longest_dst"),
     )
 
 
@@ -236,7 +236,7 @@ SELECT source, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars
  regexp_extract(line, {_FW_SQL}, 4) AS dst_port, regexp_extract(line, {_FW_SQL}, 5) AS app_name,
  CAST(regexp_extract(line, {_FW_SQL}, 6) AS BIGINT) AS bytes FROM (SELECT {_FW} AS line FROM lineitem))
 SELECT action, src_ip, dst_port, app_name, count(*) AS n, CAST(sum(bytes) AS BIGINT) AS bytes,
- max(dst_ip) AS last_dst FROM g GROUP BY ALL""",
+ max(length(dst_ip)) AS longest_dst FROM g GROUP BY ALL""",
     "parse_endpoint_lines": _groups_sql(
         "events", "event_id", _EP, _EP_SQL,
         ['"timestamp"', "machine_name", "user_id", "action", "process_name", "pid"],

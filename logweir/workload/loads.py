@@ -57,7 +57,7 @@ def upsert_by_document_id(spark, folder):
 def _keyed(spark, folder):
     return table(spark, folder, "events").select(
         "event_id",
-        F.to_date("ts").alias("final_ts"),
+        F.to_date("ts").cast("timestamp_ntz").alias("final_ts"),
         F.when(F.col("event_type") != "error", F.col("user_id").cast("string")).alias("emp_id"),
         F.concat(F.lit("10.0.0."), (F.col("user_id") % 7).cast("string")).alias("src_ip"),
         F.col("event_type").alias("log_source"),
@@ -181,7 +181,7 @@ QUERIES = {
     "stream_alerts": stream_alerts,
 }
 
-_SQL_KEYED = """k AS (SELECT event_id, CAST(ts AS DATE) AS final_ts,
+_SQL_KEYED = """k AS (SELECT event_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS final_ts,
  CASE WHEN event_type <> 'error' THEN CAST(user_id AS VARCHAR) END AS emp_id,
  '10.0.0.' || (user_id % 7) AS src_ip, event_type AS log_source FROM events),
  f AS (SELECT *, row_number() OVER (PARTITION BY final_ts, emp_id, src_ip, log_source ORDER BY event_id) AS r FROM k)"""
