@@ -115,6 +115,7 @@ NOTIFY_SCORE = 90.0
 NUMERIC_SINK_COLUMNS = [
     "duration", "src_port", "dst_port", "packets_total", "bytes_total", "risk_score",
 ]
+LOG_ZONE = "Asia/Seoul"
 SINK_UTC_OFFSET = "+09:00"
 UNIQUE_KEY = ["final_ts", "emp_id", "src_ip", "log_source"]
 HISTORY_PAGE = 30

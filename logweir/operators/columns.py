@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from logweir.constants import DEFAULTS, FILE_NAME_SOURCES, REQUIRED_COLUMNS, UNKNOWN_SOURCE
 from logweir.functions.text import literal, quoted
-from logweir.functions.times import seconds_sql
+from logweir.functions.times import now_local, seconds_sql
 
 
 def non_null_counts(df: DataFrame) -> DataFrame:
@@ -51,7 +51,7 @@ def event_times(df: DataFrame, ingest_time: Column | None = None) -> DataFrame:
     """
     known = [event_time_of(df, c) for c in ("final_ts", "timestamp") if c in df.columns]
     known = f"coalesce({', '.join(known)})" if known else "CAST(NULL AS TIMESTAMP_NTZ)"
-    now = ingest_time if ingest_time is not None else F.localtimestamp()
+    now = ingest_time if ingest_time is not None else now_local()
     df = df.withColumn("_known", F.expr(known)).withColumns(
         {
             "final_ts": F.coalesce("_known", now.cast("timestamp_ntz")),

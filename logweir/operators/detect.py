@@ -11,7 +11,7 @@ from logweir.constants import (
     NOTIFY_SCORE,
 )
 from logweir.functions.text import literal, quoted
-from logweir.operators.enrich import broadcast_if_small
+from logweir.operators.sizes import broadcast_if_small
 
 
 def _with_defaults(df):

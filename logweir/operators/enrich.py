@@ -4,23 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from logweir.constants import UNKNOWN_DEPARTMENT, UNKNOWN_PERSON
 from logweir.operators.mapping import source_of
-
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark a side for broadcast only after measuring it.
-
-    Beyond the bound the side stays unmarked: Spark then shuffles both sides and AQE
-    splits skewed keys.
-    """
-    width = sum(
-        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns),
-        F.lit(32),
-    )
-    size = df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
-    return F.broadcast(df) if size <= max_bytes else df
-
+from logweir.operators.sizes import BROADCAST_BYTES, broadcast_if_small
 
 def clean_names(df: DataFrame) -> DataFrame:
     """Lower-case column names without surrounding blanks."""

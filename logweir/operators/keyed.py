@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from logweir.constants import NUMERIC_SINK_COLUMNS, SINK_UTC_OFFSET, UNIQUE_KEY
-from logweir.functions.times import sink_time
+from logweir.functions.times import now_local, sink_time
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -51,7 +51,7 @@ def conform(df: DataFrame, schema, created_at: Column | None = None) -> DataFram
     columns = []
     for field in schema:
         if field.name == "created_at":
-            value = created_at if created_at is not None else F.localtimestamp()
+            value = created_at if created_at is not None else now_local()
             value = value.cast(field.dataType)
         elif field.name in df.columns:
             value = F.col(field.name).try_cast(field.dataType)

@@ -1,10 +1,11 @@
 """Field mapping: apply rules, find them, look them up."""
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from logweir.constants import KEY_SYNONYMS, PERSON_RULE
-from logweir.functions.text import quoted
+from logweir.functions.text import literal, quoted
+from logweir.operators.sizes import broadcast_if_small
 
 POLICIES = ("last", "last_present", "first_present")
 
@@ -53,8 +54,7 @@ def apply_rules_by_source(
 ) -> DataFrame:
     """Rules as data for rows of many sources: adds `mapped`, a map target -> value.
 
-    One small row per source is joined; Spark broadcasts it when its size allows.
-    The last rule whose source key is in the row wins.
+    One row per source is joined. The last rule whose source key is in the row wins.
     """
     ordered = F.reverse(F.array_sort(F.collect_list(F.struct("pos", "source"))))["source"]
     per_target = rules.groupBy(F.col("log_source").alias("_rule_source"), "target").agg(
@@ -63,6 +63,7 @@ def apply_rules_by_source(
     per_source = per_target.groupBy("_rule_source").agg(
         F.collect_list(F.struct("target", "sources")).alias("_rules")
     )
+    per_source = broadcast_if_small(per_source)
     joined = df.join(per_source, F.col(source_col) == F.col("_rule_source"), "left")
     fields = quoted(map_col)
     usable = f"get(filter(r.sources, s -> map_contains_key({fields}, s)), 0)"
@@ -84,27 +85,20 @@ def infer_rules(
     """
     known = F.create_map(*[F.lit(x) for pair in synonyms.items() for x in pair])
     keys = records.select(
-        F.col(by).alias("log_source"), F.posexplode(F.map_keys(map_col)).alias("at", "source")
+        F.col(by).alias("log_source"), F.posexplode(F.map_keys(map_col)).alias("place", "source")
     ).filter(F.col("source").isin(list(synonyms)))
-    seen = keys.groupBy("log_source", "source").agg(F.min("at").alias("at"))
-    rules = seen.withColumn("target", known[F.col("source")])
-    person = (
-        rules.filter(F.col("target") == "user_id")
-        .select("log_source")
-        .distinct()
-        .select(
-            "log_source",
-            F.lit(PERSON_RULE[1]).alias("source"),
-            F.lit(2**31 - 1).alias("at"),
-            F.lit(PERSON_RULE[0]).alias("target"),
-        )
+    seen = keys.groupBy("log_source", "source").agg(F.min("place").alias("place"))
+    listed = seen.groupBy("log_source").agg(
+        F.array_sort(
+            F.collect_list(F.struct("place", "source", known[F.col("source")].alias("target")))
+        ).alias("rules")
     )
-    order = Window.partitionBy("log_source").orderBy("at", "source")
-    return rules.unionByName(person).select(
-        "log_source",
-        (F.row_number().over(order) - 1).alias("pos"),
-        "target",
-        "source",
+    target, source = (literal(x) for x in PERSON_RULE)
+    person = f"named_struct('place', 0, 'source', {source}, 'target', {target})"
+    has_user = "exists(rules, r -> r.target = 'user_id')"
+    rules = F.expr(f"concat(rules, IF({has_user}, array({person}), array()))")
+    return listed.select("log_source", F.posexplode(rules).alias("pos", "rule")).select(
+        "log_source", "pos", "rule.target", "rule.source"
     )
 
 

@@ -5,7 +5,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from logweir.constants import DEFAULT_ALERT_MESSAGE, DEFAULT_RISK_SCORE, REQUIRED_COLUMNS
 from logweir.functions.text import literal, quoted
 from logweir.operators.columns import event_time_of, nan_to_null, standard_event
-from logweir.operators.enrich import broadcast_if_small, enrich, person_lookup
+from logweir.operators.enrich import enrich, person_lookup
+from logweir.operators.sizes import broadcast_if_small
 from logweir.operators.mapping import apply_rules
 from logweir.operators.parse import LineParser, parse_columns
 from logweir.plans.stages import DETECTION, Stage, run_stages

@@ -2,10 +2,10 @@
 
 import logging
 import time
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from logweir.functions.times import clock
 from logweir.operators.detect import to_notify
 from logweir.plans.events import scored_events
 from logweir.plans.stages import Stage
@@ -17,10 +17,6 @@ from logweir.sources.spec import SourceSpec
 log = logging.getLogger(__name__)
 
 
-def _now() -> datetime:
-    return datetime.now().replace(microsecond=0)
-
-
 def load_batch(
     store: Store,
     spec: SourceSpec,
@@ -37,7 +33,7 @@ def load_batch(
     The cursor moves only after the load is complete. A repeat of `seq` sees the cursor
     as it stood before, selects the same rows and replaces the same files.
     """
-    started = _now()
+    started = clock()
     try:
         last = store.cursor(spec, before=seq) if last is None else last
         events = scored_events(raw, spec, last, lookup, stages, F.lit(started), rules)
@@ -50,11 +46,11 @@ def load_batch(
         if notify:
             urgent = to_notify(store.alerts.load(spec.name, seq).filter("load_status = 'loaded'"))
             store.notifications.put(urgent, spec.name, seq)
-        store.save_cursor(spec, done["cursor"] or last, kind, seq, _now())
-        store.save_run(spec, seq, done["loaded"], done["rejected"], started, _now())
+        store.save_cursor(spec, done["cursor"] or last, kind, seq, clock())
+        store.save_run(spec, seq, done["loaded"], done["rejected"], started, clock())
         return done["loaded"]
     except Exception as error:
-        store.save_failure(spec, seq, str(error), started, _now())
+        store.save_failure(spec, seq, str(error), started, clock())
         raise
 
 
@@ -74,7 +70,7 @@ def run_source(
         last = store.cursor(spec, before=seq)
         raw = read_source(spark, spec, last)
     except Exception as error:
-        store.save_failure(spec, seq, str(error), _now(), _now())
+        store.save_failure(spec, seq, str(error), clock(), clock())
         raise
     return load_batch(store, spec, raw, seq, last=last, **options)
 

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logweir.constants import KEY_SYNONYMS, UNKNOWN_SOURCE
+from logweir.functions.times import now_local
 from logweir.operators.columns import classify_name
 from logweir.operators.mapping import infer_rules, rules_as_xml
 from logweir.operators.parse import first_lines, parse_lines, union_of_keys
@@ -32,7 +33,7 @@ def learned_rules(
 def learn(spark: SparkSession, store: Store, path: str, version: int, **options) -> None:
     """Upsert the learned documents into the registry."""
     documents = rules_as_xml(learned_rules(spark, path, **options))
-    store.registry.upsert(documents.withColumn("updated_at", F.localtimestamp()), version)
+    store.registry.upsert(documents.withColumn("updated_at", now_local()), version)
 
 
 def registered_rules(store: Store, source: str) -> list[tuple[str, str]]:

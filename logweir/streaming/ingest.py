@@ -51,12 +51,22 @@ def start_loading(
 
 
 def start_all(
-    spark: SparkSession, store: Store, specs: list[SourceSpec], checkpoint: str, **options
+    spark: SparkSession,
+    store: Store,
+    specs: list[SourceSpec],
+    checkpoint: str,
+    limits: dict | None = None,
+    **options,
 ) -> dict[str, StreamingQuery]:
-    """One query per source, so that a failing source stops alone."""
+    """One query per source, so that a failing source stops alone.
+
+    `limits` (max_files or max_bytes, for Kafka max_offsets) bounds a micro-batch, so that
+    a backlog is loaded in pieces.
+    """
+    root = checkpoint.rstrip("/")
     return {
         s.name: start_loading(
-            source_stream(spark, s), store, s, f"{checkpoint.rstrip('/')}/{s.name}", **options
+            source_stream(spark, s, **(limits or {})), store, s, f"{root}/{s.name}", **options
         )
         for s in specs
     }

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from logweir.constants import DEFAULT_ALERT_MESSAGE, DETECTION_RULES
 from logweir.functions.fingerprint import with_row_id
 from logweir.operators.detect import score_model, score_rule_table, score_rules, to_notify
-from logweir.operators.enrich import broadcast_if_small, person_lookup
+from logweir.operators.enrich import person_lookup
+from logweir.operators.sizes import broadcast_if_small
 from logweir.operators.totals import source_totals, union_all
 from logweir.plans.events import scored_events
 from logweir.plans.stages import run_stages

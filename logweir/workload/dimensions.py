@@ -5,13 +5,13 @@ from pyspark.sql import functions as F
 from logweir.operators.enrich import (
     add_mapped_name,
     add_person_name,
-    broadcast_if_small,
     clean_names,
     enrich,
     person_lookup,
     valid_departments,
     with_department,
 )
+from logweir.operators.sizes import broadcast_if_small
 from logweir.operators.ordinal import assign_assets
 from logweir.workload.tables import table
 

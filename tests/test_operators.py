@@ -22,12 +22,12 @@ from logweir.operators.detect import score_model, score_rule_table, score_rules,
 from logweir.operators.enrich import (
     add_mapped_name,
     add_person_name,
-    broadcast_if_small,
     enrich,
     person_lookup,
     valid_departments,
     with_department,
 )
+from logweir.operators.sizes import broadcast_if_small
 from logweir.operators.keyed import (
     alert_document,
     conform,
