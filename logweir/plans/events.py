@@ -92,7 +92,4 @@ def _given_scores(events: DataFrame) -> DataFrame:
         "alert_message": f"extras['alert_message'], {literal(DEFAULT_ALERT_MESSAGE)}",
     }
     given = {c: F.expr(f"coalesce({v})") for c, v in defaults.items() if c not in events.columns}
-    own = [literal(c) for c in given]
-    if own:
-        given["extras"] = F.expr(f"map_filter(extras, (k, v) -> NOT k IN ({', '.join(own)}))")
     return events.withColumns(given)

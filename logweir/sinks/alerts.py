@@ -18,15 +18,16 @@ from logweir.sinks.loads import LoadTable
 
 PARTITIONS = ["load_status", "event_date"]
 # stored columns that a source may send without declaring them
-_FROM_EXTRAS = [*NUMERIC_SINK_COLUMNS, "emp_name"]
+_SCORES = ["risk_score", "alert_message"]
+_FROM_EXTRAS = [*[c for c in NUMERIC_SINK_COLUMNS if c not in _SCORES], "emp_name"]
 
 
 def as_documents(events: DataFrame) -> DataFrame:
     """Scored events in the stored form: fixed columns, all others as text in `extras`.
 
     Numbers are doubles; one that is missing or malformed in a field the source has is 0.
-    The row id is taken from this form, before the zeros, so it does not depend on which
-    keys a source declares as columns.
+    The row id is taken from this form and reads a zero as a missing number, so it does
+    not depend on which keys a source declares as columns.
     """
     fixed = [f for f in ALERT_DOC if f.name not in ("row_id", "extras", *PARTITIONS)]
     outside = {"log_source", "load_seq", "parse_kind", "extras", "row_id"}
@@ -38,31 +39,25 @@ def as_documents(events: DataFrame) -> DataFrame:
 
     columns = []
     for field in fixed:
-        value = "NULL"
-        if field.name in present:
-            value = quoted(field.name)
-        elif field.name in taken:
-            value = f"extras[{literal(field.name)}]"
-        kind = field.dataType.simpleString()
-        columns.append(f"try_cast({value} AS {kind}) AS {quoted(field.name)}")
-    if taken:
-        names = ", ".join(literal(n) for n in taken)
-        columns.append(f"filter(array({names}), n -> map_contains_key({given}, n)) AS _taken")
-    hidden = ", ".join(literal(n) for n in [*spare, *taken])
-    kept = f"map_filter({given}, (k, v) -> NOT k IN ({hidden}))" if hidden else given
+        name, kind = field.name, field.dataType.simpleString()
+        value = f"CAST(NULL AS {kind})"
+        if name in present:
+            value = f"try_cast({quoted(name)} AS {kind})"
+            if name in NUMERIC_SINK_COLUMNS:
+                value = f"coalesce({value}, 0D)"
+        elif name in taken:
+            value = f"try_cast(extras[{literal(name)}] AS {kind})"
+            if name in NUMERIC_SINK_COLUMNS:
+                value = f"IF(map_contains_key(extras, {literal(name)}), coalesce({value}, 0D), NULL)"
+        columns.append(f"{value} AS {quoted(name)}")
+    hidden = ", ".join(literal(n) for n in [*spare, *taken, *_SCORES])
+    kept = f"map_filter({given}, (k, v) -> v IS NOT NULL AND NOT k IN ({hidden}))"
     if spare:
         pairs = ", ".join(f"{literal(c)}, CAST({quoted(c)} AS STRING)" for c in spare)
-        kept = f"map_concat({kept}, map({pairs}))"
-    rows = events.selectExpr(
-        "log_source", *columns, f"map_filter({kept}, (k, v) -> v IS NOT NULL) AS extras"
-    )
-    hashed = [c for c in rows.columns if c not in (*EXCLUDED, "error_reason", "_taken")]
-    rows = with_row_id(rows, hashed)
-    zeros = {c: F.expr(f"coalesce({c}, 0D)") for c in NUMERIC_SINK_COLUMNS if c in present}
-    for c in NUMERIC_SINK_COLUMNS:
-        if c in taken:
-            zeros[c] = F.expr(f"coalesce({c}, IF(array_contains(_taken, '{c}'), 0D, NULL))")
-    return rows.withColumns(zeros).drop("_taken")
+        kept = f"map_concat({kept}, map_filter(map({pairs}), (k, v) -> v IS NOT NULL))"
+    rows = events.selectExpr("log_source", *columns, f"{kept} AS extras")
+    hashed = [c for c in rows.columns if c not in (*EXCLUDED, "error_reason")]
+    return with_row_id(rows, hashed, zeros=NUMERIC_SINK_COLUMNS)
 
 
 def with_partitions(documents: DataFrame) -> DataFrame:
