@@ -41,25 +41,28 @@ class LineParser:
         self.groups = self.pattern.names if self.pattern else []
 
     def tokens(self, df: DataFrame, line_col: str = "value") -> DataFrame:
-        """Adds the JSON map, the pattern's groups and `parse_kind`.
+        """Adds `parse_kind`, the JSON map and the pattern's groups.
 
-        `parse_kind` comes out of an explode of one element, none for a blank line. Spark
-        moves no filter on generated columns, and so on no field, below it, where a line
-        would be parsed a second time for the filter.
+        All three come out of an inline of one struct, none for a blank line. Spark moves
+        no filter on generated columns, and so on no field, below it, where a line would
+        be parsed a second time for the filter.
         """
         groups, size = "CAST(NULL AS ARRAY<STRING>)", 0
         if self.pattern:
             groups, size = self.pattern.values("line"), self.pattern.count + 1
         lines = df.withColumn("line", strip(quoted(line_col)))
-        lines = lines.withColumn("_json", json_object("line"))
-        lines = lines.withColumn("_json", last_key_wins("_json"))
-        lines = lines.withColumn("_groups", F.expr(f"IF(_json IS NULL, {groups}, NULL)"))
+        lines = lines.withColumn("_obj", json_object("line"))
+        lines = lines.withColumn("_obj", last_key_wins("_obj"))
+        lines = lines.withColumn("_parts", F.expr(f"IF(_obj IS NULL, {groups}, NULL)"))
         kind = (
-            "CASE WHEN _json IS NOT NULL THEN 'json' "
-            f"WHEN size(_groups) = {size} THEN 'regex' ELSE 'fallback' END"
+            "CASE WHEN _obj IS NOT NULL THEN 'json' "
+            f"WHEN size(_parts) = {size} THEN 'regex' ELSE 'fallback' END"
         )
+        parsed = f"named_struct('parse_kind', {kind}, '_json', _obj, '_groups', _parts)"
         lines = lines.selectExpr(
-            "*", f"explode(IF(length(line) > 0, array({kind}), array())) AS parse_kind"
+            *[quoted(c) for c in df.columns if c not in ("line", "parse_kind")],
+            "line",
+            f"inline(IF(length(line) > 0, array({parsed}), array()))",
         )
         time = f"IF(parse_kind = 'fallback', {any_time('line')}, NULL)"
         return lines.withColumn("_text_time", F.expr(time))

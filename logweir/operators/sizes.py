@@ -2,18 +2,24 @@
 
 from pyspark.sql import DataFrame, functions as F
 
+from logweir.session import shared_folder
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Mark a side for broadcast only after measuring it.
 
-    Beyond the bound the side stays unmarked: Spark then shuffles both sides and AQE
-    splits skewed keys.
+    Beyond the bound the side is fixed by a checkpoint and stays unmarked. Spark then
+    shuffles both sides by themselves, which lets AQE split a hot key; it does not where
+    one side comes straight out of an aggregation.
     """
     width = sum(
         (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns),
         F.lit(32),
     )
     size = df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
-    return F.broadcast(df) if size <= max_bytes else df
+    if size <= max_bytes:
+        return F.broadcast(df)
+    shared_folder(df.sparkSession)
+    return df.checkpoint()

@@ -39,7 +39,7 @@ def load_batch(
         events = scored_events(raw, spec, last, lookup, stages, F.lit(started), rules)
         store.alerts.put(as_documents(events), spec.name, seq)
         cursor_col, kind = _cursor_of(spec, raw)
-        done = store.alerts.summary(spec.name, seq, cursor_col, kind)
+        done = store.alerts.summary(spec.name, seq, last, cursor_col, kind)
         if done["rejected"]:
             for row in store.alerts.first_errors(spec.name, seq).collect():
                 log.error("[%s] rejected %s: %s", spec.name, row["row_id"], row["error_reason"])

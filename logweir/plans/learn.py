@@ -14,16 +14,25 @@ from logweir.sources.spec import SourceSpec
 
 
 def learned_rules(
-    spark: SparkSession, path: str, synonyms=KEY_SYNONYMS, whole_files: bool = False
+    spark: SparkSession,
+    path: str,
+    synonyms=KEY_SYNONYMS,
+    whole_files: bool = False,
+    modified_after: str | None = None,
 ) -> DataFrame:
     """Rules per source from the JSON records of classified files.
 
     By default the first line of each file is the sample; `whole_files` takes all lines.
+    `modified_after` leaves out files that were learned from before.
     """
+    reader = spark.read
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
+    files = reader.text(path)
     if whole_files:
-        lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file_name"))
+        lines = files.select("value", F.col("_metadata.file_name").alias("file_name"))
     else:
-        lines = first_lines(spark.read.text(path)).withColumnRenamed("line", "value")
+        lines = first_lines(files).withColumnRenamed("line", "value")
     tagged = lines.withColumn("log_source", classify_name("file_name"))
     known = tagged.filter(F.col("log_source") != UNKNOWN_SOURCE)
     records = parse_lines(known).filter("parse_kind = 'json'")

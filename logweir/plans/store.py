@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from logweir.constants import EPOCH_TEXT
 from logweir.schemas import CURSOR, HISTORY, REGISTRY
 from logweir.sinks.alerts import AlertIndex
-from logweir.sinks.loads import LoadTable
+from logweir.sinks.loads import LoadTable, folder_name
 from logweir.sinks.slots import SlotTable
 from logweir.sources.spec import SourceSpec
 
@@ -25,7 +25,7 @@ class Store:
 
     def cursors(self, source: str) -> SlotTable:
         """One table per source, so that sources can run side by side."""
-        return SlotTable(self.spark, f"{self.root}/cursors/{source}", CURSOR, ["source_name"])
+        return SlotTable(self.spark, f"{self.root}/cursors/{folder_name(source)}", CURSOR, ["source_name"])
 
     def cursor(self, spec: SourceSpec, before: int | None = None) -> str:
         """Saved value, else the source's default, else the epoch."""

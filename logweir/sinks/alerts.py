@@ -56,7 +56,7 @@ def as_documents(events: DataFrame) -> DataFrame:
         pairs = ", ".join(f"{literal(c)}, CAST({quoted(c)} AS STRING)" for c in spare)
         kept = f"map_concat({kept}, map_filter(map({pairs}), (k, v) -> v IS NOT NULL))"
     rows = events.selectExpr("log_source", *columns, f"{kept} AS extras")
-    hashed = [c for c in rows.columns if c not in (*EXCLUDED, "error_reason")]
+    hashed = [c for c in rows.columns if c not in EXCLUDED]
     return with_row_id(rows, hashed, zeros=NUMERIC_SINK_COLUMNS)
 
 
@@ -83,11 +83,13 @@ class AlertIndex(LoadTable):
     def put(self, rows: DataFrame, source: str, seq: int) -> None:
         super().put(with_partitions(rows), source, seq)
 
-    def summary(self, source: str, seq: int, cursor_col="final_ts", cursor_type="timestamp_ntz"):
+    def summary(
+        self, source: str, seq: int, last=None, cursor_col="final_ts", cursor_type="timestamp_ntz"
+    ):
         """Row (loaded, rejected, cursor) of one load, counted from the written files.
 
         Counting what was written cannot count a retried task twice. A time that is only
-        the ingest time never moves the cursor.
+        the ingest time never moves the cursor, and late rows do not move it back.
         """
         load = self.load(source, seq)
         bad = F.col("load_status") == "rejected"
@@ -97,7 +99,9 @@ class AlertIndex(LoadTable):
         return load.agg(
             F.count_if(~bad).alias("loaded"),
             F.count_if(bad).alias("rejected"),
-            F.max(value).cast("string").alias("cursor"),
+            F.greatest(F.max(value), F.lit(last).try_cast(cursor_type))
+            .cast("string")
+            .alias("cursor"),
         ).first()
 
     def alerts(self) -> DataFrame:
@@ -125,11 +129,15 @@ class AlertIndex(LoadTable):
         return bad.select("error_reason", "row_id").orderBy("row_id").limit(limit)
 
 
-def create_alert_table(spark: SparkSession, name: str, personal: bool = False) -> None:
+def create_alert_table(
+    spark: SparkSession, name: str, personal: bool = False, path: str | None = None
+) -> None:
     """Drop and create the relational alert table; only ever on request."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    empty = spark.createDataFrame([], alert_table(personal))
-    empty.write.format("parquet").saveAsTable(name)
+    writer = spark.createDataFrame([], alert_table(personal)).write.format("parquet")
+    if path:
+        writer = writer.option("path", path).mode("overwrite")
+    writer.saveAsTable(name)
 
 
 def truncate_table(spark: SparkSession, name: str) -> None:

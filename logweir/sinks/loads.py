@@ -12,6 +12,15 @@ from pyspark.sql import types as T
 from logweir.operators.keyed import latest_per_key
 
 
+# Characters that stand escaped in the name of a partition folder.
+_ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(i) for i in range(32)}
+
+
+def folder_name(value: str) -> str:
+    """A value as Spark writes it into a partition folder's name."""
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
+
+
 class LoadTable:
     """Parquet under `log_source=<s>/load_seq=<n>/`; one writer per source."""
 
@@ -22,7 +31,7 @@ class LoadTable:
         self.schema = schema
 
     def folder(self, source: str, seq: int) -> str:
-        return f"{self.path}/log_source={source}/load_seq={seq}"
+        return f"{self.path}/log_source={folder_name(source)}/load_seq={seq}"
 
     def put(self, rows: DataFrame, source: str, seq: int) -> None:
         """Write, or on a repeat replace, one load.

@@ -8,9 +8,10 @@ from logweir.workload import (
     loads,
     mapping,
     reports,
+    stores,
 )
 
-_MODULES = [lines, mapping, dimensions, incremental, detect, loads, reports]
+_MODULES = [lines, mapping, dimensions, incremental, detect, loads, stores, reports]
 
 
 def all_queries():

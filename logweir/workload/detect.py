@@ -184,7 +184,7 @@ _ID = "CAST(event_id AS VARCHAR)"
 _USER = "CAST(user_id AS VARCHAR)"
 _HASHED = [
     _part("action"), _part("alert_message"), _part("CAST(nullif(bytes_total, 0) AS DECIMAL(38,6))"), _part("department"), "'null'", "'null'",
-    _part("emp_name"), _part("extras"), "\"timestamp\"", _part("log_source"), "'null'",
+    _part("emp_name"), "'null'", _part("extras"), "\"timestamp\"", _part("log_source"), "'null'",
     _part("raw_message"), _part("CAST(nullif(risk_score, 0) AS DECIMAL(38,6))"), _part("src_ip"), "'null'",
     _part('"user"'), _part("user_id"),
 ]

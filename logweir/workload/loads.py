@@ -59,7 +59,7 @@ def _keyed(spark, folder):
         "event_id",
         F.to_date("ts").cast("timestamp_ntz").alias("final_ts"),
         F.when(F.col("event_type") != "error", F.col("user_id").cast("string")).alias("emp_id"),
-        F.concat(F.lit("10.0.0."), (F.col("user_id") % 7).cast("string")).alias("src_ip"),
+        F.concat(F.lit("10.0.0."), F.col("user_id").cast("string")).alias("src_ip"),
         F.col("event_type").alias("log_source"),
     )
 
@@ -183,7 +183,7 @@ QUERIES = {
 
 _SQL_KEYED = """k AS (SELECT event_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS final_ts,
  CASE WHEN event_type <> 'error' THEN CAST(user_id AS VARCHAR) END AS emp_id,
- '10.0.0.' || (user_id % 7) AS src_ip, event_type AS log_source FROM events),
+ '10.0.0.' || user_id AS src_ip, event_type AS log_source FROM events),
  f AS (SELECT *, row_number() OVER (PARTITION BY final_ts, emp_id, src_ip, log_source ORDER BY event_id) AS r FROM k)"""
 _SQL_LOOSE = """l AS (SELECT event_id, CASE WHEN event_type = 'view' THEN 'no time' ELSE CAST(ts AS VARCHAR) END AS final_ts,
  CASE WHEN event_type = 'error' THEN 'x' || event_id ELSE CAST(event_id AS VARCHAR) END AS bytes_total,

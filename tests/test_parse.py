@@ -1,4 +1,5 @@
 import json
+import math
 import re
 
 import pytest
@@ -35,6 +36,20 @@ EDGE_LINES = [
     '{"a":1}] x [{"b":1}',
     '{"a":1},"e":1} x {"b":2}',
     '{"a":[{"b":1}],"c":{"d":{}}}',
+    '{"a":NaN}',
+    '{"a":-Infinity}',
+    '{"a":123456789012345678901234567890}',
+    '{"a":.5}',
+    '{"a":1.}',
+    '{"a":+1}',
+    '{"a":01}',
+    '{"a":1,}',
+    '{"a":"\\q"}',
+    '{"a":"\\u00e9\\n"}',
+    '{"a":1} // note}',
+    '{"a":"x\ty"}',
+    "\ufeff{}",
+    '{"a":\u00a01}',
     "{}",
     "{",
     "123",
@@ -80,6 +95,9 @@ def expected(line, pattern=None):
 def as_text(value):
     if value is None or isinstance(value, str):
         return value
+    if isinstance(value, float) and not math.isfinite(value):
+        # not a number in any column type: kept as quoted text
+        return json.dumps(json.dumps(value))
     return json.dumps(value, separators=(",", ":"), ensure_ascii=False)
 
 

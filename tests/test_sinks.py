@@ -31,9 +31,9 @@ def test_a_repeated_load_replaces_itself(spark, tmp_path):
     table.put(_rows(spark, [("a", 1, "d1"), ("b", 1, "d2")]), "s", 1)
     table.put(_rows(spark, [("a", 2, "d1")]), "s", 2)
     table.put(_rows(spark, [("x", 9, "d1")]), "s", 2)
-    table.put(_rows(spark, [("x", 10, "d3")]), "t", 2)
+    table.put(_rows(spark, [("x", 10, "d3")]), "t / 이름=1", 2)
     got = {(r["log_source"], r["load_seq"], r["k"], r["v"]) for r in table.rows().collect()}
-    assert got == {("s", 1, "a", 1), ("s", 1, "b", 1), ("s", 2, "x", 9), ("t", 2, "x", 10)}
+    assert got == {("s", 1, "a", 1), ("s", 1, "b", 1), ("s", 2, "x", 9), ("t / 이름=1", 2, "x", 10)}
     assert [r["k"] for r in table.load("s", 2).collect()] == ["x"]
 
 
@@ -120,7 +120,8 @@ def test_index_keeps_one_document_per_id(spark, tmp_path):
     assert index.first_errors("s", 1).count() == 1
     done = index.summary("s", 1)
     assert (done["loaded"], done["rejected"], done["cursor"]) == (1, 1, "2026-01-01 10:00:00")
-    assert index.summary("s", 2, "port", "int")["cursor"] == "443"
+    assert index.summary("s", 2, "7", "port", "int")["cursor"] == "443"
+    assert index.summary("s", 1, "2027-01-01 00:00:00")["cursor"] == "2027-01-01 00:00:00"
     assert index.documents().filter("user_id = 'E1'").first()["final_ts"] == "2026-01-01T10:00:00+09:00"
 
 
