@@ -2,6 +2,7 @@
 
 import logging
 import time
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,6 +17,8 @@ from logweir.sources.spec import SourceSpec
 
 log = logging.getLogger(__name__)
 
+CLOCK_MARGIN = timedelta(hours=1)
+
 
 def load_batch(
     store: Store,
@@ -27,13 +30,14 @@ def load_batch(
     rules=None,
     notify: bool = False,
     last: str | None = None,
+    started=None,
 ) -> int:
     """Score a batch, write it as load `seq`, then advance the cursor and the history.
 
     The cursor moves only after the load is complete. A repeat of `seq` sees the cursor
     as it stood before, selects the same rows and replaces the same files.
     """
-    started = clock()
+    started = started or clock()
     try:
         last = store.cursor(spec, before=seq) if last is None else last
         events = scored_events(raw, spec, last, lookup, stages, F.lit(started), rules)
@@ -46,7 +50,7 @@ def load_batch(
         if notify:
             urgent = to_notify(store.alerts.load(spec.name, seq).filter("load_status = 'loaded'"))
             store.notifications.put(urgent, spec.name, seq)
-        store.save_cursor(spec, done["cursor"] or last, kind, seq, clock())
+        store.save_cursor(spec, done["cursor"] or last, kind, seq, started)
         store.save_run(spec, seq, done["loaded"], done["rejected"], started, clock())
         return done["loaded"]
     except Exception as error:
@@ -64,15 +68,20 @@ def _cursor_of(spec: SourceSpec, raw: DataFrame) -> tuple[str, str]:
 def run_source(
     spark: SparkSession, store: Store, spec: SourceSpec, seq: int | None = None, **options
 ) -> int:
-    """One batch run of one source, from its cursor on."""
+    """One batch run of one source, from its cursor on.
+
+    Files last written well before the previous load began were read whole by it, so they
+    are not opened again; the margin is for clocks that differ.
+    """
     seq = int(time.time() * 1_000_000) if seq is None else seq
+    started = clock()
     try:
-        last = store.cursor(spec, before=seq)
-        raw = read_source(spark, spec, last)
+        last, begun = store.position(spec, before=seq)
+        raw = read_source(spark, spec, last, begun and begun - CLOCK_MARGIN)
     except Exception as error:
-        store.save_failure(spec, seq, str(error), clock(), clock())
+        store.save_failure(spec, seq, str(error), started, clock())
         raise
-    return load_batch(store, spec, raw, seq, last=last, **options)
+    return load_batch(store, spec, raw, seq, last=last, started=started, **options)
 
 
 def run_all(spark: SparkSession, store: Store, specs: list[SourceSpec], **options) -> int:

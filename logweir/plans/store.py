@@ -29,9 +29,16 @@ class Store:
 
     def cursor(self, spec: SourceSpec, before: int | None = None) -> str:
         """Saved value, else the source's default, else the epoch."""
+        return self.position(spec, before)[0]
+
+    def position(self, spec: SourceSpec, before: int | None = None):
+        """The cursor, and when the load that saved it began (none without one)."""
         row = self.cursors(spec.name).read(before).first()
-        saved = row["watermark_value"] if row else None
-        return saved if saved not in (None, EPOCH_TEXT) else spec.first_cursor
+        if row is None:
+            return spec.first_cursor, None
+        saved = row["watermark_value"]
+        value = saved if saved not in (None, EPOCH_TEXT) else spec.first_cursor
+        return value, row["updated_at"]
 
     def save_cursor(self, spec: SourceSpec, value: str, kind: str, seq: int, now) -> None:
         row = self.spark.createDataFrame([(spec.name, value, kind, now)], CURSOR)

@@ -1,8 +1,11 @@
 """Log lines from files: local, distributed or object storage; batch or stream."""
 
+from datetime import datetime
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from logweir.constants import LOG_ZONE
 from logweir.sources.spec import SourceSpec
 
 _LINES = "value string"
@@ -15,15 +18,17 @@ def log_path(spec: SourceSpec) -> str:
     return spec.path
 
 
-def read_lines(spark: SparkSession, spec: SourceSpec, modified_after=None) -> DataFrame:
+def read_lines(
+    spark: SparkSession, spec: SourceSpec, modified_after: datetime | None = None
+) -> DataFrame:
     """All lines of the matching files as `value`; no match gives no rows.
 
-    `modified_after` skips files that were last written before a run, so a batch need not
-    read again what cannot hold new lines.
+    `modified_after`, a time in the log zone, skips files last written before it.
     """
     reader = spark.read
     if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
+        stamp = modified_after.isoformat(timespec="seconds")
+        reader = reader.option("modifiedAfter", stamp).option("timeZone", LOG_ZONE)
     try:
         return reader.text(log_path(spec))
     except AnalysisException as missing:

@@ -1,6 +1,7 @@
 """Source type -> reader."""
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -9,24 +10,27 @@ from logweir.sources.files import read_lines
 from logweir.sources.kafka import read_topic
 from logweir.sources.spec import SourceSpec
 
-Reader = Callable[[SparkSession, SourceSpec, str | None], DataFrame]
+Reader = Callable[[SparkSession, SourceSpec, str | None, datetime | None], DataFrame]
 
 LINE_KINDS = {"file", "s3", "kafka"}
 
 READERS: dict[str, Reader] = {
-    "file": lambda spark, spec, last: read_lines(spark, spec),
-    "s3": lambda spark, spec, last: read_lines(spark, spec),
-    "kafka": lambda spark, spec, last: read_topic(spark, spec),
-    **{kind: read_table for kind in DIALECTS},
+    "file": lambda spark, spec, last, changed: read_lines(spark, spec, changed),
+    "s3": lambda spark, spec, last, changed: read_lines(spark, spec, changed),
+    "kafka": lambda spark, spec, last, changed: read_topic(spark, spec),
+    **{kind: lambda spark, spec, last, changed: read_table(spark, spec, last) for kind in DIALECTS},
 }
 
 
 def register_reader(kind: str, reader: Reader) -> None:
-    """Add a source type; the reader gets the session, the spec and the cursor."""
+    """Add a source type; the reader gets the session, the spec, the cursor, and the time
+    before which a source need not have changed."""
     READERS[kind.lower()] = reader
 
 
-def read_source(spark: SparkSession, spec: SourceSpec, last: str | None = None) -> DataFrame:
+def read_source(
+    spark: SparkSession, spec: SourceSpec, last: str | None = None, changed: datetime | None = None
+) -> DataFrame:
     if spec.kind not in READERS:
         raise ValueError(f"[{spec.name}] unsupported source type: {spec.type}")
-    return READERS[spec.kind](spark, spec, last)
+    return READERS[spec.kind](spark, spec, last, changed)

@@ -42,8 +42,11 @@ def rules_from_xml(documents: DataFrame, xml_col: str = "parser_xml") -> DataFra
 
 
 def write_rules(documents: DataFrame, path: str) -> None:
-    """One text row per document line; a folder that `read_rules` can load."""
-    documents.select(F.col("parser_xml").alias("value")).write.mode("overwrite").text(path)
+    """One file per source, since a file can hold one document."""
+    value = F.col("parser_xml").alias("value")
+    documents.select("source_name", value).write.mode("overwrite").partitionBy(
+        "source_name"
+    ).text(path)
 
 
 def rule_list(rules: DataFrame, source: str) -> list[tuple[str, str]]:

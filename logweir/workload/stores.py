@@ -6,14 +6,16 @@ from logweir.operators.mapping import infer_rules, rules_as_xml
 from logweir.operators.parse import parse_lines
 from logweir.operators.totals import run_report
 from logweir.constants import KEY_SYNONYMS_BASIC
-from logweir.plans.ingest import run_all
+from logweir.plans.ingest import run_all, run_source
 from logweir.plans.store import Store
 from logweir.session import shared_folder
 from logweir.sinks.alerts import create_alert_table, insert_alerts
 from logweir.sources.files import read_lines
+from logweir.sources.rules import read_rules, write_rules
 from logweir.workload.mapping import SQL as MAPPING_SQL
 from logweir.workload.tables import (
     EVENT_TIME,
+    LINE,
     LOG_SOURCE,
     SQL_LINES,
     event_lines,
@@ -26,6 +28,8 @@ from logweir.workload.tables import (
 # The error events as records whose time cannot be read.
 _UNREADABLE = """'{"timestamp":"day ' || CAST(event_id AS STRING) || '","user_id":"' || CAST(user_id AS STRING) || '"}'"""
 
+_MIDDLE = "TIMESTAMP '2024-01-16 00:00:00'"
+
 
 def _new_folder(spark):
     run = spark.range(1).select(F.expr("uuid()").alias("u")).first()["u"]
@@ -126,7 +130,49 @@ def table_after_inserts(spark, folder):
     return spark.table(name).groupBy("log_source", "action").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _halves(spark, folder, late_policy):
+    """The second half of January is loaded first; the first half then comes late."""
+    root = _new_folder(spark)
+    store = Store(spark, f"{root}/store")
+    spec = source_spec("Web_Logs", path=f"{root}/logs/*", late_policy=late_policy)
+    views = table(spark, folder, "events").filter("event_type = 'view'")
+    for half, kept in (("second", f"ts >= {_MIDDLE}"), ("first", f"ts < {_MIDDLE}")):
+        lines = views.filter(kept).select(F.expr(LINE).alias("value"))
+        lines.write.text(f"{root}/logs/{half}")
+        run_source(spark, store, spec)
+    return store.alerts.alerts().select("final_ts", "src_ip", "risk_score")
+
+
+def late_rows_dropped(spark, folder):
+    return _halves(spark, folder, "drop")
+
+
+def late_rows_kept(spark, folder):
+    return _halves(spark, folder, "allow")
+
+
+def failing_source_alone(spark, folder):
+    """A source that cannot be read is recorded; the others are loaded."""
+    root = _new_folder(spark)
+    store = Store(spark, f"{root}/store")
+    good = _write_files(spark, folder, root, "Endpoint_Logs")
+    run_all(spark, store, [source_spec("Broken", type="no_such_type"), good])
+    return store.history().select("source_name", "status", "processed_count")
+
+
+def rules_from_files(spark, folder):
+    """Learned documents written as files and read back as rules."""
+    root = _new_folder(spark)
+    write_rules(rules_as_xml(infer_rules(parse_lines(json_lines(spark, folder)))), f"{root}/rules")
+    rules = read_rules(spark, f"{root}/rules")
+    return rules.select("log_source", F.col("pos").cast("bigint").alias("pos"), "target", "source")
+
+
 QUERIES = {
+    "late_rows_dropped": late_rows_dropped,
+    "late_rows_kept": late_rows_kept,
+    "failing_source_alone": failing_source_alone,
+    "rules_from_files": rules_from_files,
     "file_lines": file_lines,
     "index_after_cycles": index_after_cycles,
     "notifications_after_cycle": notifications_after_cycle,
@@ -141,7 +187,17 @@ QUERIES = {
 _SHOWN = f"replace({EVENT_TIME}, ' ', 'T') || '+09:00' AS final_ts"
 _THREAT = "event_type = 'purchase' AND value > 100"
 
+_VIEWS = (
+    "SELECT date_trunc('second', ts) AS final_ts, '10.0.0.' || user_id AS src_ip, "
+    "10.0::DOUBLE AS risk_score FROM events WHERE event_type = 'view'"
+)
+
 SQL = {
+    "late_rows_dropped": f"{_VIEWS} AND ts >= {_MIDDLE}",
+    "late_rows_kept": _VIEWS,
+    "failing_source_alone": """SELECT 'Broken' AS source_name, 'FAIL' AS status, 0 AS processed_count
+UNION ALL SELECT 'Endpoint_Logs', 'SUCCESS', count(*) FILTER (event_type = 'click') FROM events""",
+    "rules_from_files": MAPPING_SQL["infer_mapping"],
     "file_lines": f"WITH {SQL_LINES} SELECT md5(line) AS line_md5 FROM l",
     "index_after_cycles": f"""WITH {SQL_LINES} SELECT {_SHOWN}, log_source,
  CASE WHEN event_type = 'click' THEN CAST(user_id AS VARCHAR) ELSE 'user ' || user_id END AS user_id,

@@ -1,14 +1,17 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from logweir.operators.totals import run_report
 from logweir.plans.events import prepared_lookup, scored_events
-from logweir.plans.ingest import load_batch, run_all, run_source
+from logweir.functions.times import clock
+from logweir.plans.ingest import CLOCK_MARGIN, load_batch, run_all, run_source
 from logweir.plans.learn import discover_columns, learn, learned_rules, registered_rules
 from logweir.plans.store import Store
+from logweir.sources.registry import read_source
 from logweir.sources.spec import SourceSpec
 from logweir.streaming.ingest import source_stream, start_all, start_loading
 
@@ -59,6 +62,21 @@ def test_ties_and_late_rows_are_dropped_or_allowed(spark, place):
     assert loaded(store) == [("03", "late"), ("05", "login"), ("05", "tie"), ("06", "new")]
 
 
+def test_files_of_earlier_loads_are_not_opened_again(spark, place, tmp_path):
+    write, spec, store, _ = place
+    write("old.log", line(5))
+    long_ago = dt.datetime(2020, 1, 1).timestamp()
+    os.utime(tmp_path / "logs" / "old.log", (long_ago, long_ago))
+    assert run_source(spark, store, spec, seq=1) == 1
+    write("new.log", line(6))
+    begun = store.position(spec)[1]
+    assert abs((begun - clock()).total_seconds()) < 600
+    files = read_source(spark, spec, None, begun - CLOCK_MARGIN).inputFiles()
+    assert [os.path.basename(f) for f in files] == ["new.log"]
+    assert run_source(spark, store, spec, seq=2) == 1
+    assert loaded(store) == [("05", "login"), ("06", "login")]
+
+
 def test_unloadable_and_untimed_rows(spark, place):
     write, spec, store, _ = place
     write("a.log", json.dumps({"timestamp": "yesterday", "user_id": "E1"}), json.dumps({"user_id": "E2"}), line(7))

@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 
 import pytest
@@ -33,7 +34,7 @@ def test_file_lines(spark, tmp_path):
     (tmp_path / "b.log").write_text("four", encoding="utf-8")
     spec = SourceSpec(name="x", type="file", path=f"{tmp_path}/*.log")
     assert sorted(r[0] for r in read_lines(spark, spec).collect()) == ["four", "one", "three", "two"]
-    assert read_lines(spark, spec, modified_after="2200-01-01T00:00:00").isEmpty()
+    assert read_lines(spark, spec, modified_after=dt.datetime(2200, 1, 1)).isEmpty()
     assert read_lines(spark, SourceSpec(path=f"{tmp_path}/none/*.log", type="file")).isEmpty()
 
 
@@ -95,12 +96,16 @@ def test_rule_files(spark, tmp_path, rows):
     assert rule_list(rules, "A") == [("u", "x"), ("u", "y")]
     assert read_rules(spark, f"{tmp_path}/none").isEmpty()
     out = f"{tmp_path}/written"
-    write_rules(rows([('<parser name="B">\n  <field target="a" source="b"/>\n</parser>',)], "parser_xml string"), out)
-    assert rule_list(read_rules(spark, out), "B") == [("a", "b")]
+    document = '<parser name="{0}">\n  <field target="a" source="b"/>\n  <field target="c" source="{0}"/>\n</parser>'
+    documents = rows([(n, document.format(n)) for n in ("B", "C")], "source_name string, parser_xml string")
+    write_rules(documents.coalesce(1), out)
+    written = read_rules(spark, out)
+    assert rule_list(written, "B") == [("a", "b"), ("c", "B")]
+    assert rule_list(written, "C") == [("a", "b"), ("c", "C")]
 
 
 def test_reader_registry(spark, rows):
-    register_reader("Memory", lambda spark, spec, last: rows([(last,)], "value string"))
+    register_reader("Memory", lambda spark, spec, last, changed: rows([(last,)], "value string"))
     try:
         assert read_source(spark, SourceSpec(type="memory"), "x").first()[0] == "x"
     finally:
