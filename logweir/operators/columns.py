@@ -13,10 +13,10 @@ def non_null_counts(df: DataFrame) -> DataFrame:
     return df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
 
 
-def drop_all_null_columns(df: DataFrame) -> DataFrame:
+def drop_all_null_columns(df: DataFrame, keep=()) -> DataFrame:
     """Batch only: the columns that hold a value somewhere. Runs one aggregate."""
     counts = non_null_counts(df).first()
-    return df.select(*[c for c in df.columns if counts[c]])
+    return df.select(*[c for c in df.columns if counts[c] or c in keep])
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -4,7 +4,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from logweir.constants import DEFAULT_ALERT_MESSAGE, DEFAULT_RISK_SCORE, REQUIRED_COLUMNS
 from logweir.functions.text import literal, quoted
-from logweir.operators.columns import event_time_of, nan_to_null, standard_event
+from logweir.operators.columns import (
+    drop_all_null_columns,
+    event_time_of,
+    nan_to_null,
+    standard_event,
+)
 from logweir.operators.enrich import enrich, person_lookup
 from logweir.operators.sizes import broadcast_if_small
 from logweir.operators.mapping import apply_rules
@@ -56,10 +61,16 @@ def clean_events(
     ingest_time: Column | None = None,
     rules=None,
 ) -> DataFrame:
-    """Parse, name, map and normalise one source's rows."""
+    """Parse, name, map and normalise one source's rows.
+
+    The policy `last` takes a column even where it is null, so there the columns that are
+    empty in the whole batch are dropped first, which takes a pass over it.
+    """
     rules = spec.field_rules if rules is None else rules
     rows = enrich(parsed_rows(raw, spec), lookup, rules)
     rows = rows.withColumn("error_reason", _time_error(rows))
+    if spec.mapping_policy == "last":
+        rows = drop_all_null_columns(rows, keep=("extras", "error_reason"))
     return standard_event(apply_rules(rows, rules, spec.mapping_policy), spec.name, ingest_time)
 
 

@@ -1,6 +1,7 @@
 """Database tables over JDBC: whole, incremental, or by query."""
 
 import re
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +15,7 @@ DIALECTS = {
     "mysql": ("mysql", "com.mysql.cj.jdbc.Driver"),
     "mariadb": ("mysql", "com.mysql.cj.jdbc.Driver"),
 }
+DEFAULT_PARTITIONS = 32
 PLACEHOLDER = ":last_updated"
 _NUMBER = re.compile(r"-?\d+(\.\d+)?")
 
@@ -30,6 +32,13 @@ def bind_cursor(query: str, last: str, kind: str = "string") -> str:
     return query.replace(PLACEHOLDER, literal)
 
 
+def _table(spec: SourceSpec, last: str | None, kind: str) -> str:
+    """What is read, as a table expression."""
+    if not spec.query:
+        return spec.table_name
+    return f"({bind_cursor(spec.query, last or spec.first_cursor, kind)}) q"
+
+
 def jdbc_options(spec: SourceSpec, last: str | None = None, kind: str = "string") -> dict:
     """Reader options: address by dialect, table or query, and how to split the read."""
     if spec.kind not in DIALECTS:
@@ -43,27 +52,42 @@ def jdbc_options(spec: SourceSpec, last: str | None = None, kind: str = "string"
         "url": f"jdbc:{scheme}://{spec.host}:{spec.port}/{spec.database}",
         "driver": driver,
         "fetchsize": "10000",
+        "dbtable": _table(spec, last, kind),
     }
     user, password = spec.credentials()
     if user:
         options["user"] = user
     if password:
         options["password"] = password
-    query = bind_cursor(spec.query, last or spec.first_cursor, kind) if spec.query else None
-    if spec.partition_col:
-        # a split read needs a table expression, so a query becomes a subquery
-        options["dbtable"] = f"({query}) q" if query else spec.table_name
+    if spec.partition_col and spec.partition_lower is not None:
         options["partitionColumn"] = spec.partition_col
         options["lowerBound"] = str(spec.partition_lower)
         options["upperBound"] = str(spec.partition_upper)
-        options["numPartitions"] = str(spec.partition_count)
-    elif query:
-        options["query"] = query
-    else:
-        options["dbtable"] = spec.table_name
+        options["numPartitions"] = str(spec.partition_count or DEFAULT_PARTITIONS)
     return options
 
 
+def bounds_options(spec: SourceSpec, last: str | None = None, kind: str = "string") -> dict:
+    """Options that read the smallest and largest value of the split column."""
+    column = spec.partition_col
+    options = jdbc_options(spec, last, kind)
+    query = f"SELECT min({column}) AS low, max({column}) AS high FROM {options.pop('dbtable')}"
+    return {**options, "query": query}
+
+
+def with_bounds(spark: SparkSession, spec: SourceSpec, last: str | None = None) -> SourceSpec:
+    """The spec with the bounds of its split column, asked from the database if not given.
+
+    They only place the splits; rows outside are read all the same.
+    """
+    if not spec.partition_col or spec.partition_lower is not None:
+        return spec
+    row = spark.read.format("jdbc").options(**bounds_options(spec, last)).load().first()
+    if row[0] is None:
+        return spec
+    return replace(spec, partition_lower=str(row[0]), partition_upper=str(row[1]))
+
+
 def after_last(df: DataFrame, spec: SourceSpec, last: str | None) -> DataFrame:
     """A table read with a watermark column is cut at the cursor; Spark pushes it down."""
     if spec.query or not spec.watermark_col or last is None:
@@ -72,5 +96,7 @@ def after_last(df: DataFrame, spec: SourceSpec, last: str | None) -> DataFrame:
 
 
 def read_table(spark: SparkSession, spec: SourceSpec, last: str | None = None) -> DataFrame:
+    """A table or query; with a split column every split is its own task."""
+    spec = with_bounds(spark, spec, last)
     rows = spark.read.format("jdbc").options(**jdbc_options(spec, last)).load()
     return after_last(rows, spec, last)

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -113,6 +114,21 @@ def test_names_and_given_scores(spark, place, rows):
     assert got["1"]["risk_score"] == 10.0 and got["1"]["bytes_total"] is None
 
 
+def test_policy_last_depends_on_the_columns_of_the_batch(spark, place):
+    """As in the original: a column that no row fills does not count, one that a row fills does."""
+    write, spec, store, _ = place
+    spec = replace(spec, mapping_policy="last")
+    write("a.log", "2026-01-01 00:00:01 | E1 | login | 10.0.0.1 | password")
+    run_source(spark, store, spec, seq=1)
+    first = store.alerts.alerts().first()
+    assert (first["user_id"], first["src_ip"], first["user"]) == ("E1", "10.0.0.1", "Unknown_User")
+    write("a.log", "2026-01-01 00:00:02 | E1 | login | 10.0.0.1 | password",
+          json.dumps({"timestamp": "2026-01-01 00:00:03", "user_id": "E2", "user": "Lee", "action": "x"}))
+    run_source(spark, store, spec, seq=2)
+    got = sorted((r["timestamp"][-2:], r["user_id"], r["src_ip"]) for r in store.alerts.alerts().collect())
+    assert got == [("01", "E1", "10.0.0.1"), ("02", "Unknown_ID", "10.0.0.1"), ("03", "Lee", "Internal")]
+
+
 def test_table_rows_take_their_own_cursor(spark, tmp_path, rows):
     store = Store(spark, str(tmp_path / "s"))
     spec = SourceSpec(name="hr", type="postgres", database="d", table_name="t", watermark_col="emp_no", watermark_default="0")

@@ -3,7 +3,13 @@ import json
 
 import pytest
 
-from logweir.sources.database import after_last, bind_cursor, jdbc_options
+from logweir.sources.database import (
+    after_last,
+    bind_cursor,
+    bounds_options,
+    jdbc_options,
+    with_bounds,
+)
 from logweir.sources.files import log_path, read_lines
 from logweir.sources.kafka import kafka_options
 from logweir.sources.registry import READERS, read_source, register_reader
@@ -58,7 +64,16 @@ def test_jdbc_options(monkeypatch):
     got = jdbc_options(split, "E'1")
     assert got["dbtable"] == "(SELECT * FROM t WHERE c > 'E''1') q" and got["numPartitions"] == "8"
     plain = SourceSpec(name="q", type="postgresql", database="d", query="SELECT 1")
-    assert jdbc_options(plain)["query"] == "SELECT 1"
+    assert jdbc_options(plain)["dbtable"] == "(SELECT 1) q" and "numPartitions" not in jdbc_options(plain)
+
+
+def test_split_bounds():
+    spec = SourceSpec(type="mysql", host="h", port="1", database="d", table_name="t", partition_col="id")
+    options = bounds_options(spec)
+    assert options["query"] == "SELECT min(id) AS low, max(id) AS high FROM t" and "dbtable" not in options
+    given = SourceSpec(type="mysql", database="d", table_name="t", partition_col="id", partition_lower="1", partition_upper="9")
+    assert with_bounds(None, given) is given
+    assert jdbc_options(given)["numPartitions"] == "32"
 
 
 @pytest.mark.parametrize(
