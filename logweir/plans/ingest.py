@@ -40,7 +40,7 @@ def load_batch(
     started = started or clock()
     try:
         last = store.cursor(spec, before=seq) if last is None else last
-        events = scored_events(raw, spec, last, lookup, stages, F.lit(started), rules)
+        events = scored_events(raw, spec, last, lookup, stages, F.lit(str(started)), rules)
         store.alerts.put(as_documents(events), spec.name, seq)
         cursor_col, kind = _cursor_of(spec, raw)
         done = store.alerts.summary(spec.name, seq, last, cursor_col, kind)

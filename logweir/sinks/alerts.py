@@ -17,6 +17,7 @@ from logweir.schemas import ALERT_DOC, alert_table
 from logweir.sinks.loads import LoadTable
 
 PARTITIONS = ["load_status", "event_date"]
+ID_KEYS = ["log_source", "event_date", "row_id"]
 # stored columns that a source may send without declaring them
 _SCORES = ["risk_score", "alert_message"]
 _FROM_EXTRAS = [*[c for c in NUMERIC_SINK_COLUMNS if c not in _SCORES], "emp_name"]
@@ -112,9 +113,14 @@ class AlertIndex(LoadTable):
         """
         loaded = self.rows().filter(F.col("load_status") == "loaded")
         newest = [F.col("load_seq").desc()]
-        latest = latest_per_key(loaded, ["log_source", "event_date", "row_id"], newest)
+        latest = latest_per_key(loaded, ID_KEYS, newest)
         return latest.drop("load_status", "error_reason")
 
+    def compact_to(self, path: str, seq: int) -> "AlertIndex":
+        """The newest documents and rejects as one load per source at another place."""
+        super().compact_to(path, [*ID_KEYS, "load_status"], seq)
+        return AlertIndex(self.spark, path)
+
     def documents(self, offset: str = SINK_UTC_OFFSET) -> DataFrame:
         """The index with times as ISO text in the configured offset."""
         return self.alerts().withColumn("final_ts", sink_time("final_ts", offset))

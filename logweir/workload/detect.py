@@ -13,7 +13,7 @@ from logweir.operators.totals import source_totals, union_all
 from logweir.plans.events import scored_events
 from logweir.plans.stages import run_stages
 from logweir.sinks.alerts import as_documents
-from logweir.workload.tables import LINE, SOURCE_OF_TYPE, SQL_LINES, source_lines, source_spec, table
+from logweir.workload.tables import SOURCE_OF_TYPE, SQL_LINES, source_lines, source_spec, table
 
 _ACTION = (
     "CASE event_type WHEN 'error' THEN 'SSH_BruteForce' WHEN 'purchase' THEN 'Unauthorized_DB_Dump' "

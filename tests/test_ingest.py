@@ -4,7 +4,6 @@ import os
 from dataclasses import replace
 
 import pytest
-from pyspark.sql import functions as F
 
 from logweir.operators.totals import run_report
 from logweir.plans.events import prepared_lookup, scored_events

@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,6 +121,9 @@ def test_index_keeps_one_document_per_id(spark, tmp_path):
     assert (done["loaded"], done["rejected"], done["cursor"]) == (1, 1, "2026-01-01 10:00:00")
     assert index.summary("s", 2, "7", "port", "int")["cursor"] == "443"
     assert index.summary("s", 1, "2027-01-01 00:00:00")["cursor"] == "2027-01-01 00:00:00"
+    small = index.compact_to(f"{tmp_path}-small", 3)
+    assert small.rows().count() == 3 and small.rejects().count() == 1
+    assert sorted(r["row_id"] for r in small.alerts().collect()) == sorted(r["row_id"] for r in index.alerts().collect())
     assert index.documents().filter("user_id = 'E1'").first()["final_ts"] == "2026-01-01T10:00:00+09:00"
 
 
