@@ -163,7 +163,20 @@ def insert_alerts(
     rows = conform(batch, target.schema)
     # first wins: the least row of equal keys, so a repeated batch picks the same one
     order = [F.xxhash64(*[c for c in rows.columns if c != "created_at"])]
-    insert_unique(rows, order, target, keys).write.mode("append").insertInto(name)
+    new = insert_unique(rows, order, _same_times(target, rows, keys), keys)
+    new.write.mode("append").insertInto(name)
+
+
+def _same_times(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The part of the table whose times the batch spans: no other row can hold its keys.
+
+    The bounds are literals, so the scan skips what lies outside.
+    """
+    if "final_ts" not in keys:
+        return target
+    low, high = rows.agg(F.min("final_ts"), F.max("final_ts")).first()
+    low, high = (F.lit(None if x is None else str(x)).cast("timestamp_ntz") for x in (low, high))
+    return target.filter(F.col("final_ts").between(low, high))
 
 
 def merge_by_id(batch: DataFrame, table: str, key: str = "row_id") -> None:

@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logweir.operators.keyed import conform
 from logweir.schemas import ALERT_DOC, REGISTRY, alert_table
 from logweir.sinks.alerts import (
     AlertIndex,
+    _same_times,
     as_documents,
     create_alert_table,
     insert_alerts,
@@ -148,6 +150,10 @@ def test_relational_table(spark):
     got = sorted(r["action"] for r in spark.table("alert_rows").collect())
     assert got == ["a", "b"]
     assert spark.table("alert_rows").schema.fieldNames() == alert_table().fieldNames()
+    part = _same_times(spark.table("alert_rows"), conform(batch, alert_table()), ["final_ts"])
+    assert "GreaterThanOrEqual(final_ts" in part._jdf.queryExecution().executedPlan().toString()
+    insert_alerts(spark, "alert_rows", batch.limit(0))
+    assert spark.table("alert_rows").count() == 2
     truncate_table(spark, "alert_rows")
     assert spark.table("alert_rows").isEmpty()
     with pytest.raises(Exception):
