@@ -5,14 +5,39 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from logweir.llm import counts, exact, topk, units
+from logweir.llm import bpe, counts, exact, jaccard, language, packing, suffixes, tokenfile, topk, units
 from logweir.llm.tables import run_folder, table
 
 
+def op1_byte_bpe(spark, sf_dir):
+    return bpe.encode_digests(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+
+
 def op2_exact_dedup(spark, sf_dir):
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_packing(spark, sf_dir):
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, longest=2048)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op4_ngram_jaccard(spark, sf_dir):
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+def op5_suffix_dedup(spark, sf_dir):
+    found = suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes",
+        F.aggregate("removed", F.lit(0).cast("long"), lambda s, x: s + x["length"]).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op6_token_counts(spark, sf_dir):
     return counts.token_counts(
         table(spark, sf_dir, "documents"),
@@ -21,10 +46,21 @@ def op6_token_counts(spark, sf_dir):
     )
 
 
+def op7_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict_languages(docs, language.learn_languages(docs))
+    return found.select("doc_id", F.coalesce(language.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op8_exact_top_k(spark, sf_dir):
     return topk.top_inner_products(table(spark, sf_dir, "embeddings"), F.expr("vec_id % 50 = 0"), k=5, scale=256.0)
 
 
+def op9_token_file(spark, sf_dir):
+    read = tokenfile.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_substring_dedup(spark, sf_dir):
     found = units.without_repeated_units(table(spark, sf_dir, "documents"))
     return found.select(
@@ -35,7 +71,13 @@ def op10_substring_dedup(spark, sf_dir):
     )
 
 
-QUERIES = {q.__name__: q for q in (op2_exact_dedup, op6_token_counts, op8_exact_top_k, op10_substring_dedup)}
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_byte_bpe, op2_exact_dedup, op3_packing, op4_ngram_jaccard, op5_suffix_dedup, op6_token_counts,
+        op7_language_id, op8_exact_top_k, op9_token_file, op10_substring_dedup,
+    )
+}
 
 SQL = {
     "op2_exact_dedup": """
