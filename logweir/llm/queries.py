@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from logweir.llm import bpe, counts, exact, jaccard, language, packing, suffixes, tokenfile, topk, units
 from logweir.llm.tables import run_folder, table
 
@@ -71,11 +72,15 @@ def op10_substring_dedup(spark, sf_dir):
     )
 
 
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         op1_byte_bpe, op2_exact_dedup, op3_packing, op4_ngram_jaccard, op5_suffix_dedup, op6_token_counts,
-        op7_language_id, op8_exact_top_k, op9_token_file, op10_substring_dedup,
+        op7_language_id, op8_exact_top_k, op9_token_file, op10_substring_dedup, pipeline,
     )
 }
 
