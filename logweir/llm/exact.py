@@ -26,10 +26,8 @@ class CuckooIndex:
     """Digest (bytes) -> value, found through a cuckoo filter of 16-bit fingerprints."""
 
     def __init__(self, capacity: int = 8):
-        self._rows: list[list[tuple[int, bytes]]] = []
-        self._size = 0
+        self._size, self._turn, self.false_hits = 0, -1, 0
         self._build(capacity, [])
-        self.false_hits = 0
 
     def __len__(self) -> int:
         return self._size
@@ -38,7 +36,7 @@ class CuckooIndex:
         n = 1
         while n * SLOTS < capacity:
             n *= 2
-        self._mask = n - 1
+        self._mask, self._turn = n - 1, self._turn + 1  # each build reads other bytes of the keys
         self._filter = [[] for _ in range(n)]  # fingerprints
         self._stored = {}  # the content: full key and value, in the bucket of its fingerprint
         self._size = 0
@@ -46,8 +44,8 @@ class CuckooIndex:
             self.put(key, value)
 
     def _place(self, key: bytes) -> tuple[int, int]:
-        mark = int.from_bytes(key[:2], "big") | 1 << 16
-        return mark, int.from_bytes(key[-6:], "big") & self._mask
+        at = 8 * self._turn % max(len(key) - 7, 1)
+        return int.from_bytes(key[at : at + 2], "big"), int.from_bytes(key[at + 2 : at + 8], "big") & self._mask
 
     def _other(self, mark: int, row: int) -> int:
         return (row ^ (mark * 0x5BD1E995)) & self._mask

@@ -186,7 +186,7 @@ class _Records:
         )
 
 
-def _blocks(text_at: int):
+def _blocks(text_at: int, block_bytes: int):
     """Rows to blocks: their other columns as an Arrow stream, ids, sizes and the joined text."""
 
     def run(batches):
@@ -196,7 +196,7 @@ def _blocks(text_at: int):
             size = pc.binary_length(text).to_numpy(zero_copy_only=False).astype(np.int64)
             start = 0
             while start < batch.num_rows:
-                stop = start + max(1, int(np.searchsorted(np.cumsum(size[start:]), BLOCK_BYTES, side="right")))
+                stop = start + max(1, int(np.searchsorted(np.cumsum(size[start:]), block_bytes, side="right")))
                 piece = batch.slice(start, stop - start)
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, piece.schema.remove(text_at)) as writer:
@@ -254,21 +254,25 @@ def _by_bucket(batches):
         yield key, blocks, data
 
 
-def _tell_shared(batches):
+def _tell_shared(frequent: int):
     """For each hash of each block: 0 if one document has it, 1 if several, 2 if very many suffixes."""
-    for bucket, blocks, data in _by_bucket(batches):
-        parts = [_unpacked(d, np.uint64, np.uint8) for d in data]
-        sizes = [len(p[1]) for p in parts]
-        hashes, counted = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts]), np.concatenate([p[1] for p in parts])
-        order = np.argsort(hashes, kind="stable")
-        starts = np.flatnonzero(np.r_[True, np.diff(hashes[order]) != 0])
-        n_blocks = np.diff(np.r_[starts, len(order)])
-        several = (n_blocks > 1) | (np.maximum.reduceat(counted[order], starts) >= 128)
-        often = np.add.reduceat((counted[order] & 127).astype(np.int64), starts) >= FREQUENT
-        told = np.zeros(len(order), np.uint8)
-        told[order] = np.repeat(several * (1 + often), n_blocks).astype(np.uint8)
-        cut = np.cumsum([0, *sizes])
-        yield _part([bucket] * len(blocks), blocks, [_packed(told[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)])
+
+    def run(batches):
+        for bucket, blocks, data in _by_bucket(batches):
+            parts = [_unpacked(d, np.uint64, np.uint8) for d in data]
+            sizes = [len(p[1]) for p in parts]
+            hashes, counted = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts]), np.concatenate([p[1] for p in parts])
+            order = np.argsort(hashes, kind="stable")
+            starts = np.flatnonzero(np.r_[True, np.diff(hashes[order]) != 0])
+            n_blocks = np.diff(np.r_[starts, len(order)])
+            several = (n_blocks > 1) | (np.maximum.reduceat(counted[order], starts) >= 128)
+            often = np.add.reduceat((counted[order] & 127).astype(np.int64), starts) >= frequent
+            told = np.zeros(len(order), np.uint8)
+            told[order] = np.repeat(several * (1 + often), n_blocks).astype(np.uint8)
+            cut = np.cumsum([0, *sizes])
+            yield _part([bucket] * len(blocks), blocks, [_packed(told[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)])
+
+    return run
 
 
 def _told(parts) -> np.ndarray:
@@ -427,22 +431,22 @@ def _result(buckets: int, text_name: str | None, schema: pa.Schema | None, count
     return run
 
 
-def _stored_blocks(docs: DataFrame, text_at: int, folder: str) -> DataFrame:
+def _stored_blocks(docs: DataFrame, text_at: int, folder: str, block_bytes: int) -> DataFrame:
     """The blocks as a bucketed table, so that what they are told joins them without moving them."""
     spark = docs.sparkSession
     name, parts = f"llm_blocks_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs.mapInArrow(_blocks(text_at), _BLOCK).write.option("path", f"{folder}/blocks").option("compression", "none").bucketBy(parts, "block").saveAsTable(name)
+    docs.mapInArrow(_blocks(text_at, block_bytes), _BLOCK).write.option("path", f"{folder}/blocks").option("compression", "none").bucketBy(parts, "block").saveAsTable(name)
     blocks = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # the name only: the files are the folder's
     return blocks
 
 
-def _searched(docs: DataFrame, text_at: int) -> tuple[DataFrame, int]:
+def _searched(docs: DataFrame, text_at: int, frequent: int, block_bytes: int) -> tuple[DataFrame, int]:
     """Blocks with what they were told and answered, and the number of buckets."""
     spark = docs.sparkSession
     ship(spark)
     folder = run_folder(spark)
-    blocks = _stored_blocks(docs, text_at, folder)
+    blocks = _stored_blocks(docs, text_at, folder, block_bytes)
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
 
@@ -456,23 +460,24 @@ def _searched(docs: DataFrame, text_at: int) -> tuple[DataFrame, int]:
         parts.write.parquet(f"{folder}/{name}")
         return spark.read.schema(_PART).parquet(f"{folder}/{name}")
 
-    told = stored(dealt(blocks.mapInArrow(_send_hashes(buckets), _PART)).mapInArrow(_tell_shared, _PART), "told")
+    told = stored(dealt(blocks.mapInArrow(_send_hashes(buckets), _PART)).mapInArrow(_tell_shared(frequent), _PART), "told")
     with_told = blocks.join(gathered(told, "told"), "block", "left")
     runs = with_told.select("block", "ids", "sizes", "packed", "told").mapInArrow(_send_runs(buckets), _PART)
     answers = stored(dealt(runs).mapInArrow(_merge, _PART), "answers")
     return with_told.join(gathered(answers, "answers"), "block", "left"), buckets
 
 
-def repeated_passages(docs: DataFrame) -> DataFrame:
+def repeated_passages(docs: DataFrame, frequent: int = FREQUENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, n_bytes, removed, kept), a row per row of `docs`.
 
     Removed is each byte of the UTF-8 text that is covered by a string of 50 bytes which also
     begins in a document with a smaller doc_id; strings are judged on the input and never cross
     documents. `removed` holds the maximal spans, `kept` the other bytes. A null text is empty.
     A null doc_id ranks last; rows that share a doc_id, or are repeated, take nothing from each
-    other. An empty table gives no rows; other columns of `docs` are not read.
+    other. An empty table gives no rows; other columns of `docs` are not read. `frequent` and
+    `block_bytes` change how the work is dealt, never the rows.
     """
-    found, buckets = _searched(id_and_text(docs), 1)
+    found, buckets = _searched(id_and_text(docs), 1, frequent, block_bytes)
     return found.mapInArrow(
         _result(buckets, None, None, None),
         "doc_id long, n_bytes long, removed array<struct<start: long, length: long>>, kept binary",
@@ -487,7 +492,7 @@ def without_repeated_passages(docs: DataFrame, count_col: str | None = None) ->
     if given, is set to the number of characters where a text has changed.
     """
     first = docs.select("doc_id", *[c for c in docs.columns if c != "doc_id"])
-    found, buckets = _searched(first, first.columns.index("text"))
+    found, buckets = _searched(first, first.columns.index("text"), FREQUENT, BLOCK_BYTES)
     fields = first.schema
     arrow = pa.schema([pa.field(f.name, _arrow_type(f.dataType)) for f in fields])
     at = first.columns.index(count_col) if count_col else None
