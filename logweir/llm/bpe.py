@@ -22,11 +22,31 @@ from pyspark.sql import DataFrame
 
 from logweir.llm.tables import id_and_text
 
-#: Entries of each worker's memories (pairs, pieces, chunks); a full one starts anew.
-MEMORY = 400_000
+#: Entries of each of a worker's memories (pairs, pieces, words), and as many older ones.
+MEMORY = 300_000
+#: Characters of a piece or word that is remembered.
+LONG = 64
 _BLANK_BEFORE_SPACE = re.compile(r"\s ")
 
 
+class _Memory(dict):
+    """Results by key, bounded: what was not asked for since the last half is forgotten."""
+
+    def __init__(self, make, bound: int = MEMORY):
+        super().__init__()
+        self._make, self._bound, self._older = make, bound, {}
+
+    def __missing__(self, key):
+        made = self._older.get(key)
+        if made is None:
+            made = self._make(key)
+        if len(self) >= self._bound:
+            self._older = dict(self)
+            self.clear()
+        self[key] = made
+        return made
+
+
 class Vocabulary:
     """Tokens with ranks: the rank is the id and the order of merges."""
 
@@ -35,10 +55,19 @@ class Vocabulary:
         self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        self.sizes = sorted({len(t) for t in ranks}, reverse=True)
-        self.longest = max(self.sizes, default=1)
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self._whole: dict[int, bool] = {}
+        self.longest = max(map(len, ranks), default=1)
+        # sizes of the tokens that end in the same three bytes, or fewer, the longest first
+        ends: dict[bytes, set[int]] = {}
+        for token in ranks:
+            ends.setdefault(token[-3:], set()).add(len(token))
+        self.sizes = {
+            end: sorted({*sizes, *(n for n in (1, 2) if end[-n:] in ranks)}, reverse=True) for end, sizes in ends.items()
+        }
+        # whether two tokens may stand side by side, by left * number of tokens + right
+        self.pairs: dict[int, bool] = {}
+        # whether merging a token's bytes gives the token: 1 yes, 2 no, 0 not known yet
+        self.whole = bytearray(len(self.tokens))
+        self._halves: dict[int, tuple[int, int] | None] = {}
 
     @classmethod
     def read(cls, path: str) -> Vocabulary:
@@ -46,31 +75,60 @@ class Vocabulary:
         with open(path, "rb") as f:
             return cls({base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())})
 
-    def merged(self, data: bytes) -> list[int]:
+    def merged(self, data: bytes, parts_left: int = 1) -> list[int]:
         """The encoding by merging the lowest rank first: the definition, for a few bytes."""
-        parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda i: (self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i))
-            if parts[best] + parts[best + 1] not in self.ranks:
+        parts, ranks = [data[i : i + 1] for i in range(len(data))], self.ranks
+        while len(parts) > parts_left:
+            pairs = [ranks.get(a + b, 1 << 60) for a, b in zip(parts, parts[1:], strict=False)]
+            best = min(pairs)
+            if best == 1 << 60:
                 break
-            parts[best : best + 2] = [parts[best] + parts[best + 1]]
-        return [self.ranks[p] for p in parts]
-
-    def whole(self, token: int) -> bool:
-        """Whether merging the token's bytes gives the token."""
-        known = self._whole.get(token)
-        if known is None:
-            known = self._whole[token] = self.merged(self.tokens[token]) == [token]
+            at = pairs.index(best)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return [ranks[p] for p in parts]
+
+    def halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens that a token is last merged from; None for one that is never made."""
+        known = self._halves.get(token, 0)
+        if known == 0:
+            data = self.tokens[token]
+            if len(data) == 1:
+                known = (token, token)
+            else:
+                parts = self.merged(data, 2)
+                known = (parts[0], parts[1]) if len(parts) == 2 and self.merged(data) == [token] else None
+            self._halves[token] = known
         return known
 
-    def follows(self, left: int, right: int) -> bool:
-        """Whether the two tokens may stand side by side."""
-        known = self._pairs.get((left, right))
-        if known is None:
-            if len(self._pairs) >= MEMORY:
-                self._pairs.clear()
-            known = self.merged(self.tokens[left] + self.tokens[right]) == [left, right]
-            self._pairs[left, right] = known
+    def is_whole(self, token: int) -> bool:
+        if not self.whole[token]:
+            self.whole[token] = 2 if self.halves(token) is None else 1
+        return self.whole[token] == 1
+
+    def follows(self, pair: int) -> bool:
+        """Whether no merge crosses the border of two tokens.
+
+        Undoing the later of the two tokens' last merges, again and again, passes through all
+        pairs of parts that met at the border, each until a known rank: a merge of the two
+        below that rank would have come first. Of equal ranks the left merge comes first.
+        """
+        known = self.pairs.get(pair)
+        if known is not None:
+            return known
+        left, right = divmod(pair, len(self.tokens))
+        tokens, ranks, before, known = self.tokens, self.ranks, 1 << 60, None
+        while known is None:
+            if ranks.get(tokens[left] + tokens[right], 1 << 60) < before:
+                known = False
+            elif len(tokens[left]) == 1 and len(tokens[right]) == 1:
+                known = True
+            elif len(tokens[right]) == 1 or (len(tokens[left]) > 1 and left > right):
+                left, before = self.halves(left)[1], left
+            else:
+                right, before = self.halves(right)[0], right + 1
+        if len(self.pairs) >= MEMORY:
+            self.pairs.clear()
+        self.pairs[pair] = known
         return known
 
 
@@ -83,25 +141,32 @@ class PrefixEncoding:
         self.last: list[int] = []
         self.append(data)
 
-    def _last_token(self, data: bytes, end: int) -> int:
+    def _extend(self, data: bytes, stop: int) -> None:
+        """Finds the last token of each prefix up to `stop` that has none yet."""
         v, last = self.vocabulary, self.last
-        for size in v.sizes:
-            start = end - size
-            if start < 0:
-                continue
-            token = v.ranks.get(data[start:end])
-            if token is None or not v.whole(token):
-                continue
-            if start == 0 or v.follows(last[start - 1], token):
-                return token
-        raise ValueError("the vocabulary does not cover all bytes")
+        sizes, ranks, whole, pairs, n = v.sizes, v.ranks, v.whole, v.pairs, len(v.tokens)
+        for end in range(len(last) + 1, stop + 1):
+            for size in sizes.get(data[end - 3 if end > 3 else 0 : end]) or (2, 1):
+                begin = end - size
+                if begin < 0:
+                    continue
+                token = ranks.get(data[begin:end])
+                if token is None or not (whole[token] == 1 or v.is_whole(token)):
+                    continue
+                if begin:
+                    pair = last[begin - 1] * n + token
+                    fits = pairs.get(pair)
+                    if not (v.follows(pair) if fits is None else fits):
+                        continue
+                last.append(token)
+                break
+            else:
+                raise ValueError("the vocabulary does not cover all bytes")
 
     def append(self, data: bytes) -> None:
         """Adds bytes at the end; the encodings of all earlier prefixes stay as they are."""
         self.data += data
-        whole = bytes(self.data)
-        for end in range(len(self.last) + 1, len(whole) + 1):
-            self.last.append(self._last_token(whole, end))
+        self._extend(bytes(self.data), len(self.data))
 
     def replace(self, start: int, stop: int, data: bytes) -> int:
         """Puts `data` in place of bytes start to stop; returns how many prefixes were redone.
@@ -115,14 +180,12 @@ class PrefixEncoding:
         self.last = self.last[:start]
         edit_end = start + len(data)
         for end in range(start + 1, len(whole) + 1):
-            token = self._last_token(whole, end)
-            self.last.append(token)
+            self._extend(whole, end)
             if end > edit_end:
-                same = same + 1 if token == after[end - edit_end - 1] else 0
+                same = same + 1 if self.last[-1] == after[end - edit_end - 1] else 0
                 if same >= v.longest:
-                    redone = end - start
                     self.last += after[end - edit_end :]
-                    return redone
+                    return end - start
         return len(whole) - start
 
     def ids(self, end: int | None = None) -> list[int]:
@@ -134,22 +197,6 @@ class PrefixEncoding:
         return out[::-1]
 
 
-class _Memory(dict):
-    """Results by key, bounded; long keys are not kept."""
-
-    def __init__(self, make):
-        super().__init__()
-        self._make = make
-
-    def __missing__(self, key: str):
-        made = self._make(key)
-        if len(key) <= 48:
-            if len(self) >= MEMORY:
-                self.clear()
-            self[key] = made
-        return made
-
-
 class TextEncoder:
     """Whole texts: each match of the pattern is encoded by itself.
 
@@ -162,20 +209,55 @@ class TextEncoder:
         self.vocabulary = vocabulary
         self._pattern = regex.compile(pattern)
         self._pieces = _Memory(self._piece)
-        self._after_blank = _Memory(lambda word: tuple(self._matches(" " + word)))
+        self._after_blank = _Memory(self._word)
+        # the last token of byte prefixes, whatever piece they have been met in
+        self._prefixes = _Memory(self._last_token)
+
+    def _last_token(self, prefix: bytes) -> int:
+        """The last token of a prefix that is not known yet, from those of shorter ones."""
+        v, known, end = self.vocabulary, self._prefixes, len(prefix)
+        for size in v.sizes.get(prefix[-3:]) or (2, 1):
+            begin = end - size
+            if begin < 0:
+                continue
+            token = v.ranks.get(prefix[begin:])
+            if token is None or not (v.whole[token] == 1 or v.is_whole(token)):
+                continue
+            if begin == 0 or v.follows(known[prefix[:begin]] * len(v.tokens) + token):
+                return token
+        raise ValueError("the vocabulary does not cover all bytes")
 
     def _piece(self, piece: str) -> tuple[int, ...]:
-        data = piece.encode()
+        data, tokens = piece.encode(), self.vocabulary.tokens
         known = self.vocabulary.ranks.get(data)  # as the library: a piece that is a token is that token
-        return (known,) if known is not None else tuple(PrefixEncoding(self.vocabulary, data).ids())
+        if known is not None:
+            return (known,)
+        if len(data) > 4 * LONG:
+            return tuple(PrefixEncoding(self.vocabulary, data).ids())
+        out, end = [], len(data)
+        while end:
+            out.append(self._prefixes[data[:end]])
+            end -= len(tokens[out[-1]])
+        return tuple(out[::-1])
 
     def _matches(self, text: str):
-        return chain.from_iterable(map(self._pieces.__getitem__, self._pattern.findall(text)))
+        pieces = self._pieces
+        return chain.from_iterable([pieces[p] if len(p) <= LONG else self._piece(p) for p in self._pattern.findall(text)])
+
+    def _word(self, word: str) -> tuple[int, ...]:
+        """A blank and a word; letters, and marks behind them, need no pattern."""
+        letters = word.rstrip(".,;:!?")
+        if letters.isalpha():
+            ids = self._pieces[" " + letters]
+            return ids if letters == word else ids + self._pieces[word[len(letters) :]]
+        return tuple(self._matches(" " + word))
 
     def encode(self, text: str) -> list[int]:
         if _BLANK_BEFORE_SPACE.search(text):
             return list(self._matches(text))
         head, *words = text.split(" ")
+        if max(map(len, words), default=0) > LONG:
+            return list(self._matches(text))
         return [*self._matches(head), *chain.from_iterable(map(self._after_blank.__getitem__, words))]
 
     def decode(self, ids: list[int]) -> bytes:
