@@ -2,33 +2,49 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweir.llm.tables import id_and_text
+from logweir.llm.tables import id_and_text, run_folder, written
 
 LINE, PARAGRAPH = "\n", "\n\n"
 
 
-def normal_form(unit):
-    """ASCII lower case, runs of ASCII white space as one blank, none at the ends."""
-    small = F.translate(unit, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.trim(F.regexp_replace(small, r"[ \t\n\x0B\f\r]+", " "))
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     # rows that share a doc_id but not the text are documents of their own
     return id_and_text(docs).withColumn("text_key", F.xxhash64("text"))
 
 
+def normal_form(unit: bytes) -> list[bytes]:
+    """The words of a unit in ASCII lower case, apart by ASCII white space."""
+    return unit.lower().split()
+
+
+def _digests(separator: str, min_words: int):
+    mark = separator.encode()
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for doc_id, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text")), strict=True):
+                for nth, unit in enumerate(text.encode().split(mark)):
+                    words = normal_form(unit)
+                    if words and len(words) >= min_words:
+                        rows.append((doc_id, key, nth, hashlib.md5(b" ".join(words)).digest()))
+            columns = list(zip(*rows, strict=True)) or [[]] * 4
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "text_key", "nth", "digest"])
+
+    return run
+
+
 def unit_digests(docs: DataFrame, separator: str = LINE, min_words: int = 3) -> DataFrame:
     """(doc_id, text_key, nth, digest) of each unit of at least `min_words` words."""
-    units = _keyed(docs).select("doc_id", "text_key", F.posexplode(F.split("text", separator, -1)).alias("nth", "unit"))
-    plain = units.select("doc_id", "text_key", "nth", normal_form(F.col("unit")).alias("plain"))
-    words = F.length("plain") - F.length(F.translate("plain", " ", "")) + 1
-    return plain.filter((F.col("plain") != "") & (words >= min_words)).select(
-        "doc_id", "text_key", "nth", F.unhex(F.md5("plain")).alias("digest")
+    return _keyed(docs).select("doc_id", "text_key", "text").mapInArrow(
+        _digests(separator, min_words), "doc_id long, text_key long, nth int, digest binary"
     )
 
 
@@ -36,8 +52,8 @@ def repeated_units(docs: DataFrame, separator: str = LINE, min_words: int = 3) -
     """(doc_id, text_key, nth) of the units that an earlier one repeats.
 
     Units rank by doc_id (null last), then by their place. What is grouped are digests, added
-    up in each task first; only digests met more than once are joined with the units again,
-    by a join whose large partitions Spark splits.
+    up in each task first; those met more than once are stored, and join the units again from
+    there, so that Spark can split the partition of a frequent one.
     """
     units = unit_digests(docs, separator, min_words)
     rank = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc"), F.col("text_key"), F.col("nth"))
@@ -45,6 +61,7 @@ def repeated_units(docs: DataFrame, separator: str = LINE, min_words: int = 3) -
         units.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n"))
         .filter("n > 1").select("digest", "first")
     )
+    firsts = written(firsts, f"{run_folder(docs.sparkSession)}/firsts")
     return units.join(firsts, "digest").filter(rank != F.col("first")).select("doc_id", "text_key", "nth")
 
 
