@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm.tables import id_and_text
+from logweir.llm.tables import id_and_text, run_folder, written
 
 CACHE = "tokenizer_version string, content_sha256 binary, n_tokens long"
 
@@ -37,8 +37,12 @@ def tokenizer_version(path: str) -> str:
 
 def _encode(path: str, texts_at_once: int):
     def run(batches):
-        count = _counter(path)
+        count, seen = _counter(path), set()
         for batch in batches:
+            digests = batch.column("content_sha256").to_pylist()
+            # rows repeated with their id come to the same task
+            once = [d not in seen and not seen.add(d) for d in digests]
+            batch = batch.filter(pa.array(once, pa.bool_()))
             for start in range(0, batch.num_rows, texts_at_once):
                 part = batch.slice(start, texts_at_once)
                 yield pa.record_batch(
@@ -73,10 +77,8 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, limit: int = 4096,
     rows = id_and_text(docs).select(
         "doc_id", "text", F.unhex(F.sha2("text", 256)).alias("content_sha256"), F.octet_length("text").cast("long").alias("n_bytes")
     )
-    missing = (
-        rows.groupBy("content_sha256").agg(F.min("doc_id").alias("first_id"))
-        .join(stored_counts(spark, cache, version), "content_sha256", "left_anti")
-    )
+    contents = rows.groupBy("content_sha256").agg(F.min("doc_id").alias("first_id"))
+    missing = contents.join(stored_counts(spark, cache, version), "content_sha256", "left_anti")
     # one text of each missing digest; the digest, not the text, is what is grouped
     new = rows.join(
         missing.withColumnRenamed("content_sha256", "missing_sha256").hint("shuffle_hash"),
@@ -88,7 +90,10 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, limit: int = 4096,
         .select(F.lit(version).alias("tokenizer_version"), "content_sha256", "n_tokens")
         .write.mode("append").parquet(cache)
     )
-    counts = stored_counts(spark, cache, version)
+    # stored, so that Spark can split the partition of a content that very many rows have
+    counts = written(
+        contents.select("content_sha256").join(stored_counts(spark, cache, version), "content_sha256"), f"{run_folder(spark)}/counts"
+    )
     return rows.select("doc_id", "n_bytes", "content_sha256").join(counts, "content_sha256").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
