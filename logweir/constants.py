@@ -121,3 +121,6 @@ UNIQUE_KEY = ["final_ts", "emp_id", "src_ip", "log_source"]
 HISTORY_PAGE = 30
 ERROR_SAMPLE = 3
 TRIGGER_INTERVAL = "30 seconds"
+
+# Rows that are counted but not kept: their `load_status` and `error_reason`.
+LATE, BLANK = "late", "blank"

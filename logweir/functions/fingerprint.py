@@ -20,7 +20,8 @@ def _text(field: T.StructField, zero_is_null: bool) -> str:
             f"coalesce(CAST(try_cast({value} AS DECIMAL(38,6)) AS STRING), CAST({value} AS STRING))"
         )
     if isinstance(field.dataType, T.MapType):
-        return f"to_json(sort_array(map_entries({name})))"
+        personal = ", ".join(literal(c) for c in PERSONAL_COLUMNS)
+        return f"to_json(sort_array(map_entries(map_filter({name}, (k, v) -> NOT k IN ({personal})))))"
     if isinstance(field.dataType, (T.StructType, T.ArrayType)):
         return f"to_json({name})"
     return f"CAST({name} AS STRING)"

@@ -77,8 +77,3 @@ def classify_name(name, parts=FILE_NAME_SOURCES, otherwise=UNKNOWN_SOURCE) -> Co
     for part, source in parts:
         chain = chain.when(name.contains(part), F.lit(source))
     return chain.otherwise(F.lit(otherwise))
-
-
-def without(df: DataFrame, excluded=("row_id", "created_at")) -> list[str]:
-    """Column names except the volatile ones."""
-    return [c for c in df.columns if c not in excluded]

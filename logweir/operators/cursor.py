@@ -1,39 +1,43 @@
-"""High-watermark cursors: read, filter, advance."""
+"""High-watermark cursors: filter and advance."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from datetime import datetime
+from decimal import Decimal, InvalidOperation
+
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from logweir.constants import EPOCH_TEXT
 
 
-def resolve_cursor(saved: Column, default: Column) -> Column:
-    """The saved value; a saved epoch, or none, gives way to the source's own default."""
-    return F.coalesce(F.nullif(saved, F.lit(EPOCH_TEXT)), default, F.lit(EPOCH_TEXT))
-
-
-def resolve_cursors(catalog: DataFrame, state: DataFrame) -> DataFrame:
-    """(source_name, watermark_value) for every source of the catalog."""
-    saved = state.select(
-        F.col("source_name").alias("_state_source"), F.col("watermark_value").alias("_saved")
-    )
-    joined = catalog.join(saved, F.col("source_name") == F.col("_state_source"), "left")
-    return joined.select(
-        "source_name",
-        resolve_cursor(F.col("_saved"), F.col("watermark_default")).alias("watermark_value"),
-    )
-
-
 def after_cursor(df: DataFrame, column: str, last: str) -> DataFrame:
     """Rows strictly after the cursor, compared in the column's own type.
 
-    A typed comparison with a literal can be pushed into the scan or the database. A
-    cursor that is no value of a numeric or time type leaves nothing out.
+    A typed comparison with a literal can be pushed into the scan or the database. A cursor
+    that is no value of a numeric or time type is an error: reading on from nowhere would read
+    the whole table again.
     """
     kind = df.schema[column].dataType
     if isinstance(kind, T.StringType):
         return df.filter(F.col(column) > F.lit(last))
-    typed = df.sparkSession.range(1).select(F.lit(last).try_cast(kind).alias("v")).first()["v"]
-    return df if typed is None else df.filter(F.col(column) > F.lit(typed).cast(kind))
+    if last == EPOCH_TEXT and isinstance(kind, T.NumericType):
+        return df  # nothing has been read yet
+    return df.filter(F.col(column) > F.lit(_typed(last, kind)).cast(kind))
+
+
+def _typed(last: str, kind: T.DataType):
+    """The cursor as a value that the type can hold."""
+    try:
+        if isinstance(kind, T.IntegralType):
+            return int(last)
+        if isinstance(kind, T.DecimalType):
+            return Decimal(last)
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            return float(last)
+        if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            return str(datetime.fromisoformat(last.strip()))
+    except (ValueError, InvalidOperation) as bad:
+        raise ValueError(f"the cursor {last!r} is no {kind.simpleString()}") from bad
+    return last
 
 
 def after_cursor_text(df: DataFrame, column: str, last: str) -> DataFrame:

@@ -11,7 +11,6 @@ from logweir.constants import (
     NOTIFY_SCORE,
 )
 from logweir.functions.text import literal, quoted
-from logweir.operators.sizes import broadcast_if_small
 
 
 def _with_defaults(df):
@@ -42,7 +41,7 @@ def score_rule_table(df: DataFrame, rules: DataFrame, match_col="action") -> Dat
     table = rules.groupBy(F.col("match_value").alias("_value")).agg(
         F.max(F.struct("risk_score", "alert_message")).alias("_rule")
     )
-    joined = df.join(broadcast_if_small(table), df[match_col] == F.col("_value"), "left")
+    joined = df.join(table, df[match_col] == F.col("_value"), "left")
     rule = F.col("_rule")
     return joined.withColumns(
         {

@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from logweir.constants import UNKNOWN_DEPARTMENT, UNKNOWN_PERSON
 from logweir.operators.mapping import source_of
-from logweir.operators.sizes import BROADCAST_BYTES, broadcast_if_small
 
 def clean_names(df: DataFrame) -> DataFrame:
     """Lower-case column names without surrounding blanks."""
@@ -70,17 +69,13 @@ def enrich(events: DataFrame, lookup: DataFrame | None, rules) -> DataFrame:
     return named.withColumn(out, F.coalesce(*own, F.col("emp_name")))
 
 
-def with_department(
-    employees: DataFrame, departments: DataFrame, max_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
+def with_department(employees: DataFrame, departments: DataFrame) -> DataFrame:
     """Employees with id and name, and their department or the unknown one."""
     named = departments.select(
         F.col("department_id").alias("_dept"), F.col("department_name").alias("_dept_name")
     )
     valid = employees.filter(F.col("employee_id").isNotNull() & F.col("name_kr").isNotNull())
-    joined = valid.join(
-        broadcast_if_small(named, max_bytes), valid["department_id"] == F.col("_dept"), "left"
-    )
+    joined = valid.join(named, valid["department_id"] == F.col("_dept"), "left")
     return joined.select(
         F.col("employee_id").alias("emp_id"),
         F.col("name_kr").alias("user_name"),

@@ -5,7 +5,6 @@ from pyspark.sql import types as T
 
 from logweir.constants import KEY_SYNONYMS, PERSON_RULE
 from logweir.functions.text import literal, quoted
-from logweir.operators.sizes import broadcast_if_small
 
 POLICIES = ("last", "last_present", "first_present")
 
@@ -63,7 +62,6 @@ def apply_rules_by_source(
     per_source = per_target.groupBy("_rule_source").agg(
         F.collect_list(F.struct("target", "sources")).alias("_rules")
     )
-    per_source = broadcast_if_small(per_source)
     joined = df.join(per_source, F.col(source_col) == F.col("_rule_source"), "left")
     fields = quoted(map_col)
     usable = f"get(filter(r.sources, s -> map_contains_key({fields}, s)), 0)"

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from logweir.constants import ANY_TIME_PATTERN, EPOCH_TEXT
+from logweir.constants import ANY_TIME_PATTERN, BLANK, EPOCH_TEXT
 from logweir.functions.patterns import line_pattern
 from logweir.functions.text import (
     json_object,
@@ -40,10 +40,10 @@ class LineParser:
         self.pattern = line_pattern(pattern) if pattern else None
         self.groups = self.pattern.names if self.pattern else []
 
-    def tokens(self, df: DataFrame, line_col: str = "value") -> DataFrame:
+    def tokens(self, df: DataFrame, line_col: str = "value", blank: bool = False) -> DataFrame:
         """Adds `parse_kind`, the JSON map and the pattern's groups.
 
-        All three come out of an inline of one struct, none for a blank line. Spark moves
+        All three come out of an inline of one struct, none for a blank line unless asked for. Spark moves
         no filter on generated columns, and so on no field, below it, where a line would
         be parsed a second time for the filter.
         """
@@ -55,14 +55,14 @@ class LineParser:
         lines = lines.withColumn("_obj", last_key_wins("_obj"))
         lines = lines.withColumn("_parts", F.expr(f"IF(_obj IS NULL, {groups}, NULL)"))
         kind = (
-            "CASE WHEN _obj IS NOT NULL THEN 'json' "
+            f"CASE WHEN coalesce(length(line), 0) = 0 THEN {literal(BLANK)} WHEN _obj IS NOT NULL THEN 'json' "
             f"WHEN size(_parts) = {size} THEN 'regex' ELSE 'fallback' END"
         )
         parsed = f"named_struct('parse_kind', {kind}, '_json', _obj, '_groups', _parts)"
         lines = lines.selectExpr(
             *[quoted(c) for c in df.columns if c not in ("line", "parse_kind")],
             "line",
-            f"inline(IF(length(line) > 0, array({parsed}), array()))",
+            f"inline(IF(coalesce(length(line), 0) >= {0 if blank else 1}, array({parsed}), array()))",
         )
         time = f"IF(parse_kind = 'fallback', {any_time('line')}, NULL)"
         return lines.withColumn("_text_time", F.expr(time))
@@ -124,14 +124,18 @@ def parse_columns(
     pattern: str | None = None,
     line_col: str = "value",
     extras: bool = False,
+    blank: bool = False,
 ) -> DataFrame:
-    """Fixed form: one text column per name and, if asked, the other keys in `extras`."""
+    """Fixed form: one text column per name and, if asked, the other keys in `extras`.
+
+    With `blank` a blank line is a row of that kind without fields.
+    """
     parser = LineParser(pattern)
     passed = [c for c in df.columns if c != line_col and c not in names]
     columns = [f"{parser.field(n)} AS {quoted(n)}" for n in names]
     if extras:
         columns.append(f"{parser.fields_except(names)} AS extras")
-    return parser.tokens(df, line_col).selectExpr(
+    return parser.tokens(df, line_col, blank).selectExpr(
         *[quoted(c) for c in passed], "parse_kind", *columns
     )
 
@@ -147,20 +151,19 @@ def field_keys(df: DataFrame, by: list[str], map_col: str = "fields") -> DataFra
     return df.select(*by, F.explode(F.map_keys(map_col)).alias("key")).distinct()
 
 
-def union_of_keys(df: DataFrame, map_col: str = "fields", limit: int = 2000) -> list[str]:
-    """All keys of a batch as column names; refuses, rather than cuts, an unbounded set."""
-    keys = field_keys(df, [], map_col)
-    found = [r["key"] for r in keys.limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} different keys: keep them in the map")
-    return sorted(found)
+def union_of_keys(df: DataFrame, map_col: str = "fields") -> DataFrame:
+    """(key): all keys of a batch, however many. Which of them become columns is declared."""
+    return field_keys(df, [], map_col)
 
 
 def infer_field_types(df: DataFrame, line_col: str = "line") -> DataFrame:
-    """One row with the merged type of all JSON lines, as Spark DDL of a variant."""
-    return df.agg(
-        F.schema_of_variant_agg(F.try_parse_json(F.col(line_col))).alias("record_type")
-    )
+    """(key, type): the merged type of each top-level key of all JSON object lines.
+
+    A key that holds values of types that do not merge is a VARIANT, one of only nulls VOID.
+    """
+    values = df.select(F.try_parse_json(F.col(line_col)).alias("_v"))
+    parts = values.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_v").outer()))
+    return parts.filter("key IS NOT NULL").groupBy("key").agg(F.schema_of_variant_agg("value").alias("type"))
 
 
 def first_lines(df: DataFrame) -> DataFrame:

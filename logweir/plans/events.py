@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from logweir.constants import DEFAULT_ALERT_MESSAGE, DEFAULT_RISK_SCORE, REQUIRED_COLUMNS
+from logweir.constants import BLANK, DEFAULT_ALERT_MESSAGE, DEFAULT_RISK_SCORE, LATE, REQUIRED_COLUMNS
 from logweir.functions.text import literal, quoted
 from logweir.operators.columns import (
     drop_all_null_columns,
@@ -11,7 +11,6 @@ from logweir.operators.columns import (
     standard_event,
 )
 from logweir.operators.enrich import enrich, person_lookup
-from logweir.operators.sizes import broadcast_if_small
 from logweir.operators.mapping import apply_rules
 from logweir.operators.parse import LineParser, parse_columns
 from logweir.plans.stages import DETECTION, Stage, run_stages
@@ -29,18 +28,26 @@ def declared_columns(spec: SourceSpec) -> list[str]:
     return list(dict.fromkeys(names))
 
 
-def prepared_lookup(people: DataFrame | None, order_col: str | None = None) -> DataFrame | None:
-    """The person lookup of one run, measured once for broadcast; empty means none."""
-    if people is None or people.isEmpty():
+def prepared_lookup(
+    people: DataFrame | None, path: str, order_col: str | None = None
+) -> DataFrame | None:
+    """The person lookup of one cycle, stored once; empty means none.
+
+    Read back from its files it has a known size: Spark broadcasts it where it is small, and
+    else shuffles both sides of the join by themselves, so that a hot key can be split.
+    """
+    if people is None:
         return None
-    return broadcast_if_small(person_lookup(people, order_col))
+    person_lookup(people, order_col).write.mode("overwrite").parquet(path)
+    lookup = people.sparkSession.read.schema("person_id string, person_name string").parquet(path)
+    return None if lookup.isEmpty() else lookup
 
 
-def parsed_rows(raw: DataFrame, spec: SourceSpec) -> DataFrame:
+def parsed_rows(raw: DataFrame, spec: SourceSpec, blank: bool = False) -> DataFrame:
     """Columns of a raw batch: lines are parsed, table rows pass."""
     if spec.kind not in LINE_KINDS:
         return nan_to_null(raw)
-    return parse_columns(raw, declared_columns(spec), spec.line_pattern, extras=True)
+    return parse_columns(raw, declared_columns(spec), spec.line_pattern, extras=True, blank=blank)
 
 
 def _time_error(df: DataFrame) -> Column:
@@ -60,6 +67,7 @@ def clean_events(
     lookup: DataFrame | None = None,
     ingest_time: Column | None = None,
     rules=None,
+    blank: bool = False,
 ) -> DataFrame:
     """Parse, name, map and normalise one source's rows.
 
@@ -67,10 +75,13 @@ def clean_events(
     empty in the whole batch are dropped first, which takes a pass over it.
     """
     rules = spec.field_rules if rules is None else rules
-    rows = enrich(parsed_rows(raw, spec), lookup, rules)
+    rows = enrich(parsed_rows(raw, spec, blank), lookup, rules)
     rows = rows.withColumn("error_reason", _time_error(rows))
+    if blank and "parse_kind" in rows.columns:
+        kind = F.when(F.col("parse_kind") == BLANK, F.lit(BLANK))
+        rows = rows.withColumn("error_reason", F.coalesce(kind, "error_reason"))
     if spec.mapping_policy == "last":
-        rows = drop_all_null_columns(rows, keep=("extras", "error_reason"))
+        rows = drop_all_null_columns(rows, keep=("extras", "error_reason", "place"))
     return standard_event(apply_rules(rows, rules, spec.mapping_policy), spec.name, ingest_time)
 
 
@@ -82,15 +93,22 @@ def scored_events(
     stages: list[Stage] | None = None,
     ingest_time: Column | None = None,
     rules=None,
+    counted: bool = False,
 ) -> DataFrame:
     """Clean events after the cursor, scored.
 
     Line sources are cut by event time here; tables were cut by their own cursor column
-    when read.
+    when read. With `counted`, as in a load, rows that are cut and blank lines stay, marked
+    by their `error_reason`, until they have been counted.
     """
-    events = clean_events(raw, spec, lookup, ingest_time, rules)
+    events = clean_events(raw, spec, lookup, ingest_time, rules, counted)
     if spec.kind in LINE_KINDS and spec.late_policy == "drop" and last is not None:
-        events = events.filter(F.col("final_ts") > F.lit(last).try_cast("timestamp_ntz"))
+        late = ~(F.col("final_ts") > F.lit(last).cast("timestamp_ntz"))
+        if counted:
+            reason = F.coalesce("error_reason", F.when(late, F.lit(LATE)))
+            events = events.withColumn("error_reason", reason)
+        else:
+            events = events.filter(~late)
     return run_stages(_given_scores(events), DETECTION if stages is None else stages)
 
 

@@ -2,23 +2,22 @@
 
 import logging
 import time
-from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logweir.functions.times import clock
 from logweir.operators.detect import to_notify
-from logweir.plans.events import scored_events
+from logweir.plans.events import prepared_lookup, scored_events
+from logweir.plans.learn import learn, registered_rules
 from logweir.plans.stages import Stage
 from logweir.plans.store import Store
 from logweir.sinks.alerts import as_documents
-from logweir.sources.registry import LINE_KINDS, read_source
+from logweir.sources.files import present_files, unread_files
+from logweir.sources.registry import FILE_KINDS, LINE_KINDS, Position, read_source
 from logweir.sources.spec import SourceSpec
 
 log = logging.getLogger(__name__)
 
-CLOCK_MARGIN = timedelta(hours=1)
-
 
 def load_batch(
     store: Store,
@@ -35,23 +34,26 @@ def load_batch(
     """Score a batch, write it as load `seq`, then advance the cursor and the history.
 
     The cursor moves only after the load is complete. A repeat of `seq` sees the cursor
-    as it stood before, selects the same rows and replaces the same files.
+    as it stood before, selects the same rows and replaces the same files. `last` is the time
+    up to which rows are late; without it the saved cursor is.
     """
     started = started or clock()
     try:
-        last = store.cursor(spec, before=seq) if last is None else last
-        events = scored_events(raw, spec, last, lookup, stages, F.lit(str(started)), rules)
-        store.alerts.put(as_documents(events), spec.name, seq)
+        saved = store.cursor(spec, before=seq)
+        last = saved if last is None else last
+        now = F.lit(str(started))
+        events = scored_events(raw, spec, last, lookup, stages, now, rules, counted=True)
+        store.alerts.put(as_documents(events, spec.personal), spec.name, seq)
         cursor_col, kind = _cursor_of(spec, raw)
-        done = store.alerts.summary(spec.name, seq, last, cursor_col, kind)
+        done = store.alerts.summary(spec.name, seq, saved, cursor_col, kind)
         if done["rejected"]:
             for row in store.alerts.first_errors(spec.name, seq).collect():
                 log.error("[%s] rejected %s: %s", spec.name, row["row_id"], row["error_reason"])
         if notify:
             urgent = to_notify(store.alerts.load(spec.name, seq).filter("load_status = 'loaded'"))
             store.notifications.put(urgent, spec.name, seq)
-        store.save_cursor(spec, done["cursor"] or last, kind, seq, started)
-        store.save_run(spec, seq, done["loaded"], done["rejected"], started, clock())
+        store.save_cursor(spec, done["cursor"] or saved, kind, seq, started)
+        store.save_run(spec, seq, done, started, clock())
         return done["loaded"]
     except Exception as error:
         store.save_failure(spec, seq, str(error), started, clock())
@@ -70,26 +72,80 @@ def run_source(
 ) -> int:
     """One batch run of one source, from its cursor on.
 
-    Files last written well before the previous load began were read whole by it, so they
-    are not opened again; the margin is for clocks that differ.
+    Files are read once as they are: the store keeps path, length and time of those that a
+    load has read, and whatever differs from that is read, however old it says it is.
     """
+    if spec.kind == "kafka":
+        from logweir.streaming.ingest import run_topic  # which itself loads by load_batch
+
+        return run_topic(spark, store, spec, **options)
     seq = int(time.time() * 1_000_000) if seq is None else seq
     started = clock()
     try:
-        last, begun = store.position(spec, before=seq)
-        raw = read_source(spark, spec, last, begun and begun - CLOCK_MARGIN)
+        last, kind = store.position(spec, before=seq)
+        fresh, paths = None, None
+        if spec.kind in FILE_KINDS:
+            fresh = unread_files(present_files(spark, spec), store.files(spec.name, before=seq))
+            # fixed here: a file that grows meanwhile differs from its row and is read again
+            rows = fresh.collect()
+            fresh, paths = spark.createDataFrame(rows, fresh.schema), [r["path"] for r in rows]
+        raw = read_source(spark, spec, Position(last, kind, paths))
     except Exception as error:
         store.save_failure(spec, seq, str(error), started, clock())
         raise
-    return load_batch(store, spec, raw, seq, last=last, started=started, **options)
+    loaded = load_batch(store, spec, raw, seq, last=last, started=started, **options)
+    if fresh is not None:
+        store.save_files(spec.name, fresh, seq)
+    return loaded
+
+
+def cycle_options(
+    spark: SparkSession, store: Store, specs: list[SourceSpec], learn_from: str | None, seq: int
+) -> dict:
+    """What a cycle knows before its sources run: learned rules and the people's names.
+
+    The source of people in the catalog is read whole, not from a cursor. A cycle goes on
+    without names, or with the rules it has, where either cannot be read.
+    """
+    options: dict = {}
+    people = next((s for s in specs if s.people), None)
+    if people is not None:
+        try:
+            rows = read_source(spark, people)
+            options["lookup"] = prepared_lookup(rows, f"{store.root}/people/{seq}")
+        except Exception as error:
+            log.warning("[%s] no names: %s", people.name, error)
+    if learn_from:
+        try:
+            learn(spark, store, learn_from, seq)
+        except Exception as error:
+            log.warning("nothing learned from %s: %s", learn_from, error)
+    return options
+
+
+def source_rules(store: Store, spec: SourceSpec) -> list | None:
+    """What the registry holds for a source; nothing leaves its own rules in place."""
+    return registered_rules(store, spec.name) or None
 
 
-def run_all(spark: SparkSession, store: Store, specs: list[SourceSpec], **options) -> int:
-    """Run every source; a failing one is recorded and the next goes on. Returns the total."""
+def run_all(
+    spark: SparkSession,
+    store: Store,
+    specs: list[SourceSpec],
+    learn_from: str | None = None,
+    **options,
+) -> int:
+    """One cycle: learn, read names, then run every source by its rules. Returns the total.
+
+    A failing source is recorded and the next goes on.
+    """
+    seq = int(time.time() * 1_000_000)
+    options = {**cycle_options(spark, store, specs, learn_from, seq), **options}
     total = 0
     for spec in specs:
         try:
-            total += run_source(spark, store, spec, **options)
+            own = dict(options) if "rules" in options else {**options, "rules": source_rules(store, spec)}
+            total += run_source(spark, store, spec, **own)
         except Exception as error:
             log.error("[%s] failed: %s", spec.name, error)
     return total

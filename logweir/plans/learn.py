@@ -18,17 +18,12 @@ def learned_rules(
     path: str,
     synonyms=KEY_SYNONYMS,
     whole_files: bool = False,
-    modified_after: str | None = None,
 ) -> DataFrame:
     """Rules per source from the JSON records of classified files.
 
     By default the first line of each file is the sample; `whole_files` takes all lines.
-    `modified_after` leaves out files that were learned from before.
     """
-    reader = spark.read
-    if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
-    files = reader.text(path)
+    files = spark.read.text(path)
     if whole_files:
         lines = files.select("value", F.col("_metadata.file_name").alias("file_name"))
     else:
@@ -50,6 +45,6 @@ def registered_rules(store: Store, source: str) -> list[tuple[str, str]]:
     return rule_list(rules_from_xml(store.registry.read()), source)
 
 
-def discover_columns(spark: SparkSession, spec: SourceSpec) -> list[str]:
-    """All keys of a source's lines, to be declared as its columns."""
+def discover_columns(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+    """(key): all keys of a source's lines, from which its columns are declared."""
     return union_of_keys(parse_lines(read_lines(spark, spec), spec.line_pattern))

@@ -2,10 +2,10 @@
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logweir.constants import EPOCH_TEXT
-from logweir.schemas import CURSOR, HISTORY, REGISTRY
+from logweir.schemas import CURSOR, FILES, HISTORY, REGISTRY
 from logweir.sinks.alerts import AlertIndex
 from logweir.sinks.loads import LoadTable, folder_name
 from logweir.sinks.slots import SlotTable
@@ -22,6 +22,7 @@ class Store:
         self.notifications = AlertIndex(spark, f"{self.root}/notifications")
         self.registry = SlotTable(spark, f"{self.root}/registry", REGISTRY, ["source_name"])
         self._history = LoadTable(spark, f"{self.root}/history", HISTORY)
+        self._files = LoadTable(spark, f"{self.root}/files", FILES)
 
     def cursors(self, source: str) -> SlotTable:
         """One table per source, so that sources can run side by side."""
@@ -31,31 +32,57 @@ class Store:
         """Saved value, else the source's default, else the epoch."""
         return self.position(spec, before)[0]
 
-    def position(self, spec: SourceSpec, before: int | None = None):
-        """The cursor, and when the load that saved it began (none without one)."""
+    def position(self, spec: SourceSpec, before: int | None = None) -> tuple[str, str | None]:
+        """The cursor and its type; without a saved one the default, of no known type."""
         row = self.cursors(spec.name).read(before).first()
-        if row is None:
+        if row is None or row["watermark_value"] in (None, EPOCH_TEXT):
             return spec.first_cursor, None
-        saved = row["watermark_value"]
-        value = saved if saved not in (None, EPOCH_TEXT) else spec.first_cursor
-        return value, row["updated_at"]
+        return row["watermark_value"], row["watermark_type"]
+
+    def files(self, source: str, before: int | None = None) -> DataFrame:
+        """The files of a source that loads (those before `before`) have read, as they were."""
+        read = self._files.latest(["log_source", *FILES.fieldNames()], F.col("log_source") == source)
+        if before is not None:
+            read = read.filter(F.col("load_seq") < before)
+        return read.select(*FILES.fieldNames())
+
+    def save_files(self, source: str, files: DataFrame, seq: int) -> None:
+        self._files.put(files, source, seq)
 
     def save_cursor(self, spec: SourceSpec, value: str, kind: str, seq: int, now) -> None:
         row = self.spark.createDataFrame([(spec.name, value, kind, now)], CURSOR)
         self.cursors(spec.name).upsert(row, seq)
 
-    def save_run(self, spec: SourceSpec, seq: int, count: int, failed: int, started, now) -> None:
-        """The history row of a finished load; a repeated load replaces its row."""
-        self._put_run(spec, seq, f"{spec.name}-{seq}", count, failed, "SUCCESS", None, started, now)
+    def save_run(self, spec: SourceSpec, seq: int, done, started, now) -> None:
+        """The history row of a finished load; a repeated load replaces its row.
+
+        Loaded, rejected, late and blank rows add up to the lines that were read.
+        """
+        counts = (done["loaded"], done["rejected"], done["late"], done["blank"])
+        self._put_run(spec, seq, f"{spec.name}-{seq}", counts, "SUCCESS", None, started, now)
 
     def save_failure(self, spec: SourceSpec, seq: int, error: str, started, now) -> None:
         """The history row of a failed try; it stays when the load later succeeds."""
         own = int(time.time() * 1_000_000)
-        self._put_run(spec, own, f"{spec.name}-{seq}-{own}", 0, 0, "FAIL", error, started, now)
+        run_id = f"{spec.name}-{seq}-{own}"
+        self._put_run(spec, own, run_id, (0, 0, 0, 0), "FAIL", error, started, now)
 
-    def _put_run(self, spec, seq, run_id, count, failed, status, error, started, now):
-        row = (run_id, spec.name, "alerts", count, failed, status, error, started, now)
+    def _put_run(self, spec, seq, run_id, counts, status, error, started, now):
+        row = (run_id, spec.name, "alerts", *counts, status, error, started, now)
         self._history.put(self.spark.createDataFrame([row], HISTORY), spec.name, seq)
 
+    def loaded_count(self, source: str) -> int:
+        """Rows that all loads of a source have stored, by the history."""
+        runs = self.history().filter(F.col("source_name") == source)
+        return runs.agg(F.coalesce(F.sum("processed_count"), F.lit(0))).first()[0]
+
     def history(self) -> DataFrame:
-        return self._history.rows().select(*HISTORY.fieldNames())
+        """One row per run; merged runs come from a few files, whatever their number."""
+        return self._history.latest(["log_source", "id"]).select(*HISTORY.fieldNames())
+
+    def merge(self, keep: int = 1) -> None:
+        """Bound what readers list: closed loads, runs and file lists into their bases."""
+        self.alerts.merge(keep)
+        self.notifications.merge(keep)
+        self._history.merge(["log_source", "id"], keep)
+        self._files.merge(["log_source", "path", "length", "modified"], keep)

@@ -13,12 +13,16 @@ _TS, _NTZ = T.TimestampType(), T.TimestampNTZType()
 RULE = _struct(log_source=_S, pos=_I, target=_S, source=_S)
 REGISTRY = _struct(source_name=_S, parser_xml=_S, updated_at=_NTZ)
 CURSOR = _struct(source_name=_S, watermark_value=_S, watermark_type=_S, updated_at=_NTZ)
+# A file as a load has read it.
+FILES = _struct(path=_S, length=_L, modified=_L)
 HISTORY = _struct(
     id=_S,
     source_name=_S,
     target_index=_S,
     processed_count=_L,
     failed_count=_L,
+    late_count=_L,
+    blank_count=_L,
     status=_S,
     error_message=_S,
     start_time=_NTZ,

@@ -1,10 +1,13 @@
 """The alert index: loads of documents keyed by row id, and tables made from it."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from logweir.constants import (
+    BLANK,
     EPOCH_TEXT,
     ERROR_SAMPLE,
+    LATE,
     NUMERIC_SINK_COLUMNS,
     SINK_UTC_OFFSET,
     UNIQUE_KEY,
@@ -12,26 +15,31 @@ from logweir.constants import (
 from logweir.functions.fingerprint import EXCLUDED, with_row_id
 from logweir.functions.text import literal, quoted
 from logweir.functions.times import sink_time
-from logweir.operators.keyed import conform, insert_unique, latest_per_key
-from logweir.schemas import ALERT_DOC, alert_table
+from logweir.operators.keyed import conform, insert_unique
+from logweir.schemas import ALERT_DOC, PERSONAL_COLUMNS, alert_table
 from logweir.sinks.loads import LoadTable
 
 PARTITIONS = ["load_status", "event_date"]
+TABLE_PARTS = ["alert_date", "alert_load"]
+_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 ID_KEYS = ["log_source", "event_date", "row_id"]
 # stored columns that a source may send without declaring them
 _SCORES = ["risk_score", "alert_message"]
 _FROM_EXTRAS = [*[c for c in NUMERIC_SINK_COLUMNS if c not in _SCORES], "emp_name"]
 
 
-def as_documents(events: DataFrame) -> DataFrame:
+def as_documents(events: DataFrame, personal: bool = False) -> DataFrame:
     """Scored events in the stored form: fixed columns, all others as text in `extras`.
 
     Numbers are doubles; one that is missing or malformed in a field the source has is 0.
     The row id is taken from this form and reads a zero as a missing number, so it does
-    not depend on which keys a source declares as columns.
+    not depend on which keys a source declares as columns. Personal fields are stored only
+    when asked for, and never part of the id.
     """
     fixed = [f for f in ALERT_DOC if f.name not in ("row_id", "extras", *PARTITIONS)]
-    outside = {"log_source", "load_seq", "parse_kind", "extras", "row_id"}
+    outside = {"log_source", "load_seq", "parse_kind", "extras", "row_id", "place"}
+    if not personal:
+        outside.update(PERSONAL_COLUMNS)
     present = [c for c in events.columns if c not in outside]
     spare = [c for c in present if c not in {f.name for f in fixed}]
     open_form = "extras" in events.columns
@@ -51,23 +59,38 @@ def as_documents(events: DataFrame) -> DataFrame:
             if name in NUMERIC_SINK_COLUMNS:
                 value = f"IF(map_contains_key(extras, {literal(name)}), coalesce({value}, 0D), NULL)"
         columns.append(f"{value} AS {quoted(name)}")
-    hidden = ", ".join(literal(n) for n in [*spare, *taken, *_SCORES])
+    withheld = [] if personal else PERSONAL_COLUMNS
+    hidden = ", ".join(literal(n) for n in [*spare, *taken, *_SCORES, *withheld])
     kept = f"map_filter({given}, (k, v) -> v IS NOT NULL AND NOT k IN ({hidden}))"
     if spare:
         pairs = ", ".join(f"{literal(c)}, CAST({quoted(c)} AS STRING)" for c in spare)
         kept = f"map_concat({kept}, map_filter(map({pairs}), (k, v) -> v IS NOT NULL))"
-    rows = events.selectExpr("log_source", *columns, f"{kept} AS extras")
-    hashed = [c for c in rows.columns if c not in EXCLUDED]
-    return with_row_id(rows, hashed, zeros=NUMERIC_SINK_COLUMNS)
+    place = "place" if "place" in events.columns else "CAST(NULL AS STRING) AS place"
+    rows = events.selectExpr("log_source", *columns, f"{kept} AS extras", place)
+    hashed = [c for c in rows.columns if c not in (*EXCLUDED, "place")]
+    rows = with_row_id(rows, hashed, zeros=NUMERIC_SINK_COLUMNS)
+    # equal lines without a time are different events: their places tell them apart
+    placed = F.md5(F.concat_ws("|", "row_id", "place"))
+    own = F.when(F.col("time_inferred") & F.col("place").isNotNull(), placed).otherwise(F.col("row_id"))
+    return rows.withColumn("row_id", own).drop("place")
 
 
 def with_partitions(documents: DataFrame) -> DataFrame:
-    """Partition columns; a row whose time is only the ingest time has no date of its own,
-    so its date, like its id, is that of the epoch."""
-    status = F.when(F.col("error_reason").isNull(), "loaded").otherwise("rejected")
+    """Partition columns. A row without a time of its own has the date of its ingest.
+
+    Late rows and blank lines are only counted: nothing else of them is stored.
+    """
+    reason = F.col("error_reason")
+    counted = reason.isin(LATE, BLANK)
+    status = F.when(reason.isNull(), "loaded").when(counted, reason).otherwise("rejected")
     epoch = F.lit(EPOCH_TEXT[:10]).cast("date")
-    day = F.when(F.col("time_inferred"), epoch).otherwise(F.col("final_ts").cast("date"))
-    return documents.withColumns({"load_status": status, "event_date": day})
+    day = F.when(F.coalesce(counted, F.lit(False)), epoch).otherwise(F.col("final_ts").cast("date"))
+    parted = documents.withColumns({"load_status": status, "event_date": day})
+    kept = F.coalesce(~counted, F.lit(True))
+    emptied = {
+        c: F.when(kept, F.col(c)) for c in documents.columns if c not in ("log_source", "load_seq", *PARTITIONS)
+    }
+    return parted.withColumns(emptied)
 
 
 def document_value(name: str):
@@ -93,13 +116,12 @@ class AlertIndex(LoadTable):
         the ingest time never moves the cursor, and late rows do not move it back.
         """
         load = self.load(source, seq)
-        bad = F.col("load_status") == "rejected"
+        status = F.col("load_status")
         value = document_value(cursor_col).try_cast(cursor_type)
         if cursor_col == "final_ts":
             value = F.when(~F.col("time_inferred"), value)
         return load.agg(
-            F.count_if(~bad).alias("loaded"),
-            F.count_if(bad).alias("rejected"),
+            *[F.count_if(status == s).alias(s) for s in ("loaded", "rejected", LATE, BLANK)],
             F.greatest(F.max(value), F.lit(last).try_cast(cursor_type))
             .cast("string")
             .alias("cursor"),
@@ -109,17 +131,14 @@ class AlertIndex(LoadTable):
         """The index: one document per row id, the newest load's.
 
         Source and date follow from what the id covers, so they may join the key, and a
-        filter on them reaches the scan.
+        filter on them reaches the scans of the base and of the open loads.
         """
-        loaded = self.rows().filter(F.col("load_status") == "loaded")
-        newest = [F.col("load_seq").desc()]
-        latest = latest_per_key(loaded, ID_KEYS, newest)
+        latest = self.latest([*ID_KEYS, "load_status"], F.col("load_status") == "loaded")
         return latest.drop("load_status", "error_reason")
 
-    def compact_to(self, path: str, seq: int) -> "AlertIndex":
-        """The newest documents and rejects as one load per source at another place."""
-        super().compact_to(path, [*ID_KEYS, "load_status"], seq)
-        return AlertIndex(self.spark, path)
+    def merge(self, keep: int = 1) -> None:
+        """Closed loads into the base: a document per row id, rejects with them."""
+        super().merge([*ID_KEYS, "load_status"], keep, F.col("load_status").isin("loaded", "rejected"))
 
     def documents(self, offset: str = SINK_UTC_OFFSET) -> DataFrame:
         """The index with times as ISO text in the configured offset."""
@@ -127,7 +146,7 @@ class AlertIndex(LoadTable):
 
     def rejects(self) -> DataFrame:
         """Rows that could not be loaded, with the reason."""
-        return self.rows().filter(F.col("load_status") == "rejected")
+        return self.latest([*ID_KEYS, "load_status"], F.col("load_status") == "rejected")
 
     def first_errors(self, source: str, seq: int, limit: int = ERROR_SAMPLE) -> DataFrame:
         """A few reasons of one load, for the log."""
@@ -138,9 +157,11 @@ class AlertIndex(LoadTable):
 def create_alert_table(
     spark: SparkSession, name: str, personal: bool = False, path: str | None = None
 ) -> None:
-    """Drop and create the relational alert table; only ever on request."""
+    """Drop and create the relational alert table, parted by day and load; only on request."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    writer = spark.createDataFrame([], alert_table(personal)).write.format("parquet")
+    parts = T.StructType([T.StructField(TABLE_PARTS[0], T.DateType()), T.StructField(TABLE_PARTS[1], T.LongType())])
+    shape = T.StructType([*alert_table(personal).fields, *parts.fields])
+    writer = spark.createDataFrame([], shape).write.format("parquet").partitionBy(*TABLE_PARTS)
     if path:
         writer = writer.option("path", path).mode("overwrite")
     writer.saveAsTable(name)
@@ -156,15 +177,43 @@ def reset_index(spark: SparkSession, path: str, schema) -> None:
 
 
 def insert_alerts(
-    spark: SparkSession, name: str, batch: DataFrame, keys: list[str] = UNIQUE_KEY
+    spark: SparkSession,
+    name: str,
+    batch: DataFrame,
+    staging: str,
+    seq: int,
+    keys: list[str] = UNIQUE_KEY,
 ) -> None:
-    """Append the rows of a batch whose unique key the table does not hold yet."""
+    """Insert the rows of batch `seq` whose unique key no other batch has put in the table.
+
+    The batch is evaluated once, into a load under `staging`; bounds, keys and rows are read
+    from there. Of equal keys in it the first wins, as the rows came. The table is parted by
+    day and load number, and a batch replaces its own parts: a retry neither doubles rows
+    with a null key part nor takes its own earlier rows for another's.
+    """
     target = spark.table(name)
-    rows = conform(batch, target.schema)
-    # first wins: the least row of equal keys, so a repeated batch picks the same one
-    order = [F.xxhash64(*[c for c in rows.columns if c != "created_at"])]
-    new = insert_unique(rows, order, _same_times(target, rows, keys), keys)
-    new.write.mode("append").insertInto(name)
+    table = LoadTable(spark, staging, _staged(target.schema))
+    day = F.coalesce(F.col("final_ts").cast("date"), F.lit(EPOCH_TEXT[:10]).cast("date"))
+    rows = conform(batch, target.schema).withColumns(
+        {TABLE_PARTS[0]: day, TABLE_PARTS[1]: F.lit(seq).cast("bigint"), "arrival": F.monotonically_increasing_id()}
+    )
+    table.put(rows.withColumnRenamed("log_source", "table_source"), name, seq)
+    rows = table.load(name, seq).drop("log_source", "load_seq").withColumnRenamed("table_source", "log_source")
+    others = target.filter(F.col(TABLE_PARTS[1]) != seq)
+    new = insert_unique(rows, [F.col("arrival")], _same_times(others, rows, keys), keys)
+    before = spark.conf.get(_OVERWRITE)
+    spark.conf.set(_OVERWRITE, "dynamic")
+    try:
+        new.select(*target.columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(_OVERWRITE, before)
+
+
+def _staged(schema: T.StructType) -> T.StructType:
+    """The table's columns as a load keeps them, with the order of arrival."""
+    names = {"log_source": "table_source"}
+    fields = [T.StructField(names.get(f.name, f.name), f.dataType) for f in schema]
+    return T.StructType([*fields, T.StructField("arrival", T.LongType())])
 
 
 def _same_times(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -176,7 +225,8 @@ def _same_times(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFram
         return target
     low, high = rows.agg(F.min("final_ts"), F.max("final_ts")).first()
     low, high = (F.lit(None if x is None else str(x)).cast("timestamp_ntz") for x in (low, high))
-    return target.filter(F.col("final_ts").between(low, high))
+    days = F.col(TABLE_PARTS[0]).between(low.cast("date"), high.cast("date"))
+    return target.filter(days & F.col("final_ts").between(low, high))
 
 
 def merge_by_id(batch: DataFrame, table: str, key: str = "row_id") -> None:

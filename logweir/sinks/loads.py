@@ -2,15 +2,20 @@
 
 A load of one source has its own folder, which a repeated load replaces. A retry after
 any failure therefore ends in the same files, and no load rewrites another's rows.
-Readers take the newest version of a key.
+Readers take the newest version of a key. Merging puts closed loads into a base beside the
+table, by the partitions they touch, so that a read ranks the open loads only.
 """
 
+import time
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from logweir.operators.keyed import latest_per_key
+from logweir.sinks.slots import SlotTable
 
+_MERGED = T.StructType([T.StructField("log_source", T.StringType()), T.StructField("upto", T.LongType())])
 
 # Characters that stand escaped in the name of a partition folder.
 _ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(i) for i in range(32)}
@@ -29,6 +34,8 @@ class LoadTable:
         self.path = path.rstrip("/")
         self.partitions = list(partitions)
         self.schema = schema
+        # up to which load of a source the base holds
+        self.merged = SlotTable(spark, f"{self.path}-merged", _MERGED, ["log_source"])
 
     def folder(self, source: str, seq: int) -> str:
         return f"{self.path}/log_source={folder_name(source)}/load_seq={seq}"
@@ -51,32 +58,84 @@ class LoadTable:
         return self._read(self.folder(source, seq))
 
     def rows(self) -> DataFrame:
-        """All rows of all loads, with `log_source` and `load_seq`."""
+        """All rows of all loads that are still there, with `log_source` and `load_seq`."""
         return self._read(self.path)
 
-    def latest(self, keys: list[str]) -> DataFrame:
-        """The newest load's row of each key."""
-        newest = [F.col("load_seq").desc()]
-        return latest_per_key(self.rows(), keys, newest)
-
-    def compact_to(self, path: str, keys: list[str], seq: int) -> "LoadTable":
-        """Write the newest rows as one load per source to another place and return it.
-
-        The old table stays as it is, so a failure half-way loses nothing.
+    def open_rows(self) -> DataFrame:
+        """The rows of loads that the base does not hold yet."""
+        merged = self.merged.read().collect()  # a row per source
+        rows = self.rows()
+        # literals, so that the scan leaves out the folders of merged loads
+        for r in merged:
+            rows = rows.filter((F.col("log_source") != r["log_source"]) | (F.col("load_seq") > r["upto"]))
+        return rows
+
+    def base_rows(self) -> DataFrame:
+        """What merging has left: one row per key, its load in `base_seq`."""
+        return self._read(f"{self.path}-base", base=True)
+
+    def latest(self, keys: list[str], where=None) -> DataFrame:
+        """The newest load's row of each key.
+
+        Only the open loads are ranked; of the base those rows go whose key an open load has,
+        so the base is not shuffled where the open keys are few. `where` should name partition
+        columns: it is applied to both sides, before anything else.
         """
-        rows = self.latest(keys).withColumn("load_seq", F.lit(seq).cast("bigint"))
-        by = ["log_source", "load_seq", *self.partitions]
-        rows.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
-        return LoadTable(self.spark, path, self.schema, self.partitions)
-
-    def _read(self, folder: str) -> DataFrame:
-        reader = self.spark.read.option("basePath", self.path).schema(self._full_schema())
+        open_rows, base = self.open_rows(), self.base_rows()
+        if where is not None:
+            open_rows, base = open_rows.filter(where), base.filter(where)
+        newest = latest_per_key(open_rows, keys, [F.col("load_seq").desc()])
+        return base.join(newest.select(*keys), keys, "left_anti").unionByName(newest)
+
+    def merge(self, keys: list[str], keep: int = 1, where=None) -> None:
+        """Merge the open loads, but the newest `keep` of each source, into the base.
+
+        Only the partitions that these loads touch are written again. A newest load may still
+        be repeated, so it stays apart. Merging again after a failure gives the same rows, and
+        until the new bound is saved readers see the loads as open, which hides the old base.
+        """
+        loads = self.open_rows().select("log_source", "load_seq").distinct()
+        nth = F.row_number().over(Window.partitionBy("log_source").orderBy(F.desc("load_seq")))
+        closed = loads.withColumn("_nth", nth).filter(F.col("_nth") > keep).groupBy("log_source")
+        bounds = closed.agg(F.max("load_seq").alias("upto")).collect()  # a row per source
+        if not bounds:
+            return
+        merged = self.spark.createDataFrame(bounds, _MERGED)
+        due = self.open_rows().join(F.broadcast(merged), "log_source").filter("load_seq <= upto").drop("upto")
+        due = due if where is None else due.filter(where)
+        newest = latest_per_key(due, keys, [F.col("load_seq").desc()])
+        by = ["log_source", *self.partitions]
+        base = self.base_rows()
+        touched = base.join(F.broadcast(newest.select(*by).distinct()), by, "left_semi")
+        both = touched.join(newest.select(*keys), keys, "left_anti").unionByName(newest)
+        both = both.withColumnRenamed("load_seq", "base_seq")
+        both.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            *by
+        ).parquet(f"{self.path}-base")
+        self.merged.upsert(merged, time.time_ns())
+
+    def drop_merged(self) -> None:
+        """Remove the folders of loads that the base holds: when no reader uses them any more."""
+        upto = {r["log_source"]: r["upto"] for r in self.merged.read().collect()}
+        loads = self.rows().select("log_source", "load_seq").distinct().collect()
+        for r in loads:
+            if r["load_seq"] <= upto.get(r["log_source"], -1):
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder(r["log_source"], r["load_seq"]))
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def _read(self, folder: str, base: bool = False) -> DataFrame:
+        shape, root = self._full_schema(), self.path
+        if base:
+            shape = T.StructType([T.StructField("base_seq", f.dataType) if f.name == "load_seq" else f for f in shape])
+            root = folder
+        reader = self.spark.read.option("basePath", root).schema(shape)
         try:
-            return reader.parquet(folder)
+            rows = reader.parquet(folder)
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], self._full_schema())
+            rows = self.spark.createDataFrame([], shape)
+        return rows.withColumnRenamed("base_seq", "load_seq")
 
     def _full_schema(self) -> T.StructType:
         own = [f for f in self.schema if f.name not in ("log_source", "load_seq")]

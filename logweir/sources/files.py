@@ -1,14 +1,17 @@
 """Log lines from files: local, distributed or object storage; batch or stream."""
 
-from datetime import datetime
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logweir.constants import LOG_ZONE
+from logweir.schemas import FILES
 from logweir.sources.spec import SourceSpec
 
-_LINES = "value string"
+_LINES = "value string, place string"
+# File, block and row: tells apart lines that are equal and have no time of their own.
+_PLACE = (
+    "concat_ws(':', _metadata.file_path, CAST(_metadata.file_block_start AS STRING), "
+    "CAST(monotonically_increasing_id() AS STRING)) AS place"
+)
 
 
 def log_path(spec: SourceSpec) -> str:
@@ -18,19 +21,30 @@ def log_path(spec: SourceSpec) -> str:
     return spec.path
 
 
+def present_files(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+    """(path, length, modified) of the matching files as they are now; none without a match."""
+    try:
+        files = spark.read.format("binaryFile").load(log_path(spec))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], FILES)
+    return files.select("path", "length", F.unix_micros("modificationTime").alias("modified"))
+
+
+def unread_files(present: DataFrame, read: DataFrame) -> DataFrame:
+    """Files that no load has read as they are now: new, grown or written again."""
+    return present.join(read, ["path", "length", "modified"], "left_anti")
+
+
 def read_lines(
-    spark: SparkSession, spec: SourceSpec, modified_after: datetime | None = None
+    spark: SparkSession, spec: SourceSpec, paths: list[str] | None = None
 ) -> DataFrame:
-    """All lines of the matching files as `value`; no match gives no rows.
-
-    `modified_after`, a time in the log zone, skips files last written before it.
-    """
-    reader = spark.read
-    if modified_after:
-        stamp = modified_after.isoformat(timespec="seconds")
-        reader = reader.option("modifiedAfter", stamp).option("timeZone", LOG_ZONE)
+    """Lines as `value`, with their `place`, of the given files, else of all matching ones."""
+    if paths is not None and not paths:
+        return spark.createDataFrame([], _LINES)
     try:
-        return reader.text(log_path(spec))
+        return spark.read.text(log_path(spec) if paths is None else paths).selectExpr("value", _PLACE)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -41,9 +55,9 @@ def stream_lines(
     spark: SparkSession, spec: SourceSpec, max_files=None, max_bytes=None
 ) -> DataFrame:
     """New files of a folder as a stream of lines; the limits bound one micro-batch."""
-    reader = spark.readStream.schema(_LINES)
+    reader = spark.readStream.schema("value string")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     elif max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.text(log_path(spec))
+    return reader.text(log_path(spec)).selectExpr("value", "_metadata.file_path AS place")

@@ -1,36 +1,46 @@
 """Source type -> reader."""
 
 from collections.abc import Callable
-from datetime import datetime
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logweir.sources.catalog import read_catalog_table
 from logweir.sources.database import DIALECTS, read_table
 from logweir.sources.files import read_lines
 from logweir.sources.kafka import read_topic
 from logweir.sources.spec import SourceSpec
 
-Reader = Callable[[SparkSession, SourceSpec, str | None, datetime | None], DataFrame]
+FILE_KINDS = {"file", "s3"}
+LINE_KINDS = {*FILE_KINDS, "kafka"}
 
-LINE_KINDS = {"file", "s3", "kafka"}
+
+@dataclass(frozen=True)
+class Position:
+    """Where a batch read goes on: the cursor and its type, and the files not read yet."""
+
+    last: str | None = None
+    kind: str | None = None
+    paths: list[str] | None = None
+
+
+Reader = Callable[[SparkSession, SourceSpec, Position], DataFrame]
 
 READERS: dict[str, Reader] = {
-    "file": lambda spark, spec, last, changed: read_lines(spark, spec, changed),
-    "s3": lambda spark, spec, last, changed: read_lines(spark, spec, changed),
-    "kafka": lambda spark, spec, last, changed: read_topic(spark, spec),
-    **{kind: lambda spark, spec, last, changed: read_table(spark, spec, last) for kind in DIALECTS},
+    "file": lambda spark, spec, at: read_lines(spark, spec, at.paths),
+    "s3": lambda spark, spec, at: read_lines(spark, spec, at.paths),
+    "table": lambda spark, spec, at: read_catalog_table(spark, spec, at.last, at.kind),
+    "kafka": lambda spark, spec, at: read_topic(spark, spec),
+    **{kind: lambda spark, spec, at: read_table(spark, spec, at.last, at.kind) for kind in DIALECTS},
 }
 
 
 def register_reader(kind: str, reader: Reader) -> None:
-    """Add a source type; the reader gets the session, the spec, the cursor, and the time
-    before which a source need not have changed."""
+    """Add a source type; the reader gets the session, the spec and the position."""
     READERS[kind.lower()] = reader
 
 
-def read_source(
-    spark: SparkSession, spec: SourceSpec, last: str | None = None, changed: datetime | None = None
-) -> DataFrame:
+def read_source(spark: SparkSession, spec: SourceSpec, at: Position = Position()) -> DataFrame:
     if spec.kind not in READERS:
         raise ValueError(f"[{spec.name}] unsupported source type: {spec.type}")
-    return READERS[spec.kind](spark, spec, last, changed)
+    return READERS[spec.kind](spark, spec, at)

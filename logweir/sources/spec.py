@@ -38,6 +38,8 @@ class SourceSpec:
     rules: tuple | None = None  # (target, source) pairs; None: the shipped ones
     mapping_policy: str = "last_present"
     late_policy: str = "drop"
+    personal: bool = False  # store the personal fields of the lines too
+    people: bool = False  # the table of employee ids and names that events are named from
     enabled: bool = True
 
     @property
@@ -82,6 +84,8 @@ _SPECIAL = {
     "columns": T.ArrayType(T.StringType()),
     "rules": _RULE_LIST,
     "enabled": T.BooleanType(),
+    "personal": T.BooleanType(),
+    "people": T.BooleanType(),
 }
 CATALOG_SCHEMA = T.StructType(
     [

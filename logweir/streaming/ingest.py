@@ -1,13 +1,19 @@
 """Micro-batches: new lines in, one load per batch out."""
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from logweir.constants import TRIGGER_INTERVAL
-from logweir.plans.ingest import load_batch
+from logweir.plans.ingest import cycle_options, load_batch, source_rules
+from logweir.functions.times import clock
 from logweir.plans.store import Store
+from logweir.schemas import CURSOR
+from logweir.sinks.slots import SlotTable
 from logweir.sources.files import stream_lines
 from logweir.sources.kafka import stream_topic
+from logweir.sources.registry import LINE_KINDS
 from logweir.sources.spec import SourceSpec
 
 
@@ -20,6 +26,17 @@ def source_stream(spark: SparkSession, spec: SourceSpec, **limits) -> DataFrame:
     raise ValueError(f"[{spec.name}] {spec.type} sources run as batches")
 
 
+def first_cutoff(store: Store, spec: SourceSpec, checkpoint: str) -> str:
+    """The cursor as it stood when the stream of a checkpoint began."""
+    kept = SlotTable(store.spark, f"{checkpoint.rstrip('/')}-cutoff", CURSOR, ["source_name"])
+    row = kept.read().first()
+    if row is None:
+        value = store.cursor(spec)
+        kept.upsert(store.spark.createDataFrame([(spec.name, value, "timestamp_ntz", clock())], CURSOR), 0)
+        return value
+    return row["watermark_value"]
+
+
 def start_loading(
     lines: DataFrame,
     store: Store,
@@ -34,10 +51,15 @@ def start_loading(
     Spark commits a batch to its checkpoint after the load. A batch it repeats has the
     same id, hence replaces its own load: each line takes effect once. With a new
     checkpoint on an old store, set `first_seq` above the loads already there.
+
+    Where the stream stands is the checkpoint's to know. Rows are late only against the
+    cursor as it stood when the checkpoint was new, which is kept beside it: how a backlog is
+    cut into batches, or how often the stream is restarted, does not decide what is kept.
     """
+    late_until = first_cutoff(store, spec, checkpoint)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_batch(store, spec, batch, first_seq + batch_id, **options)
+        load_batch(store, spec, batch, first_seq + batch_id, last=late_until, **options)
 
     writer = (
         lines.writeStream.queryName(spec.name)
@@ -56,17 +78,32 @@ def start_all(
     specs: list[SourceSpec],
     checkpoint: str,
     limits: dict | None = None,
+    learn_from: str | None = None,
+    running: dict[str, StreamingQuery] | None = None,
     **options,
 ) -> dict[str, StreamingQuery]:
-    """One query per source, so that a failing source stops alone.
+    """One query per source of lines, so that a failing source stops alone.
 
     `limits` (max_files or max_bytes, for Kafka max_offsets) bounds a micro-batch, so that
-    a backlog is loaded in pieces.
+    a backlog is loaded in pieces. Given the result of an earlier call as `running`, only
+    sources whose query has ended are started again, from their checkpoints: calling it on a
+    timer retries failed sources in the next cycle.
     """
-    root = checkpoint.rstrip("/")
-    return {
-        s.name: start_loading(
-            source_stream(spark, s, **(limits or {})), store, s, f"{root}/{s.name}", **options
-        )
-        for s in specs
-    }
+    root, running = checkpoint.rstrip("/"), dict(running or {})
+    options = {**cycle_options(spark, store, specs, learn_from, int(time.time() * 1_000_000)), **options}
+    for spec in specs:
+        if spec.kind not in LINE_KINDS or (spec.name in running and running[spec.name].isActive):
+            continue
+        own = dict(options) if "rules" in options else {**options, "rules": source_rules(store, spec)}
+        lines = source_stream(spark, spec, **(limits or {}))
+        running[spec.name] = start_loading(lines, store, spec, f"{root}/{spec.name}", **own)
+    return running
+
+
+def run_topic(spark: SparkSession, store: Store, spec: SourceSpec, **options) -> int:
+    """A batch run over what a topic has got since the last one; its offsets are a checkpoint."""
+    before = store.loaded_count(spec.name)
+    lines = source_stream(spark, spec)
+    query = start_loading(lines, store, spec, f"{store.root}/offsets/{spec.name}", once=True, **options)
+    query.awaitTermination()
+    return store.loaded_count(spec.name) - before

@@ -1,17 +1,16 @@
 """Detection, fingerprints, and the whole plan from lines to scored alerts."""
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import functions as F
 
-from logweir.constants import DEFAULT_ALERT_MESSAGE, DETECTION_RULES
 from logweir.functions.fingerprint import with_row_id
 from logweir.operators.detect import score_model, score_rule_table, score_rules, to_notify
-from logweir.operators.enrich import person_lookup
-from logweir.operators.sizes import broadcast_if_small
 from logweir.operators.totals import source_totals, union_all
-from logweir.plans.events import scored_events
+from logweir.plans.events import prepared_lookup, scored_events
 from logweir.plans.stages import run_stages
+from logweir.session import shared_folder
 from logweir.sinks.alerts import as_documents
 from logweir.workload.tables import SOURCE_OF_TYPE, SQL_LINES, source_lines, source_spec, table
 
@@ -79,7 +78,7 @@ def fingerprint_events(spark, folder):
 
 def fingerprint_numbers(spark, folder):
     """Floating point values enter the id with a fixed number of decimals."""
-    rows = table(spark, folder, "lineitem").drop("l_shipdate")
+    rows = table(spark, folder, "lineitem")
     return with_row_id(rows).groupBy("row_id").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -87,7 +86,7 @@ def _lookup(spark, folder):
     people = table(spark, folder, "supplier").select(
         F.col("s_suppkey").alias("emp_id"), F.col("s_name").alias("emp_name")
     )
-    return broadcast_if_small(person_lookup(people))
+    return prepared_lookup(people, f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}/people")
 
 
 _SINCE = "2024-01-05 00:00:00"
@@ -163,12 +162,22 @@ QUERIES = {
     "all_sources_by_name": all_sources_by_name,
 }
 
-_SCORE = "CASE action " + " ".join(f"WHEN '{v}' THEN {s}" for v, s, _ in DETECTION_RULES)
-_TEXT = "CASE action " + " ".join(f"WHEN '{v}' THEN '{t}'" for v, _, t in DETECTION_RULES)
+# Fixed values, the oracle's own copy: what the rules give.
+_SCORE = (
+    "CASE action WHEN 'Reverse_Shell_C2' THEN 99.0 WHEN 'Massive_FTP_Exfiltration' THEN 95.0 "
+    "WHEN 'Unauthorized_DB_Dump' THEN 90.0 WHEN 'SSH_BruteForce' THEN 85.0"
+)
+_TEXT = (
+    "CASE action WHEN 'Reverse_Shell_C2' THEN '🚨 CRITICAL: 랜섬웨어/C2 서버 비인가 통신 감지!' "
+    "WHEN 'Massive_FTP_Exfiltration' THEN '🚨 HIGH: 내부자 대규모 기밀 유출 시도 (FTP)' "
+    "WHEN 'Unauthorized_DB_Dump' THEN '🚨 HIGH: 비인가 DB 덤프 및 데이터 추출 시도' "
+    "WHEN 'SSH_BruteForce' THEN '⚠️ WARN: 무차별 대입 공격 (SSH Brute Force) 도배'"
+)
+_PLAIN_TEXT = "Info: 정상 업무 활동"
 _SQL_ACTIONS = f"a AS (SELECT event_id, {_ACTION} AS action FROM events)"
 _SCORED = (
     f"CAST({_SCORE} ELSE 10.0 END AS DOUBLE) AS risk_score, "
-    f"{_TEXT} ELSE '{DEFAULT_ALERT_MESSAGE}' END AS alert_message"
+    f"{_TEXT} ELSE '{_PLAIN_TEXT}' END AS alert_message"
 )
 
 
@@ -220,7 +229,7 @@ SQL = {
  {_TEXT} ELSE event_type END AS alert_message FROM (SELECT *, {_ACTION} AS action FROM events)""",
     "score_by_rule_table": f"""SELECT c_custkey, c_nationkey * 2 AS nation,
  CAST(coalesce(n_regionkey * 10.0, 10.0) AS DOUBLE) AS risk_score,
- coalesce(n_name, '{DEFAULT_ALERT_MESSAGE}') AS alert_message
+ coalesce(n_name, '{_PLAIN_TEXT}') AS alert_message
 FROM customer LEFT JOIN nation ON c_nationkey * 2 = n_nationkey""",
     "alerts_to_notify": f"WITH {_SQL_ACTIONS}, s AS (SELECT *, {_SCORED} FROM a) "
     "SELECT event_id, risk_score FROM s WHERE risk_score >= 90",
@@ -232,7 +241,7 @@ FROM customer LEFT JOIN nation ON c_nationkey * 2 = n_nationkey""",
  substring(CAST(ts AS VARCHAR), 1, 19), lower(trim(props)), user_id)) AS row_id FROM events""",
     "fingerprint_numbers": """SELECT md5(concat_ws('|', CAST(l_discount AS DECIMAL(38,6)),
  CAST(l_extendedprice AS DECIMAL(38,6)), l_linenumber, lower(l_linestatus), l_orderkey, l_partkey,
- CAST(l_quantity AS DECIMAL(38,6)), lower(l_returnflag), l_suppkey, CAST(l_tax AS DECIMAL(38,6)))) AS row_id,
+ CAST(l_quantity AS DECIMAL(38,6)), lower(l_returnflag), CAST(l_shipdate AS VARCHAR), l_suppkey, CAST(l_tax AS DECIMAL(38,6)))) AS row_id,
  count(*) AS n FROM lineitem GROUP BY ALL""",
     "scored_alerts": f"""WITH {_SQL_ALERTS} SELECT md5(concat_ws('|', {', '.join(_HASHED)})) AS row_id,
  {', '.join(f'"{c}"' for c in _SHOWN[1:])}, extras FROM s""",

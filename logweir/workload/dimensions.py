@@ -11,7 +11,6 @@ from logweir.operators.enrich import (
     valid_departments,
     with_department,
 )
-from logweir.operators.sizes import broadcast_if_small
 from logweir.operators.ordinal import assign_assets
 from logweir.workload.tables import table
 
@@ -23,7 +22,7 @@ def _lookup(spark, folder):
     people = table(spark, folder, "supplier").select(
         F.col("s_suppkey").alias("EMP_ID "), F.col("s_name").alias(" Emp_Name")
     )
-    return broadcast_if_small(person_lookup(people))
+    return person_lookup(people)
 
 
 def _events(spark, folder):

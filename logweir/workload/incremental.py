@@ -1,14 +1,18 @@
 """Cursors and incremental scans."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from logweir.operators.cursor import (
     after_cursor,
     after_cursor_text,
     batch_metrics,
-    resolve_cursors,
 )
-from logweir.sources.database import after_last, bind_cursor
+from logweir.functions.times import clock
+from logweir.plans.store import Store
+from logweir.session import shared_folder
+from logweir.sources.registry import Position, read_source
 from logweir.sources.spec import SourceSpec
 from logweir.workload.tables import LOG_SOURCE, table
 
@@ -30,48 +34,57 @@ def cursor_metrics(spark, folder):
 
 
 def cursor_state(spark, folder):
-    """Saved cursors exist for the sources that lately had a purchase-sized value."""
-    events = table(spark, folder, "events").withColumn("source_name", F.expr(LOG_SOURCE))
-    catalog = events.groupBy("source_name").agg(
-        F.when(F.max("event_type") == "click", "0").alias("watermark_default")
-    )
-    state = (
-        events.filter("event_type <> 'view' AND event_type <> 'click'")
-        .groupBy("source_name")
-        .agg(F.max(F.col("ts").cast("string")).alias("watermark_value"))
-    )
-    return resolve_cursors(catalog, state)
+    """Each source's last time saved in a store; views start anew, clicks have a default."""
+    store = Store(spark, f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}")
+    events = table(spark, folder, "events")
+    last = events.groupBy(F.expr(LOG_SOURCE).alias("name")).agg(F.max(F.col("ts").cast("string")).alias("last"))
+    found = []
+    for row in last.collect():  # a row per source
+        spec = SourceSpec(name=row["name"], watermark_default="0" if row["name"] == "Endpoint_Logs" else None)
+        if row["name"] not in ("Endpoint_Logs", "Web_Logs"):
+            store.save_cursor(spec, row["last"], "timestamp_ntz", 1, clock())
+        found.append((spec.name, *store.position(spec)))
+    return spark.createDataFrame(found, "source_name string, watermark_value string, watermark_type string")
+
+
+def _view(spark, folder, name):
+    """A given table as a view of the catalog."""
+    view = f"{name}_{uuid.uuid4().hex}"
+    table(spark, folder, name).createOrReplaceTempView(view)
+    return view
 
 
 def scan_after_id(spark, folder):
     """A table source whose cursor is an id: the comparison is textual and strict."""
-    spec = SourceSpec(name="hr", type="postgres", table_name="hr", watermark_col="c_name")
-    rows = after_last(table(spark, folder, "customer"), spec, "Customer#000000500")
+    view = _view(spark, folder, "customer")
+    spec = SourceSpec(name="hr", type="table", table_name=view, watermark_col="c_name")
+    rows = read_source(spark, spec, Position("Customer#000000500", "string"))
     return rows.select("c_custkey", "c_name")
 
 
 def scan_after_number(spark, folder):
-    spec = SourceSpec(name="o", type="postgres", table_name="o", watermark_col="o_orderkey")
-    rows = after_last(table(spark, folder, "orders"), spec, "7000")
+    view = _view(spark, folder, "orders")
+    spec = SourceSpec(name="o", type="table", table_name=view, watermark_col="o_orderkey")
+    rows = read_source(spark, spec, Position("7000", "bigint"))
     return rows.select("o_orderkey", "o_custkey")
 
 
 def scan_whole_table(spark, folder):
     """No watermark column: the cursor cuts nothing."""
-    spec = SourceSpec(name="s", type="mysql", table_name="supplier")
-    return after_last(table(spark, folder, "supplier"), spec, "1970-01-01 00:00:00")
+    spec = SourceSpec(name="s", type="table", table_name=_view(spark, folder, "supplier"))
+    return read_source(spark, spec, Position(spec.first_cursor))
 
 
 _QUERY = (
-    "SELECT o_orderkey, o_orderpriority FROM {orders} "
+    "SELECT o_orderkey, o_orderpriority FROM {} "
     "WHERE o_orderdate > :last_updated AND o_orderstatus = 'F'"
 )
 
 
 def scan_custom_query(spark, folder):
-    """A configured query with the cursor bound as a typed literal."""
-    bound = bind_cursor(_QUERY, "1997-06-01 00:00:00", "timestamp")
-    return spark.sql(bound, orders=table(spark, folder, "orders"))
+    """A configured query with the cursor bound as a literal of its saved type."""
+    spec = SourceSpec(name="q", type="table", query=_QUERY.format(_view(spark, folder, "orders")))
+    return read_source(spark, spec, Position("1997-06-01 00:00:00", "timestamp_ntz"))
 
 
 QUERIES = {
@@ -90,11 +103,10 @@ SQL = {
     "cursor_filter_text": f"SELECT event_id, ts FROM events WHERE CAST(ts AS VARCHAR) > '{_SINCE}'",
     "cursor_metrics": f"""SELECT count(*) AS row_count, CAST(max(ts) AS VARCHAR) AS watermark_value
 FROM events WHERE ts > TIMESTAMP '{_SINCE}'""",
-    "cursor_state": f"""WITH e AS (SELECT *, {LOG_SOURCE} AS source_name FROM events),
- c AS (SELECT source_name, CASE WHEN max(event_type) = 'click' THEN '0' END AS d FROM e GROUP BY source_name),
- s AS (SELECT source_name, CAST(max(ts) AS VARCHAR) AS v FROM e WHERE event_type NOT IN ('view', 'click')
-  GROUP BY source_name)
-SELECT source_name, coalesce(v, d, '1970-01-01 00:00:00') AS watermark_value FROM c LEFT JOIN s USING (source_name)""",
+    "cursor_state": f"""SELECT {LOG_SOURCE} AS source_name, CASE event_type WHEN 'click' THEN '0'
+  WHEN 'view' THEN '1970-01-01 00:00:00' ELSE CAST(max(ts) AS VARCHAR) END AS watermark_value,
+ CASE WHEN event_type NOT IN ('click', 'view') THEN 'timestamp_ntz' END AS watermark_type
+FROM events GROUP BY event_type""",
     "scan_after_id": "SELECT c_custkey, c_name FROM customer WHERE c_name > 'Customer#000000500'",
     "scan_after_number": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey > 7000",
     "scan_whole_table": "SELECT * FROM supplier",

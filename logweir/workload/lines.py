@@ -24,7 +24,8 @@ from logweir.workload.tables import (
     table,
 )
 
-# The same white space for the other engine, as code points.
+# The other engine's white space as code points. Fixed values, the oracle's own copy: here the
+# pattern of a time anywhere, further down the patterns of the sources.
 _SPACE = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
 _ANY_TIME = r"(\d{4}-\d{2}-\d{2}[T\s]\d{2}:\d{2}:\d{2})"
 
@@ -267,6 +268,9 @@ FROM j""",
   WHEN 'regex' THEN ['timestamp', 'machine_name', 'user_id', 'action', 'process_name', 'pid', 'final_ts']
   ELSE ['final_ts', 'raw_message'] END) AS "key" FROM k)
 SELECT parse_kind, "key", count(*) AS n FROM f GROUP BY ALL""",
+    "infer_record_type": f"""WITH {SQL_JSON}, k AS (SELECT line, unnest(json_keys(line)) AS "key" FROM j)
+SELECT DISTINCT "key", CASE json_type(line, '$.' || "key") WHEN 'VARCHAR' THEN 'STRING' WHEN 'UBIGINT' THEN 'BIGINT'
+ WHEN 'OBJECT' THEN 'OBJECT<k: BIGINT>' END AS type FROM k""",
     "discover_keys": f"""WITH {SQL_JSON}, k AS (SELECT log_source, unnest(json_keys(line)) AS "key" FROM j
  UNION ALL SELECT log_source, 'final_ts' FROM j WHERE json_exists(line, '$.timestamp'))
 SELECT DISTINCT log_source, "key" FROM k""",

@@ -1,5 +1,7 @@
 """Keyed loads, conforming, rejects, and the streaming load."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from logweir.operators.keyed import (
@@ -12,14 +14,19 @@ from logweir.operators.keyed import (
     upsert,
     with_load_error,
 )
-from logweir.operators.parse import nonblank_lines
+from logweir.operators.parse import first_lines, nonblank_lines
+from logweir.operators.totals import union_all
 from logweir.plans.store import Store
 from logweir.schemas import alert_table
 from logweir.session import shared_folder
-from logweir.streaming.ingest import start_loading
+from logweir.sinks.alerts import AlertIndex, write_json_lines
+from logweir.sources.files import read_lines
+from logweir.streaming.ingest import start_all, start_loading
 from logweir.functions.text import WHITESPACE
 from logweir.workload.tables import (
     LINE,
+    LOG_SOURCE,
+    SOURCE_OF_TYPE,
     SQL_DOC_LINES,
     SQL_LINES,
     document_lines,
@@ -104,8 +111,8 @@ def conform_to_table(spark, folder):
 
 
 def sink_documents(spark, folder):
-    rows = _loose(spark, folder).filter("final_ts <> 'no time'")
-    typed = rows.withColumn("final_ts", F.col("final_ts").cast("timestamp_ntz"))
+    rows = _loose(spark, folder)
+    typed = rows.withColumn("final_ts", F.col("final_ts").try_cast("timestamp_ntz"))
     return alert_document(typed)
 
 
@@ -121,25 +128,49 @@ def count_loads(spark, folder):
     return load_counts(with_load_error(_loose(spark, folder), _CASTS))
 
 
+def _run_folder(spark):
+    return f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}"
+
+
 def first_load_errors(spark, folder):
-    return rejected_rows(spark, folder).orderBy("event_id").limit(3)
+    """The sample of reasons that a load logs."""
+    index = AlertIndex(spark, f"{_run_folder(spark)}/alerts")
+    rows = with_load_error(_loose(spark, folder), _CASTS).select(
+        F.md5(F.col("event_id").cast("string")).alias("row_id"),
+        F.col("final_ts").try_cast("timestamp_ntz").alias("final_ts"), "error_reason",
+    )
+    index.put(rows, "Web_Logs", 1)
+    return index.first_errors("Web_Logs", 1)
 
 
 def raw_json_lines(spark, folder):
-    rows = table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    return rows.select(F.to_json(F.struct("*")).alias("value"))
+    """Rows written as raw lines, and what the files then hold."""
+    path = f"{_run_folder(spark)}/lines"
+    write_json_lines(table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment"), path)
+    return spark.read.text(path)
 
 
 def first_line_per_document(spark, folder):
-    """Each document as a file: its first line, stripped; blank first lines give none."""
-    first = document_lines(spark, folder).filter("pos = 0")
-    return nonblank_lines(first).select("doc_id", F.md5("line").alias("line_md5"))
+    """The documents of each source as one file: its first line, stripped, unless blank."""
+    path = f"{_run_folder(spark)}/documents"
+    lines = document_lines(spark, folder).select("source", "doc_id", "pos", "value")
+    parted = lines.repartition("source").sortWithinPartitions("source", "doc_id", "pos")
+    parted.select("source", "value").write.option("maxRecordsPerFile", 0).partitionBy("source").text(path)
+    first = first_lines(spark.read.text(path))
+    source = F.regexp_extract("file_path", "source=([^/]+)/", 1)
+    return first.select(source.alias("source"), F.md5("line").alias("line_md5"))
 
 
 def concat_line_files(spark, folder):
-    """Lines of two renderings of the same source as one input."""
-    both = event_lines(spark, folder).unionByName(json_lines(spark, folder))
-    return nonblank_lines(both).groupBy("log_source").agg(F.count(F.lit(1)).alias("n"))
+    """Two renderings of each source, written as files, read as one input."""
+    path = _run_folder(spark)
+    for name, lines in (("lines", event_lines(spark, folder)), ("records", json_lines(spark, folder))):
+        lines.select("log_source", "value").write.partitionBy("log_source").text(f"{path}/{name}")
+    frames = [
+        nonblank_lines(read_lines(spark, source_spec(s, path=f"{path}/*/log_source={s}"))).withColumn("log_source", F.lit(s))
+        for s in SOURCE_OF_TYPE.values()
+    ]
+    return union_all(frames).groupBy("log_source").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _stream_of_lines(spark, folder):
@@ -150,15 +181,32 @@ def _stream_of_lines(spark, folder):
     return events.select(F.expr(LINE).alias("value"))
 
 
+def stream_alerts_in_pieces(spark, folder):
+    """All sources from one file per ten days, a file in a batch, late rows dropped: none is."""
+    root = _run_folder(spark)
+    store = Store(spark, f"{root}/store")
+    period = F.floor(F.dayofmonth("ts") / 10)
+    lines = table(spark, folder, "events").select(
+        F.expr(LOG_SOURCE).alias("log_source"), period.alias("period"), F.expr(LINE).alias("value")
+    )
+    # the last ten days are the first files, so that each batch is older than the one before
+    lines = lines.withColumn("period", 9 - F.col("period")).repartition("log_source", "period")
+    lines.write.partitionBy("log_source", "period").text(f"{root}/logs")
+    specs = [source_spec(s, path=f"{root}/logs/log_source={s}/*") for s in SOURCE_OF_TYPE.values()]
+    queries = start_all(spark, store, specs, f"{root}/checkpoint", limits={"max_files": 1}, once=True)
+    for query in queries.values():
+        query.awaitTermination()
+    return store.alerts.alerts().groupBy("log_source", "event_date").agg(
+        F.count(F.lit(1)).alias("n"), F.min("final_ts").alias("first"), F.max("final_ts").alias("last")
+    ).withColumn("event_date", F.col("event_date").cast("string"))
+
+
 def stream_alerts(spark, folder):
     """The lines of all events as a stream, loaded until done; the index it leaves."""
-    root = f"{shared_folder(spark)}/stream-alerts-{spark.sparkContext.applicationId}"
-    run = spark.range(1).select(F.expr("uuid()").alias("u")).first()["u"]
-    store = Store(spark, f"{root}/{run}/store")
+    root = _run_folder(spark)
+    store = Store(spark, f"{root}/store")
     spec = source_spec("Endpoint_Logs", late_policy="allow")
-    query = start_loading(
-        _stream_of_lines(spark, folder), store, spec, f"{root}/{run}/checkpoint", once=True
-    )
+    query = start_loading(_stream_of_lines(spark, folder), store, spec, f"{root}/checkpoint", once=True)
     query.awaitTermination()
     return store.alerts.alerts().select(
         "final_ts", "user_id", "action", "src_ip", "log_source", "raw_message", "risk_score"
@@ -179,6 +227,7 @@ QUERIES = {
     "first_line_per_document": first_line_per_document,
     "concat_line_files": concat_line_files,
     "stream_alerts": stream_alerts,
+    "stream_alerts_in_pieces": stream_alerts_in_pieces,
 }
 
 _SQL_KEYED = """k AS (SELECT event_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS final_ts,
@@ -195,8 +244,12 @@ _SQL_REASON = """CASE WHEN TRY_CAST(bytes_total AS DOUBLE) IS NULL THEN 'bytes_t
 _SPACE = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
 
 SQL = {
-    "first_line_per_document": f"""WITH {SQL_DOC_LINES}, t AS (SELECT doc_id, trim(value, {_SPACE}) AS line
- FROM d WHERE pos = 0) SELECT doc_id, md5(line) AS line_md5 FROM t WHERE line <> ''""",
+    "stream_alerts_in_pieces": f"""WITH t AS (SELECT {LOG_SOURCE} AS log_source, date_trunc('second', ts) AS s FROM events)
+SELECT log_source, substring(CAST(s AS VARCHAR), 1, 10) AS event_date, count(*) AS n, min(s) AS "first", max(s) AS "last"
+FROM t GROUP BY 1, 2""",
+    "first_line_per_document": f"""WITH {SQL_DOC_LINES}, t AS (SELECT source, trim(value, {_SPACE}) AS line
+ FROM d QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id, pos) = 1)
+SELECT source, md5(line) AS line_md5 FROM t WHERE line <> ''""",
     "stream_alerts": f"""WITH {SQL_LINES}, t AS (SELECT *, CAST(substring(CAST(ts AS VARCHAR), 1, 19) AS TIMESTAMP) AS final_ts FROM l)
 SELECT final_ts, CASE event_type WHEN 'click' THEN CAST(user_id AS VARCHAR) WHEN 'signup' THEN 'user ' || user_id
   WHEN 'purchase' THEN 'user ' || user_id ELSE 'Unknown_ID' END AS user_id,
@@ -222,15 +275,15 @@ FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_returnflag, l_suppkey
  CAST(TRY_CAST(bytes_total AS BIGINT) AS VARCHAR) AS bytes_total,
  CAST(TRY_CAST(dst_port AS INTEGER) AS VARCHAR) AS dst_port FROM l""",
     "sink_documents": f"""WITH {_SQL_LOOSE} SELECT event_id,
- strftime(CAST(final_ts AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S') || '+09:00' AS final_ts,
+ strftime(TRY_CAST(final_ts AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S') || '+09:00' AS final_ts,
  coalesce(TRY_CAST(bytes_total AS DOUBLE), 0.0) AS bytes_total, coalesce(TRY_CAST(dst_port AS DOUBLE), 0.0) AS dst_port,
- coalesce(TRY_CAST(risk_score AS DOUBLE), 0.0) AS risk_score, log_source, action FROM l WHERE final_ts <> 'no time'""",
+ coalesce(TRY_CAST(risk_score AS DOUBLE), 0.0) AS risk_score, log_source, action FROM l""",
     "rejected_rows": f"WITH {_SQL_LOOSE}, e AS (SELECT event_id, {_SQL_REASON} FROM l) "
     "SELECT * FROM e WHERE error_reason IS NOT NULL",
     "count_loads": f"""WITH {_SQL_LOOSE}, e AS (SELECT event_id, {_SQL_REASON} FROM l)
 SELECT count(*) FILTER (error_reason IS NULL) AS loaded, count(*) FILTER (error_reason IS NOT NULL) AS failed FROM e""",
-    "first_load_errors": f"WITH {_SQL_LOOSE}, e AS (SELECT event_id, {_SQL_REASON} FROM l) "
-    "SELECT * FROM e WHERE error_reason IS NOT NULL ORDER BY event_id LIMIT 3",
+    "first_load_errors": f"WITH {_SQL_LOOSE}, e AS (SELECT md5(CAST(event_id AS VARCHAR)) AS row_id, {_SQL_REASON} FROM l) "
+    "SELECT * FROM e WHERE error_reason IS NOT NULL ORDER BY row_id LIMIT 3",
     "raw_json_lines": """SELECT '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","c_mktsegment":"' ||
  c_mktsegment || '"}' AS value FROM customer""",
     "concat_line_files": """SELECT CASE event_type WHEN 'signup' THEN 'Auth_Logs' WHEN 'view' THEN 'Web_Logs'

@@ -122,12 +122,16 @@ def _get(key):
     return f"json_extract_string(line, '$.{key}')"
 
 
-def _values(synonyms):
-    return ", ".join(f"('{k}', '{v}')" for k, v in synonyms.items())
+# Fixed values, the oracle's own copy: the two synonym tables.
+_ALL_SYNONYMS = (
+    "('user', 'user_id'), ('user_id', 'user_id'), ('ip', 'src_ip'), ('src_ip', 'src_ip'), "
+    "('department', 'department'), ('action', 'action'), ('device_id', 'device_id'), ('resource', 'resource')"
+)
+_FEW_SYNONYMS = "('user', 'user_id'), ('ip', 'src_ip'), ('department', 'department'), ('action', 'action')"
 
 
 def _infer_sql(synonyms):
-    return f"""{SQL_JSON}, s(source, target) AS (VALUES {_values(synonyms)}),
+    return f"""{SQL_JSON}, s(source, target) AS (VALUES {synonyms}),
  k AS (SELECT log_source, unnest(json_keys(line)) AS source,
   unnest(generate_series(1, len(json_keys(line)))) AS p FROM j),
  m AS (SELECT log_source, source, target, min(p) AS p FROM k JOIN s USING (source) GROUP BY ALL),
@@ -137,7 +141,7 @@ def _infer_sql(synonyms):
   target, source FROM a)"""
 
 
-_RULES_SQL = _infer_sql(KEY_SYNONYMS)
+_RULES_SQL = _infer_sql(_ALL_SYNONYMS)
 
 SQL = {
     "map_fields_last": f"""WITH {SQL_JSON} SELECT event_id, {_get('user')} AS user_id,
@@ -176,7 +180,7 @@ FROM (SELECT event_id, {_FILES} AS n FROM events)""",
     "classify_urls": """SELECT page_id, CASE WHEN contains(url, '/fr/') THEN 'French' WHEN contains(url, 'm.')
  THEN 'Mobile' WHEN contains(url, 'https://') THEN 'Secure' ELSE 'Unknown' END AS site FROM pages""",
     "infer_mapping": f"WITH {_RULES_SQL} SELECT * FROM r",
-    "infer_mapping_basic": f"WITH {_infer_sql(KEY_SYNONYMS_BASIC)} SELECT * FROM r",
+    "infer_mapping_basic": f"WITH {_infer_sql(_FEW_SYNONYMS)} SELECT * FROM r",
     "mapping_documents": f"""WITH {_RULES_SQL} SELECT log_source AS source_name,
  '<parser name="' || log_source || '">' || chr(10) || string_agg('    <field target="' || target ||
  '" source="' || source || '"/>', chr(10) ORDER BY pos) || chr(10) || '</parser>' AS parser_xml

@@ -1,26 +1,31 @@
 """Whole runs: log files written from the tables, loaded, and what the store then holds."""
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from logweir.operators.mapping import infer_rules, rules_as_xml
 from logweir.operators.parse import parse_lines
-from logweir.operators.totals import run_report
+from logweir.operators.totals import run_report, union_all
 from logweir.constants import KEY_SYNONYMS_BASIC
-from logweir.plans.ingest import run_all, run_source
+from logweir.plans.ingest import run_all
 from logweir.plans.store import Store
+from logweir.schemas import FILES
 from logweir.session import shared_folder
 from logweir.sinks.alerts import create_alert_table, insert_alerts
-from logweir.sources.files import read_lines
+from logweir.sources.files import present_files, read_lines, unread_files
 from logweir.sources.rules import read_rules, write_rules
+from logweir.sources.spec import SourceSpec
 from logweir.workload.mapping import SQL as MAPPING_SQL
 from logweir.workload.tables import (
     EVENT_TIME,
     LINE,
     LOG_SOURCE,
+    SOURCE_OF_TYPE,
     SQL_LINES,
     event_lines,
     json_lines,
-    source_lines,
     source_spec,
     table,
 )
@@ -32,42 +37,49 @@ _MIDDLE = "TIMESTAMP '2024-01-16 00:00:00'"
 
 
 def _new_folder(spark):
-    run = spark.range(1).select(F.expr("uuid()").alias("u")).first()["u"]
-    return f"{shared_folder(spark)}/runs/{run}"
+    return f"{shared_folder(spark)}/runs/{uuid.uuid4().hex}"
 
 
-def _write_files(spark, folder, root, source):
-    """Log files of one source; the spec that reads them."""
-    path = f"{root}/logs/{source}"
-    if source == "Error_Text":
-        events = table(spark, folder, "events").filter("event_type = 'error'")
-        lines = events.select(F.expr(_UNREADABLE).alias("value"))
-    else:
-        lines = source_lines(spark, folder, source)
-    lines.write.mode("overwrite").text(path)
-    return source_spec(source, path=path)
+def _write_files(spark, folder, root):
+    """Log files of all sources, written in one go; the specs that read them."""
+    events = table(spark, folder, "events")
+    line = f"CASE WHEN event_type = 'error' THEN {_UNREADABLE} ELSE {LINE} END"
+    lines = events.select(F.expr(LOG_SOURCE).alias("log_source"), F.expr(line).alias("value"))
+    lines.write.mode("overwrite").partitionBy("log_source").text(f"{root}/logs")
+    return [source_spec(s, path=f"{root}/logs/log_source={s}") for s in SOURCE_OF_TYPE.values()]
 
 
-def _run(spark, folder, sources, cycles=1):
+def _run(spark, folder, cycles=1, **options):
     root = _new_folder(spark)
     store = Store(spark, f"{root}/store")
-    specs = [_write_files(spark, folder, root, s) for s in sources]
+    specs = _write_files(spark, folder, root)
     for _ in range(cycles):
-        run_all(spark, store, specs, notify=True)
+        run_all(spark, store, specs, **options)
     return store
 
 
 def file_lines(spark, folder):
-    """Lines written as files and scanned again."""
+    """Lines written as files in two goes; what a second read adds to the first."""
     root = _new_folder(spark)
-    event_lines(spark, folder).select("value").write.text(f"{root}/logs")
-    lines = read_lines(spark, source_spec("all", path=f"{root}/logs/*"))
-    return lines.select(F.md5("value").alias("line_md5"))
+    spec = source_spec("all", path=f"{root}/logs/*")
+    lines = event_lines(spark, folder)
+    lines.filter("event_id % 2 = 0").select("value").write.text(f"{root}/logs/even")
+    first = spark.createDataFrame(present_files(spark, spec).collect(), FILES)
+    lines.filter("event_id % 2 = 1").select("value").write.text(f"{root}/logs/odd")
+    fresh = [r["path"] for r in unread_files(present_files(spark, spec), first).collect()]
+    parts = [("first", [r["path"] for r in first.collect()]), ("second", fresh)]
+    read = [read_lines(spark, spec, paths).select(F.lit(n).alias("go"), F.md5("value").alias("line_md5")) for n, paths in parts]
+    return read[0].unionByName(read[1])
 
 
 def index_after_cycles(spark, folder):
-    """Two cycles over the same files leave each alert once."""
-    store = _run(spark, folder, ["Firewall_Logs", "Endpoint_Logs"], cycles=2)
+    """Two cycles over the same files, merged between them, leave each alert once."""
+    root = _new_folder(spark)
+    store = Store(spark, f"{root}/store")
+    specs = _write_files(spark, folder, root)
+    run_all(spark, store, specs)
+    store.merge(keep=0)
+    run_all(spark, store, [replace(s, late_policy="allow", path=f"{s.path}/*") for s in specs])
     return store.alerts.documents().select(
         "final_ts", "log_source", "user_id", "action", "src_ip", "risk_score",
         F.coalesce("bytes_total", F.lit(-1.0)).alias("bytes_total"),
@@ -76,29 +88,84 @@ def index_after_cycles(spark, folder):
 
 
 def notifications_after_cycle(spark, folder):
-    store = _run(spark, folder, ["Firewall_Logs"])
+    store = _run(spark, folder, notify=True)
     return store.notifications.alerts().select("final_ts", "user_id", "action", "risk_score")
 
 
 def rejects_after_cycle(spark, folder):
-    store = _run(spark, folder, ["Error_Text"])
+    store = _run(spark, folder)
     return store.alerts.rejects().select("user_id", "error_reason", "load_status")
 
 
 def history_after_cycles(spark, folder):
     """The second cycle finds nothing new; the unreadable rows are counted as failed."""
-    store = _run(spark, folder, ["Auth_Logs", "Error_Text"], cycles=2)
+    store = _run(spark, folder, cycles=2)
     return store.history().select("source_name", "processed_count", "failed_count", "status")
 
 
+def lines_accounted_for(spark, folder):
+    """Blank lines and lines that are late: all are counted, by source and load."""
+    root = _new_folder(spark)
+    store = Store(spark, f"{root}/store")
+    specs = [replace(s, path=f"{s.path}/*") for s in _write_files(spark, folder, root)]
+    run_all(spark, store, specs)
+    again = table(spark, folder, "events").select(
+        F.expr(LOG_SOURCE).alias("log_source"),
+        F.expr(f"CASE WHEN event_id % 3 = 0 THEN ' ' ELSE {LINE} END").alias("value"),
+    )
+    again.write.mode("append").partitionBy("log_source").text(f"{root}/logs")
+    run_all(spark, store, specs)
+    sums = [F.sum(c).alias(c) for c in ("processed_count", "failed_count", "late_count", "blank_count")]
+    return store.history().groupBy("source_name").agg(F.count(F.lit(1)).alias("loads"), *sums)
+
+
 def report_after_cycle(spark, folder):
-    store = _run(spark, folder, ["Web_Logs"])
+    store = _run(spark, folder)
     return run_report(store.history()).select("source_name", "target_index", "processed", "status_label")
 
 
 def cursors_after_cycle(spark, folder):
-    store = _run(spark, folder, ["Web_Logs"])
-    return store.cursors("Web_Logs").read().select("source_name", "watermark_value", "watermark_type")
+    store = _run(spark, folder)
+    cursors = [store.cursors(s).read() for s in SOURCE_OF_TYPE.values()]
+    return union_all(cursors).select("source_name", "watermark_value", "watermark_type")
+
+
+def cycle_with_learned_rules(spark, folder):
+    """Rules learned from the files themselves and names from the catalog's people."""
+    root = _new_folder(spark)
+    store = Store(spark, f"{root}/store")
+    names = {"Auth_Logs": "authentication", "Web_Logs": "webserver", "Endpoint_Logs": "endpoint", "Firewall_Logs": "firewall"}
+    specs = []
+    for source in SOURCE_OF_TYPE.values():
+        name = names.get(source, "other")
+        lines = json_lines(spark, folder).filter(F.col("log_source") == source).select("value")
+        lines.coalesce(1).write.text(f"{root}/written/{name}")
+        specs.append(source_spec(source, path=f"{root}/written/{name}"))
+    people = f"people_{uuid.uuid4().hex}"
+    table(spark, folder, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("emp_id"), F.col("s_name").alias("emp_name")
+    ).createOrReplaceTempView(people)
+    specs.append(SourceSpec(name="people", type="table", table_name=people, people=True, enabled=False))
+    learned = infer_rules(parse_lines(json_lines(spark, folder)).filter("log_source <> 'Error_Text'"))
+    store.registry.upsert(rules_as_xml(learned).withColumn("updated_at", F.lit("2026-01-01").cast("timestamp_ntz")), 0)
+    run_all(spark, store, specs)
+    return store.alerts.alerts().filter("log_source <> 'people'").select(
+        "log_source", F.when(~F.col("time_inferred"), F.col("final_ts")).alias("final_ts"), "user_id", "src_ip",
+        F.col("extras")["mapped_name"].alias("mapped_name"),
+    )
+
+
+def personal_fields_left_out(spark, folder):
+    """Lines that carry personal fields: neither the stored fields nor the id depend on them."""
+    root = _new_folder(spark)
+    store = Store(spark, f"{root}/store")
+    plain = "'{\"timestamp\":\"' || " + EVENT_TIME + " || '\",\"user_id\":\"' || CAST(event_id AS STRING) || '\"'"
+    told = plain + " || ',\"ssn\":\"' || CAST(user_id AS STRING) || '\",\"phone\":\"1\"'"
+    for n, line in enumerate((plain, told)):
+        table(spark, folder, "events").select(F.expr(line + " || '}'").alias("value")).write.text(f"{root}/logs/{n}")
+        run_all(spark, store, [source_spec("Auth_Logs", path=f"{root}/logs/{n}", late_policy="allow")])
+    rows = store.alerts.alerts()
+    return rows.select(F.col("user_id").cast("bigint").alias("event_id"), F.size("extras").cast("bigint").alias("n_extras"))
 
 
 def registry_after_learning(spark, folder):
@@ -113,7 +180,7 @@ def registry_after_learning(spark, folder):
 
 
 def table_after_inserts(spark, folder):
-    """The relational table takes a batch once; the repeated insert adds only null keys."""
+    """The relational table takes a batch once; a second batch adds only null keys, a retry nothing."""
     root = _new_folder(spark)
     name = "alert_rows_" + root.rsplit("/", 1)[1].replace("-", "")
     create_alert_table(spark, name, path=f"{root}/table")
@@ -125,8 +192,8 @@ def table_after_inserts(spark, folder):
         F.col("event_type").alias("action"),
         F.col("value").alias("risk_score"),
     )
-    for _ in range(2):
-        insert_alerts(spark, name, batch)
+    for seq in (1, 2, 2):
+        insert_alerts(spark, name, batch, f"{root}/staging", seq)
     return spark.table(name).groupBy("log_source", "action").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -134,13 +201,12 @@ def _halves(spark, folder, late_policy):
     """The second half of January is loaded first; the first half then comes late."""
     root = _new_folder(spark)
     store = Store(spark, f"{root}/store")
-    spec = source_spec("Web_Logs", path=f"{root}/logs/*", late_policy=late_policy)
-    views = table(spark, folder, "events").filter("event_type = 'view'")
+    specs = [source_spec(s, path=f"{root}/logs/*/log_source={s}", late_policy=late_policy) for s in SOURCE_OF_TYPE.values()]
     for half, kept in (("second", f"ts >= {_MIDDLE}"), ("first", f"ts < {_MIDDLE}")):
-        lines = views.filter(kept).select(F.expr(LINE).alias("value"))
-        lines.write.text(f"{root}/logs/{half}")
-        run_source(spark, store, spec)
-    return store.alerts.alerts().select("final_ts", "src_ip", "risk_score")
+        lines = table(spark, folder, "events").filter(kept).select(F.expr(LOG_SOURCE).alias("log_source"), F.expr(LINE).alias("value"))
+        lines.write.partitionBy("log_source").text(f"{root}/logs/{half}")
+        run_all(spark, store, specs)
+    return store.alerts.alerts().select("final_ts", "log_source", "src_ip", "risk_score")
 
 
 def late_rows_dropped(spark, folder):
@@ -155,8 +221,7 @@ def failing_source_alone(spark, folder):
     """A source that cannot be read is recorded; the others are loaded."""
     root = _new_folder(spark)
     store = Store(spark, f"{root}/store")
-    good = _write_files(spark, folder, root, "Endpoint_Logs")
-    run_all(spark, store, [source_spec("Broken", type="no_such_type"), good])
+    run_all(spark, store, [source_spec("Broken", type="no_such_type"), *_write_files(spark, folder, root)])
     return store.history().select("source_name", "status", "processed_count")
 
 
@@ -174,6 +239,9 @@ QUERIES = {
     "failing_source_alone": failing_source_alone,
     "rules_from_files": rules_from_files,
     "file_lines": file_lines,
+    "lines_accounted_for": lines_accounted_for,
+    "cycle_with_learned_rules": cycle_with_learned_rules,
+    "personal_fields_left_out": personal_fields_left_out,
     "index_after_cycles": index_after_cycles,
     "notifications_after_cycle": notifications_after_cycle,
     "rejects_after_cycle": rejects_after_cycle,
@@ -186,42 +254,56 @@ QUERIES = {
 
 _SHOWN = f"replace({EVENT_TIME}, ' ', 'T') || '+09:00' AS final_ts"
 _THREAT = "event_type = 'purchase' AND value > 100"
+_SRC = """CASE event_type WHEN 'purchase' THEN '10.0.1.' || user_id WHEN 'signup' THEN '10.0.0.' || user_id
+ WHEN 'view' THEN '10.0.0.' || user_id ELSE 'Internal' END"""
 
-_VIEWS = (
-    "SELECT date_trunc('second', ts) AS final_ts, '10.0.0.' || user_id AS src_ip, "
-    "10.0::DOUBLE AS risk_score FROM events WHERE event_type = 'view'"
+_ALL = (
+    f"SELECT date_trunc('second', ts) AS final_ts, {LOG_SOURCE} AS log_source, {_SRC} AS src_ip, "
+    f"CASE WHEN {_THREAT} THEN 95.0 ELSE 10.0 END::DOUBLE AS risk_score FROM events"
 )
+_COUNTED = f"""c AS (SELECT {LOG_SOURCE} AS source_name, event_type,
+ count(*) FILTER (event_type <> 'error') AS loaded, count(*) FILTER (event_type = 'error') AS bad FROM events GROUP BY event_type)"""
 
 SQL = {
-    "late_rows_dropped": f"{_VIEWS} AND ts >= {_MIDDLE}",
-    "late_rows_kept": _VIEWS,
-    "failing_source_alone": """SELECT 'Broken' AS source_name, 'FAIL' AS status, 0 AS processed_count
-UNION ALL SELECT 'Endpoint_Logs', 'SUCCESS', count(*) FILTER (event_type = 'click') FROM events""",
+    "late_rows_dropped": f"{_ALL} WHERE ts >= {_MIDDLE}",
+    "late_rows_kept": _ALL,
+    "failing_source_alone": f"""WITH {_COUNTED} SELECT 'Broken' AS source_name, 'FAIL' AS status, 0 AS processed_count
+UNION ALL SELECT source_name, 'SUCCESS', loaded FROM c""",
     "rules_from_files": MAPPING_SQL["infer_mapping"],
-    "file_lines": f"WITH {SQL_LINES} SELECT md5(line) AS line_md5 FROM l",
+    "file_lines": f"""WITH {SQL_LINES} SELECT CASE event_id % 2 WHEN 0 THEN 'first' ELSE 'second' END AS go,
+ md5(line) AS line_md5 FROM l""",
     "index_after_cycles": f"""WITH {SQL_LINES} SELECT {_SHOWN}, log_source,
- CASE WHEN event_type = 'click' THEN CAST(user_id AS VARCHAR) ELSE 'user ' || user_id END AS user_id,
- CASE WHEN event_type = 'click' THEN 'process_start' WHEN {_THREAT} THEN 'Massive_FTP_Exfiltration'
-  ELSE 'allow' END AS action,
- CASE WHEN event_type = 'click' THEN 'Internal' ELSE '10.0.1.' || user_id END AS src_ip,
- CASE WHEN {_THREAT} THEN 95.0 ELSE 10.0 END::DOUBLE AS risk_score,
- CASE WHEN event_type = 'click' THEN -1.0 ELSE event_id END::DOUBLE AS bytes_total,
+ CASE event_type WHEN 'click' THEN CAST(user_id AS VARCHAR) WHEN 'view' THEN 'Unknown_ID' ELSE 'user ' || user_id END AS user_id,
+ CASE WHEN event_type = 'click' THEN 'process_start' WHEN event_type = 'signup' THEN 'login'
+  WHEN event_type = 'view' THEN 'Unknown_Action' WHEN {_THREAT} THEN 'Massive_FTP_Exfiltration' ELSE 'allow' END AS action,
+ {_SRC} AS src_ip, CASE WHEN {_THREAT} THEN 95.0 ELSE 10.0 END::DOUBLE AS risk_score,
+ CASE WHEN event_type = 'purchase' THEN event_id ELSE -1.0 END::DOUBLE AS bytes_total,
  substring(CAST(ts AS VARCHAR), 1, 10) AS event_date
-FROM l WHERE event_type IN ('purchase', 'click')""",
+FROM l WHERE event_type <> 'error'""",
     "notifications_after_cycle": f"""SELECT date_trunc('second', ts) AS final_ts, 'user ' || user_id AS user_id,
  'Massive_FTP_Exfiltration' AS action, 95.0::DOUBLE AS risk_score FROM events WHERE {_THREAT}""",
     "rejects_after_cycle": """SELECT CAST(user_id AS VARCHAR) AS user_id,
  'final_ts: not a time: day ' || event_id AS error_reason, 'rejected' AS load_status
 FROM events WHERE event_type = 'error'""",
-    "history_after_cycles": """WITH c AS (SELECT count(*) FILTER (event_type = 'signup') AS a,
- count(*) FILTER (event_type = 'error') AS e FROM events)
-SELECT 'Auth_Logs' AS source_name, a AS processed_count, 0 AS failed_count, 'SUCCESS' AS status FROM c
-UNION ALL SELECT 'Auth_Logs', 0, 0, 'SUCCESS'
-UNION ALL SELECT 'Error_Text', 0, e, 'SUCCESS' FROM c UNION ALL SELECT 'Error_Text', 0, e, 'SUCCESS' FROM c""",
-    "report_after_cycle": """SELECT 'Web_Logs' AS source_name, 'alerts' AS target_index,
- format('{:,}', count(*)) || ' 건' AS processed, '✅ 성공' AS status_label FROM events WHERE event_type = 'view'""",
-    "cursors_after_cycle": f"""SELECT 'Web_Logs' AS source_name, max({EVENT_TIME}) AS watermark_value,
- 'timestamp_ntz' AS watermark_type FROM events WHERE event_type = 'view'""",
+    "history_after_cycles": f"""WITH {_COUNTED}
+SELECT source_name, loaded AS processed_count, bad AS failed_count, 'SUCCESS' AS status FROM c
+UNION ALL SELECT source_name, 0, 0, 'SUCCESS' FROM c""",
+    "lines_accounted_for": f"""WITH g AS (SELECT {LOG_SOURCE} AS source_name, event_type, event_id % 3 = 0 AS blank FROM events)
+SELECT source_name, 2 AS loads, count(*) FILTER (event_type <> 'error' OR NOT blank) AS processed_count,
+ count(*) FILTER (event_type = 'error') AS failed_count,
+ count(*) FILTER (event_type <> 'error' AND NOT blank) AS late_count, count(*) FILTER (blank) AS blank_count
+FROM g GROUP BY source_name""",
+    "cycle_with_learned_rules": f"""WITH n AS (SELECT events.*, s_name FROM events LEFT JOIN supplier ON user_id = s_suppkey)
+SELECT {LOG_SOURCE} AS log_source, CASE WHEN event_type <> 'error' THEN date_trunc('second', ts) END AS final_ts,
+ CASE WHEN event_type = 'error' THEN 'Unknown_ID' ELSE 'user ' || user_id END AS user_id, CASE event_type WHEN 'signup' THEN '10.0.0.' || user_id WHEN 'view' THEN '10.0.0.' || user_id
+  WHEN 'purchase' THEN '10.0.1.' || user_id ELSE 'Internal' END AS src_ip,
+ CASE WHEN event_type <> 'error' THEN coalesce(s_name, 'Unknown_User') END AS mapped_name FROM n""",
+    "personal_fields_left_out": "SELECT event_id, 0 AS n_extras FROM events",
+    "report_after_cycle": f"""WITH {_COUNTED} SELECT source_name, 'alerts' AS target_index,
+ format('{{:,}}', loaded) || ' 건' AS processed, '✅ 성공' AS status_label FROM c""",
+    "cursors_after_cycle": f"""SELECT {LOG_SOURCE} AS source_name,
+ CASE WHEN event_type = 'error' THEN '1970-01-01 00:00:00' ELSE max({EVENT_TIME}) END AS watermark_value,
+ 'timestamp_ntz' AS watermark_type FROM events GROUP BY event_type""",
     "registry_after_learning": MAPPING_SQL["mapping_documents"],
     "table_after_inserts": f"""SELECT {LOG_SOURCE} AS log_source, event_type AS action,
  count(*) * CASE WHEN event_type = 'error' THEN 2 ELSE 1 END AS n FROM events GROUP BY event_type""",

@@ -7,12 +7,13 @@ import pytest
 
 from logweir.operators.totals import run_report
 from logweir.plans.events import prepared_lookup, scored_events
-from logweir.functions.times import clock
-from logweir.plans.ingest import CLOCK_MARGIN, load_batch, run_all, run_source
+from logweir.plans import ingest
+from logweir.plans.ingest import load_batch, run_all, run_source
 from logweir.plans.learn import discover_columns, learn, learned_rules, registered_rules
 from logweir.plans.store import Store
-from logweir.sources.registry import read_source
+from logweir.sources.registry import READERS, register_reader
 from logweir.sources.spec import SourceSpec
+from logweir.streaming import ingest as streaming
 from logweir.streaming.ingest import source_stream, start_all, start_loading
 
 
@@ -58,36 +59,98 @@ def test_ties_and_late_rows_are_dropped_or_allowed(spark, place):
     run_source(spark, store, spec, seq=2)
     assert loaded(store) == [("05", "login"), ("06", "new")]
     open_spec = SourceSpec(name=spec.name, type="file", path=spec.path, late_policy="allow")
-    run_source(spark, store, open_spec, seq=3)
+    assert run_source(spark, store, open_spec, seq=3) == 0  # the file is as it was read
+    write("a.log", line(5), line(5), line(5, action="tie"), line(3, action="late"), line(6, action="new"))
+    run_source(spark, store, open_spec, seq=4)
     assert loaded(store) == [("03", "late"), ("05", "login"), ("05", "tie"), ("06", "new")]
 
 
-def test_files_of_earlier_loads_are_not_opened_again(spark, place, tmp_path):
+def test_files_are_read_once_however_old_they_say_they_are(spark, place, tmp_path, monkeypatch):
     write, spec, store, _ = place
-    write("old.log", line(5))
-    long_ago = dt.datetime(2020, 1, 1).timestamp()
-    os.utime(tmp_path / "logs" / "old.log", (long_ago, long_ago))
+    spec = replace(spec, late_policy="allow")
+    opened = []
+    whole = ingest.read_source
+    monkeypatch.setattr(ingest, "read_source", lambda s, x, at: opened.append(sorted(map(os.path.basename, at.paths))) or whole(s, x, at))
+    write("a.log", line(5))
     assert run_source(spark, store, spec, seq=1) == 1
-    write("new.log", line(6))
-    begun = store.position(spec)[1]
-    assert abs((begun - clock()).total_seconds()) < 600
-    files = read_source(spark, spec, None, begun - CLOCK_MARGIN).inputFiles()
-    assert [os.path.basename(f) for f in files] == ["new.log"]
-    assert run_source(spark, store, spec, seq=2) == 1
-    assert loaded(store) == [("05", "login"), ("06", "login")]
+    write("moved.log", line(3), line(4))  # as a restored file, older than the load before
+    for name, when in (("moved.log", dt.datetime(2020, 1, 1)), ("a.log", dt.datetime(2100, 1, 1))):
+        os.utime(tmp_path / "logs" / name, (when.timestamp(),) * 2)
+    assert run_source(spark, store, spec, seq=2) == 3
+    assert run_source(spark, store, spec, seq=3) == 0
+    write("a.log", line(5), line(6))  # grown
+    assert run_source(spark, store, spec, seq=4) == 2
+    (tmp_path / "more").mkdir()
+    (tmp_path / "more" / "b.log").write_text(line(1) + "\n")
+    wider = replace(spec, path=f"{tmp_path}/{{logs,more}}")
+    assert run_source(spark, store, wider, seq=5) == 1
+    assert opened == [["a.log"], ["a.log", "moved.log"], [], ["a.log"], ["b.log"]]
+    assert [s for s, _ in loaded(store)] == ["01", "03", "04", "05", "06"]
+    store.merge(keep=0)
+    assert run_source(spark, store, wider, seq=6) == 0
+
+
+def test_a_failed_load_reads_its_files_again(spark, place, monkeypatch):
+    write, spec, store, _ = place
+    write("a.log", line(1), line(2))
+    with monkeypatch.context() as patched:
+        patched.setattr(Store, "save_files", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            run_source(spark, store, replace(spec, late_policy="allow"), seq=1)
+    run_source(spark, store, replace(spec, late_policy="allow"), seq=2)
+    assert loaded(store) == [("01", "login"), ("02", "login")]
+
+
+def test_every_line_is_accounted_for(spark, place):
+    write, spec, store, _ = place
+    write("a.log", line(5), "", " \t", "text without a time", line(4, user="E9"), json.dumps({"timestamp": "yesterday"}))
+    run_source(spark, store, spec, seq=1)
+    write("b.log", line(5), line(6), "")
+    run_source(spark, store, spec, seq=2)
+    counts = {r["id"]: (r["processed_count"], r["failed_count"], r["late_count"], r["blank_count"]) for r in store.history().collect()}
+    # a text without any time has the epoch, which the first cursor is
+    assert counts == {"Auth_Logs-1": (2, 1, 1, 2), "Auth_Logs-2": (1, 0, 1, 1)}
+    assert loaded(store) == [("04", "login"), ("05", "login"), ("06", "login")]
+    assert store.alerts.rows().filter("load_status IN ('late', 'blank') AND raw_message IS NOT NULL").isEmpty()
+
+
+def test_equal_lines_without_a_time_stay_apart(spark, place):
+    write, spec, store, _ = place
+    fire = replace(spec, name="Firewall_Logs")
+    text = "[allow] src=10.0.0.1 dst=10.0.0.2 dst_port=443 proto=TCP service=Jira bytes=512"
+    write("a.log", *[text] * 50)
+    assert run_source(spark, store, fire, seq=1) == 50
+    rows = store.alerts.alerts()
+    assert rows.count() == 50 and rows.select("event_date").distinct().count() == 1
+    assert rows.first()["event_date"].year > 2000
+    run_source(spark, store, fire, seq=1)  # a repeat replaces the load
+    assert store.alerts.alerts().count() == 50
+
+
+def test_personal_fields_are_left_out(spark, place, tmp_path):
+    write, spec, store, _ = place
+    write("a.log", line(1, ssn="1-2", phone="7"), line(2))
+    run_source(spark, store, spec, seq=1)
+    plain = {r["timestamp"][-2:]: r for r in store.alerts.alerts().collect()}
+    assert not {"ssn", "phone"} & set(plain["01"]["extras"])
+    write("a.log", line(1, ssn="9-9"), line(2))
+    other = Store(spark, f"{tmp_path}/other")
+    run_source(spark, other, replace(spec, personal=True), seq=1)
+    asked = {r["timestamp"][-2:]: r for r in other.alerts.alerts().collect()}
+    assert asked["01"]["extras"]["ssn"] == "9-9" and asked["01"]["row_id"] == plain["01"]["row_id"]
 
 
 def test_unloadable_and_untimed_rows(spark, place):
     write, spec, store, _ = place
     write("a.log", json.dumps({"timestamp": "yesterday", "user_id": "E1"}), json.dumps({"user_id": "E2"}), line(7))
     assert run_source(spark, store, spec, seq=1) == 2
-    assert run_source(spark, store, SourceSpec(name=spec.name, type="file", path=spec.path, late_policy="allow"), seq=2) == 2
+    assert run_source(spark, store, spec, seq=2) == 0  # the file has been read
     assert store.alerts.alerts().count() == 2
     assert store.alerts.rejects().first()["error_reason"] == "timestamp: not a time: yesterday" or \
         store.alerts.rejects().first()["error_reason"].startswith("final_ts: not a time")
     assert store.cursor(spec) == "2026-01-01 00:00:07"
     failed = {r["id"]: r["failed_count"] for r in store.history().collect()}
-    assert failed == {"Auth_Logs-1": 1, "Auth_Logs-2": 1}
+    assert failed == {"Auth_Logs-1": 1, "Auth_Logs-2": 0}
 
 
 def test_a_failing_source_stops_alone(spark, place):
@@ -104,8 +167,9 @@ def test_a_failing_source_stops_alone(spark, place):
 def test_names_and_given_scores(spark, place, rows):
     write, spec, store, _ = place
     write("a.log", line(1, user="1"), line(2, user="2", risk_score=55.5, bytes_total="x", duration=3))
-    lookup = prepared_lookup(rows([("1", "Kim")], "emp_id string, emp_name string"))
-    assert prepared_lookup(None) is None
+    lookup = prepared_lookup(rows([("1", "Kim")], "emp_id string, emp_name string"), f"{store.root}/p")
+    assert prepared_lookup(None, f"{store.root}/q") is None
+    assert prepared_lookup(rows([], "emp_id string, emp_name string"), f"{store.root}/r") is None
     run_source(spark, store, spec, seq=1, lookup=lookup)
     got = {r["user_id"]: r for r in store.alerts.alerts().collect()}
     assert got["1"]["emp_name"] == "Kim" and got["2"]["emp_name"] == "Unknown_User"
@@ -162,7 +226,24 @@ def test_learning(spark, place, tmp_path):
     assert registered_rules(store, "Auth_Logs")[:2] == [("department", "department"), ("user_id", "user")]
     assert learned_rules(spark, folder).count() == 3
     spec = SourceSpec(name="Auth_Logs", type="file", path=f"{folder}/authentication_a.log")
-    assert discover_columns(spark, spec) == ["department", "ip", "user", "x"]
+    assert sorted(r["key"] for r in discover_columns(spark, spec).collect()) == ["department", "ip", "user", "x"]
+
+
+def test_a_cycle_uses_what_it_learned_and_names_people(spark, place, tmp_path, rows):
+    write, spec, store, _ = place
+    write("authentication_a.log", line(1, user="7"), json.dumps({"timestamp": "2026-01-01 00:00:02", "user": "8", "ip": "10.1.1.1"}))
+    register_reader("staff", lambda spark, spec, at: rows([("7", "Kim"), ("8", "Lee")], "Emp_ID string, Emp_Name string"))
+    people = SourceSpec(name="HR", type="staff", people=True, table_name="t", watermark_col="emp_id", watermark_default="0")
+    try:
+        run_all(spark, store, [people, spec], learn_from=f"{tmp_path}/logs")
+    finally:
+        READERS.pop("staff")
+    assert ("user_id", "user_id") in registered_rules(store, "Auth_Logs")
+    named = {r["timestamp"][-2:]: (r["user_id"], r["emp_name"]) for r in store.alerts.alerts().filter("log_source = 'Auth_Logs'").collect()}
+    assert named["01"] == ("7", "Kim")
+    # without its source of names a cycle still loads
+    write("authentication_b.log", line(9))
+    assert run_all(spark, store, [people, spec]) == 1
 
 
 # streams
@@ -182,10 +263,30 @@ def test_stream_loads_new_files_only(spark, place):
     write("b.log", line(2), line(3, action="next"))
     run_stream(spark, place)
     assert loaded(store) == [("01", "login"), ("02", "login"), ("03", "next")]
-    assert {r["id"]: r["processed_count"] for r in store.history().collect()} == {"Auth_Logs-0": 2, "Auth_Logs-1": 1}
+    # no row of the stream is late against the stream itself
+    assert {r["id"]: r["processed_count"] for r in store.history().collect()} == {"Auth_Logs-0": 2, "Auth_Logs-1": 2}
     assert store.cursor(spec) == "2026-01-01 00:00:03"
 
 
+@pytest.mark.parametrize("limits", [{}, {"max_files": 1}, {"max_files": 2}, {"max_bytes": 1}])
+def test_how_a_backlog_is_cut_does_not_decide_what_is_kept(spark, place, limits):
+    write, spec, store, checkpoint = place
+    write("z.log", line(1))
+    run_source(spark, store, spec, seq=1)
+    for host in range(3):
+        write(f"h{host}.log", *[line(s, user=f"H{host}") for s in range(0, 40, 7)])
+    query = start_loading(source_stream(spark, spec, **limits), store, spec, checkpoint, once=True, first_seq=10)
+    query.awaitTermination()
+    got = store.alerts.alerts().filter("user_id LIKE 'H%'")
+    assert got.count() == 3 * 5  # second 0 is late against the cursor the stream began with
+    late = {r["late"] for r in store.history().filter("start_time IS NOT NULL AND id <> 'Auth_Logs-1'").selectExpr("sum(late_count) AS late").collect()}
+    assert late == {3 + 1}
+    # a restart with new files sees the same cutoff
+    write("h9.log", line(2, user="H9"))
+    start_loading(source_stream(spark, spec, **limits), store, spec, checkpoint, once=True, first_seq=10).awaitTermination()
+    assert store.alerts.alerts().filter("user_id = 'H9'").count() == 1
+
+
 @pytest.mark.parametrize("step", ["save_cursor", "save_run"])
 def test_a_repeated_batch_takes_effect_once(spark, place, monkeypatch, step):
     """The stream dies after the load, before or after the cursor moved, and is restarted."""
@@ -223,3 +324,36 @@ def test_sources_stream_side_by_side(spark, place, tmp_path):
     assert {r["log_source"] for r in store.alerts.alerts().collect()} == {"Auth_Logs", "Web_Logs"}
     with pytest.raises(ValueError):
         source_stream(spark, SourceSpec(type="postgres"))
+
+
+def test_a_failed_stream_is_started_again_in_the_next_cycle(spark, place, tmp_path):
+    write, spec, store, checkpoint = place
+    write("a.log", line(1))
+
+    def fail(batches):
+        raise RuntimeError("no model")
+        yield
+
+    def broken(df):
+        return df.mapInPandas(fail, df.schema)
+
+    queries = start_all(spark, store, [spec], checkpoint, once=True, stages=[broken])
+    with pytest.raises(Exception):
+        queries["Auth_Logs"].awaitTermination()
+    again = start_all(spark, store, [spec], checkpoint, once=True, running=queries)
+    again["Auth_Logs"].awaitTermination()
+    assert again["Auth_Logs"] is not queries["Auth_Logs"]
+    assert loaded(store) == [("01", "login")]
+
+
+def test_a_topic_is_read_on_from_its_offsets(spark, place, monkeypatch):
+    """The topic is played by a folder: a stream with its own checkpoint, as the connector's."""
+    write, spec, store, _ = place
+    topic = replace(spec, type="kafka")
+    monkeypatch.setattr(streaming, "source_stream", lambda spark, s, **limits: source_stream(spark, spec))
+    write("a.log", line(1), line(2))
+    assert run_source(spark, store, topic) == 2
+    write("b.log", line(3))
+    assert run_source(spark, store, topic) == 1
+    assert run_source(spark, store, topic) == 0
+    assert len(loaded(store)) == 3

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import Row, functions as F
 
-from logweir.constants import MAPPING_RULES
+from logweir.constants import EPOCH_TEXT, MAPPING_RULES
 from logweir.functions.fingerprint import with_row_id
 from logweir.operators.columns import (
     classify_name,
@@ -15,9 +15,8 @@ from logweir.operators.columns import (
     nan_to_null,
     non_null_counts,
     standard_event,
-    without,
 )
-from logweir.operators.cursor import after_cursor, batch_metrics, resolve_cursors
+from logweir.operators.cursor import after_cursor, batch_metrics
 from logweir.operators.detect import score_model, score_rule_table, score_rules, to_notify
 from logweir.operators.enrich import (
     add_mapped_name,
@@ -27,7 +26,6 @@ from logweir.operators.enrich import (
     valid_departments,
     with_department,
 )
-from logweir.operators.sizes import broadcast_if_small
 from logweir.operators.keyed import (
     alert_document,
     conform,
@@ -48,6 +46,7 @@ from logweir.operators.mapping import (
 from logweir.operators.ordinal import assign_assets, with_ordinal
 from logweir.operators.parse import parse_lines
 from logweir.operators.totals import latest_runs, run_report, source_totals, union_all
+from logweir.plans.events import prepared_lookup
 from logweir.plans.stages import run_stages
 from logweir.schemas import PERSONAL_COLUMNS, alert_table
 from logweir.sources.rules import rules_from_xml
@@ -116,7 +115,6 @@ def test_times_do_not_depend_on_the_session_zone(spark, rows, zone):
 def test_required_columns_and_volatile_names(rows):
     df = complete_required(rows([(1, "x")], "row_id int, user string"))
     assert df.columns == ["row_id", "user", "user_id", "department", "action", "src_ip", "log_source"]
-    assert "row_id" not in without(df)
     assert fill_defaults(df).first()["user"] == "x"
 
 
@@ -228,20 +226,19 @@ def test_lookup_roles_and_last_row(rows):
     assert as_dicts(person_lookup(by_place)) == [{"person_id": "5", "person_name": "Kim"}]
 
 
-@pytest.mark.parametrize("max_bytes", [1 << 20, 0])
-def test_names_with_and_without_broadcast(spark, rows, max_bytes):
-    """A hot key, misses and nulls give the same rows on both join ways."""
-    lookup = broadcast_if_small(
-        person_lookup(rows([("1", "Kim"), ("2", "Lee")], "emp_id string, emp_name string")), max_bytes
-    )
+@pytest.mark.parametrize("bound", ["10m", "-1"])
+def test_names_with_and_without_broadcast(spark, rows, tmp_path, bound):
+    """A hot key, misses and nulls give the same rows on both join ways; Spark picks by size."""
+    people = rows([("1", "Kim"), ("2", "Lee")], "emp_id string, emp_name string")
+    lookup = prepared_lookup(people, f"{tmp_path}/people")
     data = [(i, 1 if i % 3 else i % 4) for i in range(60)] + [(99, None)]
     events = rows(data, "i int, user_id int")
     named = add_person_name(events, lookup)
     auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
     try:
         plan = named._jdf.queryExecution().executedPlan().toString()
-        assert ("BroadcastHashJoin" in plan) == bool(max_bytes)
+        assert ("BroadcastHashJoin" in plan) == (bound != "-1")
         got = {r["i"]: r["emp_name"] for r in named.collect()}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
@@ -354,17 +351,12 @@ def test_cursor_is_strict_and_typed(rows):
     df = rows([(1, "10"), (2, "9"), (None, None)], "n int, s string")
     assert [r["n"] for r in after_cursor(df, "n", "1").collect()] == [2]
     assert [r["s"] for r in after_cursor(df, "s", "10").collect()] == ["9"]
-    assert after_cursor(df, "n", "EMP001").count() == 3
+    assert after_cursor(df, "n", EPOCH_TEXT).count() == 3
+    with pytest.raises(ValueError, match="is no int"):
+        after_cursor(df, "n", "EMP001")
     assert batch_metrics(df, "n").first() == Row(row_count=3, watermark_value="2")
 
 
-def test_cursor_defaults(rows):
-    catalog = rows([("a", "0"), ("b", "0"), ("c", None), ("d", "0")], "source_name string, watermark_default string")
-    state = rows([("a", "EMP001"), ("b", "1970-01-01 00:00:00")], "source_name string, watermark_value string")
-    got = {r[0]: r[1] for r in resolve_cursors(catalog, state).collect()}
-    assert got == {"a": "EMP001", "b": "0", "c": "1970-01-01 00:00:00", "d": "0"}
-
-
 # keyed rows
 
 

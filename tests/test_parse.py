@@ -207,11 +207,19 @@ def test_fixed_form_agrees_with_open_form(spark):
 def test_open_schema_helpers(spark):
     df = spark.createDataFrame([('{"b":1,"x":true}',), ('{"a":"t"}',)], "value string")
     parsed = parse_lines(df)
-    assert union_of_keys(parsed) == ["a", "b", "x"]
-    with pytest.raises(ValueError):
-        union_of_keys(parsed, limit=2)
-    kind = infer_field_types(parsed).first()["record_type"]
-    assert kind == "OBJECT<a: STRING, b: BIGINT, x: BOOLEAN>"
+    assert sorted(r["key"] for r in union_of_keys(parsed).collect()) == ["a", "b", "x"]
+    more = spark.createDataFrame([('{"b":1.5,"a":null}',), ("[1]",), ("text",), ("7",)], "line string")
+    kinds = {r["key"]: r["type"] for r in infer_field_types(parsed.select("line").union(more)).collect()}
+    assert kinds == {"a": "STRING", "b": "DECIMAL(21,1)", "x": "BOOLEAN"}
+    many = spark.range(1).select(F.to_json(F.map_from_arrays(*[F.transform(F.sequence(F.lit(1), F.lit(3000)), lambda i: F.concat(F.lit("k"), i))] * 2)).alias("value"))
+    assert union_of_keys(parse_lines(many)).count() == 3000
+
+
+def test_blank_lines_stay_only_when_asked_for(spark):
+    df = spark.createDataFrame([(" \t",), ("",), (None,), ('{"a":1}',)], "value string")
+    assert parse_columns(df, ["a"]).count() == 1
+    kinds = sorted(r["parse_kind"] for r in parse_columns(df, ["a", "final_ts"], blank=True).collect())
+    assert kinds == ["blank"] * 3 + ["json"]
 
 
 def test_first_lines(spark, tmp_path):

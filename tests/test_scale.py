@@ -6,11 +6,11 @@ import glob
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logweir.operators.enrich import add_person_name, person_lookup
+from logweir.operators.enrich import add_person_name
 from logweir.operators.keyed import insert_unique
 from logweir.operators.ordinal import with_ordinal
 from logweir.operators.parse import parse_columns
-from logweir.operators.sizes import broadcast_if_small
+from logweir.plans.events import prepared_lookup
 from logweir.sinks.loads import LoadTable
 
 
@@ -40,12 +40,12 @@ def hot(column, every=3):
     return F.when(F.col(column) % every == 0, F.lit(7)).otherwise(F.col(column))
 
 
-def test_hot_user_is_split_where_the_lookup_is_too_large(spark):
+def test_hot_user_is_split_where_the_lookup_is_too_large(spark, tmp_path):
     with settings(spark, **SMALL):
         people = spark.range(20000).select(
             F.col("id").cast("string").alias("emp_id"), F.concat(F.lit("n"), "id").alias("emp_name")
         )
-        lookup = broadcast_if_small(person_lookup(people), max_bytes=1000)
+        lookup = prepared_lookup(people, f"{tmp_path}/people")
         text = F.sha2(F.col("id").cast("string"), 256).alias("text")
         events = spark.range(0, 60000, 1, 16).select(text, hot("id").alias("user_id"))
         named = add_person_name(events, lookup).agg(

@@ -4,9 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logweir.constants import EPOCH_TEXT
 from logweir.operators.keyed import conform
+from logweir.plans.store import Store
 from logweir.schemas import ALERT_DOC, REGISTRY, alert_table
 from logweir.sinks.alerts import (
+    TABLE_PARTS,
     AlertIndex,
     _same_times,
     as_documents,
@@ -19,6 +22,7 @@ from logweir.sinks.alerts import (
 )
 from logweir.sinks.loads import LoadTable
 from logweir.sinks.slots import SlotTable
+from logweir.sources.spec import SourceSpec
 
 SHAPE = T.StructType().add("k", "string").add("v", "integer").add("day", "string")
 
@@ -44,11 +48,39 @@ def test_newest_row_of_a_key_and_compaction(spark, tmp_path):
     table.put(_rows(spark, [("a", 2, "d1")]), "s", 2)
     want = {("a", 2), ("b", 1)}
     assert {(r["k"], r["v"]) for r in table.latest(["log_source", "k"]).collect()} == want
-    small = table.compact_to(f"{tmp_path}/b", ["log_source", "k"], 2)
-    assert {(r["k"], r["v"]) for r in small.rows().collect()} == want
-    small.put(_rows(spark, [("b", 3, "d1")]), "s", 3)
-    assert {(r["k"], r["v"]) for r in small.latest(["k"]).collect()} == {("a", 2), ("b", 3)}
-    assert table.rows().count() == 3
+    keys = ["log_source", "k"]
+    shown = lambda: {(r["k"], r["v"]) for r in table.latest(keys).collect()}
+    table.merge(keys)
+    assert table.base_rows().count() == 2 and shown() == want  # the newest load stays open
+    table.put(_rows(spark, [("b", 3, "d1"), ("c", 1, "d2")]), "s", 3)
+    table.merge(keys)
+    assert shown() == {("a", 2), ("b", 3), ("c", 1)}
+    assert {r["load_seq"] for r in table.open_rows().collect()} == {3}
+    table.merge(keys)  # nothing left to do
+    table.drop_merged()
+    assert {r["load_seq"] for r in table.rows().collect()} == {3} and shown() == {("a", 2), ("b", 3), ("c", 1)}
+    table.put(_rows(spark, [("x", 1, "d9")]), "t / 이름=1", 1)
+    table.merge(keys, keep=0)
+    table.drop_merged()
+    assert table.rows().isEmpty() and shown() == {("a", 2), ("b", 3), ("c", 1), ("x", 1)}
+
+
+def test_merging_again_after_a_failure_gives_the_same_rows(spark, tmp_path, monkeypatch):
+    table = LoadTable(spark, str(tmp_path), SHAPE, ["day"])
+    for seq in (1, 2, 3):
+        table.put(_rows(spark, [("a", seq, "d1"), (f"k{seq}", seq, f"d{seq}")]), "s", seq)
+    want = sorted(map(tuple, table.latest(["k"]).select("k", "v").collect()))
+
+    def die(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(table.merged, "upsert", die)
+        with pytest.raises(RuntimeError):
+            table.merge(["k"])
+    assert sorted(map(tuple, table.latest(["k"]).select("k", "v").collect())) == want
+    table.merge(["k"])
+    assert sorted(map(tuple, table.latest(["k"]).select("k", "v").collect())) == want
 
 
 def test_empty_table_reads_empty(spark, tmp_path):
@@ -123,9 +155,10 @@ def test_index_keeps_one_document_per_id(spark, tmp_path):
     assert (done["loaded"], done["rejected"], done["cursor"]) == (1, 1, "2026-01-01 10:00:00")
     assert index.summary("s", 2, "7", "port", "int")["cursor"] == "443"
     assert index.summary("s", 1, "2027-01-01 00:00:00")["cursor"] == "2027-01-01 00:00:00"
-    small = index.compact_to(f"{tmp_path}-small", 3)
-    assert small.rows().count() == 3 and small.rejects().count() == 1
-    assert sorted(r["row_id"] for r in small.alerts().collect()) == sorted(r["row_id"] for r in index.alerts().collect())
+    before = sorted(r["row_id"] for r in index.alerts().collect())
+    index.merge(keep=0)
+    assert index.open_rows().isEmpty() and index.rejects().count() == 1
+    assert sorted(r["row_id"] for r in index.alerts().collect()) == before
     assert index.documents().filter("user_id = 'E1'").first()["final_ts"] == "2026-01-01T10:00:00+09:00"
 
 
@@ -138,22 +171,34 @@ def test_filters_on_the_index_prune_its_folders(spark, tmp_path):
     assert "event_date" in filters and "log_source" in filters and "load_status" in filters
 
 
-def test_relational_table(spark):
+def test_relational_table(spark, tmp_path):
     create_alert_table(spark, "alert_rows")
     batch = spark.createDataFrame(
         [("2026-01-01 00:00:00", "E1", "1", "s", "a"), ("2026-01-01 00:00:00", "E1", "1", "s", "a"),
          ("2026-01-01 00:00:00", None, "1", "s", "b")],
         "final_ts string, emp_id string, src_ip string, log_source string, action string",
     )
-    insert_alerts(spark, "alert_rows", batch)
-    insert_alerts(spark, "alert_rows", batch.filter("emp_id IS NOT NULL"))
+    staging = f"{tmp_path}/staging"
+    insert_alerts(spark, "alert_rows", batch, staging, 1)
+    insert_alerts(spark, "alert_rows", batch, staging, 1)  # a retry: rows with a null key part too
+    insert_alerts(spark, "alert_rows", batch.filter("emp_id IS NOT NULL"), staging, 2)
     got = sorted(r["action"] for r in spark.table("alert_rows").collect())
     assert got == ["a", "b"]
-    assert spark.table("alert_rows").schema.fieldNames() == alert_table().fieldNames()
+    assert spark.table("alert_rows").schema.fieldNames() == [*alert_table().fieldNames(), *TABLE_PARTS]
     part = _same_times(spark.table("alert_rows"), conform(batch, alert_table()), ["final_ts"])
-    assert "GreaterThanOrEqual(final_ts" in part._jdf.queryExecution().executedPlan().toString()
-    insert_alerts(spark, "alert_rows", batch.limit(0))
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(final_ts" in plan and "alert_date" in plan[plan.index("PartitionFilters"):]
+    insert_alerts(spark, "alert_rows", batch.limit(0), staging, 3)
     assert spark.table("alert_rows").count() == 2
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    insert_alerts(spark, "alert_rows", batch.mapInArrow(counted, batch.schema), staging, 4)
+    assert seen.value == 3 and spark.table("alert_rows").count() == 3
     truncate_table(spark, "alert_rows")
     assert spark.table("alert_rows").isEmpty()
     with pytest.raises(Exception):
@@ -170,3 +215,16 @@ def test_reset_and_json_lines(spark, tmp_path):
     for _ in range(2):
         write_json_lines(spark.createDataFrame([("홍길동", 1)], "user string, n int"), out)
     assert [r[0] for r in spark.read.text(out).collect()] == ['{"user":"홍길동","n":1}'] * 2
+
+
+def test_position_of_a_source(spark, tmp_path):
+    """The saved cursor with its type; a saved epoch, or none, gives way to the default."""
+    store = Store(spark, str(tmp_path))
+    now = dt.datetime(2026, 1, 1)
+    saved = SourceSpec(name="a", watermark_default="0")
+    store.save_cursor(saved, "EMP001", "string", 1, now)
+    begun = SourceSpec(name="b", watermark_default="0")
+    store.save_cursor(begun, EPOCH_TEXT, "timestamp_ntz", 1, now)
+    assert store.position(saved) == ("EMP001", "string") and store.position(saved, before=1) == ("0", None)
+    assert store.position(begun) == ("0", None)
+    assert store.position(SourceSpec(name="c")) == (EPOCH_TEXT, None)

@@ -1,5 +1,5 @@
-import datetime as dt
 import json
+from dataclasses import replace
 
 import pytest
 
@@ -10,9 +10,9 @@ from logweir.sources.database import (
     jdbc_options,
     with_bounds,
 )
-from logweir.sources.files import log_path, read_lines
+from logweir.sources.files import log_path, present_files, read_lines
 from logweir.sources.kafka import kafka_options
-from logweir.sources.registry import READERS, read_source, register_reader
+from logweir.sources.registry import Position, READERS, read_source, register_reader
 from logweir.sources.rules import read_rules, rule_list, write_rules
 from logweir.sources.spec import SourceSpec, load_specs, read_catalog
 
@@ -40,7 +40,10 @@ def test_file_lines(spark, tmp_path):
     (tmp_path / "b.log").write_text("four", encoding="utf-8")
     spec = SourceSpec(name="x", type="file", path=f"{tmp_path}/*.log")
     assert sorted(r[0] for r in read_lines(spark, spec).collect()) == ["four", "one", "three", "two"]
-    assert read_lines(spark, spec, modified_after=dt.datetime(2200, 1, 1)).isEmpty()
+    assert len({r["place"] for r in read_lines(spark, spec).collect()}) == 4
+    assert [r[0] for r in read_lines(spark, spec, [f"{tmp_path}/b.log"]).collect()] == ["four"]
+    assert read_lines(spark, spec, []).isEmpty()
+    assert present_files(spark, SourceSpec(path=f"{tmp_path}/none/*.log", type="file")).isEmpty()
     assert read_lines(spark, SourceSpec(path=f"{tmp_path}/none/*.log", type="file")).isEmpty()
 
 
@@ -74,6 +77,25 @@ def test_split_bounds():
     given = SourceSpec(type="mysql", database="d", table_name="t", partition_col="id", partition_lower="1", partition_upper="9")
     assert with_bounds(None, given) is given
     assert jdbc_options(given)["numPartitions"] == "32"
+    # the bounds are those of the rows that will be read
+    marked = SourceSpec(type="mysql", host="h", port="1", database="d", table_name="t", watermark_col="n", partition_col="id")
+    asked = lambda spec, last, kind=None: bounds_options(spec, last, kind)["query"]
+    assert asked(marked, "7", "int") == "SELECT min(id) AS low, max(id) AS high FROM t WHERE n > 7"
+    assert asked(replace(marked, partition_col=None), "2026-01-01", "timestamp_ntz") == (
+        "SELECT min(n) AS low, max(n) AS high FROM t WHERE n > TIMESTAMP '2026-01-01'"
+    )
+    query = replace(marked, table_name=None, query="SELECT * FROM t WHERE n > :last_updated")
+    assert asked(query, "7", "bigint") == "SELECT min(id) AS low, max(id) AS high FROM (SELECT * FROM t WHERE n > 7) q"
+
+
+def test_a_saved_cursor_keeps_its_type():
+    query = SourceSpec(type="mysql", database="d", query="SELECT * FROM t WHERE c > :last_updated")
+    table = lambda last, kind: jdbc_options(query, last, kind)["dbtable"]
+    assert table("12", "int").endswith("c > 12) q") and table("12", "string").endswith("c > '12') q")
+    assert table("2026-01-01 00:00:00", "timestamp").endswith("c > TIMESTAMP '2026-01-01 00:00:00') q")
+    assert table("12", None).endswith("c > 12) q") and table("1970-01-01 00:00:00", None).endswith("c > '1970-01-01 00:00:00') q")
+    with pytest.raises(ValueError):
+        table("1; DROP TABLE t", "bigint")
 
 
 @pytest.mark.parametrize(
@@ -100,6 +122,12 @@ def test_table_cut_at_cursor(rows):
     spec = SourceSpec(type="mysql", table_name="t", watermark_col="emp_id")
     assert [r[0] for r in after_last(df, spec, "E1").collect()] == ["E2"]
     assert after_last(df, SourceSpec(type="mysql", query="q", watermark_col="emp_id"), "E1").count() == 2
+    numbers = rows([(1,), (12,)], "n int")
+    spec = SourceSpec(type="mysql", table_name="t", watermark_col="n")
+    assert [r[0] for r in after_last(numbers, spec, "9").collect()] == [12]
+    assert after_last(numbers, spec, "1970-01-01 00:00:00").count() == 2  # nothing read yet
+    with pytest.raises(ValueError, match="is no int"):
+        after_last(numbers, spec, "2026-01-01 00:00:00")
 
 
 def test_rule_files(spark, tmp_path, rows):
@@ -120,9 +148,9 @@ def test_rule_files(spark, tmp_path, rows):
 
 
 def test_reader_registry(spark, rows):
-    register_reader("Memory", lambda spark, spec, last, changed: rows([(last,)], "value string"))
+    register_reader("Memory", lambda spark, spec, at: rows([(at.last,)], "value string"))
     try:
-        assert read_source(spark, SourceSpec(type="memory"), "x").first()[0] == "x"
+        assert read_source(spark, SourceSpec(type="memory"), Position("x")).first()[0] == "x"
     finally:
         READERS.pop("memory")
     with pytest.raises(ValueError):
