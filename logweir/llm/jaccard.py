@@ -107,7 +107,7 @@ def _sets_table(words: int, percent: int, classes):
 
 
 def _packed(batches):
-    pack = zstandard.ZstdCompressor(1)
+    pack = zstandard.ZstdCompressor(3)
     for batch in batches:
         texts = [pack.compress(t.encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()]
         yield pa.record_batch([batch.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "packed"])
@@ -209,22 +209,22 @@ def _to_pivot(words: int, percent: int):
     def run(batches):
         key, pivot = None, None
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("pivot", "slice", "member")]
+            columns = [batch.column(c).to_pylist() for c in ("pivot", "slice", "first", "member")]
             found = shingle_sets(_texts(batch.column("packed").to_pylist()), words)
             rows = []
-            for p, piece, member, own in zip(*columns, found, strict=True):
+            for p, piece, first, member, own in zip(*columns, found, strict=True):
                 if (p, piece) != key:
                     key, pivot = (p, piece), own
                 common = len(np.intersect1d(own, pivot, assume_unique=True))
                 union = len(own) + len(pivot) - common
-                rows.append((p, member, 1 - common / union, 100 * common >= percent * union, len(own)))
-            p, member, distance, linked, n = zip(*rows, strict=True) if rows else ((),) * 5
+                rows.append((p, first, member, 1 - common / union, 100 * common >= percent * union, len(own)))
+            p, first, member, distance, linked, n = zip(*rows, strict=True) if rows else ((),) * 6
             yield pa.record_batch(
                 [
-                    pa.array(p, pa.int64()), pa.array(member, pa.int64()), pa.array(distance, pa.float64()),
+                    pa.array(p, pa.int64()), pa.array(first, pa.int64()), pa.array(member, pa.int64()), pa.array(distance, pa.float64()),
                     pa.array(linked, pa.bool_()), pa.array(n, pa.int64()), batch.column("packed"),
                 ],
-                ["pivot", "member", "distance", "linked", "n", "packed"],
+                ["pivot", "first", "member", "distance", "linked", "n", "packed"],
             )
 
     return run
@@ -244,39 +244,48 @@ def _n_blocks(members, shingles):
     return F.greatest(F.lit(1), F.ceil(members / BLOCK_MEMBERS), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
 
 
-def near_links(docs: DataFrame, sets: DataFrame, words: int, percent: int, classes, folder: str) -> DataFrame:
-    """(a, b): links between representatives of equal sets, enough to connect what is linked."""
-    spark = docs.sparkSession
-    first = sets.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("doc_id")).filter("doc_id IS NOT NULL")
-    nodes = sets.join(first, ["digest", "doc_id"], "left_semi")
-    tokens = nodes.select("doc_id", "n", F.explode("prefix").alias("token"))
+def near_links(docs: DataFrame, sets: DataFrame, first: DataFrame, words: int, percent: int, classes, folder: str) -> DataFrame:
+    """(a, b): links between representatives of equal sets, enough to connect what is linked.
+
+    `first` holds the representative of each set as (digest, first_id). What a frequent key is
+    joined with is stored before, so that Spark can split the key's partition.
+    """
+    nodes = sets.join(first.withColumnRenamed("first_id", "doc_id"), ["digest", "doc_id"], "left_semi")
+    tokens = nodes.select("doc_id", F.explode("prefix").alias("token"))
     groups = tokens.groupBy("token").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("top")).filter("top > pivot").select("token", "pivot")
-    met = tokens.join(groups, "token").select("pivot", F.col("doc_id").alias("member"), "n").distinct()
-    met = written(met, f"{folder}/met")
-    sizes = met.groupBy("pivot").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
-    sizes = sizes.select("pivot", _n_blocks(F.col("members"), F.col("shingles")).alias("blocks"))
-    texts = id_and_text(docs).mapInArrow(_packed, "doc_id long, packed binary")
-    met = met.join(sizes, "pivot")
-    placed = texts.join(met.withColumnRenamed("member", "doc_id").hint("shuffle_hash"), "doc_id").withColumnRenamed("doc_id", "member")
-    placed = written(placed.select("pivot", "member", "blocks", "packed"), f"{folder}/placed")
+    groups = written(groups, f"{folder}/groups")
+    met = written(tokens.join(groups, "token").select("pivot", F.col("doc_id").alias("member")).distinct(), f"{folder}/met")
+    met = met.join(sets.select(F.col("doc_id").alias("member"), "n").distinct(), "member")
+    met = written(_with_partners(met, percent), f"{folder}/partners")
+    sizes = met.groupBy("pivot").agg(F.min("member").alias("first"), F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    sizes = written(
+        sizes.select("pivot", "first", _n_blocks(F.col("members"), F.col("shingles")).alias("blocks")), f"{folder}/sizes"
+    )
+
+    def placed(buckets: DataFrame) -> DataFrame:
+        texts = id_and_text(docs).mapInArrow(_packed, "doc_id long, packed binary").withColumnRenamed("doc_id", "member")
+        return texts.join(met.join(buckets, "pivot").hint("shuffle_hash"), "member").select("pivot", "first", "member", "blocks", "packed")
 
     keys = ["pivot", "block_a", "block_b"]
     check = _verify(words, percent, classes)
-    small = _blocks(placed.filter("blocks = 1").withColumn("linked", F.lit(False)))
+    small = _blocks(placed(sizes.filter("blocks = 1")).withColumn("linked", F.lit(False)))
     links = small.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(check, "a long, b long")
+    if sizes.filter("blocks > 1").isEmpty():
+        return links
 
-    large = placed.filter("blocks > 1")
-    pivots = large.filter("pivot = member").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    others = large.filter("pivot <> member").withColumn("slice", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
-    slices = pivots.unionByName(others).repartition("pivot", "slice").sortWithinPartitions("pivot", "slice", F.col("member") != F.col("pivot"), "member")
-    told = slices.select("pivot", "slice", "member", "packed").mapInArrow(
-        _to_pivot(words, percent), "pivot long, member long, distance double, linked boolean, n long, packed binary"
+    # from here on the first member is the pivot of its bucket
+    large = placed(sizes.filter("blocks > 1"))
+    pivots = large.filter("first = member").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    others = large.filter("first <> member").withColumn("slice", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
+    slices = pivots.unionByName(others).repartition("pivot", "slice").sortWithinPartitions("pivot", "slice", F.col("member") != F.col("first"), "member")
+    told = slices.select("pivot", "slice", "first", "member", "packed").mapInArrow(
+        _to_pivot(words, percent), "pivot long, first long, member long, distance double, linked boolean, n long, packed binary"
     )
     told = written(told, f"{folder}/told")
-    by_pivot = told.filter("linked AND pivot <> member").select(F.col("pivot").alias("a"), F.col("member").alias("b"))
+    by_pivot = told.filter("linked AND first <> member").select(F.col("first").alias("a"), F.col("member").alias("b"))
     least = told.filter("NOT linked").groupBy("pivot").agg(F.min("distance").alias("least"))
     reach = 1 - percent / 100 + 1e-9
-    rest = told.filter("pivot <> member").join(least, "pivot").filter((~F.col("linked")) | (F.col("distance") >= F.col("least") - reach))
+    rest = told.filter("first <> member").join(least, "pivot").filter((~F.col("linked")) | (F.col("distance") >= F.col("least") - reach))
     rest = rest.select("pivot", "member", "linked", "n", "packed")
     again = rest.groupBy("pivot").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
     again = again.select("pivot", _n_blocks(F.col("members"), F.col("shingles")).alias("blocks"))
@@ -284,6 +293,19 @@ def near_links(docs: DataFrame, sets: DataFrame, words: int, percent: int, class
     return links.union(by_pivot).union(more)
 
 
+def _with_partners(met: DataFrame, percent: int) -> DataFrame:
+    """Members of a bucket that has another one of a size that similarity allows.
+
+    Sizes fall into classes so wide that similar sets are in one class or in two next to each
+    other; a member alone in its own class and those beside it has no partner.
+    """
+    classed = met.withColumn("class", F.floor(F.log("n") / float(np.log(100 / min(percent, 99)))))
+    counts = classed.groupBy("pivot", "class").agg(F.count("*").alias("c"))
+    near = counts.select("pivot", F.explode(F.array(*[F.col("class") + d for d in (-1, 0, 1)])).alias("class"), "c")
+    near = near.groupBy("pivot", "class").agg(F.sum("c").alias("near")).filter("near > 1")
+    return classed.join(near.select("pivot", "class"), ["pivot", "class"], "left_semi").drop("class")
+
+
 def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id), a row per row of `docs`.
 
@@ -303,14 +325,14 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
     )
     plain = sets.select("doc_id", "n", "digest")
     full = plain.filter("n > 0")
-    first = full.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
+    first = written(full.groupBy("digest").agg(F.min("doc_id").alias("first_id")), f"{folder}/first")
     known = written(
         full.join(first, "digest").select("doc_id", "n", "first_id").union(plain.filter("n = 0").select("doc_id", "n", "doc_id")),
         f"{folder}/known",
     )
     twice = known.groupBy("doc_id").agg(F.min("first_id").alias("a"), F.max("first_id").alias("z")).filter("a < z").select("doc_id", "a")
     same_id = known.join(twice, "doc_id").filter("n > 0").select("a", F.col("first_id").alias("b"))
-    links = near_links(docs, sets, words, percent, classes, folder).union(same_id)
+    links = near_links(docs, sets, first, words, percent, classes, folder).union(same_id)
     roots = components(links, folder).withColumnRenamed("a", "first_id")
     return known.join(roots, "first_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "first_id").alias("component_id")

@@ -28,6 +28,13 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.cumprod(np.r_[np.uint64(1), np.full(n - 1, b, np.uint64)], dtype=np.uint64) for b in (_BASE, inverse))
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each span of bytes that does not depend on where it stands."""
+    power, inverse = _powers(1 << max(20, int(max(len(data) - 1, 1)).bit_length()))
+    total = np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], dtype=np.uint64)]
+    return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
 def _pass_shingles(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
     """(index of the text, shingle) of one pass, in order, repeats included."""
     encoded = [t.encode("utf-8", "surrogatepass") for t in texts]
@@ -37,10 +44,7 @@ def _pass_shingles(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray
     edge = np.flatnonzero(np.diff(np.r_[True, blank].view(np.int8)))
     starts, ends = edge[0::2], edge[1::2]
     doc_ends = np.cumsum([len(e) + 1 for e in encoded])
-    size = 1 << max(20, int(len(data) - 1).bit_length())
-    power, inverse = _powers(size)
-    total = np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], dtype=np.uint64)]
-    word = mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    word = span_hashes(data, starts, ends)
     doc = np.searchsorted(doc_ends, starts, side="right")
     n = len(word)
     joined = np.zeros(max(n - words + 1, 0), np.uint64)
