@@ -69,20 +69,42 @@ def _anchor_hashes(data: np.ndarray) -> np.ndarray:
 
 def _owners(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place of the anchor, its hash) of the passage from each position on."""
-    n = len(data) - PASSAGE + 1
-    owner, value = np.zeros(n, np.int64), np.zeros(n, np.uint64)
-    for start in range(0, n, _SEGMENT):
-        size = min(_SEGMENT, n - start)
-        h = _anchor_hashes(data[start : start + size + PASSAGE - 1])
-        # the least of REACH + 1 hashes by their upper 40 bits, the first of equal ones
-        least = h >> np.uint64(24) << np.uint64(24) | np.arange(len(h), dtype=np.uint64)
-        for step in (1, 2, 4, 8):
-            least = np.minimum(least[:-step], least[step:])
-        rest = REACH + 1 - 16
-        least = np.minimum(least[:-rest], least[rest:])[:size]
-        place = (least & np.uint64((1 << 24) - 1)).astype(np.int64)
-        owner[start : start + size], value[start : start + size] = place + start, h[place]
-    return owner, value
+    h = _anchor_hashes(data)
+    # the least of REACH + 1 hashes by their upper 40 bits, the first of equal ones
+    least = h >> np.uint64(24) << np.uint64(24) | np.arange(len(h), dtype=np.uint64)
+    for step in (1, 2, 4, 8):
+        least = np.minimum(least[:-step], least[step:])
+    rest = REACH + 1 - 16
+    least = np.minimum(least[:-rest], least[rest:])
+    place = (least & np.uint64((1 << 24) - 1)).astype(np.int64)
+    return place, h[place]
+
+
+def _stretches(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(anchor, first and last passage, hash, document) of each anchor, a segment at a time.
+
+    An anchor's passages are one stretch of positions; passages across documents are none.
+    """
+    found = []
+    for start in range(0, len(data) - PASSAGE + 1, _SEGMENT):
+        own, value = _owners(data[start : start + _SEGMENT + PASSAGE - 1])
+        at = np.arange(start, start + len(own))
+        doc = np.searchsorted(ends, at, side="right")
+        whole = np.flatnonzero(ends[doc] - at >= PASSAGE)
+        if not len(whole):
+            continue
+        own, at = own[whole] + start, at[whole]
+        new = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (np.diff(at) != 1)])
+        last = at[np.r_[new[1:], len(at)] - 1]
+        part = [own[new], at[new], last, value[whole][new], doc[whole][new]]
+        if found and found[-1][0][-1] == part[0][0] and found[-1][2][-1] + 1 == part[1][0]:
+            found[-1][2][-1] = part[2][0]  # a stretch goes on in the next segment
+            part = [p[1:] for p in part]
+        if len(part[0]):
+            found.append(part)
+    if not found:
+        return tuple(np.zeros(0, k) for k in (np.int64, np.int64, np.int64, np.uint64, np.int64))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
 class _Block:
@@ -93,22 +115,11 @@ class _Block:
         self.text = zstandard.ZstdDecompressor().decompress(row["packed"])
         self.ends = np.cumsum(self.sizes)
         self.data = np.frombuffer(self.text, np.uint8)
-        empty = np.zeros(0, np.int64)
-        self.at, self.first, self.last, self.hash, self.doc = empty, empty, empty, empty.astype(np.uint64), empty
-        if len(self.data) >= PASSAGE:
-            owner, value = _owners(self.data)
-            left = np.repeat(self.ends, self.sizes)[: len(owner)] - np.arange(len(owner))
-            whole = np.flatnonzero(left >= PASSAGE)  # passages within one document
-            own = owner[whole]
-            # an anchor's passages are one stretch of positions
-            starts = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (np.diff(whole) != 1)]) if len(own) else empty
-            self.at, self.first = own[starts], whole[starts]
-            self.last = whole[np.r_[starts[1:], len(whole)] - 1] if len(own) else empty
-            self.hash = value[self.first]
-            self.doc = self.ids[np.searchsorted(self.ends, self.first, side="right")]
+        self.at, self.first, self.last, self.hash, doc = _stretches(self.data, self.ends)
+        self.doc = self.ids[doc]
         self.order = np.argsort(self.hash, kind="stable")
         sorted_hash = self.hash[self.order]
-        self.starts = np.flatnonzero(np.r_[True, sorted_hash[1:] != sorted_hash[:-1]]) if len(self.hash) else empty
+        self.starts = np.flatnonzero(np.r_[True, sorted_hash[1:] != sorted_hash[:-1]]) if len(self.hash) else np.zeros(0, np.int64)
         self.distinct = sorted_hash[self.starts]
 
     def cuts(self, keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -133,10 +144,10 @@ class _Block:
         high = np.r_[(self.at - self.first)[usual], np.zeros(len(single), np.int64)]
         doc = np.r_[self.doc[usual], np.repeat(self.doc[often], times)]
         padded = np.r_[np.zeros(REACH, np.uint8), self.data, np.zeros(PASSAGE, np.uint8)]
-        column = np.arange(PASSAGE)
-        suffix = np.where(column < PASSAGE - low[:, None], padded[REACH + at[:, None] + column], 0).astype(np.uint8)
-        column = np.arange(REACH)
-        left = np.where(column < high[:, None], padded[REACH + at[:, None] - 1 - column], 0).astype(np.uint8)
+        around = np.lib.stride_tricks.sliding_window_view(padded, REACH + PASSAGE)[at]  # from REACH before the anchor on
+        suffix, left = around[:, REACH:].copy(), around[:, REACH - 1 :: -1].copy()
+        suffix[np.arange(PASSAGE) >= PASSAGE - low[:, None]] = 0
+        left[np.arange(REACH) >= high[:, None]] = 0
         return _Records(at, low, high, doc, suffix, left, np.r_[self.hash[usual], _row_hash(suffix[len(usual) :])], buckets)
 
 
@@ -224,17 +235,23 @@ def _part(bucket, block, data) -> pa.RecordBatch:
     return pa.record_batch([pa.array(v, k) for v, k in zip((bucket, block, data), kinds, strict=True)], ["bucket", "block", "data"])
 
 
+def _each(batches):
+    """Row after row: a row is a block, of which one at a time is unpacked."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _send_hashes(buckets: int):
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = _Block(row)
-                if not len(block.distinct):
-                    continue
-                counted, cuts = block.counted(), block.cuts(block.distinct, buckets)
-                used = np.flatnonzero(np.diff(cuts)).tolist()
-                data = [_packed(np.diff(block.distinct[cuts[b] : cuts[b + 1]], prepend=np.uint64(0)), counted[cuts[b] : cuts[b + 1]]) for b in used]
-                yield _part(used, [row["block"]] * len(used), data)
+        for row in _each(batches):
+            block = _Block(row)
+            if not len(block.distinct):
+                continue
+            counted, cuts = block.counted(), block.cuts(block.distinct, buckets)
+            used = np.flatnonzero(np.diff(cuts)).tolist()
+            data = [_packed(np.diff(block.distinct[cuts[b] : cuts[b + 1]], prepend=np.uint64(0)), counted[cuts[b] : cuts[b + 1]]) for b in used]
+            yield _part(used, [row["block"]] * len(used), data)
 
     return run
 
@@ -283,14 +300,13 @@ def _told(parts) -> np.ndarray:
 
 def _send_runs(buckets: int):
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                told = _told(row["told"])
-                if not told.any():
-                    continue
-                records = _Block(row).records(told, buckets)
-                runs = [(b, data) for b in np.flatnonzero(np.diff(records.cuts)).tolist() if (data := records.run(b))]
-                yield _part([b for b, _ in runs], [row["block"]] * len(runs), [d for _, d in runs])
+        for row in _each(batches):
+            told = _told(row["told"])
+            if not told.any():
+                continue
+            records = _Block(row).records(told, buckets)
+            runs = [(b, data) for b in np.flatnonzero(np.diff(records.cuts)).tolist() if (data := records.run(b))]
+            yield _part([b for b, _ in runs], [row["block"]] * len(runs), [d for _, d in runs])
 
     return run
 
@@ -364,7 +380,7 @@ def _removed(row: dict, buckets: int) -> tuple[_Block | None, bytes, np.ndarray,
         return text, sizes, np.zeros(len(text), bool)
     block = _Block(row)
     records = block.records(_told(row["told"]), buckets)
-    begins, stops = np.zeros(len(block.data) + 1, np.int64), np.zeros(len(block.data) + 1, np.int64)
+    depth = np.zeros(len(block.data) + 1, np.int32)
     bounds = np.r_[records.starts, len(records.members)]
     for part in row["answers"]:
         record, near, far, doc = _unpacked(part["data"], np.int64, np.uint8, np.uint8, np.int64)
@@ -374,9 +390,9 @@ def _removed(row: dict, buckets: int) -> tuple[_Block | None, bytes, np.ndarray,
         member = records.members[np.repeat(bounds[record], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)]
         later = doc[which] < records.doc[member]
         at, which = records.at[member][later], which[later]
-        begins += np.bincount(at - far[which], minlength=len(begins))
-        stops += np.bincount(at - near[which] + PASSAGE, minlength=len(stops))
-    return block.text, sizes, np.cumsum(begins - stops)[:-1] > 0
+        np.add.at(depth, at - far[which], 1)
+        np.subtract.at(depth, at - near[which] + PASSAGE, 1)
+    return block.text, sizes, np.cumsum(depth[:-1], dtype=np.int32) > 0
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
@@ -401,32 +417,31 @@ def _result(buckets: int, text_name: str | None, schema: pa.Schema | None, count
     """Blocks with their answers to rows: a report, or the rows with their texts changed."""
 
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                text, sizes, gone = _removed(row, buckets)
-                rest = pa.ipc.open_stream(row["rest"]).read_next_batch()
-                ends = np.cumsum(sizes).tolist()
-                spans, kept = [], []
-                for a, b in zip([0, *ends[:-1]], ends, strict=True):
-                    mask, own = gone[a:b], text[a:b]
-                    if schema is not None and mask.any():
-                        mask = _whole_characters(own, mask)
-                    spans.append(_spans(mask))
-                    kept.append(np.frombuffer(own, np.uint8)[~mask].tobytes() if spans[-1] else own)
-                if schema is None:
-                    yield pa.record_batch(
-                        [rest.column(0), pa.array(sizes), pa.array(spans, _SPANS), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "removed", "kept"]
-                    )
-                    continue
-                columns = {n: rest.column(i) for i, n in enumerate(rest.schema.names)}
-                texts = [k.decode() for k in kept]
-                columns[text_name] = pa.array(texts, pa.string())
-                stays = pa.array([bool(k) or not s for k, s in zip(kept, spans, strict=True)])
-                if count_at is not None:
-                    name = schema.names[count_at]
-                    changed = pa.array([bool(s) for s in spans])
-                    columns[name] = pc.if_else(changed, pa.array([len(t) for t in texts]).cast(schema.field(count_at).type), columns[name])
-                yield pa.record_batch([columns[n] for n in schema.names], schema.names).filter(stays)
+        for row in _each(batches):
+            text, sizes, gone = _removed(row, buckets)
+            rest = pa.ipc.open_stream(row["rest"]).read_next_batch()
+            ends = np.cumsum(sizes).tolist()
+            spans, kept = [], []
+            for a, b in zip([0, *ends[:-1]], ends, strict=True):
+                mask, own = gone[a:b], text[a:b]
+                if schema is not None and mask.any():
+                    mask = _whole_characters(own, mask)
+                spans.append(_spans(mask))
+                kept.append(np.frombuffer(own, np.uint8)[~mask].tobytes() if spans[-1] else own)
+            if schema is None:
+                yield pa.record_batch(
+                    [rest.column(0), pa.array(sizes), pa.array(spans, _SPANS), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "removed", "kept"]
+                )
+                continue
+            columns = {n: rest.column(i) for i, n in enumerate(rest.schema.names)}
+            texts = [k.decode() for k in kept]
+            columns[text_name] = pa.array(texts, pa.string())
+            stays = pa.array([bool(k) or not s for k, s in zip(kept, spans, strict=True)])
+            if count_at is not None:
+                name = schema.names[count_at]
+                changed = pa.array([bool(s) for s in spans])
+                columns[name] = pc.if_else(changed, pa.array([len(t) for t in texts]).cast(schema.field(count_at).type), columns[name])
+            yield pa.record_batch([columns[n] for n in schema.names], schema.names).filter(stays)
 
     return run
 
