@@ -4,12 +4,32 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import string
 from functools import lru_cache
 
+import numpy as np
+
+from logweir.llm.shingles import span_hashes
+
 # Fixed value: the word pattern of the public file for which words can be looked up.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Words a Python worker remembers; a full memory starts anew.
-MEMORY = 400_000
+#: Words a Python worker remembers before it starts anew.
+MEMORY = 800_000
+#: Words that are encoded in one call.
+JOINED = 1000
+# Marks that never take part in a contraction or, without letters, in a special token.
+_MARKS = "".join(c for c in string.punctuation if c != "'")
+# Characters of which each has one small form, whatever stands beside it.
+_PLAIN = re.compile("[^\x00-\u012f\u0131-\u024f]")
+# What keeps a text from being cut by its bytes alone: other characters than ASCII and Latin
+# letters, a contraction, a special token.
+_CUT = re.compile("[^\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]|'[sStTrRvVmMlLdD]|<\\|")
+_BLANK, _LETTER, _DIGIT, _MARK = range(4)
+_KIND = np.full(256, _LETTER, np.uint8)
+_KIND[:128] = [
+    _BLANK if 9 <= c <= 13 or c == 32 else _DIGIT if chr(c).isdigit() else _LETTER if chr(c).isalpha() else _MARK for c in range(128)
+]
 
 
 def _drops_blanks(config: dict) -> bool:
@@ -24,11 +44,43 @@ def _drops_blanks(config: dict) -> bool:
     )
 
 
+class _Table:
+    """Ids of words by their hashes, in sorted arrays."""
+
+    def __init__(self):
+        self.hash, self.head = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.size, self.begin, self.times = (np.zeros(0, np.int64) for _ in range(3))
+        self.ids = np.zeros(0, "<u4")
+
+    def missing(self, hashes: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.hash, hashes)
+        known = np.zeros(len(hashes), bool)
+        inside = at < len(self.hash)
+        known[inside] = self.hash[at[inside]] == hashes[inside]
+        return np.flatnonzero(~known)
+
+    def find(self, hashes: np.ndarray, head: np.ndarray, size: np.ndarray) -> np.ndarray | None:
+        """Places of the words; none if one is not known, or known as another word."""
+        at = np.searchsorted(self.hash, hashes)
+        if len(at) and (at[-1] >= len(self.hash) or (self.hash[at] != hashes).any()):
+            return None
+        return at if (self.head[at] == head).all() and (self.size[at] == size).all() else None
+
+    def add(self, hashes, head, size, ids: list[bytes]) -> None:
+        times = np.array([len(i) // 4 for i in ids], np.int64)
+        begin = len(self.ids) + np.cumsum(times) - times
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), "<u4")])
+        order = np.argsort(np.concatenate([self.hash, hashes]), kind="stable")
+        for name, more in (("hash", hashes), ("head", head), ("size", size), ("begin", begin), ("times", times)):
+            setattr(self, name, np.concatenate([getattr(self, name), more])[order])
+
+
 class WordIds:
     """Little-endian 32-bit ids of texts, as the library gives them.
 
     Where the file's words end at white space at the latest and white space gives no token,
-    a text is cut at ASCII blanks and each cut is encoded by the library once.
+    a text is cut at ASCII blanks and each cut is encoded by the library once. Small
+    letters are made first where that is sure to be what the library does.
     """
 
     def __init__(self, path: str):
@@ -39,27 +91,103 @@ class WordIds:
         with open(path, encoding="utf-8") as f:
             self._by_word = _drops_blanks(json.load(f))
         self._known: dict[str, bytes] = {"": b""}
+        self._table = _Table()
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
         return [np.array(e.ids, "<u4").tobytes() for e in self._tool.encode_batch(texts, add_special_tokens=False)]
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        if not self._by_word:
-            return self._library(texts)
-        known, cut = self._known, [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        missing = set().union(*cut) - known.keys()
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """Words of letters only, many in a call: blanks part them, and each is one word of the file."""
+        out = {}
+        for start in range(0, len(words), JOINED):
+            part = words[start : start + JOINED]
+            found = self._tool.encode(" ".join(part), add_special_tokens=False)
+            of, ids = np.array(found.word_ids), np.array(found.ids, "<u4").tobytes()
+            cuts = (4 * np.searchsorted(of, np.arange(len(part) + 1))).tolist()
+            if of[-1] != len(part) - 1:  # a word that the file sees otherwise
+                out.update(zip(part, self._library(part), strict=True))
+            else:
+                out.update((w, ids[a:b]) for w, a, b in zip(part, cuts, cuts[1:], strict=False))
+        return out
+
+    def _learn(self, missing: set[str]) -> None:
+        known = self._known
         if len(known) + len(missing) > MEMORY:
             known.clear()
-            missing = set().union(*cut)
-        # a word with ASCII stops behind it is the word's ids and the stops' ids
-        ends = {w: (s, w[len(s) :]) for w in missing if (s := w.rstrip(".,;:!?")) != w and s.isalpha() and max(s) < "ɐ"}
+            known[""] = b""
+        missing = missing - known.keys()
+        # a word with marks behind it is the word's ids and the marks' ids
+        ends = {w: (s, w[len(s) :]) for w in missing if (s := w.rstrip(_MARKS)) != w and s.isalpha() and not _PLAIN.search(s)}
         missing = (missing - ends.keys()).union(*ends.values()) - known.keys()
-        missing = list(missing)
-        known.update(zip(missing, self._library(missing), strict=True))
+        letters = [w for w in missing if w.isalpha() and not _PLAIN.search(w)]
+        known.update(self._words(letters))
+        others = list(missing.difference(letters))
+        known.update(zip(others, self._library(others), strict=True))
         known.update((w, known[a] + known[b]) for w, (a, b) in ends.items())
-        return [b"".join(map(known.__getitem__, words)) for words in cut]
+
+    def _by_bytes(self, texts: list[str]) -> list[bytes]:
+        """Texts of ASCII and Latin letters: runs of letters, digits one by one, runs of marks.
+
+        Equal runs of the batch are looked up once. They are told by a 64-bit hash, their
+        length and their first eight bytes.
+        """
+        encoded = [t.lower().encode() for t in texts]
+        joined = b" ".join(encoded) + b" " * 8
+        data = np.frombuffer(joined, np.uint8)
+        kind = _KIND[data]
+        starts = np.flatnonzero(np.r_[True, (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)])
+        ends = np.r_[starts[1:], len(data)]
+        word = kind[starts] != _BLANK
+        starts, ends = starts[word], ends[word]
+        hashes, sizes = span_hashes(data, starts, ends), ends - starts
+        head = np.lib.stride_tricks.sliding_window_view(data, 8)[starts].copy().view(np.uint64).ravel()
+        head &= np.uint64(2**64 - 1) >> (np.uint64(8) * (8 - np.minimum(sizes, 8)).astype(np.uint64))
+        distinct, first, same = np.unique(hashes, return_index=True, return_inverse=True)
+        if (head != head[first[same]]).any() or (sizes != sizes[first[same]]).any():
+            return self._by_words(texts)
+        at = self._table.find(distinct, head[first], sizes[first])
+        if at is None:
+            if len(self._table.hash) > MEMORY:
+                self._table = _Table()
+            new = self._table.missing(distinct)
+            of = first[new]
+            words = [joined[a:b].decode() for a, b in zip(starts[of].tolist(), ends[of].tolist(), strict=True)]
+            letters = [w for w in words if w.isalpha()]
+            ids = self._words(letters)
+            others = [w for w in words if w not in ids]
+            ids.update(zip(others, self._library(others), strict=True))
+            self._table.add(distinct[new], head[of], sizes[of], [ids[w] for w in words])
+            at = self._table.find(distinct, head[first], sizes[first])
+            if at is None:
+                return self._by_words(texts)
+        begin, times = self._table.begin[at][same], self._table.times[at][same]
+        done = np.cumsum(times)
+        total = int(done[-1]) if len(done) else 0
+        out = self._table.ids[np.repeat(begin - (done - times), times) + np.arange(total)].tobytes()
+        doc_ends = np.cumsum([len(e) + 1 for e in encoded])
+        words_until = np.searchsorted(starts, doc_ends)
+        cuts = [0, *(4 * np.r_[0, done][words_until]).tolist()]
+        return [out[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        if not self._by_word:
+            return self._library(texts)
+        plain = [not _CUT.search(t) for t in texts]
+        bytewise = iter(self._by_bytes([t for t, p in zip(texts, plain, strict=True) if p]))
+        others = iter(self._by_words([t for t, p in zip(texts, plain, strict=True) if not p]))
+        return [next(bytewise if p else others) for p in plain]
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
+        """Any texts, cut at ASCII blanks."""
+        small = [t if _PLAIN.search(t) else t.lower() for t in texts]
+        cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in small]
+        met = set().union(*cut)
+        missing = met - self._known.keys()
+        if missing:
+            if len(self._known) + len(missing) > MEMORY:
+                missing = met  # of the batch at hand nothing may be forgotten
+            self._learn(missing)
+        return [b"".join(map(self._known.__getitem__, words)) for words in cut]
 
 
 @lru_cache(maxsize=4)

@@ -7,6 +7,8 @@ sequence by itself, so nothing is padded and no attention crosses documents.
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -25,11 +27,10 @@ def binary_pieces(n: int, longest: int) -> list[tuple[int, int]]:
     lengths = [longest] * (n // longest)
     rest = n % longest
     lengths += [1 << bit for bit in range(rest.bit_length() - 1, -1, -1) if rest >> bit & 1]
-    starts = np.cumsum([0, *lengths]).tolist()
-    return list(zip(starts, lengths, strict=False))
+    return list(zip(accumulate(lengths, initial=0), lengths, strict=False))
 
 
-def _cut(path: str, end_id: int, longest: int, texts_at_once: int = 256):
+def _cut(path: str, end_id: int, longest: int, texts_at_once: int = 1024):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
