@@ -68,11 +68,13 @@ def clean_events(
     ingest_time: Column | None = None,
     rules=None,
     blank: bool = False,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Parse, name, map and normalise one source's rows.
 
     The policy `last` takes a column even where it is null, so there the columns that are
-    empty in the whole batch are dropped first, which takes a pass over it.
+    empty in the whole batch are dropped first, which takes a pass over it. A load gives
+    `stage`, which stores the parsed rows: they are then counted and mapped from there.
     """
     rules = spec.field_rules if rules is None else rules
     rows = enrich(parsed_rows(raw, spec, blank), lookup, rules)
@@ -81,6 +83,7 @@ def clean_events(
         kind = F.when(F.col("parse_kind") == BLANK, F.lit(BLANK))
         rows = rows.withColumn("error_reason", F.coalesce(kind, "error_reason"))
     if spec.mapping_policy == "last":
+        rows = rows if stage is None else stage(rows)
         rows = drop_all_null_columns(rows, keep=("extras", "error_reason", "place"))
     return standard_event(apply_rules(rows, rules, spec.mapping_policy), spec.name, ingest_time)
 
@@ -94,6 +97,7 @@ def scored_events(
     ingest_time: Column | None = None,
     rules=None,
     counted: bool = False,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Clean events after the cursor, scored.
 
@@ -101,7 +105,7 @@ def scored_events(
     when read. With `counted`, as in a load, rows that are cut and blank lines stay, marked
     by their `error_reason`, until they have been counted.
     """
-    events = clean_events(raw, spec, lookup, ingest_time, rules, counted)
+    events = clean_events(raw, spec, lookup, ingest_time, rules, counted, stage)
     if spec.kind in LINE_KINDS and spec.late_policy == "drop" and last is not None:
         late = ~(F.col("final_ts") > F.lit(last).cast("timestamp_ntz"))
         if counted:

@@ -2,6 +2,7 @@
 
 import logging
 import time
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -42,7 +43,8 @@ def load_batch(
         saved = store.cursor(spec, before=seq)
         last = saved if last is None else last
         now = F.lit(str(started))
-        events = scored_events(raw, spec, last, lookup, stages, now, rules, counted=True)
+        stage = partial(store.staged, source=spec.name, seq=seq)
+        events = scored_events(raw, spec, last, lookup, stages, now, rules, counted=True, stage=stage)
         store.alerts.put(as_documents(events, spec.personal), spec.name, seq)
         cursor_col, kind = _cursor_of(spec, raw)
         done = store.alerts.summary(spec.name, seq, saved, cursor_col, kind)

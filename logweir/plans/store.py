@@ -71,6 +71,12 @@ class Store:
         row = (run_id, spec.name, "alerts", *counts, status, error, started, now)
         self._history.put(self.spark.createDataFrame([row], HISTORY), spec.name, seq)
 
+    def staged(self, rows: DataFrame, source: str, seq: int) -> DataFrame:
+        """Rows of a load as stored, so that reading them twice computes them once."""
+        table = LoadTable(self.spark, f"{self.root}/staging", rows.drop("log_source", "load_seq").schema)
+        table.put(rows, source, seq)
+        return table.load(source, seq).select(*rows.columns)
+
     def loaded_count(self, source: str) -> int:
         """Rows that all loads of a source have stored, by the history."""
         runs = self.history().filter(F.col("source_name") == source)

@@ -55,8 +55,8 @@ ALERT_DOC = _struct(
     event_date=T.DateType(),
 )
 
-# Columns of the relational alert table.
-ALERT_CORE = _struct(
+# Columns of the relational alert table, in order.
+ALERT_TABLE = _struct(
     final_ts=_NTZ,
     log_source=_S,
     user_id=_S,
@@ -65,6 +65,7 @@ ALERT_CORE = _struct(
     action=_S,
     risk_score=_D,
     alert_message=_S,
+    salary=_D,
     bytes_total=_L,
     packets_total=_L,
     machine_name=_S,
@@ -77,24 +78,21 @@ ALERT_CORE = _struct(
     duration=_I,
     end_time=_S,
     timestamp=_S,
-    emp_id=_S,
-    emp_name=_S,
-    static_ip=_S,
-)
-# Personal data: only written when asked for, never part of a fingerprint.
-ALERT_PERSONAL = _struct(
-    salary=_D,
     hire_date=_S,
     email=_S,
+    emp_id=_S,
+    emp_name=_S,
     job_title=_S,
     phone=_S,
     rank_name=_S,
     ssn=_S,
+    static_ip=_S,
+    created_at=_NTZ,
 )
-PERSONAL_COLUMNS = ALERT_PERSONAL.fieldNames()
+# Personal data: only written when asked for, never part of a fingerprint.
+PERSONAL_COLUMNS = ["salary", "hire_date", "email", "job_title", "phone", "rank_name", "ssn"]
 
 
 def alert_table(personal: bool = False) -> T.StructType:
     """The relational alert table; personal columns are opt-in."""
-    fields = ALERT_CORE.fields + (ALERT_PERSONAL.fields if personal else [])
-    return T.StructType(fields + [T.StructField("created_at", _NTZ)])
+    return T.StructType([f for f in ALERT_TABLE if personal or f.name not in PERSONAL_COLUMNS])

@@ -192,6 +192,21 @@ def test_policy_last_depends_on_the_columns_of_the_batch(spark, place):
     assert got == [("01", "E1", "10.0.0.1"), ("02", "Unknown_ID", "10.0.0.1"), ("03", "Lee", "Internal")]
 
 
+def test_policy_last_evaluates_each_row_once(spark, place):
+    write, spec, store, _ = place
+    write("a.log", *[line(s) for s in range(1, 11)])
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    raw = spark.read.text(spec.path).mapInArrow(counted, "value string")
+    assert load_batch(store, replace(spec, mapping_policy="last"), raw, 1) == 10
+    assert seen.value == 10
+
+
 def test_table_rows_take_their_own_cursor(spark, tmp_path, rows):
     store = Store(spark, str(tmp_path / "s"))
     spec = SourceSpec(name="hr", type="postgres", database="d", table_name="t", watermark_col="emp_no", watermark_default="0")
