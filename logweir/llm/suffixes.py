@@ -36,9 +36,9 @@ from logweir.llm.tables import free_name, id_and_text, run_folder, ship
 
 PASSAGE, ANCHOR = 50, 24
 REACH = PASSAGE - ANCHOR  # the farthest a passage begins before its anchor
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Text per bucket of anchors.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 #: Suffixes of one anchor from which its passages go apart.
 FREQUENT = 4096
 _NO_DOC = np.iinfo(np.int64).max
