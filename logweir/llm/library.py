@@ -172,7 +172,8 @@ class WordIds:
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self._by_word:
             return self._library(texts)
-        plain = [not _CUT.search(t) for t in texts]
+        # ASCII without an apostrophe or a special token needs no closer look
+        plain = [t.isascii() and "'" not in t and "<|" not in t or not _CUT.search(t) for t in texts]
         bytewise = iter(self._by_bytes([t for t, p in zip(texts, plain, strict=True) if p]))
         others = iter(self._by_words([t for t, p in zip(texts, plain, strict=True) if not p]))
         return [next(bytewise if p else others) for p in plain]

@@ -31,7 +31,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of each span of bytes that does not depend on where it stands."""
     power, inverse = _powers(1 << max(20, int(max(len(data) - 1, 1)).bit_length()))
-    total = np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], dtype=np.uint64)]
+    total = np.r_[np.uint64(0), np.cumsum(data * power[: len(data)], dtype=np.uint64)]
     return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 

@@ -75,7 +75,7 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
 @lru_cache(maxsize=2)
 def _codes(lengths: bytes) -> tuple[np.ndarray, np.ndarray]:
     array = np.frombuffer(lengths, np.uint8)
-    return canonical_codes(array), array.astype(np.int64)
+    return canonical_codes(array) << (np.uint64(64) - np.maximum(array, 1).astype(np.uint64)), array.astype(np.int64)
 
 
 @lru_cache(maxsize=2)
@@ -94,18 +94,15 @@ def _table(lengths: bytes) -> tuple[np.ndarray, np.ndarray]:
 def pack_bits(ids: np.ndarray, lengths: bytes) -> tuple[bytes, bytes]:
     """(bits, offsets) of ids: codes one after the other, and where each 128th begins."""
     codes, sizes = _codes(lengths)
-    size = sizes[ids]
+    size, code = sizes[ids], codes[ids]  # a code stands at the upper end of its 64 bits
     ends = np.cumsum(size)
     at = ends - size
     words = np.zeros((int(ends[-1]) >> 6) + 2, np.uint64)
-    word, bit = at >> 6, at & 63
-    spill = bit + size - 64  # bits that go to the next word
-    code = codes[ids]
-    high = np.where(spill > 0, code >> np.maximum(spill, 0).astype(np.uint64), code << np.maximum(-spill, 0).astype(np.uint64))
+    word, bit = at >> 6, (at & 63).astype(np.uint64)
     first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-    words[word[first]] = np.bitwise_or.reduceat(high, first)
-    over = np.flatnonzero(spill > 0)
-    words[word[over] + 1] |= code[over] << (64 - spill[over]).astype(np.uint64)
+    words[word[first]] = np.bitwise_or.reduceat(code >> bit, first)
+    over = np.flatnonzero(ends - (word << 6) > 64)  # the last code of a word may go on in the next
+    words[word[over] + 1] |= code[over] << (np.uint64(64) - bit[over])
     data = words.astype(">u8").tobytes()[: (int(ends[-1]) + 7) // 8]
     return data, at[::CHECKPOINT].astype("<u8").tobytes()
 
@@ -125,47 +122,60 @@ def unpack_bits(bits: bytes, offsets: bytes, n: int, lengths: bytes) -> np.ndarr
     return out.T.ravel()[:n]
 
 
-def _tokenize(path: str, end_id: int, texts_at_once: int = 256):
-    end = np.array([end_id], "<u4").tobytes()
+def _id_kind(path: str, end_id: int) -> str:
+    """Two bytes per id, while ids wait to be coded, where the vocabulary allows it."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+
+
+def _tokenize(path: str, end_id: int, kind: str, texts_at_once: int = 1024):
+    end = np.array([end_id], kind).tobytes()
 
     def run(batches):
         tool = word_ids(path)
         for whole in batches:
             for at in range(0, whole.num_rows, texts_at_once):
                 batch = whole.slice(at, texts_at_once)
-                ids = [data + end for data in tool(batch.column("text").to_pylist())]
+                ids = [np.frombuffer(data, "<u4").astype(kind).tobytes() + end for data in tool(batch.column("text").to_pylist())]
                 yield pa.record_batch(
-                    [batch.column("doc_id"), pa.array([len(d) // 4 for d in ids], pa.int64()), pa.array(ids, pa.binary())],
+                    [batch.column("doc_id"), pa.array([len(d) // len(end) for d in ids], pa.int64()), pa.array(ids, pa.binary())],
                     ["doc_id", "n_tokens", "ids"],
                 )
 
     return run
 
 
-def _count(batches):
-    total = np.zeros(0, np.int64)
-    for batch in batches:
-        for data in batch.column("ids"):
-            met = np.bincount(np.frombuffer(data.as_buffer(), "<u4"))
-            if len(met) > len(total):
-                total = np.pad(total, (0, len(met) - len(total)))
-            total[: len(met)] += met
-    used = np.flatnonzero(total)
-    yield pa.record_batch([pa.array(used.astype(np.int64)), pa.array(total[used])], ["token", "n"])
+def _count(kind: str):
+    def run(batches):
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                data = b"".join(batch.column("ids").slice(start, 512).to_pylist())
+                met = np.bincount(np.frombuffer(data, kind))
+                if len(met) > len(total):
+                    total = np.pad(total, (0, len(met) - len(total)))
+                total[: len(met)] += met
+        used = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(used.astype(np.int64)), pa.array(total[used])], ["token", "n"])
+
+    return run
+
 
+def _encode(lengths: bytes, block_tokens: int, kind: str):
+    width = np.dtype(kind).itemsize
 
-def _encode(lengths: bytes, block_tokens: int):
     def run(batches):
         part, before, held, size = TaskContext.get().partitionId(), 0, [], 0
 
         def block():
             doc_ids, data = zip(*held, strict=True)
-            ids = np.frombuffer(b"".join(data), "<u4").astype(np.int64)
+            ids = np.frombuffer(b"".join(data), kind)
             bits, offsets = pack_bits(ids, lengths)
             values = (
                 part, before, len(ids), np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
                 np.array([d is None for d in doc_ids], np.uint8).tobytes(),
-                np.array([len(d) // 4 for d in data], "<i8").tobytes(), bits, offsets,
+                np.array([len(d) // width for d in data], "<i8").tobytes(), bits, offsets,
             )
             kinds = (pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 5)
             names = ["part", "before", "n_tokens", "doc_ids", "null_ids", "doc_tokens", "bits", "offsets"]
@@ -174,7 +184,7 @@ def _encode(lengths: bytes, block_tokens: int):
         for batch in batches:
             for doc_id, data in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
                 held.append((doc_id, data.as_py()))
-                size += len(held[-1][1]) // 4
+                size += len(held[-1][1]) // width
                 if size >= block_tokens:
                     yield block()
                     before, held, size = before + size, [], 0
@@ -191,10 +201,11 @@ def write_token_file(docs: DataFrame, tokenizer: str, folder: str, end_id: int =
     written; what the driver gets is one count per token of the vocabulary.
     """
     spark = docs.sparkSession
-    encoded = id_and_text(docs).mapInArrow(_tokenize(tokenizer, end_id), _IDS)
+    kind = _id_kind(tokenizer, end_id)
+    encoded = id_and_text(docs).mapInArrow(_tokenize(tokenizer, end_id, kind), _IDS)
     encoded.write.option("compression", "zstd").parquet(f"{folder}/ids")
     encoded = spark.read.schema(_IDS).parquet(f"{folder}/ids")
-    met = encoded.select("ids").mapInArrow(_count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
+    met = encoded.select("ids").mapInArrow(_count(kind), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r.token for r in met), default=-1) + 1, np.int64)
     for r in met:
         counts[r.token] = r.n
@@ -204,7 +215,7 @@ def write_token_file(docs: DataFrame, tokenizer: str, folder: str, end_id: int =
     order = F.asc_nulls_last("doc_id")
     (
         encoded.repartitionByRange(order).sortWithinPartitions(order, "n_tokens", "ids")
-        .mapInArrow(_encode(lengths.tobytes(), block_tokens), _BLOCK)
+        .mapInArrow(_encode(lengths.tobytes(), block_tokens, kind), _BLOCK)
         .write.parquet(f"{folder}/blocks")
     )
 
