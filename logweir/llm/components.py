@@ -12,7 +12,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours move to the least of its neighbours and itself."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -27,11 +27,17 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
     stars = written(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), f"{folder}/stars-0"
     )
-    before, turn = None, 0
-    while True:
+    turn = 0
+    while not _are_stars(stars):
         turn += 1
         stars = written(_small_star(_large_star(stars)), f"{folder}/stars-{turn}")
-        state = stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 2**31)).first()
-        if state == before:
-            return stars.select("a", F.col("b").alias("root"))
-        before = state
+    return stars.select("a", F.col("b").alias("root"))
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node has one edge to a smaller node, or only edges from larger ones."""
+    ends = edges.select(F.col("a").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("root")).union(
+        edges.select(F.col("b").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("root"))
+    )
+    sums = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("root").alias("root"))
+    return sums.agg(F.count_if((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("root") > 0)))).first()[0] == 0

@@ -27,8 +27,9 @@ from logweir.llm.components import components
 from logweir.llm.shingles import all_shingles, mix, shingle_sets
 from logweir.llm.tables import id_and_text, run_folder, written
 
-#: Counters of the sketch, whatever the input.
-SKETCH = 1 << 20
+#: Counters of the sketch, whatever the input. Short shingles, of which many repeat by chance,
+#: need more to be told apart; the order they give never changes the result.
+SKETCH = 1 << 24
 ORDERS = 3
 #: What one task holds of a bucket at most: members, and shingles (or one member).
 BLOCK_MEMBERS, BLOCK_SHINGLES = 1024, 2_000_000
@@ -46,7 +47,7 @@ def prefix(found: np.ndarray, order: int, classes: np.ndarray, percent: int) ->
     size = prefix_size(len(found), percent)
     if size >= len(found):
         return found
-    rank, key = classes[(found & np.uint64(SKETCH - 1)).astype(np.int64)], mix(found ^ _SEEDS[order])
+    rank, key = classes[(found & np.uint64(len(classes) - 1)).astype(np.int64)], mix(found ^ _SEEDS[order])
     upto = np.cumsum(np.bincount(rank))
     last = int(np.searchsorted(upto, size))
     sure = found[rank < last]
@@ -57,16 +58,20 @@ def prefix(found: np.ndarray, order: int, classes: np.ndarray, percent: int) ->
     return np.concatenate([sure, found[tied]])
 
 
-def rarity_classes(docs: DataFrame, words: int) -> np.ndarray:
-    """For each counter of the sketch the binary logarithm of its count: SKETCH bytes."""
+def rarity_classes(docs: DataFrame, words: int, counters: int = SKETCH) -> np.ndarray:
+    """For each counter of the sketch the binary logarithm of its count: a byte each.
+
+    A task's counts end at 65,535, which tells a frequent shingle as well as more would.
+    """
 
     def count(batches):
-        total = np.zeros(SKETCH, np.int64)
+        total = np.zeros(counters, np.uint16)
         for batch in batches:
             for found in all_shingles(batch.column("text").to_pylist(), words):
-                total += np.bincount((found & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+                place, times = np.unique((found & np.uint64(counters - 1)).astype(np.uint32), return_counts=True)
+                total[place] = np.minimum(total[place] + times, 65_535)
         pack = zstandard.ZstdCompressor(1)
-        chunks = range(0, SKETCH, _CHUNK)
+        chunks = range(0, counters, _CHUNK)
         yield pa.record_batch(
             [pa.array([c // _CHUNK for c in chunks], pa.int32()), pa.array([pack.compress(total[c : c + _CHUNK].tobytes()) for c in chunks], pa.binary())],
             ["chunk", "counts"],
@@ -77,13 +82,13 @@ def rarity_classes(docs: DataFrame, words: int) -> np.ndarray:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             for chunk, data in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                sums[chunk] = sums.get(chunk, 0) + np.frombuffer(unpack.decompress(data), np.int64)
+                sums[chunk] = sums.get(chunk, 0) + np.frombuffer(unpack.decompress(data), np.uint16).astype(np.int64)
         classes = [np.frexp(s.astype(np.float64))[1].astype(np.uint8).tobytes() for s in sums.values()]
         yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array(classes, pa.binary())], ["chunk", "classes"])
 
     counted = docs.select("text").mapInArrow(count, "chunk int, counts binary")
     rows = counted.repartition("chunk").mapInArrow(add, "chunk int, classes binary").collect()
-    out = np.zeros(SKETCH, np.uint8)
+    out = np.zeros(counters, np.uint8)
     for r in rows:
         out[r.chunk * _CHUNK : (r.chunk + 1) * _CHUNK] = np.frombuffer(r.classes, np.uint8)
     return out
@@ -306,7 +311,7 @@ def _with_partners(met: DataFrame, percent: int) -> DataFrame:
     return classed.join(near.select("pivot", "class"), ["pivot", "class"], "left_semi").drop("class")
 
 
-def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, counters: int = SKETCH) -> DataFrame:
     """(doc_id, n_shingles, component_id), a row per row of `docs`.
 
     A document's set holds its distinct shingles of `words` words, of a shorter one its whole
@@ -319,7 +324,7 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
     spark = docs.sparkSession
     folder = run_folder(spark)
     rows = id_and_text(docs)
-    classes = spark.sparkContext.broadcast(rarity_classes(rows, words))  # SKETCH bytes
+    classes = spark.sparkContext.broadcast(rarity_classes(rows, words, counters))  # a byte per counter
     sets = written(
         rows.mapInArrow(_sets_table(words, percent, classes), "doc_id long, n long, digest binary, prefix array<long>"), f"{folder}/sets"
     )
@@ -339,8 +344,8 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
     )
 
 
-def without_similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+def without_similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, counters: int = SKETCH) -> DataFrame:
     """The rows of `docs` whose doc_id is the least of its component; null ids stay."""
-    found = similar_documents(docs, words, percent)
+    found = similar_documents(docs, words, percent, counters)
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
     return docs.join(gone.hint("shuffle_hash"), docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
