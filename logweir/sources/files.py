@@ -12,6 +12,8 @@ _PLACE = (
     "concat_ws(':', _metadata.file_path, CAST(_metadata.file_block_start AS STRING), "
     "CAST(monotonically_increasing_id() AS STRING)) AS place"
 )
+# A stream cannot number rows: it carries the block, and `numbered_lines` numbers a micro-batch.
+_BLOCK = "_file_block"
 
 
 def log_path(spec: SourceSpec) -> str:
@@ -54,10 +56,32 @@ def read_lines(
 def stream_lines(
     spark: SparkSession, spec: SourceSpec, max_files=None, max_bytes=None
 ) -> DataFrame:
-    """New files of a folder as a stream of lines; the limits bound one micro-batch."""
+    """New files of a folder as a stream of lines; the limits bound one micro-batch.
+
+    `place` is but the file until `numbered_lines` has seen the micro-batch.
+    """
     reader = spark.readStream.schema("value string")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     elif max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.text(log_path(spec)).selectExpr("value", "_metadata.file_path AS place")
+    return reader.text(log_path(spec)).selectExpr(
+        "value", "_metadata.file_path AS place", f"_metadata.file_block_start AS {_BLOCK}"
+    )
+
+
+def numbered_lines(batch: DataFrame) -> DataFrame:
+    """A micro-batch of `stream_lines` with the place of each line: file, block and row in it.
+
+    Rows count from the first of their block, so a place does not depend on the other files of
+    the batch. The lines are not shuffled: a first pass finds where blocks begin, one row each,
+    and those are broadcast. Other batches are returned as they are.
+    """
+    if _BLOCK not in batch.columns:
+        return batch
+    rows = batch.withColumn("_row", F.monotonically_increasing_id())
+    begins = rows.groupBy("place", _BLOCK).agg(F.min("_row").alias("_first"))
+    # left: whatever the first pass has seen, no line is lost
+    met = rows.join(F.broadcast(begins), ["place", _BLOCK], "left")
+    row = F.col("_row") - F.coalesce("_first", F.lit(0))
+    return met.withColumn("place", F.concat_ws(":", "place", _BLOCK, row)).drop(_BLOCK, "_row", "_first")

@@ -11,7 +11,7 @@ from logweir.functions.times import clock
 from logweir.plans.store import Store
 from logweir.schemas import CURSOR
 from logweir.sinks.slots import SlotTable
-from logweir.sources.files import stream_lines
+from logweir.sources.files import numbered_lines, stream_lines
 from logweir.sources.kafka import stream_topic
 from logweir.sources.registry import LINE_KINDS
 from logweir.sources.spec import SourceSpec
@@ -59,7 +59,7 @@ def start_loading(
     late_until = first_cutoff(store, spec, checkpoint)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_batch(store, spec, batch, first_seq + batch_id, last=late_until, **options)
+        load_batch(store, spec, numbered_lines(batch), first_seq + batch_id, last=late_until, **options)
 
     writer = (
         lines.writeStream.queryName(spec.name)

@@ -302,6 +302,27 @@ def test_how_a_backlog_is_cut_does_not_decide_what_is_kept(spark, place, limits)
     assert store.alerts.alerts().filter("user_id = 'H9'").count() == 1
 
 
+@pytest.mark.parametrize("split", ["128m", "300b"])
+def test_equal_lines_without_a_time_stay_apart_in_a_stream(spark, place, tmp_path, split):
+    write, spec, store, checkpoint = place
+    fire = replace(spec, name="Firewall_Logs")
+    text = "[allow] src=10.0.0.1 dst=10.0.0.2 dst_port=443 proto=TCP service=Jira bytes=512"
+    write("a.log", *[text] * 50)
+    write("b.log", *[text] * 7)
+    ids = []
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        for name, limits in (("one", {}), ("each", {"max_files": 1})):
+            other = Store(spark, f"{tmp_path}/{name}")
+            start_all(spark, other, [fire], f"{checkpoint}-{name}", limits=limits, once=True)[fire.name].awaitTermination()
+            assert sum(r["processed_count"] for r in other.history().collect()) == 57
+            ids.append(sorted(r["row_id"] for r in other.alerts.alerts().collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(set(ids[0])) == 57
+    assert ids[0] == ids[1]  # how the files are cut into batches does not name the lines
+
+
 @pytest.mark.parametrize("step", ["save_cursor", "save_run"])
 def test_a_repeated_batch_takes_effect_once(spark, place, monkeypatch, step):
     """The stream dies after the load, before or after the cursor moved, and is restarted."""
