@@ -217,13 +217,21 @@ def predict_languages(docs: DataFrame, model: LanguageModel | None) -> DataFrame
 
 
 def with_known_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
-    """The rows of `docs`, with all their columns, whose text is of a learned language."""
+    """The rows of `docs`, with all their columns, whose text is of a learned language.
+
+    Where nothing could be learned (no model) there is no language to go by, and every text
+    that holds a letter stays; null and letterless ones go in either case.
+    """
     ship(docs.sparkSession)
     sent, text = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
     def run(batches):
         for batch in batches:
-            languages, _ = _predicted(sent.value, batch.column(text).to_pylist())
-            yield batch.filter(pa.array([lang != UNKNOWN for lang in languages], pa.bool_()))
+            texts = batch.column(text).to_pylist()
+            if sent.value is None:
+                known = [t is not None and _LETTER.search(t) is not None for t in texts]
+            else:
+                known = [lang != UNKNOWN for lang in _predicted(sent.value, texts)[0]]
+            yield batch.filter(pa.array(known, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

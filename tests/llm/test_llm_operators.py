@@ -215,6 +215,15 @@ def test_language(spark):
     }
 
 
+def test_without_usable_labels_the_text_alone_decides(make):
+    docs = make([(1, "plain words"), (2, None), (3, "12 %% 3"), (4, ""), (None, "你好"), (5, "plain words")])
+    model = language.learn_languages(docs)  # lang is null in all rows
+    assert model is None
+    stays = language.with_known_language(docs, model)
+    assert stays.columns == docs.columns
+    _same(stays.select("doc_id", "text"), [(1, "plain words"), (None, "你好"), (5, "plain words")])
+
+
 def test_top_inner_products(rows):
     rng = np.random.default_rng(8)
     vectors = [(int(i), [float(x) for x in rng.normal(size=8)]) for i in range(60)]
