@@ -134,13 +134,9 @@ def cycle_with_learned_rules(spark, folder):
     """Rules learned from the files themselves and names from the catalog's people."""
     root = _new_folder(spark)
     store = Store(spark, f"{root}/store")
-    names = {"Auth_Logs": "authentication", "Web_Logs": "webserver", "Endpoint_Logs": "endpoint", "Firewall_Logs": "firewall"}
-    specs = []
-    for source in SOURCE_OF_TYPE.values():
-        name = names.get(source, "other")
-        lines = json_lines(spark, folder).filter(F.col("log_source") == source).select("value")
-        lines.coalesce(1).write.text(f"{root}/written/{name}")
-        specs.append(source_spec(source, path=f"{root}/written/{name}"))
+    lines = json_lines(spark, folder).select("log_source", "value")
+    lines.write.partitionBy("log_source").text(f"{root}/written")
+    specs = [source_spec(s, path=f"{root}/written/log_source={s}") for s in SOURCE_OF_TYPE.values()]
     people = f"people_{uuid.uuid4().hex}"
     table(spark, folder, "supplier").select(
         F.col("s_suppkey").cast("string").alias("emp_id"), F.col("s_name").alias("emp_name")

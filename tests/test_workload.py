@@ -10,6 +10,9 @@ import pytest
 
 import __spark_entry__ as entry
 from logweir import workload
+from logweir.sources.files import present_files
+from logweir.workload import stores
+from logweir.workload.tables import SOURCE_OF_TYPE, json_lines
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, SQL = workload.all_queries(), workload.all_sql()
@@ -63,3 +66,13 @@ def test_filters_reach_the_scan(spark):
 def test_only_asked_columns_are_read(spark):
     plan = QUERIES["score_by_rules"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,event_type:string>" in plan
+
+
+def test_sources_of_a_cycle_are_written_in_parallel(spark, monkeypatch):
+    files = {}
+    monkeypatch.setattr(stores, "json_lines", lambda s, folder: json_lines(s, folder).repartition(4))
+    monkeypatch.setattr(stores, "run_all", lambda s, store, specs: files.update(
+        {x.name: present_files(s, x).count() for x in specs if x.kind == "file"}
+    ))
+    stores.cycle_with_learned_rules(spark, FOLDER)
+    assert set(files) == set(SOURCE_OF_TYPE.values()) and min(files.values()) > 1
