@@ -10,7 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from logweir.llm.shingles import span_hashes
+from logweir.llm.shingles import mix, span_words
 
 # Fixed value: the word pattern of the public file for which words can be looked up.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -18,6 +18,9 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 MEMORY = 800_000
 #: Words that are encoded in one call.
 JOINED = 1000
+#: Bytes of a word that is compared as two numbers.
+SHORT = 16
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 # Marks that never take part in a contraction or, without letters, in a special token.
 _MARKS = "".join(c for c in string.punctuation if c != "'")
 # Characters of which each has one small form, whatever stands beside it.
@@ -45,12 +48,14 @@ def _drops_blanks(config: dict) -> bool:
 
 
 class _Table:
-    """Ids of words by their hashes, in sorted arrays."""
+    """Ids of words: short ones by a hash, told by all their bytes; longer ones by the words themselves."""
 
     def __init__(self):
-        self.hash, self.head = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.size, self.begin, self.times = (np.zeros(0, np.int64) for _ in range(3))
+        self.hash, self.low, self.high = (np.zeros(0, np.uint64) for _ in range(3))
+        self.size, self.entry = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.begin, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, "<u4")
+        self.long: dict[bytes, int] = {}
 
     def missing(self, hashes: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.hash, hashes)
@@ -59,19 +64,27 @@ class _Table:
         known[inside] = self.hash[at[inside]] == hashes[inside]
         return np.flatnonzero(~known)
 
-    def find(self, hashes: np.ndarray, head: np.ndarray, size: np.ndarray) -> np.ndarray | None:
-        """Places of the words; none if one is not known, or known as another word."""
+    def find(self, hashes: np.ndarray, low: np.ndarray, high: np.ndarray, size: np.ndarray) -> np.ndarray | None:
+        """Entries of short words; none if one is not known, or known as another word."""
         at = np.searchsorted(self.hash, hashes)
         if len(at) and (at[-1] >= len(self.hash) or (self.hash[at] != hashes).any()):
             return None
-        return at if (self.head[at] == head).all() and (self.size[at] == size).all() else None
+        same = (self.low[at] == low).all() and (self.high[at] == high).all() and (self.size[at] == size).all()
+        return self.entry[at] if same else None
 
-    def add(self, hashes, head, size, ids: list[bytes]) -> None:
+    def store(self, ids: list[bytes]) -> np.ndarray:
+        """The new entries of words with these ids."""
         times = np.array([len(i) // 4 for i in ids], np.int64)
-        begin = len(self.ids) + np.cumsum(times) - times
+        entries = len(self.begin) + np.arange(len(ids))
+        self.begin = np.r_[self.begin, len(self.ids) + np.cumsum(times) - times]
+        self.times = np.r_[self.times, times]
         self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), "<u4")])
+        return entries
+
+    def add(self, hashes, low, high, size, ids: list[bytes]) -> None:
+        entry = self.store(ids)
         order = np.argsort(np.concatenate([self.hash, hashes]), kind="stable")
-        for name, more in (("hash", hashes), ("head", head), ("size", size), ("begin", begin), ("times", times)):
+        for name, more in (("hash", hashes), ("low", low), ("high", high), ("size", size), ("entry", entry)):
             setattr(self, name, np.concatenate([getattr(self, name), more])[order])
 
 
@@ -125,45 +138,57 @@ class WordIds:
         known.update(zip(others, self._library(others), strict=True))
         known.update((w, known[a] + known[b]) for w, (a, b) in ends.items())
 
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        letters = [w for w in words if w.isalpha()]
+        ids = self._words(letters)
+        others = [w for w in words if w not in ids]
+        ids.update(zip(others, self._library(others), strict=True))
+        return [ids[w] for w in words]
+
     def _by_bytes(self, texts: list[str]) -> list[bytes]:
         """Texts of ASCII and Latin letters: runs of letters, digits one by one, runs of marks.
 
-        Equal runs of the batch are looked up once. They are told by a 64-bit hash, their
-        length and their first eight bytes.
+        Equal runs of the batch are looked up once. Runs of up to SHORT bytes are found by a
+        hash and compared by all their bytes, longer ones are keys themselves.
         """
         encoded = [t.lower().encode() for t in texts]
-        joined = b" ".join(encoded) + b" " * 8
+        joined = b" ".join(encoded) + b" " * (SHORT + 8)
         data = np.frombuffer(joined, np.uint8)
         kind = _KIND[data]
         starts = np.flatnonzero(np.r_[True, (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)])
         ends = np.r_[starts[1:], len(data)]
         word = kind[starts] != _BLANK
         starts, ends = starts[word], ends[word]
-        hashes, sizes = span_hashes(data, starts, ends), ends - starts
-        head = np.lib.stride_tricks.sliding_window_view(data, 8)[starts].copy().view(np.uint64).ravel()
-        head &= np.uint64(2**64 - 1) >> (np.uint64(8) * (8 - np.minimum(sizes, 8)).astype(np.uint64))
+        sizes, entry = ends - starts, np.zeros(len(starts), np.int64)
+        if len(self._table.begin) > MEMORY:
+            self._table = _Table()
+        table, short = self._table, np.flatnonzero(sizes <= SHORT)
+        long = np.flatnonzero(sizes > SHORT)
+        if len(long):
+            runs = [joined[a:b] for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True)]
+            new = list(dict.fromkeys(r for r in runs if r not in table.long))
+            table.long.update(zip(new, table.store(self._ids_of([r.decode() for r in new])).tolist(), strict=True))
+            entry[long] = [table.long[r] for r in runs]
+        at, size = starts[short], sizes[short]
+        low, high = span_words(data, at, size), span_words(data, at + 8, size - 8)
+        hashes = mix(mix(low + _SPREAD) + high + size.astype(np.uint64))
         distinct, first, same = np.unique(hashes, return_index=True, return_inverse=True)
-        if (head != head[first[same]]).any() or (sizes != sizes[first[same]]).any():
+        if (low != low[first[same]]).any() or (high != high[first[same]]).any() or (size != size[first[same]]).any():
             return self._by_words(texts)
-        at = self._table.find(distinct, head[first], sizes[first])
-        if at is None:
-            if len(self._table.hash) > MEMORY:
-                self._table = _Table()
-            new = self._table.missing(distinct)
+        found = table.find(distinct, low[first], high[first], size[first])
+        if found is None:
+            new = table.missing(distinct)
             of = first[new]
-            words = [joined[a:b].decode() for a, b in zip(starts[of].tolist(), ends[of].tolist(), strict=True)]
-            letters = [w for w in words if w.isalpha()]
-            ids = self._words(letters)
-            others = [w for w in words if w not in ids]
-            ids.update(zip(others, self._library(others), strict=True))
-            self._table.add(distinct[new], head[of], sizes[of], [ids[w] for w in words])
-            at = self._table.find(distinct, head[first], sizes[first])
-            if at is None:
+            words = [joined[a : a + n].decode() for a, n in zip(at[of].tolist(), size[of].tolist(), strict=True)]
+            table.add(distinct[new], low[of], high[of], size[of], self._ids_of(words))
+            found = table.find(distinct, low[first], high[first], size[first])
+            if found is None:
                 return self._by_words(texts)
-        begin, times = self._table.begin[at][same], self._table.times[at][same]
+        entry[short] = found[same]
+        begin, times = table.begin[entry], table.times[entry]
         done = np.cumsum(times)
         total = int(done[-1]) if len(done) else 0
-        out = self._table.ids[np.repeat(begin - (done - times), times) + np.arange(total)].tobytes()
+        out = table.ids[np.repeat(begin - (done - times), times) + np.arange(total)].tobytes()
         doc_ends = np.cumsum([len(e) + 1 for e in encoded])
         words_until = np.searchsorted(starts, doc_ends)
         cuts = [0, *(4 * np.r_[0, done][words_until]).tolist()]

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
-_BASE = 0x9E3779B97F4A7C15 | 1
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
+# Masks that leave so many bytes of a little-endian number.
+_LEFT = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 #: Characters that one pass takes at most, but for a single longer text.
 PASS_BYTES = 1 << 20
 
@@ -21,18 +20,31 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse, modulo 2 ** 64."""
-    inverse = pow(_BASE, -1, 1 << 64)
-    return tuple(np.cumprod(np.r_[np.uint64(1), np.full(n - 1, b, np.uint64)], dtype=np.uint64) for b in (_BASE, inverse))
+def span_words(data: np.ndarray, at: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """The eight bytes at each place as a number, of which `left` bytes count and the others are 0.
+
+    `data` holds eight bytes more than the places reach.
+    """
+    found = np.lib.stride_tricks.sliding_window_view(data, 8)[at].copy().view(np.uint64).ravel()
+    return found & _LEFT[np.clip(left, 0, 8)]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of each span of bytes that does not depend on where it stands."""
-    power, inverse = _powers(1 << max(20, int(max(len(data) - 1, 1)).bit_length()))
-    total = np.r_[np.uint64(0), np.cumsum(data * power[: len(data)], dtype=np.uint64)]
-    return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    """A hash of each span of bytes that does not depend on where it stands.
+
+    Each eight bytes are spread together with their place in the span before they are added.
+    """
+    data, sizes = np.r_[data, np.zeros(8, np.uint8)], ends - starts
+    total = mix(span_words(data, starts, sizes) + _GOLD)
+    longer = np.flatnonzero(sizes > 8)
+    if len(longer):
+        more = (sizes[longer] - 1) >> 3  # numbers behind the first
+        first = np.cumsum(more) - more
+        nth = np.arange(int(more.sum())) - np.repeat(first, more) + 1
+        found = span_words(data, np.repeat(starts[longer], more) + 8 * nth, np.repeat(sizes[longer], more) - 8 * nth)
+        keys = mix((nth.astype(np.uint64) + np.uint64(1)) * _GOLD)
+        total[longer] += np.add.reduceat(mix(found ^ keys), first)
+    return mix(total + sizes.astype(np.uint64))
 
 
 def _pass_shingles(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:

@@ -251,3 +251,25 @@ def test_search_block_finds_the_best_of_any_lengths():
         expected = brute.top_rows([(int(a), r.tolist()) for a, r in zip(cid, c, strict=True)], 13, 5, 1.0)
         got = sorted(zip(qid[i].tolist(), (-score).tolist(), vec.tolist(), strict=True))
         assert [(q, v, -s) for q, s, v in got] == [(q, v, s) for q, _, v, s in expected]
+
+
+def _doubled(n):
+    """A word of a and b that sums of bytes times powers cannot tell from its complement."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return ["a" * 8 + word, "a" * 8 + word.translate(str.maketrans("ab", "ba"))]
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 1 << 15])
+def test_unlike_words_have_unlike_shingles(n):
+    one, other = shingle_sets(_doubled(n), 3)
+    assert one.tolist() != other.tolist()
+
+
+@pytest.mark.parametrize("at_once", [1, 2])
+def test_unlike_words_have_their_own_ids(at_once):
+    path, texts = public_tokenizers.path("word_bpe_49k.json"), [*_doubled(2048), "sixteen_letters__", "sixteenlettersabc", "sixteenlettersab"]
+    ids = WordIds(path)
+    got = [i for k in range(0, len(texts), at_once) for i in ids(texts[k : k + at_once])]
+    assert got == [np.array(i[:-1], "<u4").tobytes() for _, i in brute.library_ids(enumerate(texts), path, 0)]
