@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from logweir.llm import bpe, counts, exact, jaccard, language, packing, suffixes, tokenfile, topk, units
+from logweir.llm import alignment, bpe, counts, exact, jaccard, language, packing, spelling, suffixes, tokenfile, topk, toxicity, units
 from logweir.llm.tables import run_folder, table
 
 
@@ -72,6 +72,23 @@ def op10_substring_dedup(spark, sf_dir):
     )
 
 
+def op11_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score_toxicity(docs, toxicity.learn_toxicity(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op12_spelling_variants(spark, sf_dir):
+    words = spelling.counted_words(table(spark, sf_dir, "documents"), min_length=6, min_count=5, damaged_every=199)
+    return spelling.spelling_groups(words, ratio=5, min_length=6)
+
+
+def op13_tokenizer_alignment(spark, sf_dir):
+    return alignment.align_tokenizers(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -80,7 +97,8 @@ QUERIES = {
     q.__name__: q
     for q in (
         op1_byte_bpe, op2_exact_dedup, op3_packing, op4_ngram_jaccard, op5_suffix_dedup, op6_token_counts,
-        op7_language_id, op8_exact_top_k, op9_token_file, op10_substring_dedup, pipeline,
+        op7_language_id, op8_exact_top_k, op9_token_file, op10_substring_dedup, op11_toxicity, op12_spelling_variants,
+        op13_tokenizer_alignment, pipeline,
     )
 }
 
@@ -123,4 +141,45 @@ SQL = {
                CAST(count(*) FILTER (opens AND strlen(whole) >= 0) AS BIGINT) AS n_spans,
                sha256(coalesce(string_agg(whole, '' ORDER BY nth) FILTER (NOT cut), '')) AS kept_sha256
         FROM runs GROUP BY doc_id""",
+    "op12_spelling_variants": r"""
+        WITH RECURSIVE bits AS (
+            SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                                  lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS c
+            FROM (SELECT unnest(range(256)) AS i)),
+        crc AS (SELECT list(c ORDER BY i) AS t FROM bits),
+        runs AS (
+            SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d,
+                   unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[a-zÀ-ÿ]{6,}')) AS run FROM documents),
+        once AS (SELECT d, run, count(*) AS times FROM runs GROUP BY ALL),
+        coded AS (
+            SELECT run, times, flatten(list_transform(string_split(d || ':' || run, ''), lambda c:
+                       CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT]
+                            ELSE [192 + (unicode(c) >> 6)::BIGINT, 128 + (unicode(c) & 63)::BIGINT] END)) AS codes FROM once),
+        hashed AS (
+            SELECT run, times, xor(list_reduce(list_prepend(4294967295, codes),
+                       lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) AS h FROM coded, crc),
+        damaged AS (
+            SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+                        ELSE run END AS word, times FROM hashed),
+        words AS (
+            SELECT word, CAST(sum(times) AS BIGINT) AS n FROM damaged WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+        -- one byte a letter, since levenshtein counts bytes
+        narrow AS (
+            SELECT *, translate(word, (SELECT string_agg(chr(CAST(192 + i AS INTEGER)), '' ORDER BY i) FROM range(64) r(i)),
+                                (SELECT string_agg(chr(CAST(33 + i AS INTEGER)), '' ORDER BY i) FROM range(64) r(i))) AS b FROM words),
+        near AS (
+            SELECT x.word, y.word AS other, y.n AS other_n FROM narrow x JOIN narrow y
+            ON strlen(y.b) BETWEEN strlen(x.b) - 1 AND strlen(x.b) + 1 AND levenshtein(x.b, y.b) = 1),
+        best AS (
+            SELECT word, count(*) AS n_near, max(other_n) AS near_n,
+                   arg_min(other, (-other_n, other)) AS near FROM near GROUP BY word),
+        forms AS (
+            SELECT word, CASE WHEN near_n >= 5 * n THEN near END AS form, n, coalesce(n_near, 0) AS n_near,
+                   CASE WHEN near_n >= 5 * n THEN near_n END AS form_n FROM words LEFT JOIN best USING (word)),
+        paths AS (
+            SELECT word, word AS root, form AS next FROM forms
+            UNION ALL
+            SELECT p.word, f.word, f.form FROM paths p JOIN forms f ON f.word = p.next)
+        SELECT word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, root FROM paths WHERE next IS NULL) USING (word)""",
 }

@@ -136,3 +136,85 @@ def unit_rows(docs, separator="\n", min_words=3):
         whole = [u + separator for u in units[:-1]] + units[-1:]
         out.append((d, len(units), len(gone), "".join(w for n, w in enumerate(whole) if n not in gone)))
     return out
+
+
+def _one_apart(a, b):
+    """Exactly one inserted, deleted or replaced letter."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    short, long = sorted((a, b), key=len)
+    return len(long) == len(short) + 1 and any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+
+def counted_words(docs, min_length, min_count, damaged_every=None):
+    import zlib
+
+    small = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    counts = Counter()
+    for doc_id, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(small)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if damaged_every and h % damaged_every == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= min_length and n >= min_count}
+
+
+def spelling_rows(counts, ratio):
+    forms, out = {}, []
+    near = {w: [v for v in counts if _one_apart(w, v)] for w in counts}
+    for w, n in counts.items():
+        best = min(near[w], key=lambda v: (-counts[v], v), default=None)
+        forms[w] = best if best is not None and counts[best] >= ratio * n else None
+    for w, n in counts.items():
+        root = w
+        while forms[root] is not None:
+            root = forms[root]
+        out.append((w, forms[w], root, n, len(near[w]), counts[forms[w]] if forms[w] else None))
+    return out
+
+
+def alignment_rows(docs, byte_level, pieces):
+    """(doc_id, n_a, n_b, groups, links, best, counts, digest) from the libraries' own ids."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+    from tokenizers.decoders import ByteLevel
+
+    a_tool, b_tool = Tokenizer.from_file(byte_level), sentencepiece.SentencePieceProcessor(model_file=pieces)
+    a_tool.encode_special_tokens = True
+    # the library's decoder loses bytes that are no character alone, so bytes are led back by its alphabet
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    chars = {chr(b): b for b in plain}
+    chars.update((chr(256 + k), b) for k, b in enumerate(b for b in range(256) if b not in plain))
+    assert ByteLevel().decode(["Ġa"]) == " a"
+    counts, found = Counter(), []
+    for doc_id, text in docs:
+        whole = (" " + (text or "")).encode()
+        ids_a = a_tool.encode(" " + (text or ""), add_special_tokens=False).ids
+        ids_b = b_tool.encode(text or "")
+        bytes_a = [bytes(chars[c] for c in a_tool.id_to_token(i)) for i in ids_a]
+        bytes_b = []
+        for i in ids_b:
+            p = b_tool.id_to_piece(i)
+            bytes_b.append(bytes([int(p[3:5], 16)]) if re.fullmatch("<0x..>", p) else p.replace("▁", " ").encode())
+        if not text or b"".join(bytes_a) != whole or b"".join(bytes_b) != whole:
+            found.append((doc_id, [], [], [], ""))
+            continue
+        at_a = dict(zip(np.cumsum([len(x) for x in bytes_a]).tolist(), range(len(ids_a)), strict=True))
+        at_b = dict(zip(np.cumsum([len(x) for x in bytes_b]).tolist(), range(len(ids_b)), strict=True))
+        groups, links, i, j = [], [], 0, 0
+        for end in sorted(at_a.keys() & at_b.keys()):
+            x, y = at_a[end] + 1, at_b[end] + 1
+            groups.append(",".join(map(str, ids_a[i:x])) + "|" + ",".join(map(str, ids_b[j:y])))
+            links.append((ids_a[x - 1], ids_b[y - 1]))
+            i, j = x, y
+        counts.update(links)
+        found.append((doc_id, ids_a, ids_b, links, _sha(";".join(groups).encode())))
+    best = Counter()
+    for (_, b), n in counts.items():
+        best[b] = max(best[b], n)
+    return [
+        (d, len(a), len(b), len(x), len(x), sum(counts[p] == best[p[1]] for p in x), sum(counts[p] for p in x), digest)
+        for d, a, b, x, digest in found
+    ]
