@@ -12,6 +12,7 @@ import json
 import os
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,12 @@ from logweir.llm.tables import run_folder, ship, written
 
 #: Characters that are encoded at a time, but for a single longer text.
 AT_ONCE = 1 << 19
+#: Words whose ids a Python worker remembers before it starts anew.
+MEMORY = 500_000
+# Fixed value: how a byte-level file cuts texts, here for Latin letters only.
+_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+# What that pattern is not taken for: characters beyond Latin ones, and those in it whose class libraries may see otherwise.
+_BEYOND = re.compile("[^\t-\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]")
 
 
 def byte_level_bytes(token: str) -> bytes:
@@ -32,6 +39,13 @@ def byte_level_bytes(token: str) -> bytes:
     return bytes(map(_byte_of().__getitem__, token))
 
 
+def _cuts_at_words(config: dict) -> bool:
+    """Whether the file cuts a text by the common byte-level pattern, and does nothing else to it."""
+    steps = {k: config.get(k) for k in ("normalizer", "pre_tokenizer")}
+    cut = steps["pre_tokenizer"] or {}
+    return steps["normalizer"] is None and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+
+
 @lru_cache(maxsize=1)
 def _byte_of() -> dict[str, int]:
     shown = [b for b in range(256) if 33 <= b <= 126 or (161 <= b and b != 173)]
@@ -58,7 +72,8 @@ class Alignment:
         self._a.encode_special_tokens = True
         self._b = sentencepiece.SentencePieceProcessor(model_file=pieces)
         with open(byte_level, encoding="utf-8") as f:
-            special = {t["id"] for t in json.load(f)["added_tokens"]}
+            config = json.load(f)
+        special = {t["id"] for t in config["added_tokens"]}
         self.a = [b""] * self._a.get_vocab_size()
         for token, i in self._a.get_vocab().items():
             self.a[i] = token.encode() if i in special else byte_level_bytes(token)
@@ -68,15 +83,34 @@ class Alignment:
         of = {t: i for i, t in enumerate(self.b)}
         self.identity = np.array([of.get(t, -1) for t in self.a], np.int64)
         self._written = self._ids_as_text()
+        self._by_word = _cuts_at_words(config)
+        self._known: dict[str, bytes] = {}
 
     def _ids_as_text(self) -> np.ndarray:
         """Ids with the mark behind them: `,` inside a group, `|` and `;` at its ends."""
         marked = [f"{i}{m}".encode() for n, end in ((len(self.a), "|"), (len(self.b), ";")) for i in range(n) for m in (",", end)]
         return np.array(marked).view(np.uint8).reshape(len(marked), -1)
 
-    def _ids(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [e.ids for e in self._a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        return a, self._b.encode(texts, num_threads=1)
+    def _library(self, texts: list[str]) -> list[bytes]:
+        """A's ids of texts that are given back byte for byte; else nothing."""
+        found = [e.ids for e in self._a.encode_batch_fast(texts, add_special_tokens=False)]
+        return [
+            np.array(ids, np.uint32).tobytes() if b"".join(map(self.a.__getitem__, ids)) == t.encode("utf-8", "surrogatepass") else b""
+            for t, ids in zip(texts, found, strict=True)
+        ]
+
+    def _ids_a(self, texts: list[str]) -> list[bytes]:
+        """A's ids of texts as 32-bit numbers, of Latin letters word by word from what was met before."""
+        plain = [self._by_word and not _BEYOND.search(t) for t in texts]
+        cut = [_WORDS.findall(t) for t, p in zip(texts, plain, strict=True) if p]
+        met = set().union(*cut)
+        if len(self._known) + len(met) > MEMORY:
+            self._known.clear()
+        new = list(met - self._known.keys())
+        self._known.update(zip(new, self._library(new), strict=True))
+        words = (b"".join(map(self._known.__getitem__, w)) for w in cut)
+        others = iter(self._library([t for t, p in zip(texts, plain, strict=True) if not p]))
+        return [next(words) if p else next(others) for p in plain]
 
     def __call__(self, texts: list[str]) -> list[tuple]:
         """(n_a, n_b, n_groups, digest, A's ids of equal groups, pairs of the others) of each text.
@@ -85,16 +119,16 @@ class Alignment:
         behind a space, has no tokens.
         """
         out, full = [(0, 0, 0, "", b"", np.zeros(0, np.int64))] * len(texts), [i for i, t in enumerate(texts) if t]
-        ids_a, ids_b = self._ids([texts[i] for i in full])
-        kept = []
-        for k, i in enumerate(full):
-            whole = b" " + texts[i].encode("utf-8", "surrogatepass")
-            if b"".join(map(self.a.__getitem__, ids_a[k])) == whole == b"".join(map(self.b.__getitem__, ids_b[k])):
-                kept.append(k)
+        ids_a, ids_b = self._ids_a([" " + texts[i] for i in full]), self._b.encode([texts[i] for i in full], num_threads=1)
+        kept = [
+            k for k, i in enumerate(full)
+            if ids_a[k] and b"".join(map(self.b.__getitem__, ids_b[k])) == b" " + texts[i].encode("utf-8", "surrogatepass")
+        ]
         if not kept:
             return out
-        n_a, n_b = (np.array([len(ids[k]) for k in kept], np.int64) for ids in (ids_a, ids_b))
-        a, b = (np.fromiter((i for k in kept for i in ids[k]), np.int64, int(n.sum())) for ids, n in ((ids_a, n_a), (ids_b, n_b)))
+        n_a, n_b = np.array([len(ids_a[k]) // 4 for k in kept]), np.array([len(ids_b[k]) for k in kept])
+        a = np.frombuffer(b"".join(ids_a[k] for k in kept), np.uint32).astype(np.int64)
+        b = np.fromiter(chain.from_iterable(ids_b[k] for k in kept), np.int64, int(n_b.sum()))
         ends_a, ends_b = np.cumsum(self._sizes[0][a]), np.cumsum(self._sizes[1][b])
         met = np.zeros(int(ends_a[-1]) + 1, np.uint8)
         met[ends_a] += 1

@@ -194,4 +194,5 @@ def test_held_out_accuracy_of_the_query(spark):
     met = got.join(table(spark, sf, "labels"), "doc_id").select("toxic", "predicted").collect()
     caught = [r.predicted for r in met if r.toxic]
     clean = [r.predicted == 0 for r in met if not r.toxic]
+    print(len(caught), np.mean(caught), np.mean(clean))
     assert len(caught) > 50 and np.mean(caught) > 0.75 and np.mean(clean) > 0.93
