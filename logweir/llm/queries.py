@@ -123,24 +123,24 @@ SQL = {
                    vec_id, score FROM scored)
         SELECT * FROM ranked WHERE rank <= 5""",
     "op10_substring_dedup": r"""
-        WITH lines AS (
-            SELECT doc_id, unnest(range(len(l))) AS nth, unnest(l) AS line, len(l) AS n
-            FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+        WITH found AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''),
+                '[^\n]{40,}?(?:[.!?]+[ \t]+|[。！？]+[ \t]*)|[^\n]*\n|[^\n]+') AS l FROM documents),
+        units AS (SELECT doc_id, unnest(range(len(l))) AS nth, unnest(l) AS unit FROM found),
         plain AS (
-            SELECT *, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                          '[ \t\n\x0B\f\r]+', ' ', 'g'), ' ') AS p FROM lines),
-        ranked AS (
-            SELECT *, p <> '' AND len(string_split(p, ' ')) >= 3
-                      AND row_number() OVER (PARTITION BY p ORDER BY doc_id, nth) > 1 AS cut,
-                   CASE WHEN nth + 1 < n THEN line || chr(10) ELSE line END AS whole FROM plain),
+            SELECT *, trim(regexp_replace(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[ \t\n\x0B\f\r]+', ' ', 'g'), ' ') AS p FROM units),
+        ranked AS (SELECT *, p <> '' AND row_number() OVER (PARTITION BY p ORDER BY doc_id, nth) > 1 AS cut FROM plain),
         runs AS (
-            SELECT *, cut AND NOT coalesce(lag(cut) OVER (PARTITION BY doc_id ORDER BY nth), false) AS opens FROM ranked)
-        SELECT doc_id, CAST(sum(strlen(whole)) AS BIGINT) AS n_bytes, count(*) AS n_units,
-               CAST(count(*) FILTER (cut) AS BIGINT) AS n_cut,
-               CAST(coalesce(sum(strlen(whole)) FILTER (cut), 0) AS BIGINT) AS n_removed,
-               CAST(count(*) FILTER (opens AND strlen(whole) >= 0) AS BIGINT) AS n_spans,
-               sha256(coalesce(string_agg(whole, '' ORDER BY nth) FILTER (NOT cut), '')) AS kept_sha256
-        FROM runs GROUP BY doc_id""",
+            SELECT *, cut AND NOT coalesce(lag(cut) OVER (PARTITION BY doc_id ORDER BY nth), false) AS opens FROM ranked),
+        cuts AS (
+            SELECT doc_id, count(*) AS n_units, count(*) FILTER (cut) AS n_cut, sum(strlen(unit)) FILTER (cut) AS n_removed,
+                   count(*) FILTER (opens) AS n_spans, string_agg(unit, '' ORDER BY nth) FILTER (NOT cut) AS kept
+            FROM runs GROUP BY doc_id)
+        SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes, CAST(coalesce(n_units, 0) AS BIGINT) AS n_units,
+               CAST(coalesce(n_cut, 0) AS BIGINT) AS n_cut, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+               CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM documents LEFT JOIN cuts USING (doc_id)""",
     "op12_spelling_variants": r"""
         WITH RECURSIVE bits AS (
             SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],

@@ -1,8 +1,9 @@
-"""Repeated lines or paragraphs: every unit but the earliest of its kind is cut out."""
+"""Repeated lines, sentences or paragraphs: every unit but the earliest of its kind is cut out."""
 
 from __future__ import annotations
 
 import hashlib
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -10,7 +11,11 @@ from pyspark.sql import functions as F
 
 from logweir.llm.tables import id_and_text, run_folder, written
 
-LINE, PARAGRAPH = "\n", "\n\n"
+#: What a unit is: patterns whose matches, one after the other, are the whole text.
+LINE = r"[^\n]*\n|[^\n]+"
+PARAGRAPH = r"(?s:.*?\n\n|.+)"
+#: A line; in it each sentence that ends, with the blanks behind it, at 40 characters of the unit or later.
+SENTENCE = r"[^\n]{40,}?(?:[.!?]+[ \t]+|[。！？]+[ \t]*)|[^\n]*\n|[^\n]+"
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -23,16 +28,14 @@ def normal_form(unit: bytes) -> list[bytes]:
     return unit.lower().split()
 
 
-def _digests(separator: str, min_words: int):
-    mark = separator.encode()
-
+def _digests(unit: str):
     def run(batches):
+        found = re.compile(unit)
         for batch in batches:
             rows = []
             for doc_id, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text")), strict=True):
-                for nth, unit in enumerate(text.encode().split(mark)):
-                    words = normal_form(unit)
-                    if words and len(words) >= min_words:
+                for nth, one in enumerate(found.findall(text)):
+                    if words := normal_form(one.encode()):
                         rows.append((doc_id, key, nth, hashlib.md5(b" ".join(words)).digest()))
             columns = list(zip(*rows, strict=True)) or [[]] * 4
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
@@ -41,21 +44,21 @@ def _digests(separator: str, min_words: int):
     return run
 
 
-def unit_digests(docs: DataFrame, separator: str = LINE, min_words: int = 3) -> DataFrame:
-    """(doc_id, text_key, nth, digest) of each unit of at least `min_words` words."""
+def unit_digests(docs: DataFrame, unit: str = SENTENCE) -> DataFrame:
+    """(doc_id, text_key, nth, digest) of each unit with a word."""
     return _keyed(docs).select("doc_id", "text_key", "text").mapInArrow(
-        _digests(separator, min_words), "doc_id long, text_key long, nth int, digest binary"
+        _digests(unit), "doc_id long, text_key long, nth int, digest binary"
     )
 
 
-def repeated_units(docs: DataFrame, separator: str = LINE, min_words: int = 3) -> DataFrame:
+def repeated_units(docs: DataFrame, unit: str = SENTENCE) -> DataFrame:
     """(doc_id, text_key, nth) of the units that an earlier one repeats.
 
     Units rank by doc_id (null last), then by their place. What is grouped are digests, added
     up in each task first; those met more than once are stored, and join the units again from
     there, so that Spark can split the partition of a frequent one.
     """
-    units = unit_digests(docs, separator, min_words)
+    units = unit_digests(docs, unit)
     rank = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc"), F.col("text_key"), F.col("nth"))
     firsts = (
         units.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n"))
@@ -65,25 +68,24 @@ def repeated_units(docs: DataFrame, separator: str = LINE, min_words: int = 3) -
     return units.join(firsts, "digest").filter(rank != F.col("first")).select("doc_id", "text_key", "nth")
 
 
-def _cut(separator: str):
-    mark = separator.encode()
-
+def _cut(unit: str):
     def run(batches):
+        found = re.compile(unit)
         for batch in batches:
             rows = []
             for doc_id, text, cut in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "cut")), strict=True):
-                units = text.split(separator)
+                units = found.findall(text)
                 gone, spans, kept, at = set(cut or ()), [], [], 0
-                for nth, unit in enumerate(units):
-                    whole = unit.encode() + (mark if nth + 1 < len(units) else b"")
+                for nth, one in enumerate(units):
+                    whole = one.encode()
                     if nth not in gone:
-                        kept.append(whole)
+                        kept.append(one)
                     elif spans and spans[-1]["start"] + spans[-1]["length"] == at:
                         spans[-1]["length"] += len(whole)
                     else:
                         spans.append({"start": at, "length": len(whole)})
                     at += len(whole)
-                rows.append((doc_id, at, len(units), len(gone), spans, b"".join(kept).decode()))
+                rows.append((doc_id, at, len(units), len(gone), spans, "".join(kept)))
             columns = list(zip(*rows, strict=True)) or [[]] * 6
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, _CUT.types, strict=True)], schema=_CUT)
 
@@ -98,17 +100,18 @@ _CUT = pa.schema(
 )
 
 
-def without_repeated_units(docs: DataFrame, separator: str = LINE, min_words: int = 3) -> DataFrame:
+def without_repeated_units(docs: DataFrame, unit: str = SENTENCE) -> DataFrame:
     """(doc_id, n_bytes, n_units, n_cut, removed, kept_text), a row per row of `docs`.
 
-    A unit goes with the separator behind it; `removed` holds the byte spans in the original
-    text, so every kept byte can be led back to its place. Units of fewer than `min_words`
-    words stay: they say too little to be a copy. A null text is empty; a null doc_id ranks
-    last; rows repeated with doc_id and text are one document and get the same result. An
-    empty table gives no rows; other columns of `docs` are not read.
+    A unit goes with the line end or blanks behind it; `removed` holds the byte spans in the
+    original text, so every kept byte can be led back to its place. Units are equal when their
+    words are, in ASCII lower case; every unit with a word counts, however short, those without
+    stay. A null text is empty and has no unit; a null doc_id ranks last; rows repeated with
+    doc_id and text are one document and get the same result. An empty table gives no rows;
+    other columns of `docs` are not read.
     """
     cuts = (
-        repeated_units(docs, separator, min_words).groupBy("doc_id", "text_key")
+        repeated_units(docs, unit).groupBy("doc_id", "text_key")
         .agg(F.collect_set("nth").alias("cut")).withColumnsRenamed({"doc_id": "cut_id", "text_key": "cut_key"})
     )
     rows = _keyed(docs)
@@ -117,7 +120,7 @@ def without_repeated_units(docs: DataFrame, separator: str = LINE, min_words: in
         (rows["text_key"] == cuts["cut_key"]) & rows["doc_id"].eqNullSafe(cuts["cut_id"]), "left",
     )
     return met.select("doc_id", "text", "cut").mapInArrow(
-        _cut(separator),
+        _cut(unit),
         "doc_id long, n_bytes long, n_units long, n_cut long, "
         "removed array<struct<start: long, length: long>>, kept_text string",
     )

@@ -117,24 +117,57 @@ def top_rows(vectors, every, k, scale=256.0):
     return out
 
 
-def unit_rows(docs, separator="\n", min_words=3):
+def units_of(text, kind):
+    """The text cut into lines, into paragraphs, or into lines and sentences of 40 characters and more."""
+    if kind == "paragraph":
+        parts = text.split("\n\n")
+        return [p + "\n\n" for p in parts[:-1]] + [p for p in parts[-1:] if p]
+    out = [line for line in re.split(r"(?<=\n)", text) if line]
+    if kind == "line":
+        return out
+    sentences = []
+    for line in out:
+        start = i = 0
+        while i < len(line):
+            stop = i
+            if i - start >= 40 and line[i] in ".!?":
+                while stop < len(line) and line[stop] in ".!?":
+                    stop += 1
+                if stop < len(line) and line[stop] not in " \t":
+                    stop = i
+            elif i - start >= 40 and line[i] in "。！？":
+                while stop < len(line) and line[stop] in "。！？":
+                    stop += 1
+            elif i - start >= 40 and line[i] == "\n":
+                break
+            if stop > i and stop < len(line) or stop > i and line[i] in "。！？":
+                while stop < len(line) and line[stop] in " \t":
+                    stop += 1
+                sentences.append(line[start:stop])
+                start = i = stop
+            else:
+                i += 1
+        if start < len(line):
+            sentences.append(line[start:])
+    return sentences
+
+
+def unit_rows(docs, kind="sentence"):
     """(doc_id, units, cut units, kept text)."""
     small = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     seen, cut = {}, {}
     ranked = sorted(
-        ((float("inf") if d is None else d, t or "", n) for d, t in docs for n in range(len((t or "").split(separator)))),
+        ((float("inf") if d is None else d, t or "", n) for d, t in docs for n in range(len(units_of(t or "", kind)))),
         key=lambda x: (x[0], x[2]),
     )
     for doc_id, text, n in ranked:
-        plain = re.sub(r"[ \t\n\x0b\f\r]+", " ", text.split(separator)[n].translate(small)).strip(" ")
-        if plain and len(plain.split(" ")) >= min_words and seen.setdefault(plain, (doc_id, text, n)) != (doc_id, text, n):
+        plain = re.sub(r"[ \t\n\x0b\f\r]+", " ", units_of(text, kind)[n].translate(small)).strip(" ")
+        if plain and seen.setdefault(plain, (doc_id, text, n)) != (doc_id, text, n):
             cut.setdefault((doc_id, text), set()).add(n)
     out = []
     for d, t in docs:
-        gone = cut.get((float("inf") if d is None else d, t or ""), set())
-        units = (t or "").split(separator)
-        whole = [u + separator for u in units[:-1]] + units[-1:]
-        out.append((d, len(units), len(gone), "".join(w for n, w in enumerate(whole) if n not in gone)))
+        gone, whole = cut.get((float("inf") if d is None else d, t or ""), set()), units_of(t or "", kind)
+        out.append((d, len(whole), len(gone), "".join(w for n, w in enumerate(whole) if n not in gone)))
     return out
 
 

@@ -256,3 +256,30 @@ def test_repeated_units(make):
         kept = b"".join(text[a:b] for a, b in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(text)], strict=True))
         if r.doc_id != 10:
             assert kept.decode() == r.kept_text
+
+
+LONG = "this sentence is certainly longer than forty letters"
+
+
+@pytest.mark.parametrize("kind, unit", [("sentence", units.SENTENCE), ("line", units.LINE), ("paragraph", units.PARAGRAPH)])
+def test_units_of_each_kind(make, kind, unit):
+    shown = [
+        "one\ntwo words\n", "ONE\n two  words \nthree", "https://example.org/a/very/long/address\n", "x https://example.org/a/very/long/address\nhttps://example.org/a/very/long/address",
+        "没有空格的一行字，它很长，但是只有一个词。" * 3, "前面" + "没有空格的一行字，它很长，但是只有一个词。" * 3, f"{LONG}. Then {LONG}! And... {LONG}?No", f"Other {LONG}. Then {LONG}! {LONG}.\tEnd", f"{LONG}..!  \n\n\n{LONG}",
+        "a. b. c. d.", "\n", " \t\n\n \n", "p one\n\np two\n\n\np one\n\n", f"p two\n\n{LONG}.", f"{LONG} 3.14 and v1.2 stays. {LONG}. ",
+    ]
+    pairs = [(k, t) for k, t in enumerate(shown)]
+    found = units.without_repeated_units(make(pairs), unit)
+    _same(found.select("doc_id", "n_units", "n_cut", "kept_text"), brute.unit_rows(pairs, kind))
+
+
+def test_short_and_blank_free_lines_are_cut(make):
+    pairs = [(1, "yes\nof course\n汉字没有空格\n"), (2, "new\nyes\nof course\n汉字没有空格\n")]
+    assert {r.doc_id: r.kept_text for r in units.without_repeated_units(make(pairs)).collect()} == {1: pairs[0][1], 2: "new\n"}
+
+
+def test_a_passage_inside_other_lines_is_cut(make):
+    passage = " ".join(f"{LONG} number {k}." for k in range(8))
+    pairs = [(1, f"Before it all. {passage} After it."), (2, f"Elsewhere, in another line, it says so. {passage} Then it goes on.")]
+    kept = {r.doc_id: r.kept_text for r in units.without_repeated_units(make(pairs)).collect()}
+    assert kept[1] == pairs[0][1] and len(kept[2]) < len(pairs[1][1]) - 0.8 * len(passage)  # its first sentence shares a unit with what stands before
