@@ -19,12 +19,13 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweir.llm.components import components
-from logweir.llm.shingles import all_shingles, mix, shingle_sets
+from logweir.llm.shingles import PASS_BYTES, all_shingles, mix, shingle_sets
 from logweir.llm.tables import id_and_text, run_folder, written
 
 #: Counters of the sketch, whatever the input. Short shingles, of which many repeat by chance,
@@ -32,7 +33,9 @@ from logweir.llm.tables import id_and_text, run_folder, written
 SKETCH = 1 << 24
 ORDERS = 3
 #: What one task holds of a bucket at most: members, and shingles (or one member).
-BLOCK_MEMBERS, BLOCK_SHINGLES = 1024, 2_000_000
+BLOCK_MEMBERS, BLOCK_SHINGLES = 1024, 1_000_000
+#: Rows of bits that are compared in one step.
+ROWS_AT_ONCE = 128
 _CHUNK = 1 << 14
 _SEEDS = [np.uint64(0xD1B54A32D192ED03 * (r + 1) & (1 << 64) - 1) for r in range(ORDERS)]
 
@@ -66,7 +69,7 @@ def rarity_classes(docs: DataFrame, words: int, counters: int = SKETCH) -> np.nd
 
     def count(batches):
         total = np.zeros(counters, np.uint16)
-        for batch in batches:
+        for batch in _slices(batches, "text"):
             for found in all_shingles(batch.column("text").to_pylist(), words):
                 place, times = np.unique((found & np.uint64(counters - 1)).astype(np.uint32), return_counts=True)
                 total[place] = np.minimum(total[place] + times, 65_535)
@@ -94,9 +97,21 @@ def rarity_classes(docs: DataFrame, words: int, counters: int = SKETCH) -> np.nd
     return out
 
 
+def _slices(batches, column: str, most: int = PASS_BYTES):
+    """The batches in slices that hold about so many bytes of a column, or a single row."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        # a slice ends with the row by which it is full
+        part = (np.cumsum(sizes) - sizes) // most
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def _sets_table(words: int, percent: int, classes):
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches, "text"):
             rows = []
             for found in shingle_sets(batch.column("text").to_pylist(), words):
                 digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
@@ -113,21 +128,29 @@ def _sets_table(words: int, percent: int, classes):
 
 def _packed(batches):
     pack = zstandard.ZstdCompressor(3)
-    for batch in batches:
+    for batch in _slices(batches, "text"):
         texts = [pack.compress(t.encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()]
         yield pa.record_batch([batch.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "packed"])
 
 
+def _shared_columns(sets: list[np.ndarray]) -> tuple[list[np.ndarray], int]:
+    """Each set as numbers of the shingles that two sets or more hold, and how many those are."""
+    values, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.cumsum(times > 1, dtype=np.int32) - 1
+    out, at = [], 0
+    for s in sets:
+        own = place[at : at + len(s)]
+        out.append(number[own[times[own] > 1]])
+        at += len(s)
+    return out, int((times > 1).sum())
+
+
 def _bit_rows(sets: list[np.ndarray]) -> np.ndarray:
     """A row of bits per set, over the shingles that two sets or more hold."""
-    flat = np.concatenate(sets)
-    values, place, times = np.unique(flat, return_inverse=True, return_counts=True)
-    shared = np.cumsum(times > 1) - 1
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    good = times[place] > 1
-    column, row = shared[place[good]], row[good]
-    bits = np.zeros((len(sets), int(times[times > 1].size) // 64 + 1), np.uint64)
-    np.bitwise_or.at(bits, (row, column >> 6), np.uint64(1) << (column & 63).astype(np.uint64))
+    columns, n = _shared_columns(sets)
+    bits = np.zeros((len(sets), n // 64 + 1), np.uint64)
+    for row, own in zip(bits, columns, strict=True):
+        np.bitwise_or.at(row, own >> 6, np.uint64(1) << (own & 63).astype(np.uint64))
     return bits
 
 
@@ -142,7 +165,7 @@ def links_within(ids: list, sets: list[np.ndarray], percent: int, classes: np.nd
     if len(sets) < 2:
         return links
     firsts = [_bit_rows([prefix(s, r, classes, percent) for s in sets]) for r in range(ORDERS)]
-    shared = None
+    columns = held = None
     for i in range(len(sets) - 1):
         others = np.arange(i + 1, len(sets))
         fits = (label[others] != label[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))
@@ -151,15 +174,16 @@ def links_within(ids: list, sets: list[np.ndarray], percent: int, classes: np.nd
         others = others[fits]
         for bits in firsts:
             if len(others):
-                others = others[(bits[others] & bits[i]).any(1)]
+                parts = [others[k : k + ROWS_AT_ONCE] for k in range(0, len(others), ROWS_AT_ONCE)]
+                others = np.concatenate([part[(bits[part] & bits[i]).any(1)] for part in parts])
         if not len(others):
             continue
-        if shared is None:
-            shared = _bit_rows(sets) if sum(map(len, sets)) * len(sets) < 1 << 30 else False
-        if shared is False:
-            common = np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for j in others])
-        else:
-            common = np.bitwise_count(shared[others] & shared[i]).sum(1).astype(np.int64)
+        if columns is None:
+            columns, n_columns = _shared_columns(sets)
+            held = np.zeros(n_columns, bool)
+        held[columns[i]] = True
+        common = np.array([np.count_nonzero(held[columns[j]]) for j in others.tolist()])
+        held[columns[i]] = False
         for j in others[100 * common >= percent * (n[others] + n[i] - common)].tolist():
             if label[j] != label[i]:
                 label[label == label[j]] = label[i]
@@ -213,7 +237,7 @@ def _to_pivot(words: int, percent: int):
 
     def run(batches):
         key, pivot = None, None
-        for batch in batches:
+        for batch in _slices(batches, "packed", PASS_BYTES // 4):
             columns = [batch.column(c).to_pylist() for c in ("pivot", "slice", "first", "member")]
             found = shingle_sets(_texts(batch.column("packed").to_pylist()), words)
             rows = []
