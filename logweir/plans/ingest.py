@@ -12,10 +12,12 @@ from logweir.plans.events import prepared_lookup, scored_events
 from logweir.plans.learn import learn, registered_rules
 from logweir.plans.stages import Stage
 from logweir.plans.store import Store
+from logweir.schemas import FILES
 from logweir.sinks.alerts import as_documents
-from logweir.sources.files import present_files, unread_files
+from logweir.sources.files import present_files
 from logweir.sources.registry import FILE_KINDS, LINE_KINDS, Position, read_source
 from logweir.sources.spec import SourceSpec
+from logweir.sources.tail import kept_files, planned_reads
 
 log = logging.getLogger(__name__)
 
@@ -75,7 +77,8 @@ def run_source(
     """One batch run of one source, from its cursor on.
 
     Files are read once as they are: the store keeps path, length and time of those that a
-    load has read, and whatever differs from that is read, however old it says it is.
+    load has read, and whatever differs from that is read, however old it says it is. Of a
+    `tail` source only what was added since is.
     """
     if spec.kind == "kafka":
         from logweir.streaming.ingest import run_topic  # which itself loads by load_batch
@@ -85,19 +88,41 @@ def run_source(
     started = clock()
     try:
         last, kind = store.position(spec, before=seq)
-        fresh, paths = None, None
-        if spec.kind in FILE_KINDS:
-            fresh = unread_files(present_files(spark, spec), store.files(spec.name, before=seq))
-            # fixed here: a file that grows meanwhile differs from its row and is read again
-            rows = fresh.collect()
-            fresh, paths = spark.createDataFrame(rows, fresh.schema), [r["path"] for r in rows]
-        raw = read_source(spark, spec, Position(last, kind, paths))
+        files = file_reads(store, spec, present_files(spark, spec), seq) if spec.kind in FILE_KINDS else None
+        raw = read_source(spark, spec, Position(last, kind, files))
     except Exception as error:
         store.save_failure(spec, seq, str(error), started, clock())
         raise
     loaded = load_batch(store, spec, raw, seq, last=last, started=started, **options)
-    if fresh is not None:
-        store.save_files(spec.name, fresh, seq)
+    if files is not None:
+        store.save_files(spec.name, kept_files(files), seq)
+    return loaded
+
+
+def file_reads(store: Store, spec: SourceSpec, present: DataFrame, seq: int) -> DataFrame:
+    """What load `seq` reads of the present files: changed ones whole, of a `tail` source what has been added."""
+    reads = planned_reads(present, store.files(spec.name, before=seq), spec.kind != "tail", spec.unfinished)
+    return store.planned(reads, spec.name, seq)
+
+
+def load_files(store: Store, spec: SourceSpec, present: DataFrame, seq: int, **options) -> int:
+    """Load the lines of a micro-batch of files.
+
+    Which files a stream has seen is its checkpoint's to know, so all of them are read; only of
+    a `tail` source the store knows how far.
+    """
+    try:
+        if spec.kind == "tail":
+            files = file_reads(store, spec, present, seq)
+        else:
+            nothing = store.spark.createDataFrame([], FILES)
+            files = store.planned(planned_reads(present, nothing, True, spec.unfinished), spec.name, seq)
+        raw = read_source(store.spark, spec, Position(files=files))
+    except Exception as error:
+        store.save_failure(spec, seq, str(error), clock(), clock())
+        raise
+    loaded = load_batch(store, spec, raw, seq, **options)
+    store.save_files(spec.name, kept_files(files), seq)
     return loaded
 
 

@@ -5,7 +5,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logweir.constants import EPOCH_TEXT
-from logweir.schemas import CURSOR, FILES, HISTORY, REGISTRY
+from logweir.schemas import CURSOR, FILES, HISTORY, READS, REGISTRY
 from logweir.sinks.alerts import AlertIndex
 from logweir.sinks.loads import LoadTable, folder_name
 from logweir.sinks.slots import SlotTable
@@ -23,6 +23,7 @@ class Store:
         self.registry = SlotTable(spark, f"{self.root}/registry", REGISTRY, ["source_name"])
         self._history = LoadTable(spark, f"{self.root}/history", HISTORY)
         self._files = LoadTable(spark, f"{self.root}/files", FILES)
+        self._plans = LoadTable(spark, f"{self.root}/plans", READS)
 
     def cursors(self, source: str) -> SlotTable:
         """One table per source, so that sources can run side by side."""
@@ -40,11 +41,15 @@ class Store:
         return row["watermark_value"], row["watermark_type"]
 
     def files(self, source: str, before: int | None = None) -> DataFrame:
-        """The files of a source that loads (those before `before`) have read, as they were."""
-        read = self._files.latest(["log_source", *FILES.fieldNames()], F.col("log_source") == source)
-        if before is not None:
-            read = read.filter(F.col("load_seq") < before)
-        return read.select(*FILES.fieldNames())
+        """Each file of a source as the newest load (of those before `before`) has read it."""
+        own = F.col("log_source") == source
+        own = own if before is None else own & (F.col("load_seq") < before)
+        return self._files.latest(["log_source", "path"], own).select(*FILES.fieldNames())
+
+    def planned(self, reads: DataFrame, source: str, seq: int) -> DataFrame:
+        """What a load is to read of its files, fixed: a file that grows meanwhile is read on by the next load."""
+        self._plans.put(reads, source, seq)
+        return self._plans.load(source, seq).select(*READS.fieldNames())
 
     def save_files(self, source: str, files: DataFrame, seq: int) -> None:
         self._files.put(files, source, seq)
@@ -91,4 +96,4 @@ class Store:
         self.alerts.merge(keep)
         self.notifications.merge(keep)
         self._history.merge(["log_source", "id"], keep)
-        self._files.merge(["log_source", "path", "length", "modified"], keep)
+        self._files.merge(["log_source", "path"], keep)

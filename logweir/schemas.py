@@ -13,8 +13,12 @@ _TS, _NTZ = T.TimestampType(), T.TimestampNTZType()
 RULE = _struct(log_source=_S, pos=_I, target=_S, source=_S)
 REGISTRY = _struct(source_name=_S, parser_xml=_S, updated_at=_NTZ)
 CURSOR = _struct(source_name=_S, watermark_value=_S, watermark_type=_S, updated_at=_NTZ)
-# A file as a load has read it.
-FILES = _struct(path=_S, length=_L, modified=_L)
+# A file as a load has read it: up to where, the how manieth of its name, its first bytes' digest.
+FILES = _struct(path=_S, length=_L, modified=_L, position=_L, generation=_I, head_bytes=_I, head=_S)
+# What of a file a load is to read, and the file as it then is.
+READS = _struct(
+    path=_S, length=_L, modified=_L, start=_L, upto=_L, position=_L, generation=_I, head_bytes=_I, head=_S
+)
 HISTORY = _struct(
     id=_S,
     source_name=_S,

@@ -1,9 +1,13 @@
 """Session settings and the shared folder for cut lineage."""
 
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
 # Sizes follow the data through AQE: start with many small shuffle partitions
 # and let Spark merge them, split skewed ones, and choose joins at run time.
 SETTINGS = {
@@ -43,3 +47,13 @@ def shared_folder(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", folder)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application, as spark-submit does."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        home = os.path.dirname(os.path.abspath(__file__))
+        base = os.path.join(tempfile.mkdtemp(prefix="logweir-code-"), "logweir")
+        context.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(home), os.path.basename(home)))
+        _shipped.add(context.applicationId)

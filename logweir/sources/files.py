@@ -5,15 +5,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logweir.schemas import FILES
 from logweir.sources.spec import SourceSpec
+from logweir.sources.tail import GrowingFiles, planned_lines, planned_reads
 
 _LINES = "value string, place string"
-# File, block and row: tells apart lines that are equal and have no time of their own.
-_PLACE = (
-    "concat_ws(':', _metadata.file_path, CAST(_metadata.file_block_start AS STRING), "
-    "CAST(monotonically_increasing_id() AS STRING)) AS place"
-)
-# A stream cannot number rows: it carries the block, and `numbered_lines` numbers a micro-batch.
-_BLOCK = "_file_block"
+_PRESENT = "path string, length long, modified long"
+# Fixed value: the columns of Spark's reader of whole files, of which the content is not read.
+_WHOLE = "path string, modificationTime timestamp, length long, content binary"
 
 
 def log_path(spec: SourceSpec) -> str:
@@ -30,58 +27,48 @@ def present_files(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], FILES)
-    return files.select("path", "length", F.unix_micros("modificationTime").alias("modified"))
+        return spark.createDataFrame([], _PRESENT)
+    return _as_present(files)
 
 
-def unread_files(present: DataFrame, read: DataFrame) -> DataFrame:
-    """Files that no load has read as they are now: new, grown or written again."""
-    return present.join(read, ["path", "length", "modified"], "left_anti")
+def _as_present(files: DataFrame) -> DataFrame:
+    return files.select("path", "length", F.unix_micros("modificationTime").alias("modified"))
 
 
-def read_lines(
-    spark: SparkSession, spec: SourceSpec, paths: list[str] | None = None
-) -> DataFrame:
-    """Lines as `value`, with their `place`, of the given files, else of all matching ones."""
-    if paths is not None and not paths:
-        return spark.createDataFrame([], _LINES)
-    try:
-        return spark.read.text(log_path(spec) if paths is None else paths).selectExpr("value", _PLACE)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+def read_lines(spark: SparkSession, spec: SourceSpec, files: DataFrame | list[str] | None = None) -> DataFrame:
+    """Lines as `value`, with their `place`, of the planned files, of paths, else of all matching files.
+
+    A line's place is its file and byte offset, whatever else the batch holds.
+    """
+    if isinstance(files, DataFrame):
+        return planned_lines(files)
+    if files is not None and not files:
         return spark.createDataFrame([], _LINES)
+    present = present_files(spark, spec)
+    if files is not None:
+        named = [f if ":/" in f else f"file:{f}" for f in files]
+        present = present.filter(F.col("path").isin(named))
+    return planned_lines(planned_reads(present, spark.createDataFrame([], FILES)))
 
 
-def stream_lines(
-    spark: SparkSession, spec: SourceSpec, max_files=None, max_bytes=None
-) -> DataFrame:
-    """New files of a folder as a stream of lines; the limits bound one micro-batch.
+def stream_files(spark: SparkSession, spec: SourceSpec, max_files=None, max_bytes=None) -> DataFrame:
+    """New files of a folder as a stream of (path, length, modified); the limits bound one micro-batch.
 
-    `place` is but the file until `numbered_lines` has seen the micro-batch.
+    What is in them is read where the micro-batch is loaded, by byte ranges.
     """
-    reader = spark.readStream.schema("value string")
+    reader = spark.readStream.format("binaryFile").schema(_WHOLE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     elif max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.text(log_path(spec)).selectExpr(
-        "value", "_metadata.file_path AS place", f"_metadata.file_block_start AS {_BLOCK}"
-    )
+    return _as_present(reader.load(log_path(spec)))
 
 
-def numbered_lines(batch: DataFrame) -> DataFrame:
-    """A micro-batch of `stream_lines` with the place of each line: file, block and row in it.
+def stream_states(spark: SparkSession, spec: SourceSpec, max_files=None, max_bytes=None) -> DataFrame:
+    """Files that grow, as a stream of (path, length, modified): a row whenever one has changed.
 
-    Rows count from the first of their block, so a place does not depend on the other files of
-    the batch. The lines are not shuffled: a first pass finds where blocks begin, one row each,
-    and those are broadcast. Other batches are returned as they are.
+    The offset of the stream names every matching file with its length and time, so it is for
+    sources of some thousand files at most. The limits are taken by `stream_files` alone.
     """
-    if _BLOCK not in batch.columns:
-        return batch
-    rows = batch.withColumn("_row", F.monotonically_increasing_id())
-    begins = rows.groupBy("place", _BLOCK).agg(F.min("_row").alias("_first"))
-    # left: whatever the first pass has seen, no line is lost
-    met = rows.join(F.broadcast(begins), ["place", _BLOCK], "left")
-    row = F.col("_row") - F.coalesce("_first", F.lit(0))
-    return met.withColumn("place", F.concat_ws(":", "place", _BLOCK, row)).drop(_BLOCK, "_row", "_first")
+    spark.dataSource.register(GrowingFiles)
+    return spark.readStream.format("growing_files").option("path", log_path(spec)).load()

@@ -11,24 +11,28 @@ from logweir.sources.files import read_lines
 from logweir.sources.kafka import read_topic
 from logweir.sources.spec import SourceSpec
 
-FILE_KINDS = {"file", "s3"}
+FILE_KINDS = {"file", "s3", "tail"}
 LINE_KINDS = {*FILE_KINDS, "kafka"}
 
 
 @dataclass(frozen=True)
 class Position:
-    """Where a batch read goes on: the cursor and its type, and the files not read yet."""
+    """Where a batch read goes on: the cursor and its type, and what of the files is to be read."""
 
     last: str | None = None
     kind: str | None = None
-    paths: list[str] | None = None
+    files: DataFrame | None = None
+
+    @property
+    def paths(self) -> list[str]:
+        """The files of the read: asked for by who looks at a load, not by the load."""
+        return [] if self.files is None else [r["path"] for r in self.files.select("path").collect()]
 
 
 Reader = Callable[[SparkSession, SourceSpec, Position], DataFrame]
 
 READERS: dict[str, Reader] = {
-    "file": lambda spark, spec, at: read_lines(spark, spec, at.paths),
-    "s3": lambda spark, spec, at: read_lines(spark, spec, at.paths),
+    **{kind: lambda spark, spec, at: read_lines(spark, spec, at.files) for kind in FILE_KINDS},
     "table": lambda spark, spec, at: read_catalog_table(spark, spec, at.last, at.kind),
     "kafka": lambda spark, spec, at: read_topic(spark, spec),
     **{kind: lambda spark, spec, at: read_table(spark, spec, at.last, at.kind) for kind in DIALECTS},

@@ -6,23 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from logweir.constants import TRIGGER_INTERVAL
-from logweir.plans.ingest import cycle_options, load_batch, source_rules
+from logweir.plans.ingest import cycle_options, load_batch, load_files, source_rules
 from logweir.functions.times import clock
 from logweir.plans.store import Store
 from logweir.schemas import CURSOR
 from logweir.sinks.slots import SlotTable
-from logweir.sources.files import numbered_lines, stream_lines
+from logweir.sources.files import stream_files, stream_states
 from logweir.sources.kafka import stream_topic
 from logweir.sources.registry import LINE_KINDS
 from logweir.sources.spec import SourceSpec
 
 
 def source_stream(spark: SparkSession, spec: SourceSpec, **limits) -> DataFrame:
-    """Lines of a file, object-store or Kafka source as a stream."""
+    """Lines of a Kafka source as a stream; of files the files themselves, whose lines a load reads."""
     if spec.kind == "kafka":
         return stream_topic(spark, spec, **limits)
     if spec.kind in ("file", "s3"):
-        return stream_lines(spark, spec, **limits)
+        return stream_files(spark, spec, **limits)
+    if spec.kind == "tail":
+        return stream_states(spark, spec, **limits)
     raise ValueError(f"[{spec.name}] {spec.type} sources run as batches")
 
 
@@ -59,7 +61,8 @@ def start_loading(
     late_until = first_cutoff(store, spec, checkpoint)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_batch(store, spec, numbered_lines(batch), first_seq + batch_id, last=late_until, **options)
+        whole = load_batch if "value" in batch.columns else load_files
+        whole(store, spec, batch, first_seq + batch_id, last=late_until, **options)
 
     writer = (
         lines.writeStream.queryName(spec.name)

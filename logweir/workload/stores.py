@@ -9,14 +9,14 @@ from logweir.operators.mapping import infer_rules, rules_as_xml
 from logweir.operators.parse import parse_lines
 from logweir.operators.totals import run_report, union_all
 from logweir.constants import KEY_SYNONYMS_BASIC
-from logweir.plans.ingest import run_all
+from logweir.plans.ingest import file_reads, run_all
 from logweir.plans.store import Store
-from logweir.schemas import FILES
 from logweir.session import shared_folder
 from logweir.sinks.alerts import create_alert_table, insert_alerts
-from logweir.sources.files import present_files, read_lines, unread_files
+from logweir.sources.files import present_files, read_lines
 from logweir.sources.rules import read_rules, write_rules
 from logweir.sources.spec import SourceSpec
+from logweir.sources.tail import kept_files
 from logweir.workload.mapping import SQL as MAPPING_SQL
 from logweir.workload.tables import (
     EVENT_TIME,
@@ -62,13 +62,12 @@ def file_lines(spark, folder):
     """Lines written as files in two goes; what a second read adds to the first."""
     root = _new_folder(spark)
     spec = source_spec("all", path=f"{root}/logs/*")
-    lines = event_lines(spark, folder)
-    lines.filter("event_id % 2 = 0").select("value").write.text(f"{root}/logs/even")
-    first = spark.createDataFrame(present_files(spark, spec).collect(), FILES)
-    lines.filter("event_id % 2 = 1").select("value").write.text(f"{root}/logs/odd")
-    fresh = [r["path"] for r in unread_files(present_files(spark, spec), first).collect()]
-    parts = [("first", [r["path"] for r in first.collect()]), ("second", fresh)]
-    read = [read_lines(spark, spec, paths).select(F.lit(n).alias("go"), F.md5("value").alias("line_md5")) for n, paths in parts]
+    lines, store, read = event_lines(spark, folder), Store(spark, f"{root}/store"), []
+    for seq, go in enumerate(("first", "second")):
+        lines.filter(f"event_id % 2 = {seq}").select("value").write.text(f"{root}/logs/{go}")
+        files = file_reads(store, spec, present_files(spark, spec), seq)
+        read.append(read_lines(spark, spec, files).select(F.lit(go).alias("go"), F.md5("value").alias("line_md5")))
+        store.save_files(spec.name, kept_files(files), seq)
     return read[0].unionByName(read[1])
 
 
