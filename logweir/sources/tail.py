@@ -23,7 +23,7 @@ from logweir.schemas import FILES
 from logweir.session import ship
 
 #: Bytes of a file that one range holds, and that are read at a time.
-RANGE_BYTES, CHUNK_BYTES = 64 << 20, 4 << 20
+RANGE_BYTES, CHUNK_BYTES, HEAD_CHUNK = 64 << 20, 4 << 20, 1 << 16
 #: First bytes of a file by which it is known again.
 HEAD_BYTES = 256
 #: Tasks of one read at most; ranges beyond that share them.
@@ -187,6 +187,29 @@ def planned_lines(planned: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFra
     return ranges.repartition(tasks).mapInArrow(_read, "value string, place string")
 
 
+def _first_line(file) -> bytes:
+    held = b""
+    while b"\n" not in held and (more := file.read(max(HEAD_CHUNK, len(held)))):
+        held += more
+    return held.partition(b"\n")[0].removesuffix(b"\r")
+
+
+def _heads(batches):
+    for batch in batches:
+        values = []
+        for name in batch.column("path").to_pylist():
+            system, path = opened(name)
+            with system.open_input_stream(path) as file:
+                values.append(_first_line(file).decode("utf-8", "replace"))
+        yield pa.record_batch([batch.column("path"), pa.array(values, pa.string())], ["path", "value"])
+
+
+def head_lines(present: DataFrame) -> DataFrame:
+    """(path, value): the first line of each file, of which no more than that is read, by 64 KB."""
+    ship(present.sparkSession)
+    return present.select("path").mapInArrow(_heads, "path string, value string")
+
+
 def kept_files(planned: DataFrame) -> DataFrame:
     """What the store keeps of the files that a load has read."""
     return planned.select(*FILES.fieldNames())

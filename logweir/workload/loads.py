@@ -14,13 +14,14 @@ from logweir.operators.keyed import (
     upsert,
     with_load_error,
 )
-from logweir.operators.parse import first_lines, nonblank_lines
+from logweir.operators.parse import nonblank_lines
 from logweir.operators.totals import union_all
 from logweir.plans.store import Store
 from logweir.schemas import alert_table
 from logweir.session import shared_folder
 from logweir.sinks.alerts import AlertIndex, write_json_lines
-from logweir.sources.files import read_lines
+from logweir.sources.files import present_files, read_lines
+from logweir.sources.tail import head_lines
 from logweir.streaming.ingest import start_all, start_loading
 from logweir.functions.text import WHITESPACE
 from logweir.workload.tables import (
@@ -151,14 +152,22 @@ def raw_json_lines(spark, folder):
 
 
 def first_line_per_document(spark, folder):
-    """The documents of each source as one file: its first line, stripped, unless blank."""
+    """The first line of each document, stripped; documents that start blank give none."""
+    lines = document_lines(spark, folder)
+    first = lines.groupBy("doc_id").agg(F.min_by("value", "pos").alias("value"))
+    return nonblank_lines(first).select("doc_id", F.md5("line").alias("line_md5"))
+
+
+def first_line_per_file(spark, folder):
+    """Documents written as many files of each source: the first line of each, stripped, unless blank."""
     path = f"{_run_folder(spark)}/documents"
-    lines = document_lines(spark, folder).select("source", "doc_id", "pos", "value")
-    parted = lines.repartition("source").sortWithinPartitions("source", "doc_id", "pos")
-    parted.select("source", "value").write.option("maxRecordsPerFile", 0).partitionBy("source").text(path)
-    first = first_lines(spark.read.text(path))
-    source = F.regexp_extract("file_path", "source=([^/]+)/", 1)
-    return first.select(source.alias("source"), F.md5("line").alias("line_md5"))
+    lines = document_lines(spark, folder).select("source", F.expr("doc_id DIV 10000").alias("bucket"), "doc_id", "pos", "value")
+    parted = lines.repartition("source", "bucket").sortWithinPartitions("source", "bucket", "doc_id", "pos")
+    writer = parted.select("source", "bucket", "value").write.option("maxRecordsPerFile", 0)
+    writer.partitionBy("source", "bucket").text(path)
+    heads = nonblank_lines(head_lines(present_files(spark, source_spec("all", path=f"{path}/*/*"))))
+    named = [F.regexp_extract("path", f"{name}=([^/]+)/", 1) for name in ("source", "bucket")]
+    return heads.select(named[0].alias("source"), named[1].cast("bigint").alias("bucket"), F.md5("line").alias("line_md5"))
 
 
 def concat_line_files(spark, folder):
@@ -225,6 +234,7 @@ QUERIES = {
     "first_load_errors": first_load_errors,
     "raw_json_lines": raw_json_lines,
     "first_line_per_document": first_line_per_document,
+    "first_line_per_file": first_line_per_file,
     "concat_line_files": concat_line_files,
     "stream_alerts": stream_alerts,
     "stream_alerts_in_pieces": stream_alerts_in_pieces,
@@ -247,9 +257,11 @@ SQL = {
     "stream_alerts_in_pieces": f"""WITH t AS (SELECT {LOG_SOURCE} AS log_source, date_trunc('second', ts) AS s FROM events)
 SELECT log_source, substring(CAST(s AS VARCHAR), 1, 10) AS event_date, count(*) AS n, min(s) AS "first", max(s) AS "last"
 FROM t GROUP BY 1, 2""",
-    "first_line_per_document": f"""WITH {SQL_DOC_LINES}, t AS (SELECT source, trim(value, {_SPACE}) AS line
- FROM d QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id, pos) = 1)
-SELECT source, md5(line) AS line_md5 FROM t WHERE line <> ''""",
+    "first_line_per_document": f"""WITH {SQL_DOC_LINES}, t AS (SELECT doc_id, trim(value, {_SPACE}) AS line
+ FROM d WHERE pos = 0) SELECT doc_id, md5(line) AS line_md5 FROM t WHERE line <> ''""",
+    "first_line_per_file": f"""WITH {SQL_DOC_LINES}, t AS (SELECT source, doc_id // 10000 AS bucket, trim(value, {_SPACE}) AS line
+ FROM d QUALIFY row_number() OVER (PARTITION BY source, doc_id // 10000 ORDER BY doc_id, pos) = 1)
+SELECT source, bucket, md5(line) AS line_md5 FROM t WHERE line <> ''""",
     "stream_alerts": f"""WITH {SQL_LINES}, t AS (SELECT *, CAST(substring(CAST(ts AS VARCHAR), 1, 19) AS TIMESTAMP) AS final_ts FROM l)
 SELECT final_ts, CASE event_type WHEN 'click' THEN CAST(user_id AS VARCHAR) WHEN 'signup' THEN 'user ' || user_id
   WHEN 'purchase' THEN 'user ' || user_id ELSE 'Unknown_ID' END AS user_id,

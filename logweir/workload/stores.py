@@ -3,20 +3,23 @@
 import uuid
 from dataclasses import replace
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from logweir.operators.mapping import infer_rules, rules_as_xml
 from logweir.operators.parse import parse_lines
 from logweir.operators.totals import run_report, union_all
 from logweir.constants import KEY_SYNONYMS_BASIC
-from logweir.plans.ingest import file_reads, run_all
+from logweir.plans.ingest import file_reads, run_all, run_source
 from logweir.plans.store import Store
-from logweir.session import shared_folder
+from logweir.session import shared_folder, ship
 from logweir.sinks.alerts import create_alert_table, insert_alerts
 from logweir.sources.files import present_files, read_lines
 from logweir.sources.rules import read_rules, write_rules
 from logweir.sources.spec import SourceSpec
-from logweir.sources.tail import kept_files
+from logweir.sources.tail import kept_files, opened
+from logweir.streaming.ingest import source_stream, start_loading
 from logweir.workload.mapping import SQL as MAPPING_SQL
 from logweir.workload.tables import (
     EVENT_TIME,
@@ -71,6 +74,64 @@ def file_lines(spark, folder):
     return read[0].unionByName(read[1])
 
 
+# Lines without a time of their own: those of one user are all equal.
+_TIMELESS = "'[allow] src=10.0.0.' || user_id || ' dst=10.0.9.1 dst_port=443 proto=TCP service=Web bytes=512'"
+
+
+def _written_whole(folder):
+    """Each task writes its lines as one file, over what an earlier try or version has written."""
+
+    def run(batches):
+        path = f"{folder}/part-{TaskContext.get().partitionId():05}.log"
+        system, place = opened(path)
+        system.create_dir(opened(folder)[1], recursive=True)
+        n = 0
+        with system.open_output_stream(f"{place}.tmp") as out:
+            for batch in batches:
+                lines = batch.column("value").to_pylist()
+                out.write("".join(f"{line}\n" for line in lines).encode())
+                n += len(lines)
+        system.move(f"{place}.tmp", place)
+        yield pa.record_batch([pa.array([n], pa.int64())], ["n"])
+
+    return run
+
+
+def _grow(lines, folder, upto):
+    """Files that hold the lines of the goes up to one: those of the go before, with more behind them."""
+    ship(lines.sparkSession)
+    dealt = lines.filter(F.col("go") <= upto).repartition(8, "event_id").sortWithinPartitions("go", "event_id")
+    dealt.select("value").mapInArrow(_written_whole(folder), "n long").agg(F.sum("n")).collect()
+
+
+def _tailed(spark, folder, follow):
+    """Files that grow twice, followed three times: alerts of each source address and day kept apart."""
+    root = _new_folder(spark)
+    store = Store(spark, f"{root}/store")
+    spec = source_spec("Firewall_Logs", type="tail", path=f"{root}/logs/*.log")
+    lines = table(spark, folder, "events").select("event_id", F.expr("event_id % 3").alias("go"), F.expr(_TIMELESS).alias("value"))
+    for go in range(3):
+        _grow(lines, f"{root}/logs", go)
+        follow(store, spec, root, go)
+    loads = store.history().filter("processed_count > 0").count()
+    alerts = store.alerts.alerts()
+    return alerts.groupBy("src_ip").agg(F.count(F.lit(1)).alias("n")).withColumn("loads", F.lit(loads).cast("bigint"))
+
+
+def tailed_lines(spark, folder):
+    """Batch runs read what the files have got since: each line once, equal ones without a time too."""
+    return _tailed(spark, folder, lambda store, spec, root, go: run_source(spark, store, spec, seq=go))
+
+
+def tailed_lines_in_stream(spark, folder):
+    """The same by a stream that is started again from its checkpoint."""
+
+    def follow(store, spec, root, go):
+        start_loading(source_stream(spark, spec), store, spec, f"{root}/checkpoint", once=True).awaitTermination()
+
+    return _tailed(spark, folder, follow)
+
+
 def index_after_cycles(spark, folder):
     """Two cycles over the same files, merged between them, leave each alert once."""
     root = _new_folder(spark)
@@ -229,6 +290,8 @@ def rules_from_files(spark, folder):
 
 
 QUERIES = {
+    "tailed_lines": tailed_lines,
+    "tailed_lines_in_stream": tailed_lines_in_stream,
     "late_rows_dropped": late_rows_dropped,
     "late_rows_kept": late_rows_kept,
     "failing_source_alone": failing_source_alone,
@@ -259,7 +322,11 @@ _ALL = (
 _COUNTED = f"""c AS (SELECT {LOG_SOURCE} AS source_name, event_type,
  count(*) FILTER (event_type <> 'error') AS loaded, count(*) FILTER (event_type = 'error') AS bad FROM events GROUP BY event_type)"""
 
+_TAILED = "SELECT '10.0.0.' || user_id AS src_ip, count(*) AS n, 3::BIGINT AS loads FROM events GROUP BY user_id"
+
 SQL = {
+    "tailed_lines": _TAILED,
+    "tailed_lines_in_stream": _TAILED,
     "late_rows_dropped": f"{_ALL} WHERE ts >= {_MIDDLE}",
     "late_rows_kept": _ALL,
     "failing_source_alone": f"""WITH {_COUNTED} SELECT 'Broken' AS source_name, 'FAIL' AS status, 0 AS processed_count
