@@ -106,8 +106,8 @@ def scored_events(
     by their `error_reason`, until they have been counted.
     """
     events = clean_events(raw, spec, lookup, ingest_time, rules, counted, stage)
-    if spec.kind in LINE_KINDS and spec.late_policy == "drop" and last is not None:
-        late = ~(F.col("final_ts") > F.lit(last).cast("timestamp_ntz"))
+    late = late_rows(spec, last)
+    if late is not None:
         if counted:
             reason = F.coalesce("error_reason", F.when(late, F.lit(LATE)))
             events = events.withColumn("error_reason", reason)
@@ -116,6 +116,24 @@ def scored_events(
     return run_stages(_given_scores(events), DETECTION if stages is None else stages)
 
 
+def late_rows(spec: SourceSpec, last: str | None) -> Column | None:
+    """Which rows of a line source are late; nothing where none can be.
+
+    By the policy `drop` those not after the cursor. By `watermark` those that lie more than
+    the delay before the newest event time of the loads before, as a watermark of Spark has
+    it; a row whose time is only that of its ingest never is.
+    """
+    if spec.kind not in LINE_KINDS or last is None:
+        return None
+    cursor = F.lit(last).cast("timestamp_ntz")
+    if spec.late_policy == "drop":
+        return ~(F.col("final_ts") > cursor)
+    if spec.late_policy == "watermark":
+        bound = cursor - F.expr(f"INTERVAL {literal(spec.late_delay)}")
+        return (F.col("final_ts") < bound) & ~F.coalesce("time_inferred", F.lit(False))
+    return None
+
+
 def _given_scores(events: DataFrame) -> DataFrame:
     """A score or message that a line brings along stands until a rule replaces it."""
     if "extras" not in events.columns:

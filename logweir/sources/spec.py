@@ -37,7 +37,8 @@ class SourceSpec:
     columns: tuple = ()  # keys that become columns besides pattern groups and rule sources
     rules: tuple | None = None  # (target, source) pairs; None: the shipped ones
     mapping_policy: str = "last_present"
-    late_policy: str = "drop"
+    late_policy: str = "drop"  # or "allow", or "watermark": late by more than `late_delay`
+    late_delay: str = "0 seconds"
     personal: bool = False  # store the personal fields of the lines too
     people: bool = False  # the table of employee ids and names that events are named from
     unfinished: str = "take"  # a last line without a line end: take it as it is, or wait for its end

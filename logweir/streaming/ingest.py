@@ -56,13 +56,18 @@ def start_loading(
 
     Where the stream stands is the checkpoint's to know. Rows are late only against the
     cursor as it stood when the checkpoint was new, which is kept beside it: how a backlog is
-    cut into batches, or how often the stream is restarted, does not decide what is kept.
+    cut into batches, or how often the stream is restarted, does not decide what is kept. Only by
+    the policy `watermark` the bound follows the newest event time of the batches before, less
+    the source's delay.
     """
     late_until = first_cutoff(store, spec, checkpoint)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         whole = load_batch if "value" in batch.columns else load_files
-        whole(store, spec, batch, first_seq + batch_id, last=late_until, **options)
+        seq = first_seq + batch_id
+        # a watermark moves with the batches; a repeated one sees it as it stood before
+        until = store.cursor(spec, before=seq) if spec.late_policy == "watermark" else late_until
+        whole(store, spec, batch, seq, last=until, **options)
 
     writer = (
         lines.writeStream.queryName(spec.name)

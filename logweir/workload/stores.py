@@ -36,6 +36,9 @@ from logweir.workload.tables import (
 # The error events as records whose time cannot be read.
 _UNREADABLE = """'{"timestamp":"day ' || CAST(event_id AS STRING) || '","user_id":"' || CAST(user_id AS STRING) || '"}'"""
 
+# Days 11 to 20 come first, then the later ones, then the earlier ones.
+_GO_OF_DAY = "WHEN day(ts) BETWEEN 11 AND 20 THEN 0 WHEN day(ts) > 20 THEN 1 ELSE 2"
+
 _MIDDLE = "TIMESTAMP '2024-01-16 00:00:00'"
 
 
@@ -265,6 +268,27 @@ def _halves(spark, folder, late_policy):
     return store.alerts.alerts().select("final_ts", "log_source", "src_ip", "risk_score")
 
 
+def late_rows_by_watermark(spark, folder):
+    """Files that come out of order, in a stream started again for each: kept, late and counted rows.
+
+    First the middle days of the month, then the newest, then the oldest: of these only rows up
+    to 25 days behind the newest one before are kept.
+    """
+    root = _new_folder(spark)
+    store = Store(spark, f"{root}/store")
+    spec = source_spec("Auth_Logs", path=f"{root}/logs/*", late_policy="watermark", late_delay="25 days")
+    lines = table(spark, folder, "events").filter("event_type = 'signup'").select(
+        F.expr(f"CASE {_GO_OF_DAY} END").alias("go"), F.expr(LINE).alias("value")
+    )
+    for go in range(3):
+        lines.filter(F.col("go") == go).select("value").write.text(f"{root}/logs/{go}")
+        for _ in range(2):  # the second start finds nothing new
+            start_loading(source_stream(spark, spec), store, spec, f"{root}/checkpoint", once=True).awaitTermination()
+    kept = store.alerts.alerts().groupBy(F.to_date("final_ts").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    late = store.history().agg(F.sum("late_count").alias("n")).select(F.lit("late").alias("day"), "n")
+    return kept.unionByName(late)
+
+
 def late_rows_dropped(spark, folder):
     return _halves(spark, folder, "drop")
 
@@ -290,6 +314,7 @@ def rules_from_files(spark, folder):
 
 
 QUERIES = {
+    "late_rows_by_watermark": late_rows_by_watermark,
     "tailed_lines": tailed_lines,
     "tailed_lines_in_stream": tailed_lines_in_stream,
     "late_rows_dropped": late_rows_dropped,
@@ -325,6 +350,12 @@ _COUNTED = f"""c AS (SELECT {LOG_SOURCE} AS source_name, event_type,
 _TAILED = "SELECT '10.0.0.' || user_id AS src_ip, count(*) AS n, 3::BIGINT AS loads FROM events GROUP BY user_id"
 
 SQL = {
+    "late_rows_by_watermark": f"""WITH e AS (SELECT date_trunc('second', ts) AS t, CASE {_GO_OF_DAY} END AS go
+  FROM events WHERE event_type = 'signup'),
+ bounds AS (SELECT g.go, max(e.t) - INTERVAL 25 DAYS AS bound FROM (VALUES (0), (1), (2)) g(go) LEFT JOIN e ON e.go < g.go GROUP BY g.go),
+ judged AS (SELECT e.*, coalesce(e.t < b.bound, false) AS late FROM e JOIN bounds b USING (go))
+SELECT CAST(CAST(t AS DATE) AS VARCHAR) AS day, count(*) AS n FROM judged WHERE NOT late GROUP BY 1
+UNION ALL SELECT 'late', count(*) FILTER (late) FROM judged""",
     "tailed_lines": _TAILED,
     "tailed_lines_in_stream": _TAILED,
     "late_rows_dropped": f"{_ALL} WHERE ts >= {_MIDDLE}",

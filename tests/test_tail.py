@@ -155,3 +155,21 @@ def test_what_a_path_stands_for(tmp_path):
     assert names(f"{tmp_path}/i*") == ["in/c.log"]
     assert names(f"{tmp_path}/in/c.log") == ["in/c.log"]
     assert names(f"{tmp_path}/none/*") == []
+
+
+def test_a_watermark_moves_with_the_batches(spark, logs, tmp_path):
+    """Rows are late by more than the delay behind what came before; a repeated batch judges alike."""
+    write, _, store = logs
+    spec = SourceSpec(name="Auth_Logs", type="tail", path=f"{tmp_path}/logs/*.log", late_policy="watermark", late_delay="10 seconds")
+    line = lambda s: f'{{"timestamp":"2026-01-01T00:00:{s:02d}","user_id":"E{s}","action":"login"}}\n'
+    for name, seconds in (("a.log", (40, 5)), ("b.log", (29, 30, 31, 55)), ("a.log", (45, 44))):
+        write(name, "".join(map(line, seconds)))
+        start_loading(source_stream(spark, spec), store, spec, str(tmp_path / "checkpoint"), once=True).awaitTermination()
+    # the second batch is judged by 40 - 10, the third by 55 - 10
+    assert sorted(r["timestamp"][-2:] for r in store.alerts.alerts().collect()) == ["05", "30", "31", "40", "45", "55"]
+    late = {r["id"]: r["late_count"] for r in store.history().collect()}
+    assert late == {"Auth_Logs-0": 0, "Auth_Logs-1": 1, "Auth_Logs-2": 1}
+    text = "a line without any time\n"
+    write("c.log", text)
+    start_loading(source_stream(spark, spec), store, spec, str(tmp_path / "checkpoint"), once=True).awaitTermination()
+    assert sum(r["late_count"] for r in store.history().collect()) == 3  # it has the epoch
