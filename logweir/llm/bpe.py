@@ -26,6 +26,8 @@ from logweir.llm.tables import id_and_text
 MEMORY = 300_000
 #: Characters of a piece or word that is remembered.
 LONG = 64
+# Fixed value: the pattern for which texts may be cut before blanks.
+COMMON = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _BLANK_BEFORE_SPACE = re.compile(r"\s ")
 
 
@@ -200,14 +202,14 @@ class PrefixEncoding:
 class TextEncoder:
     """Whole texts: each match of the pattern is encoded by itself.
 
-    A match never goes from a character that is not white space on to white space, so text
-    may be cut before any blank that follows such a character: what such a cut gives, about
-    a word, is looked up.
+    A match of the common pattern never goes from a character that is not white space on to
+    white space, so text may be cut before any blank that follows such a character: what such a
+    cut gives, about a word, is looked up. With another pattern its matches alone are.
     """
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.vocabulary = vocabulary
-        self._pattern = regex.compile(pattern)
+        self._pattern, self._cuts = regex.compile(pattern), pattern == COMMON
         self._pieces = _Memory(self._piece)
         self._after_blank = _Memory(self._word)
         # the last token of byte prefixes, whatever piece they have been met in
@@ -253,7 +255,7 @@ class TextEncoder:
         return tuple(self._matches(" " + word))
 
     def encode(self, text: str) -> list[int]:
-        if _BLANK_BEFORE_SPACE.search(text):
+        if not self._cuts or _BLANK_BEFORE_SPACE.search(text):
             return list(self._matches(text))
         head, *words = text.split(" ")
         if max(map(len, words), default=0) > LONG:

@@ -25,6 +25,8 @@ UNKNOWN = "und"
 BUCKETS = 4096
 #: Labelled rows per language that a model is fitted on, the same at every size of the input.
 ROWS_PER_LANGUAGE = 500
+#: Languages that a model tells at most: the most frequent labels, of equal ones the first by name.
+LANGUAGES = 32
 # Families of ISO 639-1 codes. A language not named here is a family of its own.
 FAMILIES = {
     "germanic": ("da", "de", "en", "is", "nl", "no", "sv"),
@@ -147,19 +149,28 @@ def held_out(doc_id):
     return F.crc32(doc_id.cast("long").cast("string").cast("binary")) % 4 == 2
 
 
-def learn_languages(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> LanguageModel | None:
-    """A model from at most `rows_per_language` labelled rows of each language.
+def learn_languages(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, languages: int = LANGUAGES) -> LanguageModel | None:
+    """A model from at most `rows_per_language` labelled rows of each of at most `languages` languages.
 
     Rows count that are not held out and whose text and lang are not null and hold a letter;
-    of each language those with the smallest hash of the id. Only their ids are sent around,
-    and their features, of fixed size, come to the driver.
+    of each language those with the smallest hash of the id. Rows that repeat a doc_id with a
+    language are one, with the least text. Only their ids are sent around, and their features,
+    of fixed size, come to the driver.
     """
     ship(docs.sparkSession)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"), docs["lang"].alias("lang")).filter(
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n"))
+    top = sizes.orderBy(F.desc("n"), "lang").limit(languages).collect()  # a row per language
+    # a bound on the hash lets about twice the rows through that are ranked then
+    bound = F.lit(None).cast("long")
+    for r in top:
+        share = min(1.0, 2 * rows_per_language / max(r["n"], 1))
+        bound = F.when(F.col("lang") == r["lang"], F.lit(min(int(share * 2.0**64) - 2**63, 2**63 - 1))).otherwise(bound)
+    near = rows.select("lang", "doc_id").filter(F.xxhash64("doc_id") <= bound).distinct()
     order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("lang", "doc_id").withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows_per_language)
+    chosen = near.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows_per_language)
 
     def sample(batches):
         for batch in batches:
@@ -173,7 +184,8 @@ def learn_languages(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE)
                 at += len(part)
 
     # the broadcast side has rows_per_language rows per language at most
-    found = rows.join(F.broadcast(chosen.select("lang", "doc_id").distinct()), ["lang", "doc_id"], "left_semi").select("doc_id", "lang", "text")
+    found = rows.join(F.broadcast(chosen.select("lang", "doc_id")), ["lang", "doc_id"], "left_semi")
+    found = found.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     got = sorted(
         ((r.lang, r.doc_id, bytes(r.x)) for r in found.mapInArrow(sample, "doc_id long, lang string, x binary").collect())
     )

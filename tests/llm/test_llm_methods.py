@@ -273,3 +273,20 @@ def test_unlike_words_have_their_own_ids(at_once):
     ids = WordIds(path)
     got = [i for k in range(0, len(texts), at_once) for i in ids(texts[k : k + at_once])]
     assert got == [np.array(i[:-1], "<u4").tobytes() for _, i in brute.library_ids(enumerate(texts), path, 0)]
+
+
+@pytest.mark.parametrize("pattern", [r"\S+|\s+", r"[^b]+|b+", r"(?s:.{1,7})"])
+def test_another_pattern_is_taken_at_its_word(vocabulary, pattern):
+    import regex
+    import tiktoken
+
+    tool = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=vocabulary.ranks, special_tokens={})
+    for text in ("the cat and the bobbed dog sat", "a b  c\nd e", "words. and, marks!"):
+        assert "".join(regex.findall(pattern, text)) == text
+        assert TextEncoder(vocabulary, pattern).encode(text) == tool.encode_ordinary(text)
+
+
+def test_the_common_pattern_is_known():
+    from logweir.llm import bpe
+
+    assert public_tokenizers.PATTERN == bpe.COMMON

@@ -196,3 +196,38 @@ def test_held_out_accuracy_of_the_query(spark):
     clean = [r.predicted == 0 for r in met if not r.toxic]
     print(len(caught), np.mean(caught), np.mean(clean))
     assert len(caught) > 50 and np.mean(caught) > 0.75 and np.mean(clean) > 0.93
+
+
+# earlier operators
+
+
+def test_repeated_rows_teach_a_language_once(spark, rows, monkeypatch):
+    from logweir.llm import language
+
+    seen = []
+    monkeypatch.setattr(language, "fit", lambda x, langs: seen.append(langs))
+    docs = [(4, "wieder und wieder", "de")] * 3000 + [(k, f"encore {k}", "fr") for k in range(10, 400)] + [(k, f"label {k}", f"l{k}") for k in range(500, 600)]
+    frame = rows(docs, "doc_id long, text string, lang string").repartition(3)
+    language.learn_languages(frame, rows_per_language=10, languages=40)
+    counts = {lang: seen[0].count(lang) for lang in set(seen[0])}
+    assert counts["fr"] == 10 and max(counts.values()) == 10 and len(counts) == 40
+
+
+def test_packing_query_equals_the_library(spark):
+    import duckdb
+
+    sf, path = "/root/testdata/sf0.001", public_tokenizers.path("word_bpe_49k.json")
+    docs = duckdb.sql(f"SELECT doc_id, text FROM '{sf}/documents.parquet'").fetchall()
+    expected = []
+    for d, ids in brute.library_ids(docs, path, 1):
+        start = 0
+        for size in brute.piece_lengths(len(ids), 2048):
+            expected.append((d, start, size, brute.crc(ids[start : start + size]), len(ids)))
+            start += size
+    got = [tuple(r) for r in QUERIES["op3_packing"](spark, sf).collect()]
+    assert sorted(r[:5] for r in got) == sorted(expected)
+    ends = {}
+    for *_, length, _, _, sequence, offset in sorted(((r[0], r[1], r[2], r[3], r[4], r[5], r[6]) for r in got), key=lambda r: (r[5], r[6])):
+        assert offset == ends.get(sequence, 0)
+        ends[sequence] = offset + length
+    assert max(ends.values()) <= 2048
