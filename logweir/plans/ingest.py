@@ -17,7 +17,7 @@ from logweir.sinks.alerts import as_documents
 from logweir.sources.files import present_files
 from logweir.sources.registry import FILE_KINDS, LINE_KINDS, Position, read_source
 from logweir.sources.spec import SourceSpec
-from logweir.sources.tail import kept_files, planned_reads
+from logweir.sources.tail import kept_files, planned_lines, planned_reads
 
 log = logging.getLogger(__name__)
 
@@ -117,7 +117,7 @@ def load_files(store: Store, spec: SourceSpec, present: DataFrame, seq: int, **o
         else:
             nothing = store.spark.createDataFrame([], FILES)
             files = store.planned(planned_reads(present, nothing, True, spec.unfinished), spec.name, seq)
-        raw = read_source(store.spark, spec, Position(files=files))
+        raw = planned_lines(files)
     except Exception as error:
         store.save_failure(spec, seq, str(error), clock(), clock())
         raise
