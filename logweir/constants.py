@@ -110,6 +110,9 @@ DETECTION_RULES = [
     ("SSH_BruteForce", 85.0, "⚠️ WARN: 무차별 대입 공격 (SSH Brute Force) 도배"),
 ]
 NOTIFY_SCORE = 90.0
+# From this score on a day of a user stands out from the days before.
+BEHAVIOUR_SCORE = 75.0
+BEHAVIOUR_MESSAGE = "WARN: unusual for this user"
 
 # Sink formats and keys.
 NUMERIC_SINK_COLUMNS = [

@@ -13,7 +13,8 @@ from logweir.constants import (
 from logweir.functions.text import literal, quoted
 
 
-def _with_defaults(df):
+def with_defaults(df: DataFrame) -> DataFrame:
+    """Rows with a score and a message, those of ordinary work where they bring none."""
     if "risk_score" not in df.columns:
         df = df.withColumn("risk_score", F.lit(DEFAULT_RISK_SCORE))
     if "alert_message" not in df.columns:
@@ -23,7 +24,7 @@ def _with_defaults(df):
 
 def score_rules(df: DataFrame, rules=DETECTION_RULES, match_col="action") -> DataFrame:
     """Risk score and message by equality on one column; other rows keep theirs."""
-    df = _with_defaults(df)
+    df = with_defaults(df)
     column = quoted(match_col)
     scores = " ".join(f"WHEN {literal(v)} THEN {float(risk)!r}D" for v, risk, _ in rules)
     texts = " ".join(f"WHEN {literal(v)} THEN {literal(text)}" for v, _, text in rules)
@@ -37,7 +38,7 @@ def score_rules(df: DataFrame, rules=DETECTION_RULES, match_col="action") -> Dat
 
 def score_rule_table(df: DataFrame, rules: DataFrame, match_col="action") -> DataFrame:
     """The same with rules as data (match_value, risk_score, alert_message), one per value."""
-    df = _with_defaults(df)
+    df = with_defaults(df)
     table = rules.groupBy(F.col("match_value").alias("_value")).agg(
         F.max(F.struct("risk_score", "alert_message")).alias("_rule")
     )

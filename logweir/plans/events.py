@@ -1,6 +1,6 @@
 """One plan from raw rows to scored events."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logweir.constants import BLANK, DEFAULT_ALERT_MESSAGE, DEFAULT_RISK_SCORE, LATE, REQUIRED_COLUMNS
 from logweir.functions.text import literal, quoted
@@ -39,10 +39,14 @@ def prepared_lookup(
     if people is None:
         return None
     person_lookup(people, order_col).write.mode("overwrite").parquet(path)
-    lookup = people.sparkSession.read.schema("person_id string, person_name string").parquet(path)
+    lookup = stored_lookup(people.sparkSession, path)
     return None if lookup.isEmpty() else lookup
 
 
+def stored_lookup(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("person_id string, person_name string").parquet(path)
+
+
 def parsed_rows(raw: DataFrame, spec: SourceSpec, blank: bool = False) -> DataFrame:
     """Columns of a raw batch: lines are parsed, table rows pass."""
     if spec.kind not in LINE_KINDS:

@@ -2,13 +2,16 @@
 
 import logging
 import time
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logweir.functions.times import clock
+from logweir.operators.behaviour import day_profiles
 from logweir.operators.detect import to_notify
-from logweir.plans.events import prepared_lookup, scored_events
+from logweir.plans.events import prepared_lookup, scored_events, stored_lookup
 from logweir.plans.learn import learn, registered_rules
 from logweir.plans.stages import Stage
 from logweir.plans.store import Store
@@ -21,6 +24,9 @@ from logweir.sources.tail import kept_files, planned_lines, planned_reads
 
 log = logging.getLogger(__name__)
 
+#: Sources of a cycle that run side by side, whatever their number.
+SOURCES_AT_ONCE = 8
+
 
 def load_batch(
     store: Store,
@@ -31,6 +37,7 @@ def load_batch(
     stages: list[Stage] | None = None,
     rules=None,
     notify: bool = False,
+    profile: bool = False,
     last: str | None = None,
     started=None,
 ) -> int:
@@ -38,7 +45,8 @@ def load_batch(
 
     The cursor moves only after the load is complete. A repeat of `seq` sees the cursor
     as it stood before, selects the same rows and replaces the same files. `last` is the time
-    up to which rows are late; without it the saved cursor is.
+    up to which rows are late; without it the saved cursor is. With `profile` the load's profiles
+    of users' days are kept too.
     """
     started = started or clock()
     try:
@@ -56,6 +64,9 @@ def load_batch(
         if notify:
             urgent = to_notify(store.alerts.load(spec.name, seq).filter("load_status = 'loaded'"))
             store.notifications.put(urgent, spec.name, seq)
+        if profile:
+            loaded = store.alerts.load(spec.name, seq).filter("load_status = 'loaded'")
+            store.profiles.put(day_profiles(loaded), spec.name, seq)
         store.save_cursor(spec, done["cursor"] or saved, kind, seq, started)
         store.save_run(spec, seq, done, started, clock())
         return done["loaded"]
@@ -139,7 +150,9 @@ def cycle_options(
     if people is not None:
         try:
             rows = read_source(spark, people)
-            options["lookup"] = prepared_lookup(rows, f"{store.root}/people/{seq}")
+            folder = f"{store.root}/people/{seq}"
+            options["lookup"] = prepared_lookup(rows, folder)
+            store.save_people(folder if options["lookup"] is not None else None, seq)
         except Exception as error:
             log.warning("[%s] no names: %s", people.name, error)
     if learn_from:
@@ -155,24 +168,37 @@ def source_rules(store: Store, spec: SourceSpec) -> list | None:
     return registered_rules(store, spec.name) or None
 
 
+def side_inputs(store: Store, spec: SourceSpec, seq: int) -> dict:
+    """Names and rules of the moment for load `seq`; a repeat has those its first try had."""
+    people, rules = store.sides(spec.name, seq, lambda: source_rules(store, spec))
+    return {"rules": rules, "lookup": stored_lookup(store.spark, people) if people else None}
+
+
 def run_all(
     spark: SparkSession,
     store: Store,
     specs: list[SourceSpec],
     learn_from: str | None = None,
+    at_once: int = SOURCES_AT_ONCE,
     **options,
 ) -> int:
     """One cycle: learn, read names, then run every source by its rules. Returns the total.
 
-    A failing source is recorded and the next goes on.
+    At most `at_once` sources run side by side, each in a scheduler pool of its own name: a
+    source has its own loads, cursor and files, so none waits for another's small jobs. A failing
+    source is recorded and the others go on.
     """
     seq = int(time.time() * 1_000_000)
     options = {**cycle_options(spark, store, specs, learn_from, seq), **options}
-    total = 0
-    for spec in specs:
+
+    def run(spec: SourceSpec) -> int:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.name)
         try:
             own = dict(options) if "rules" in options else {**options, "rules": source_rules(store, spec)}
-            total += run_source(spark, store, spec, **own)
+            return run_source(spark, store, spec, **own)
         except Exception as error:
             log.error("[%s] failed: %s", spec.name, error)
-    return total
+            return 0
+
+    with ThreadPoolExecutor(max(1, min(at_once, len(specs)))) as pool:
+        return sum(pool.map(inheritable_thread_target(spark)(run), specs))

@@ -5,7 +5,8 @@ import time
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logweir.constants import EPOCH_TEXT
-from logweir.schemas import CURSOR, FILES, HISTORY, READS, REGISTRY
+from logweir.schemas import CURSOR, FILES, HISTORY, PEOPLE, PROFILE, READS, REGISTRY, SIDES
+from logweir.operators.behaviour import behaviour_scores, merged_profiles
 from logweir.sinks.alerts import AlertIndex
 from logweir.sinks.loads import LoadTable, folder_name
 from logweir.sinks.slots import SlotTable
@@ -23,6 +24,9 @@ class Store:
         self.registry = SlotTable(spark, f"{self.root}/registry", REGISTRY, ["source_name"])
         self._history = LoadTable(spark, f"{self.root}/history", HISTORY)
         self._files = LoadTable(spark, f"{self.root}/files", FILES)
+        self.profiles = LoadTable(spark, f"{self.root}/profiles", PROFILE)
+        self._people = SlotTable(spark, f"{self.root}/people-now", PEOPLE, ["name"])
+        self._sides = LoadTable(spark, f"{self.root}/sides", SIDES)
         self._plans = LoadTable(spark, f"{self.root}/plans", READS)
 
     def cursors(self, source: str) -> SlotTable:
@@ -76,6 +80,27 @@ class Store:
         row = (run_id, spec.name, "alerts", *counts, status, error, started, now)
         self._history.put(self.spark.createDataFrame([row], HISTORY), spec.name, seq)
 
+    def save_people(self, folder: str | None, version: int) -> None:
+        """Where the names of the moment are; none where there are none."""
+        self._people.upsert(self.spark.createDataFrame([("people", folder)], PEOPLE), version)
+
+    def sides(self, source: str, seq: int, rules) -> tuple[str | None, list | None]:
+        """Folder of names and rules of a load; the first try records those of the moment, a repeat has them again.
+
+        `rules` is called where nothing is recorded yet.
+        """
+        kept = self._sides.load(source, seq).first()
+        if kept is None:
+            people = self._people.read().first()
+            row = (people and people["folder"], rules() or [])
+            self._sides.put(self.spark.createDataFrame([row], SIDES), source, seq)
+            return row[0], row[1] or None
+        return kept["people"], [(r["target"], r["source"]) for r in kept["rules"]] or None
+
+    def behaviour(self, days: int = 14) -> DataFrame:
+        """Scores of each user's days by the profiles of all loads."""
+        return behaviour_scores(merged_profiles(self.profiles.open_rows()), days)
+
     def staged(self, rows: DataFrame, source: str, seq: int) -> DataFrame:
         """Rows of a load as stored, so that reading them twice computes them once."""
         table = LoadTable(self.spark, f"{self.root}/staging", rows.drop("log_source", "load_seq").schema)

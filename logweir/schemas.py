@@ -33,6 +33,12 @@ HISTORY = _struct(
     collect_time=_NTZ,
 )
 
+# The people's names of the moment, and the names and rules that a load has used.
+PEOPLE = _struct(name=_S, folder=_S)
+SIDES = _struct(people=_S, rules=T.ArrayType(_struct(target=_S, source=_S)))
+# What a user did on a day, as sketches that add up.
+PROFILE = _struct(user_id=_S, event_date=T.DateType(), n=_L, kinds=T.BinaryType(), amounts=T.BinaryType(), top=_D)
+
 # The stored alert: fixed columns of every source, everything else in `extras`.
 ALERT_DOC = _struct(
     row_id=_S,

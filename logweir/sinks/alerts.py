@@ -1,5 +1,7 @@
 """The alert index: loads of documents keyed by row id, and tables made from it."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -168,7 +170,9 @@ def create_alert_table(
 
 
 def truncate_table(spark: SparkSession, name: str) -> None:
-    spark.sql(f"TRUNCATE TABLE {name}")
+    """Empty a table, one at a path of its own too, which TRUNCATE TABLE does not take."""
+    with _overwriting(spark, "static"):
+        spark.createDataFrame([], spark.table(name).schema).write.insertInto(name, overwrite=True)
 
 
 def reset_index(spark: SparkSession, path: str, schema) -> None:
@@ -201,10 +205,17 @@ def insert_alerts(
     rows = table.load(name, seq).drop("log_source", "load_seq").withColumnRenamed("table_source", "log_source")
     others = target.filter(F.col(TABLE_PARTS[1]) != seq)
     new = insert_unique(rows, [F.col("arrival")], _same_times(others, rows, keys), keys)
+    with _overwriting(spark, "dynamic"):
+        new.select(*target.columns).write.insertInto(name, overwrite=True)
+
+
+@contextmanager
+def _overwriting(spark: SparkSession, mode: str):
+    """Which parts of a table an overwrite replaces: all, or those it writes."""
     before = spark.conf.get(_OVERWRITE)
-    spark.conf.set(_OVERWRITE, "dynamic")
+    spark.conf.set(_OVERWRITE, mode)
     try:
-        new.select(*target.columns).write.insertInto(name, overwrite=True)
+        yield
     finally:
         spark.conf.set(_OVERWRITE, before)
 

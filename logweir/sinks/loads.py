@@ -26,6 +26,17 @@ def folder_name(value: str) -> str:
     return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
 
 
+def _bounds(rows: DataFrame) -> dict[str, int]:
+    return {r["log_source"]: r["upto"] for r in rows.collect()}  # a row per source
+
+
+def _after(rows: DataFrame, upto: dict[str, int]) -> DataFrame:
+    """Rows of loads behind each source's bound, by literals, so that a scan leaves out the other folders."""
+    for source, seq in upto.items():
+        rows = rows.filter((F.col("log_source") != source) | (F.col("load_seq") > seq))
+    return rows
+
+
 class LoadTable:
     """Parquet under `log_source=<s>/load_seq=<n>/`; one writer per source."""
 
@@ -36,6 +47,8 @@ class LoadTable:
         self.schema = schema
         # up to which load of a source the base holds
         self.merged = SlotTable(spark, f"{self.path}-merged", _MERGED, ["log_source"])
+        # up to which load of a source readers see nothing any more
+        self.cleared = SlotTable(spark, f"{self.path}-cleared", _MERGED, ["log_source"])
 
     def folder(self, source: str, seq: int) -> str:
         return f"{self.path}/log_source={folder_name(source)}/load_seq={seq}"
@@ -63,16 +76,27 @@ class LoadTable:
 
     def open_rows(self) -> DataFrame:
         """The rows of loads that the base does not hold yet."""
-        merged = self.merged.read().collect()  # a row per source
-        rows = self.rows()
-        # literals, so that the scan leaves out the folders of merged loads
-        for r in merged:
-            rows = rows.filter((F.col("log_source") != r["log_source"]) | (F.col("load_seq") > r["upto"]))
-        return rows
+        return _after(self.rows(), self._closed())
+
+    def _closed(self) -> dict[str, int]:
+        """Per source the last load that readers do not look for: merged or cleared."""
+        both = self.merged.read().unionByName(self.cleared.read())
+        return _bounds(both.groupBy("log_source").agg(F.max("upto").alias("upto")))
 
     def base_rows(self) -> DataFrame:
         """What merging has left: one row per key, its load in `base_seq`."""
-        return self._read(f"{self.path}-base", base=True)
+        return _after(self._read(f"{self.path}-base", base=True), _bounds(self.cleared.read()))
+
+    def clear(self) -> None:
+        """Empty the table for its readers, as one commit; only ever on request.
+
+        Each source's loads up to its newest are bounded off: no file is touched, so a reader that
+        has planned goes on, a load that has not begun to write stands, and the repeat of an old
+        load stays out. `drop_merged` removes the files.
+        """
+        loads = self.rows().select("log_source", "load_seq").union(self.merged.read().select("log_source", "upto"))
+        upto = loads.groupBy("log_source").agg(F.max("load_seq").alias("upto"))
+        self.cleared.upsert(upto, time.time_ns())
 
     def latest(self, keys: list[str], where=None) -> DataFrame:
         """The newest load's row of each key.
@@ -115,8 +139,8 @@ class LoadTable:
         self.merged.upsert(merged, time.time_ns())
 
     def drop_merged(self) -> None:
-        """Remove the folders of loads that the base holds: when no reader uses them any more."""
-        upto = {r["log_source"]: r["upto"] for r in self.merged.read().collect()}
+        """Remove the folders of merged and cleared loads: when no reader uses them any more."""
+        upto = self._closed()
         loads = self.rows().select("log_source", "load_seq").distinct().collect()
         for r in loads:
             if r["load_seq"] <= upto.get(r["log_source"], -1):

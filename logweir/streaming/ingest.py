@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from logweir.constants import TRIGGER_INTERVAL
-from logweir.plans.ingest import cycle_options, load_batch, load_files, source_rules
+from logweir.plans.ingest import cycle_options, load_batch, load_files, side_inputs
 from logweir.functions.times import clock
 from logweir.plans.store import Store
 from logweir.schemas import CURSOR
@@ -46,6 +46,7 @@ def start_loading(
     checkpoint: str,
     once: bool = False,
     first_seq: int = 0,
+    follow: bool = False,
     **options,
 ) -> StreamingQuery:
     """Load each micro-batch of `lines`; `once` stops when all present data are loaded.
@@ -59,6 +60,10 @@ def start_loading(
     cut into batches, or how often the stream is restarted, does not decide what is kept. Only by
     the policy `watermark` the bound follows the newest event time of the batches before, less
     the source's delay.
+
+    With `follow` each micro-batch takes the names and the learned rules that stand in the store
+    as it begins, unless `options` fix them; they are recorded with the load, and a repeated batch
+    has them again.
     """
     late_until = first_cutoff(store, spec, checkpoint)
 
@@ -67,7 +72,8 @@ def start_loading(
         seq = first_seq + batch_id
         # a watermark moves with the batches; a repeated one sees it as it stood before
         until = store.cursor(spec, before=seq) if spec.late_policy == "watermark" else late_until
-        whole(store, spec, batch, seq, last=until, **options)
+        sides = side_inputs(store, spec, seq) if follow else {}
+        whole(store, spec, batch, seq, last=until, **{**sides, **options})
 
     writer = (
         lines.writeStream.queryName(spec.name)
@@ -95,16 +101,16 @@ def start_all(
     `limits` (max_files or max_bytes, for Kafka max_offsets) bounds a micro-batch, so that
     a backlog is loaded in pieces. Given the result of an earlier call as `running`, only
     sources whose query has ended are started again, from their checkpoints: calling it on a
-    timer retries failed sources in the next cycle.
+    timer retries failed sources in the next cycle. Each call reads the names, and learns the
+    rules, anew; queries that run take them from their next micro-batch on.
     """
     root, running = checkpoint.rstrip("/"), dict(running or {})
-    options = {**cycle_options(spark, store, specs, learn_from, int(time.time() * 1_000_000)), **options}
+    cycle_options(spark, store, specs, learn_from, int(time.time() * 1_000_000))
     for spec in specs:
         if spec.kind not in LINE_KINDS or (spec.name in running and running[spec.name].isActive):
             continue
-        own = dict(options) if "rules" in options else {**options, "rules": source_rules(store, spec)}
         lines = source_stream(spark, spec, **(limits or {}))
-        running[spec.name] = start_loading(lines, store, spec, f"{root}/{spec.name}", **own)
+        running[spec.name] = start_loading(lines, store, spec, f"{root}/{spec.name}", follow=True, **options)
     return running
 
 

@@ -9,9 +9,10 @@ from logweir.workload import (
     mapping,
     reports,
     stores,
+    upkeep,
 )
 
-_MODULES = [lines, mapping, dimensions, incremental, detect, loads, stores, reports]
+_MODULES = [lines, mapping, dimensions, incremental, detect, loads, stores, upkeep, reports]
 
 
 def all_queries():
