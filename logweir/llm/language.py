@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import sys
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import combinations
@@ -27,6 +28,8 @@ BUCKETS = 4096
 ROWS_PER_LANGUAGE = 500
 #: Languages that a model tells at most: the most frequent labels, of equal ones the first by name.
 LANGUAGES = 32
+#: From this score on a prediction counts: the language is likelier than all others together.
+LEAST_SCORE = 0.5
 # Families of ISO 639-1 codes. A language not named here is a family of its own.
 FAMILIES = {
     "germanic": ("da", "de", "en", "is", "nl", "no", "sv"),
@@ -228,14 +231,25 @@ def predict_languages(docs: DataFrame, model: LanguageModel | None) -> DataFrame
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def with_known_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
-    """The rows of `docs`, with all their columns, whose text is of a learned language.
+def _stays(languages: list[str], scores: list[float], wanted, least_score: float) -> list[bool]:
+    return [
+        a != UNKNOWN and b >= least_score and (wanted is None or a in wanted) for a, b in zip(languages, scores, strict=True)
+    ]
 
-    Where nothing could be learned (no model) there is no language to go by, and every text
-    that holds a letter stays; null and letterless ones go in either case.
+
+def with_known_language(
+    docs: DataFrame, model: LanguageModel | None, languages: Iterable[str] | None = None, least_score: float = LEAST_SCORE
+) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose text is predicted to be of a wanted language.
+
+    Wanted are `languages`, or all learned ones where none are named; a prediction counts from
+    `least_score` on, so texts of no learned language mostly go. Where nothing could be learned (no
+    model) there is no language to go by, and every text that holds a letter stays, also if
+    languages are named; null and letterless texts go in either case.
     """
     ship(docs.sparkSession)
     sent, text = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+    wanted = None if languages is None else frozenset(languages)
 
     def run(batches):
         for batch in batches:
@@ -243,7 +257,21 @@ def with_known_language(docs: DataFrame, model: LanguageModel | None) -> DataFra
             if sent.value is None:
                 known = [t is not None and _LETTER.search(t) is not None for t in texts]
             else:
-                known = [lang != UNKNOWN for lang in _predicted(sent.value, texts)[0]]
+                known = _stays(*_predicted(sent.value, texts), wanted, least_score)
             yield batch.filter(pa.array(known, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
+
+
+def language_counts(
+    docs: DataFrame, model: LanguageModel | None, languages: Iterable[str] | None = None, least_score: float = LEAST_SCORE
+) -> DataFrame:
+    """(lang_pred, kept, n): what `with_known_language` keeps and lets go, by predicted language."""
+    if model is None:
+        stays = F.col("text").rlike(r"\p{L}")
+        rows = docs.select(F.lit(UNKNOWN).alias("lang_pred"), F.coalesce(stays, F.lit(False)).alias("kept"))
+    else:
+        stays = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)
+        stays = stays if languages is None else stays & F.col("lang_pred").isin(list(languages))
+        rows = predict_languages(docs, model).select("lang_pred", stays.alias("kept"))
+    return rows.groupBy("lang_pred", "kept").agg(F.count(F.lit(1)).alias("n"))

@@ -206,8 +206,18 @@ def test_language(spark):
     assert right.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.98
     assert found.filter("lang_pred = 'und' AND score = 0").count() == 3
     assert found.filter("score < 0 OR score > 1").count() == 0 and found.count() == docs.count()
-    stays = language.with_known_language(docs, model)
+    stays = language.with_known_language(docs, model, least_score=0.0)
     assert stays.columns == docs.columns and stays.count() == docs.count() - 3
+    # the plain version: a text at a time, by the definition
+    rows = docs.collect()
+    with_letter = [r for r in rows if r.text and any(c.isalpha() for c in r.text)]
+    told = [(r, *(x[0] for x in model.predict(language.features([r.text])))) for r in with_letter]
+    for wanted, least in ((None, 0.5), (["en", "fr"], 0.5), (["de"], 0.99)):
+        kept = [r for r, lang, score in told if score >= least and (wanted is None or lang in wanted)]
+        stays = language.with_known_language(docs, model, wanted, least)
+        _same(stays, [tuple(r) for r in kept])
+        counts = language.language_counts(docs, model, wanted, least).collect()
+        assert sum(r.n for r in counts if r.kept) == len(kept) and sum(r.n for r in counts) == len(rows)
     # neither lang nor source nor id is an input of a prediction
     blind = docs.select((F.col("doc_id") * 7 + 1).alias("doc_id"), "text")
     assert {(r.doc_id * 7 + 1, r.lang_pred) for r in found.collect() if r.doc_id is not None} == {
@@ -222,6 +232,17 @@ def test_without_usable_labels_the_text_alone_decides(make):
     stays = language.with_known_language(docs, model)
     assert stays.columns == docs.columns
     _same(stays.select("doc_id", "text"), [(1, "plain words"), (None, "你好"), (5, "plain words")])
+    assert {(r.kept, r.n) for r in language.language_counts(docs, model).collect()} == {(True, 3), (False, 3)}
+
+
+def test_texts_of_no_learned_language_go(spark):
+    """By a model that has its 500 rows a language; from few rows it is less sure of what is strange."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = language.learn_languages(docs)
+    other = ["Съешь же ещё этих мягких французских булок да выпей чаю.", "هذه جملة باللغة العربية", "Tämä on suomenkielinen lause jota käytetään testaamiseen."]
+    strange = spark.createDataFrame([(n, t, None, "s", 0) for n, t in enumerate(other)], docs.schema)
+    assert language.with_known_language(strange, model).isEmpty()
+    assert language.with_known_language(docs, model).count() >= 0.995 * docs.filter(F.col("text").rlike(r"\p{L}")).count()
 
 
 def test_top_inner_products(rows):
