@@ -55,9 +55,8 @@ def load_batch(
         now = F.lit(str(started))
         stage = partial(store.staged, source=spec.name, seq=seq)
         events = scored_events(raw, spec, last, lookup, stages, now, rules, counted=True, stage=stage)
-        store.alerts.put(as_documents(events, spec.personal), spec.name, seq)
         cursor_col, kind = _cursor_of(spec, raw)
-        done = store.alerts.summary(spec.name, seq, saved, cursor_col, kind)
+        done = store.alerts.put(as_documents(events, spec.personal), spec.name, seq, saved, cursor_col, kind)
         if done["rejected"]:
             for row in store.alerts.first_errors(spec.name, seq).collect():
                 log.error("[%s] rejected %s: %s", spec.name, row["row_id"], row["error_reason"])

@@ -101,9 +101,9 @@ class Store:
         """Scores of each user's days by the profiles of all loads."""
         return behaviour_scores(merged_profiles(self.profiles.open_rows()), days)
 
-    def staged(self, rows: DataFrame, source: str, seq: int) -> DataFrame:
+    def staged(self, rows: DataFrame, source: str, seq: int, name: str = "staging") -> DataFrame:
         """Rows of a load as stored, so that reading them twice computes them once."""
-        table = LoadTable(self.spark, f"{self.root}/staging", rows.drop("log_source", "load_seq").schema)
+        table = LoadTable(self.spark, f"{self.root}/{name}", rows.drop("log_source", "load_seq").schema)
         table.put(rows, source, seq)
         return table.load(source, seq).select(*rows.columns)
 

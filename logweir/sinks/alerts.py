@@ -2,7 +2,7 @@
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from logweir.constants import (
@@ -100,34 +100,34 @@ def document_value(name: str):
     return F.col(name) if name in ALERT_DOC.fieldNames() else F.col("extras")[name]
 
 
+def _load_metrics(last, cursor_col: str, cursor_type: str) -> list[Column]:
+    """Rows of each status, and the cursor after them.
+
+    A time that is only the ingest time never moves the cursor, and late rows do not move it back.
+    """
+    value = document_value(cursor_col).try_cast(cursor_type)
+    if cursor_col == "final_ts":
+        value = F.when(~F.col("time_inferred"), value)
+    counts = [F.count_if(F.col("load_status") == s).alias(s) for s in ("loaded", "rejected", LATE, BLANK)]
+    newest = F.greatest(F.max(value), F.lit(last).try_cast(cursor_type))
+    return [*counts, newest.cast("string").alias("cursor")]
+
+
 class AlertIndex(LoadTable):
     """Accepted and rejected rows of a load go out in one pass, apart by partition."""
 
     def __init__(self, spark: SparkSession, path: str):
         super().__init__(spark, path, ALERT_DOC, PARTITIONS)
 
-    def put(self, rows: DataFrame, source: str, seq: int) -> None:
-        super().put(with_partitions(rows), source, seq)
+    def put(self, rows: DataFrame, source: str, seq: int, last=None, cursor_col="final_ts", cursor_type="timestamp_ntz") -> dict:
+        """Write a load; its counts (loaded, rejected, late, blank) and cursor, taken as it is written."""
+        return super().put(with_partitions(rows), source, seq, _load_metrics(last, cursor_col, cursor_type))
 
     def summary(
         self, source: str, seq: int, last=None, cursor_col="final_ts", cursor_type="timestamp_ntz"
     ):
-        """Row (loaded, rejected, cursor) of one load, counted from the written files.
-
-        Counting what was written cannot count a retried task twice. A time that is only
-        the ingest time never moves the cursor, and late rows do not move it back.
-        """
-        load = self.load(source, seq)
-        status = F.col("load_status")
-        value = document_value(cursor_col).try_cast(cursor_type)
-        if cursor_col == "final_ts":
-            value = F.when(~F.col("time_inferred"), value)
-        return load.agg(
-            *[F.count_if(status == s).alias(s) for s in ("loaded", "rejected", LATE, BLANK)],
-            F.greatest(F.max(value), F.lit(last).try_cast(cursor_type))
-            .cast("string")
-            .alias("cursor"),
-        ).first()
+        """What `put` has returned of a load, counted again from its files."""
+        return self.load(source, seq).agg(*_load_metrics(last, cursor_col, cursor_type)).first()
 
     def alerts(self) -> DataFrame:
         """The index: one document per row id, the newest load's.

@@ -9,7 +9,7 @@ table, by the partitions they touch, so that a read ranks the open loads only.
 import time
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from logweir.operators.keyed import latest_per_key
@@ -53,18 +53,23 @@ class LoadTable:
     def folder(self, source: str, seq: int) -> str:
         return f"{self.path}/log_source={folder_name(source)}/load_seq={seq}"
 
-    def put(self, rows: DataFrame, source: str, seq: int) -> None:
-        """Write, or on a repeat replace, one load.
+    def put(self, rows: DataFrame, source: str, seq: int, metrics: list[Column] | None = None) -> dict:
+        """Write, or on a repeat replace, one load; returns the aggregates `metrics` of what was written.
 
         The rebalance hint lets AQE size the files: it splits a partition value that
-        holds most rows and merges the small ones.
+        holds most rows and merges the small ones. The metrics are observed behind it, in the
+        tasks that write, of which Spark counts each one's first success only: neither a task
+        that is tried again nor a stage before it that is run again counts twice.
         """
         rows = rows.drop("log_source", "load_seq")
-        writer = rows.hint("rebalance", *self.partitions) if self.partitions else rows
-        writer = writer.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        rows = rows.hint("rebalance", *self.partitions) if self.partitions else rows
+        observed = Observation() if metrics else None
+        rows = rows.observe(observed, *metrics) if observed else rows
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if self.partitions:
             writer = writer.partitionBy(*self.partitions)
         writer.parquet(self.folder(source, seq))
+        return observed.get if observed else {}
 
     def load(self, source: str, seq: int) -> DataFrame:
         """The rows of one load, without listing any other."""

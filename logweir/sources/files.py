@@ -64,6 +64,12 @@ def stream_files(spark: SparkSession, spec: SourceSpec, max_files=None, max_byte
     return _as_present(reader.load(log_path(spec)))
 
 
+def stream_file_lines(spark: SparkSession, spec: SourceSpec, **limits) -> DataFrame:
+    """Lines of new files as a stream, with their `place`: for what has to see lines before a load does."""
+    planned = planned_reads(stream_files(spark, spec, **limits), spark.createDataFrame([], FILES))
+    return planned_lines(planned, tasks=int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def stream_states(spark: SparkSession, spec: SourceSpec, max_files=None, max_bytes=None) -> DataFrame:
     """Files that grow, as a stream of (path, length, modified): a row whenever one has changed.
 

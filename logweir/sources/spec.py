@@ -42,6 +42,7 @@ class SourceSpec:
     personal: bool = False  # store the personal fields of the lines too
     people: bool = False  # the table of employee ids and names that events are named from
     unfinished: str = "take"  # a last line without a line end: take it as it is, or wait for its end
+    distinct_within: str | None = None  # of equal lines that a stream meets within it, one is stored
     enabled: bool = True
 
     @property

@@ -171,11 +171,12 @@ class _Unpacked:
         return self._stream.read(min(size, CHUNK_BYTES))
 
 
-def planned_lines(planned: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def planned_lines(planned: DataFrame, range_bytes: int = RANGE_BYTES, tasks: int | None = None) -> DataFrame:
     """(value, place) of stored `planned_reads`; the place is file, generation and byte offset.
 
     Lines end with a line feed, before which a carriage return may stand. Bytes that are not
-    UTF-8 become U+FFFD.
+    UTF-8 become U+FFFD. Without `tasks` a range is a task; a stream, which cannot be counted
+    before it runs, names their number.
     """
     ship(planned.sparkSession)
     packed = F.col("path").rlike(f"({'|'.join(_PACKED)})$".replace(".", "[.]"))
@@ -183,7 +184,7 @@ def planned_lines(planned: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFra
     ranges = planned.filter("upto > start").withColumn("begin", F.explode(F.sequence("start", F.col("upto") - 1, step)))
     ranges = ranges.select("path", "generation", "upto", "begin", F.least(F.col("begin") + range_bytes, F.col("upto")).alias("end"))
     # an exact number, since Spark would put these few small rows into one task
-    tasks = min(max(ranges.count(), 1), MOST_TASKS)
+    tasks = min(max(ranges.count(), 1), MOST_TASKS) if tasks is None else tasks
     return ranges.repartition(tasks).mapInArrow(_read, "value string, place string")
 
 

@@ -11,14 +11,24 @@ from logweir.functions.times import clock
 from logweir.plans.store import Store
 from logweir.schemas import CURSOR
 from logweir.sinks.slots import SlotTable
-from logweir.sources.files import stream_files, stream_states
+from logweir.sources.files import stream_file_lines, stream_files, stream_states
 from logweir.sources.kafka import stream_topic
 from logweir.sources.registry import LINE_KINDS
 from logweir.sources.spec import SourceSpec
+from logweir.streaming.arrivals import first_arrivals
 
 
 def source_stream(spark: SparkSession, spec: SourceSpec, **limits) -> DataFrame:
-    """Lines of a Kafka source as a stream; of files the files themselves, whose lines a load reads."""
+    """Lines of a Kafka source as a stream; of files the files themselves, whose lines a load reads.
+
+    With `distinct_within` it is lines in either case, and of equal ones the first to arrive.
+    """
+    if spec.distinct_within:
+        if spec.kind == "kafka":
+            return first_arrivals(stream_topic(spark, spec, **limits), spec)
+        if spec.kind in ("file", "s3"):
+            return first_arrivals(stream_file_lines(spark, spec, **limits), spec)
+        raise ValueError(f"[{spec.name}] distinct_within: {spec.type} sources are no streams of lines")
     if spec.kind == "kafka":
         return stream_topic(spark, spec, **limits)
     if spec.kind in ("file", "s3"):
@@ -73,6 +83,8 @@ def start_loading(
         # a watermark moves with the batches; a repeated one sees it as it stood before
         until = store.cursor(spec, before=seq) if spec.late_policy == "watermark" else late_until
         sides = side_inputs(store, spec, seq) if follow else {}
+        if spec.distinct_within:  # the state is read and written once
+            batch = store.staged(batch, spec.name, seq, "arrived")
         whole(store, spec, batch, seq, last=until, **{**sides, **options})
 
     writer = (

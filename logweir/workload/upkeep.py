@@ -120,6 +120,25 @@ def stream_follows_names_and_rules(spark, folder):
     return store.alerts.alerts().select(shown, "src_ip", "emp_name")
 
 
+def stream_stores_lines_once(spark, folder):
+    """Two micro-batches of files that share a third of their lines, the stream started again between them.
+
+    The rows in the files of the loads: shared lines once, those without a time as often as they came.
+    """
+    root = _new_folder(spark)
+    store = Store(spark, f"{root}/store")
+    spec = source_spec("Auth_Logs", path=f"{root}/logs/*", late_policy="allow", distinct_within="1 day")
+    line = "CASE event_type WHEN 'error' THEN '{\"action\":\"error\"}' ELSE " + LINE + " END"
+    lines = table(spark, folder, "events").filter("event_type IN ('signup', 'error')")
+    for go in range(2):
+        lines.filter(f"event_id % 3 IN ({go}, {go + 1})").select(F.expr(line).alias("value")).write.text(f"{root}/logs/{go}")
+        start_loading(source_stream(spark, spec), store, spec, f"{root}/checkpoint", once=True).awaitTermination()
+    stored = store.alerts.open_rows().filter("load_status = 'loaded'")
+    return stored.groupBy("action", F.to_date("final_ts").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "day", F.when(F.col("action") != "error", F.col("day"))
+    )
+
+
 def _behaviour(spark, folder):
     """Users' events as scored rows, and the days' scores from the profiles of three loads."""
     store = Store(spark, f"{_new_folder(spark)}/store")
@@ -153,6 +172,7 @@ QUERIES = {
     "table_after_truncate": table_after_truncate,
     "loads_after_failure": loads_after_failure,
     "stream_follows_names_and_rules": stream_follows_names_and_rules,
+    "stream_stores_lines_once": stream_stores_lines_once,
     "behaviour_by_day": behaviour_by_day,
     "alerts_by_behaviour": alerts_by_behaviour,
 }
@@ -185,6 +205,9 @@ UNION ALL SELECT 'SUCCESS', count(*) FROM events WHERE event_type IN ('signup',
     "stream_follows_names_and_rules": """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN '10.0.0.' || user_id ELSE 'HR' END AS src_ip,
  CASE WHEN event_id % 2 = 0 THEN coalesce(s_name, 'Unknown_User') ELSE coalesce(upper(s_name), 'Unknown_User') END AS emp_name
 FROM events LEFT JOIN supplier ON user_id = s_suppkey WHERE event_type = 'signup'""",
+    "stream_stores_lines_once": """SELECT 'login' AS action, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n
+FROM events WHERE event_type = 'signup' GROUP BY 2
+UNION ALL SELECT 'error', NULL, sum(CASE WHEN event_id % 3 = 1 THEN 2 ELSE 1 END)::BIGINT FROM events WHERE event_type = 'error' HAVING count(*) > 0""",
     "behaviour_by_day": f"""WITH {_SCORES} SELECT user_id, CAST(event_date AS VARCHAR) AS event_date, n, base_n, n_kinds, new_kinds,
  round(amount_rank, 9) AS amount_rank, round(behaviour_score, 9) AS behaviour_score FROM s""",
     "alerts_by_behaviour": f"""WITH {_SCORES} SELECT event_id,
