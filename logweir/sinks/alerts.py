@@ -120,7 +120,12 @@ class AlertIndex(LoadTable):
         super().__init__(spark, path, ALERT_DOC, PARTITIONS)
 
     def put(self, rows: DataFrame, source: str, seq: int, last=None, cursor_col="final_ts", cursor_type="timestamp_ntz") -> dict:
-        """Write a load; its counts (loaded, rejected, late, blank) and cursor, taken as it is written."""
+        """Write a load; its counts (loaded, rejected, late, blank) and cursor, taken as it is written.
+
+        Columns of a document that the rows lack are null, as a reader of the load finds them.
+        """
+        absent = {f.name: F.lit(None).cast(f.dataType) for f in ALERT_DOC if f.name not in (*rows.columns, "log_source", *PARTITIONS)}
+        rows = rows.withColumns(absent)
         return super().put(with_partitions(rows), source, seq, _load_metrics(last, cursor_col, cursor_type))
 
     def summary(
@@ -151,9 +156,9 @@ class AlertIndex(LoadTable):
         return self.latest([*ID_KEYS, "load_status"], F.col("load_status") == "rejected")
 
     def first_errors(self, source: str, seq: int, limit: int = ERROR_SAMPLE) -> DataFrame:
-        """A few reasons of one load, for the log."""
+        """A few reasons of one load, for the log, by row id; rows without one come last."""
         bad = self.load(source, seq).filter(F.col("load_status") == "rejected")
-        return bad.select("error_reason", "row_id").orderBy("row_id").limit(limit)
+        return bad.select("error_reason", "row_id").orderBy(F.asc_nulls_last("row_id"), "error_reason").limit(limit)
 
 
 def create_alert_table(

@@ -162,6 +162,18 @@ def test_index_keeps_one_document_per_id(spark, tmp_path):
     assert index.documents().filter("user_id = 'E1'").first()["final_ts"] == "2026-01-01T10:00:00+09:00"
 
 
+def test_rows_without_all_columns_are_loaded_and_counted(spark, tmp_path):
+    index = AlertIndex(spark, str(tmp_path))
+    rows = spark.createDataFrame(
+        [("b", T1, "final_ts: bad"), (None, T1, "no id"), ("a", None, "bytes_total: bad"), ("c", T1, None)],
+        "row_id string, final_ts timestamp_ntz, error_reason string",
+    )
+    done = index.put(rows, "s", 1, "2025-01-01 00:00:00")
+    assert (done["loaded"], done["rejected"], done["late"], done["blank"]) == (1, 3, 0, 0)
+    assert done == index.summary("s", 1, "2025-01-01 00:00:00").asDict()
+    assert [r["row_id"] for r in index.first_errors("s", 1).collect()] == ["a", "b", None]
+
+
 def test_filters_on_the_index_prune_its_folders(spark, tmp_path):
     index = AlertIndex(spark, str(tmp_path))
     index.put(as_documents(_events(spark, [("s", T1, False, "E1", "a", 10.0, {}, None)])), "s", 1)
