@@ -42,7 +42,7 @@ BUCKET_BYTES = 4 << 20
 #: Suffixes of one anchor from which its passages go apart.
 FREQUENT = 4096
 _NO_DOC = np.iinfo(np.int64).max
-_SEGMENT = 1 << 19
+_SEGMENT = 1 << 17
 
 
 def _packed(*arrays: np.ndarray) -> bytes:
@@ -77,7 +77,8 @@ def _owners(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rest = REACH + 1 - 16
     least = np.minimum(least[:-rest], least[rest:])
     place = (least & np.uint64((1 << 24) - 1)).astype(np.int64)
-    return place, h[place]
+    # least hashes are small ones: spread again, or the first buckets get most anchors
+    return place, mix(h[place])
 
 
 def _stretches(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -144,8 +145,8 @@ class _Block:
         high = np.r_[(self.at - self.first)[usual], np.zeros(len(single), np.int64)]
         doc = np.r_[self.doc[usual], np.repeat(self.doc[often], times)]
         padded = np.r_[np.zeros(REACH, np.uint8), self.data, np.zeros(PASSAGE, np.uint8)]
-        around = np.lib.stride_tricks.sliding_window_view(padded, REACH + PASSAGE)[at]  # from REACH before the anchor on
-        suffix, left = around[:, REACH:].copy(), around[:, REACH - 1 :: -1].copy()
+        suffix = np.lib.stride_tricks.sliding_window_view(padded[REACH:], PASSAGE)[at]
+        left = np.lib.stride_tricks.sliding_window_view(padded, REACH)[at][:, ::-1].copy()
         suffix[np.arange(PASSAGE) >= PASSAGE - low[:, None]] = 0
         left[np.arange(REACH) >= high[:, None]] = 0
         return _Records(at, low, high, doc, suffix, left, np.r_[self.hash[usual], _row_hash(suffix[len(usual) :])], buckets)

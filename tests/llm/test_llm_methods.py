@@ -16,6 +16,7 @@ from logweir.llm.library import WordIds
 from logweir.llm.merge import common_prefixes, front_code, front_decode, merge_runs
 from logweir.llm.packing import binary_pieces
 from logweir.llm.shingles import shingle_sets
+from logweir.llm.suffixes import _bucket, _stretches
 from logweir.llm.tokenfile import canonical_codes, code_lengths, pack_bits, unpack_bits
 from logweir.llm.topk import search_block
 
@@ -290,3 +291,10 @@ def test_the_common_pattern_is_known():
     from logweir.llm import bpe
 
     assert public_tokenizers.PATTERN == bpe.COMMON
+
+
+def test_anchors_are_dealt_evenly():
+    data = np.random.default_rng(3).integers(97, 123, 200_000).astype(np.uint8)
+    *_, value, _ = _stretches(data, np.array([len(data)]))
+    per_bucket = np.bincount(_bucket(value, 64), minlength=64)
+    assert per_bucket.max() < 2 * per_bucket.mean()
