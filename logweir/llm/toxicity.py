@@ -4,31 +4,37 @@ A text is the sequence of its words, each a row of an embedding table by its has
 over one, two and three words; of each filter the largest answer over the whole text counts.
 The pooled answers go through one linear layer. Where a score becomes a 1 is set for each
 language apart; a text's language is told from its words alone, as the learned rows show them.
+
+All labelled rows are learned from, whole. They are dealt into parts by a hash of the id. Counts
+are added up over the parts; in a round of learning every part goes over its own rows from the
+common weights, and the weights move by the mean of the parts' moves. What is added up has the
+size of a network, whatever the input, and is added on the executors.
 """
 
 from __future__ import annotations
 
 import io
-from collections import Counter
 from dataclasses import dataclass, fields
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from logweir.llm.shingles import passes, span_hashes
-from logweir.llm.tables import ship
+from logweir.llm.tables import run_folder, ship, written
+from logweir.session import shared_folder
 
 #: Rows of the embedding table.
 BUCKETS = 1 << 15
 #: Numbers in an embedding, words under a filter, filters of each width.
 DIMENSIONS, WIDTHS, FILTERS = 12, (1, 2, 3), 8
-#: Rows of each label, and words in all, that a model is fitted on, the same at every size of the input.
-ROWS_PER_LABEL, WORDS_IN_ALL = 6000, 5_000_000
-#: Parts of the learned rows, each scored by the network that has learned from the others, to set the thresholds.
+#: Rows and words of a part, about: what a task goes over at a time.
+ROWS_PER_PART, WORDS_PER_PART = 8192, 4_000_000
+#: Folds of the learned rows, each scored by the network that has learned from the others, to set the thresholds.
 FOLDS = 3
 #: A clean text that is marked counts as much as so many toxic ones that are not.
 CLEAN_WEIGHT = 2
@@ -41,6 +47,10 @@ LEAST_TEXTS, SMOOTH = 3, 2.0
 ROUNDS, STEP, AT_ONCE = 6, 0.01, 64
 #: Share of the words that a round of learning does not see.
 DROPPED = 0.2
+#: Margins are counted in steps of 1 / STEPS, from -FARTHEST on.
+STEPS, FARTHEST = 256, 32
+#: Pieces in which a network's moves are added up.
+PIECES = 16
 
 # Letters and digits make words, in UTF-8 every byte of a character beyond ASCII too.
 _WORD = np.array([chr(c).isalnum() or c >= 128 for c in range(256)])
@@ -165,39 +175,22 @@ def _scorer(dumped: bytes) -> Scorer:
     return Scorer(ToxicityModel.load(dumped))
 
 
-def _log_odds(words, per_text, labels) -> tuple[np.ndarray, np.ndarray]:
-    """How much likelier a text with the word is a 1, less its standard error; and the texts with the word."""
-    text = np.repeat(np.arange(len(per_text)), per_text)
-    pairs = np.unique(text * BUCKETS + words)
-    has, bucket = labels[pairs // BUCKETS] > 0, pairs % BUCKETS
-    one, none = np.bincount(bucket[has], minlength=BUCKETS), np.bincount(bucket[~has], minlength=BUCKETS)
-    share = labels.mean()
+def _log_odds(one: np.ndarray, none: np.ndarray, share: float) -> np.ndarray:
+    """How much likelier a text with the word is a 1, less its standard error, from the texts with it of each label."""
     a, b = one + SMOOTH * share, none + SMOOTH * (1 - share)
     odds, error = np.log(a / b) - np.log(share / (1 - share)), np.sqrt(1 / a + 1 / b)
-    return np.sign(odds) * np.maximum(np.abs(odds) - error, 0), one + none
-
+    return np.sign(odds) * np.maximum(np.abs(odds) - error, 0)
 
-def _language_shares(words, per_text, langs: list) -> tuple[list[str], np.ndarray]:
-    met = Counter(lang for lang in langs if lang is not None)
-    names = sorted(sorted(met, key=lambda lang: (-met[lang], lang))[:LANGUAGES])
-    shares = np.zeros((BUCKETS, len(names)), np.float32)
-    owner = np.repeat(np.array([names.index(lang) if lang in names else -1 for lang in langs], np.int64), per_text)
-    for k in range(len(names)):
-        counts = np.bincount(words[owner == k], minlength=BUCKETS) + 0.1
-        shares[:, k] = np.log(counts / counts.sum())
-    return names, shares
 
-
-def _best_threshold(margins: np.ndarray, labels: np.ndarray) -> float:
+def _best_threshold(nones: np.ndarray, ones: np.ndarray) -> float:
     """The cut with the largest share of ones found, less CLEAN_WEIGHT times the share of others marked.
 
-    Of equal cuts the one in the middle of the widest gap.
+    From counts of margins of both labels. Of equal cuts the one in the middle of the widest gap.
     """
-    order = np.argsort(margins, kind="stable")
-    m, y = margins[order], labels[order]
-    ones, nones = y.sum(), len(y) - y.sum()
+    met = np.flatnonzero(nones + ones)
+    m = (met + 0.5) / STEPS - FARTHEST
     # cutting before place i: the ones from i on and the others before it are right
-    right = (ones - np.r_[0, np.cumsum(y)]) / ones + CLEAN_WEIGHT * np.r_[0, np.cumsum(1 - y)] / nones
+    right = 1 - np.r_[0, np.cumsum(ones[met])] / ones.sum() + CLEAN_WEIGHT * np.r_[0, np.cumsum(nones[met])] / nones.sum()
     edges = np.r_[m[0] - 2, m, m[-1] + 2]
     gap = np.diff(edges)
     best = max(range(len(right)), key=lambda i: (round(float(right[i]), 12), gap[i]))
@@ -206,7 +199,12 @@ def _best_threshold(margins: np.ndarray, labels: np.ndarray) -> float:
 
 def _gradients(model: Network, words, per_text, labels, weight):
     """Of filters, bias, weights and constant, then the words met and their embeddings' gradients."""
-    pooled, places, wide = _pooled(model.taps(), model.bias, words, per_text, want_place=True)
+    # only the rows of these words are filtered; the last row fills up
+    seen = np.zeros(BUCKETS + 1, bool)
+    seen[words] = seen[BUCKETS] = True
+    rows = np.flatnonzero(seen)
+    taps = Network(model.embedding[rows], model.filters, model.bias, model.weights, model.constant).taps()
+    pooled, places, wide = _pooled(taps, model.bias, (np.cumsum(seen) - 1)[words], per_text, want_place=True)
     margin = pooled @ model.weights + model.constant[0]
     of_margin = ((1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels) * weight).astype(np.float32)
     of_pooled = of_margin[:, None] * model.weights * (pooled > 0)
@@ -215,7 +213,7 @@ def _gradients(model: Network, words, per_text, labels, weight):
     for k, width in enumerate(WIDTHS):
         own = of_pooled[:, k * FILTERS : (k + 1) * FILTERS]
         for tap in range(width):
-            under = wide[places[k] + tap]
+            under = rows[wide[places[k] + tap]]
             of_filters[at] = np.einsum("tf,tfd->df", own, model.embedding[under])
             met.append(under.ravel())
             of_words.append((own[:, :, None] * model.filters[at].T).reshape(-1, DIMENSIONS))
@@ -240,76 +238,73 @@ def _cut(words, per_text, rows):
     return np.concatenate([words[ends[r] - per_text[r] : ends[r]] for r in rows]), per_text[rows]
 
 
-def _learned(words: np.ndarray, per_text: np.ndarray, labels: np.ndarray, learn: np.ndarray) -> Network:
-    """Weights from the rows `learn`, of both labels."""
+def _start(one: np.ndarray, none: np.ndarray, share: float) -> tuple[Network, np.ndarray]:
+    """A network before it learns, and which words are too rare to have an embedding."""
     rng = np.random.default_rng(0)
     n_filters = FILTERS * len(WIDTHS)
     embedding = rng.normal(0, 0.1, (BUCKETS + 1, DIMENSIONS)).astype(np.float32)
     filters = rng.normal(0, 0.3, (sum(WIDTHS), DIMENSIONS, FILTERS)).astype(np.float32)
     bias, weights = np.zeros(n_filters, np.float32), rng.normal(0, 0.1, n_filters).astype(np.float32)
-    model = Network(embedding, filters, bias, weights, np.zeros(1, np.float32))
     # words start from their log odds, read by one filter of each width
-    odds, seen = _log_odds(*_cut(words, per_text, learn), labels[learn])
-    embedding[:BUCKETS, 0] = np.clip(odds, -4, 4) / 2
-    rare = np.append(seen < LEAST_TEXTS, True)
+    embedding[:BUCKETS, 0] = np.clip(_log_odds(one, none, share), -4, 4) / 2
+    rare = np.append(one + none < LEAST_TEXTS, True)
     embedding[rare] = 0
     at = 0
     for k, width in enumerate(WIDTHS):
         filters[at, 0, 0], weights[k * FILTERS] = 1, 1
         at += width
-    dense = [filters, bias, weights, model.constant]
-    state = [(np.zeros_like(p), np.zeros_like(p)) for p in (*dense, embedding)]
-    ones, nones = labels[learn].sum(), (labels[learn] == 0).sum()
-    balance = np.where(labels > 0, len(learn) / (2 * ones), len(learn) / (2 * nones))
-    clock = 0
-    for _ in range(ROUNDS):
-        order = rng.permutation(learn)
-        for start in range(0, len(order), AT_ONCE):
-            rows = order[start : start + AT_ONCE]
-            seen_words, sizes = _cut(words, per_text, rows)
-            seen_words = np.where(rng.random(len(seen_words)) < DROPPED, BUCKETS, seen_words)
-            *grads, met, of_met = _gradients(model, seen_words, sizes, labels[rows], balance[rows] / len(rows))
-            clock += 1
-            for p, g, moments in zip(dense, grads, state, strict=False):
-                p -= _step(g, *moments, clock)
-            # of the embeddings only the rows that were met
-            mean, square = (m[met] for m in state[-1])
-            embedding[met] -= _step(of_met, mean, square, clock) * ~rare[met][:, None]
-            state[-1][0][met], state[-1][1][met] = mean, square
-    return model
-
-
-def fit(words: np.ndarray, per_text: np.ndarray, labels: np.ndarray, langs: list) -> ToxicityModel:
-    """A model of the texts, one after the other in `words`, with labels of 0 and 1.
+    return Network(embedding, filters, bias, weights, np.zeros(1, np.float32)), rare
 
-    Each of FOLDS networks learns from all rows but its fold; the margins that folds get from the
-    network that has not seen them set the thresholds.
-    With fewer than FOLDS rows of a label, every text gets one score, on the likelier label's side.
+
+def _blank(side: float) -> Network:
+    """Every text gets the margin `side`."""
+    sizes = ((BUCKETS + 1, DIMENSIONS), (sum(WIDTHS), DIMENSIONS, FILTERS), FILTERS * len(WIDTHS), FILTERS * len(WIDTHS))
+    return Network(*(np.zeros(n, np.float32) for n in sizes), np.full(1, side, np.float32))
+
+
+def _gone_over(model: Network, rare, words, per_text, labels, balance, learn, rng) -> np.ndarray:
+    """The moves of a network by one round over the rows `learn`, weighted, and their weights.
+
+    An embedding's weight is how often it was met; of all else it is the number of rows.
     """
-    names, shares = _language_shares(words, per_text, langs)
-    fewest = min(int(labels.sum()), int((labels == 0).sum()))
-    if fewest < FOLDS:
-        side = 2.0 if len(labels) and 2 * labels.sum() >= len(labels) else -2.0
-        blank = [np.zeros(n, np.float32) for n in ((BUCKETS + 1, DIMENSIONS), (sum(WIDTHS), DIMENSIONS, FILTERS), FILTERS * len(WIDTHS), FILTERS * len(WIDTHS))]
-        return ToxicityModel([Network(*blank, np.full(1, side, np.float32))], shares, np.zeros(len(names) + 1))
-    fold, margins = np.zeros(len(labels), np.int64), np.zeros(len(labels))
-    for label in (0, 1):
-        rows = np.flatnonzero(labels == label)
-        fold[rows] = np.arange(len(rows)) % FOLDS
-    networks = [_learned(words, per_text, labels, np.flatnonzero(fold != k)) for k in range(FOLDS)]
-    for k, network in enumerate(networks):
-        rows = np.flatnonzero(fold == k)
-        margins[rows] = network.margins(network.taps(), *_cut(words, per_text, rows))
-    of_all = _best_threshold(margins, labels)
-    model = ToxicityModel(networks, shares, np.full(len(names) + 1, of_all))
-    language = model.language_of(words, per_text)
-    for k in range(len(names)):
-        own = language == k
-        fewest = min(int(labels[own].sum()), int((labels[own] == 0).sum()))
-        if fewest:
-            share = fewest / (fewest + LEAN)
-            model.thresholds[k] = share * _best_threshold(margins[own], labels[own]) + (1 - share) * of_all
-    return model
+    after = Network(*(getattr(model, f.name).copy() for f in fields(Network)))
+    dense = [after.filters, after.bias, after.weights, after.constant]
+    state = [(np.zeros_like(p), np.zeros_like(p)) for p in (*dense, after.embedding)]
+    times = np.zeros(BUCKETS + 1, np.float32)
+    order, clock = rng.permutation(learn), 0
+    for start in range(0, len(order), AT_ONCE):
+        rows = order[start : start + AT_ONCE]
+        seen_words, sizes = _cut(words, per_text, rows)
+        seen_words = np.where(rng.random(len(seen_words)) < DROPPED, BUCKETS, seen_words)
+        *grads, met, of_met = _gradients(after, seen_words, sizes, labels[rows], balance[labels[rows]] / len(rows))
+        clock += 1
+        for p, g, moments in zip(dense, grads, state, strict=False):
+            p -= _step(g, *moments, clock)
+        # of the embeddings only the rows that were met
+        mean, square = (m[met] for m in state[-1])
+        after.embedding[met] -= _step(of_met, mean, square, clock) * ~rare[met][:, None]
+        state[-1][0][met], state[-1][1][met] = mean, square
+        times[met] += 1
+    moves = (after.embedding - model.embedding) * times[:, None]
+    others = [(getattr(after, f) - getattr(model, f)).ravel() * len(learn) for f in _DENSE]
+    return np.concatenate([moves.ravel(), times, *others, [len(learn)]]).astype(np.float32)
+
+
+_DENSE = ("filters", "bias", "weights", "constant")
+
+
+def _moved(model: Network, moves: np.ndarray) -> Network:
+    """The network behind the mean of all parts' moves."""
+    at = (BUCKETS + 1) * DIMENSIONS
+    times = moves[at : at + BUCKETS + 1]
+    embedding = model.embedding + moves[:at].reshape(-1, DIMENSIONS) / np.maximum(times, 1)[:, None]
+    at += BUCKETS + 1
+    out = {"embedding": embedding}
+    for name in _DENSE:
+        old = getattr(model, name)
+        out[name] = old + (moves[at : at + old.size] / moves[-1]).reshape(old.shape)
+        at += old.size
+    return Network(**{name: value.astype(np.float32) for name, value in out.items()})
 
 
 def held_out(doc_id):
@@ -317,74 +312,263 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("long").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def _sampled(labels: DataFrame, docs: DataFrame, rows_per_label: int) -> DataFrame:
-    """(doc_id, toxic, nth): labelled documents in the order of a hash, a row per doc_id."""
+def _known(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic): labelled documents that are not held out, a row per doc_id."""
     known = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic"))
-    known = known.filter(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.join(docs.select(docs["doc_id"].cast("long").alias("doc_id")), "doc_id", "left_semi")
-    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 33)
+    known = known.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
+    return known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+
+
+def _place():
+    return F.shiftrightunsigned(F.xxhash64("doc_id"), 33)
+
+
+def _sampled(labels: DataFrame, docs: DataFrame, rows_per_label: int) -> DataFrame:
+    """(doc_id, toxic, nth): of the labelled documents so many of each label, in the order of a hash."""
+    known = _known(labels).join(docs.select(docs["doc_id"].cast("long").alias("doc_id")), "doc_id", "left_semi")
     sizes = dict(known.groupBy("toxic").count().collect())  # two rows at most
     # a bound on the hash lets about twice the rows through that are ranked then
     bound = F.lit(0)
     for label, n in sizes.items():
         bound = F.when(F.col("toxic") == label, F.lit(int(min(1.0, 2 * rows_per_label / n) * (1 << 31)))).otherwise(bound)
     order = W.partitionBy("toxic").orderBy("place", "doc_id")
-    ranked = known.withColumn("place", place).filter(F.col("place") < bound).withColumn("nth", F.row_number().over(order))
+    ranked = known.withColumn("place", _place()).filter(F.col("place") < bound).withColumn("nth", F.row_number().over(order))
     return ranked.filter(F.col("nth") <= rows_per_label).select("doc_id", "toxic", "nth")
 
 
+_LEARNED = "doc_id long, toxic int, lang string, n_words long, words binary"
+_PART = "part int, toxic binary, langs array<string>, sizes binary, words binary"
+_VECTOR = "name string, part int, vector binary"
+
+
 def _as_words(batches):
     for batch in batches:
-        out, texts = [], batch.column("text").to_pylist()
-        for text in texts:
-            found, _ = word_buckets([text])
-            out.append(found.tobytes())
-        yield pa.record_batch([batch.column(c) for c in ("toxic", "nth", "lang")] + [pa.array(out, pa.binary())], ["toxic", "nth", "lang", "words"])
+        found = [word_buckets([text])[0].astype(np.uint16) for text in batch.column("text").to_pylist()]
+        sizes, words = pa.array([len(f) for f in found], pa.int64()), pa.array([f.tobytes() for f in found], pa.binary())
+        kept = [batch.column(c) for c in ("doc_id", "toxic", "lang")]
+        yield pa.record_batch([*kept, sizes, words], ["doc_id", "toxic", "lang", "n_words", "words"])
 
 
-def _fitted(words_in_all: int):
-    def run(batches):
-        words, labels, langs, total = [], [], [], 0
+def _as_parts(batches):
+    """Rows sorted by part to a row per part."""
+    names = ("toxic", "lang", "n_words", "words")
+
+    def whole(part, toxic, langs, sizes, words):
+        columns = [[part], [np.array(toxic, np.int8).tobytes()], [langs], [np.array(sizes, np.int64).tobytes()], [b"".join(words)]]
+        kinds = (pa.int32(), pa.binary(), pa.list_(pa.string()), pa.binary(), pa.binary())
+        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["part", "toxic", "langs", "sizes", "words"])
+
+    key, held = None, [[], [], [], []]
+    for batch in batches:
+        for part, *row in zip(*(batch.column(c).to_pylist() for c in ("part", *names)), strict=True):
+            if part != key and held[0]:
+                yield whole(key, *held)
+                held = [[], [], [], []]
+            key = part
+            for column, value in zip(held, row, strict=True):
+                column.append(value)
+    if held[0]:
+        yield whole(key, *held)
+
+
+@dataclass
+class _Part:
+    """Learned rows, their words one after the other; a label's rows go into the folds in turn."""
+
+    nth: int
+    words: np.ndarray
+    per_text: np.ndarray
+    labels: np.ndarray
+    langs: list
+    fold: np.ndarray
+
+    @classmethod
+    def each(cls, batches):
         for batch in batches:
-            for label, lang, found in zip(*(batch.column(c).to_pylist() for c in ("toxic", "lang", "words")), strict=True):
-                found = np.frombuffer(found, np.int32)
-                if total + len(found) <= words_in_all:
-                    total += len(found)
-                    words.append(found)
-                    labels.append(label)
-                    langs.append(lang)
-        joined = np.concatenate(words) if words else np.zeros(0, np.int32)
-        model = fit(joined, np.array([len(w) for w in words], np.int64), np.array(labels, np.int64), langs)
-        yield pa.record_batch([pa.array([model.dump()], pa.binary())], ["model"])
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                labels = np.frombuffer(row["toxic"], np.int8).astype(np.int64)
+                fold = np.zeros(len(labels), np.int64)
+                for label in (0, 1):
+                    rows = np.flatnonzero(labels == label)
+                    fold[rows] = (np.arange(len(rows)) + row["part"]) % FOLDS
+                words = np.frombuffer(row["words"], np.uint16).astype(np.int32)
+                yield cls(row["part"], words, np.frombuffer(row["sizes"], np.int64), labels, row["langs"], fold)
+
+
+def _vectors(part: int, named: dict[str, np.ndarray]) -> pa.RecordBatch:
+    packed = [zstandard.ZstdCompressor(1).compress(v.astype(np.float32).tobytes()) for v in named.values()]
+    columns = [pa.array(named, pa.string()), pa.array([part] * len(named), pa.int32()), pa.array(packed, pa.binary())]
+    return pa.record_batch(columns, ["name", "part", "vector"])
+
+
+def _add(batches):
+    key, total = None, None
+    for batch in batches:
+        for name, packed in zip(*(batch.column(c).to_pylist() for c in ("name", "vector")), strict=True):
+            vector = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.float32)
+            if name != key:
+                if key is not None:
+                    yield pa.record_batch([pa.array([key]), pa.array([total.tobytes()], pa.binary())], ["name", "vector"])
+                key, total = name, np.zeros(len(vector))
+            total += vector
+    if key is not None:
+        yield pa.record_batch([pa.array([key]), pa.array([total.tobytes()], pa.binary())], ["name", "vector"])
+
+
+def _added(vectors: DataFrame) -> dict[str, np.ndarray]:
+    """Vectors of a name added up over all parts, always in the same order; a few megabytes come to the driver."""
+    dealt = vectors.repartition("name").sortWithinPartitions("name", "part")
+    return {r.name: np.frombuffer(r.vector) for r in dealt.mapInArrow(_add, "name string, vector binary").collect()}
+
+
+def _counted(names: list[str]):
+    """Texts of each fold and label, those with each word, and the words of each language."""
+
+    def run(batches):
+        for part in _Part.each(batches):
+            text = np.repeat(np.arange(len(part.per_text)), part.per_text)
+            pairs = np.unique(text * BUCKETS + part.words)
+            text_of, bucket = pairs // BUCKETS, pairs % BUCKETS
+            out = {}
+            for k in range(FOLDS):
+                for label in (0, 1):
+                    own = (part.fold == k) & (part.labels == label)
+                    out[f"{k} {label}"] = np.append(np.bincount(bucket[own[text_of]], minlength=BUCKETS), own.sum())
+            lang_of = {lang: n for n, lang in enumerate(names)}
+            owner = np.repeat(np.array([lang_of.get(lang, -1) for lang in part.langs], np.int64), part.per_text)
+            for n in np.unique(owner[owner >= 0]).tolist():
+                out[f"lang {n}"] = np.bincount(part.words[owner == n], minlength=BUCKETS)
+            yield _vectors(part.nth, out)
 
     return run
 
 
-def learn_toxicity(
-    docs: DataFrame, labels: DataFrame, rows_per_label: int = ROWS_PER_LABEL, words_in_all: int = WORDS_IN_ALL
-) -> bytes:
-    """A model of `labels.toxic`, from at most `rows_per_label` whole texts of each label.
+def _round(sent, nth: int):
+    """One round of every network over the rows of each part."""
+
+    def run(batches):
+        for part in _Part.each(batches):
+            for k, (model, rare, balance) in sent.value.items():
+                learn = np.flatnonzero(part.fold != k)
+                if not len(learn):
+                    continue
+                rng = np.random.default_rng([nth, part.nth])
+                moves = _gone_over(model, rare, part.words, part.per_text, part.labels, balance, learn, rng)
+                yield _vectors(part.nth, {f"{k} {n:02}": m for n, m in enumerate(np.array_split(moves, PIECES))})
+
+    return run
+
 
-    Rows count that are not held out, have a label of 0 or 1 and a document. They are taken in
-    the order of a hash of the id; one that would pass `words_in_all` words is left out. Of
-    several labels of a doc_id the largest counts, of several texts the least. The fit runs in
-    one task, on that bounded sample; a few megabytes come to the driver. Without labels every
-    text gets one and the same low score.
+def _counted_margins(sent):
+    """Margins that each fold's rows get from the network that has not seen them, by language and label."""
+
+    def run(batches):
+        networks, languages = sent.value
+        model, taps = ToxicityModel([], languages, np.zeros(0)), {k: n.taps() for k, n in networks.items()}
+        for part in _Part.each(batches):
+            step = np.full(len(part.labels), -1)
+            for k, network in networks.items():
+                rows = np.flatnonzero(part.fold == k)
+                # a few texts at a time, as they are scored
+                for a in range(0, len(rows), AT_ONCE):
+                    few = rows[a : a + AT_ONCE]
+                    margin = network.margins(taps[k], *_cut(part.words, part.per_text, few))
+                    step[few] = np.clip((margin + FARTHEST) * STEPS, 0, 2 * FARTHEST * STEPS - 1).astype(np.int64)
+            language, out = model.language_of(part.words, part.per_text), {}
+            for n in np.unique(language).tolist():
+                for label in (0, 1):
+                    own = step[(language == n) & (part.labels == label) & (step >= 0)]
+                    out[f"{n} {label}"] = np.bincount(own, minlength=2 * FARTHEST * STEPS)
+            yield _vectors(part.nth, out)
+
+    return run
+
+
+def _parts(learned: DataFrame, n_rows: int, n_words: int) -> DataFrame:
+    """The learned rows as a row per part, in the order of a hash, stored so that a part is a task."""
+    n = max(1, -(-n_rows // ROWS_PER_PART), -(-n_words // WORDS_PER_PART))
+    dealt = learned.withColumn("place", _place()).withColumn("part", (F.col("place") % n).cast("int"))
+    dealt = dealt.repartitionById(n, "part").sortWithinPartitions("part", "place", "doc_id")
+    shared_folder(learned.sparkSession)
+    return dealt.select("part", "toxic", "lang", "n_words", "words").mapInArrow(_as_parts, _PART).checkpoint()
+
+
+def _shares(sums: dict[str, np.ndarray], n_languages: int) -> np.ndarray:
+    shares = np.zeros((BUCKETS, n_languages), np.float32)
+    for n in range(n_languages):
+        counts = sums.get(f"lang {n}", np.zeros(BUCKETS)) + 0.1
+        shares[:, n] = np.log(counts / counts.sum())
+    return shares
+
+
+def _thresholds(counts: dict[str, np.ndarray], n_languages: int) -> np.ndarray:
+    """Of each language, and of texts without one; with few rows of a label it leans on that of all."""
+    of = np.zeros((n_languages + 1, 2, 2 * FARTHEST * STEPS))
+    for name, found in counts.items():
+        language, label = map(int, name.split())
+        # without languages every text counts as of the first column
+        of[language, label] += found
+    nones, ones = of.sum(0)
+    of_all = _best_threshold(nones, ones) if nones.any() and ones.any() else 0.0
+    out = np.full(n_languages + 1, of_all)
+    for n in range(n_languages):
+        fewest = of[n].sum(1).min()
+        if fewest:
+            share = fewest / (fewest + LEAN)
+            out[n] = share * _best_threshold(*of[n]) + (1 - share) * of_all
+    return out
+
+
+def learn_toxicity(docs: DataFrame, labels: DataFrame, rows_per_label: int | None = None) -> bytes:
+    """A model of `labels.toxic`, from all whole texts that have a label.
+
+    Rows count that are not held out, have a label of 0 or 1 and a document; with
+    `rows_per_label`, a bound that only a caller sets, so many of each label in the order of a
+    hash of the id. Of several labels of a doc_id the largest counts, of several texts the least.
+
+    Each of FOLDS networks learns from all rows but its fold; the margins that folds get from the
+    network that has not seen them set the thresholds. With fewer than FOLDS rows of a label,
+    every text gets one score, on the likelier label's side; without labels a low one. What the
+    driver holds are networks and counts by word, a few megabytes at any size of the input.
     """
-    ship(docs.sparkSession)
-    chosen = _sampled(labels, docs, rows_per_label)
+    spark = docs.sparkSession
+    ship(spark)
+    known = _known(labels) if rows_per_label is None else _sampled(labels, docs, rows_per_label).drop("nth")
     rows = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"), docs["lang"].cast("string").alias("lang")
     )
-    # the broadcast side has rows_per_label rows of each label at most
-    met = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic", "nth").agg(F.min(F.struct("text", "lang")).alias("d"))
-    found = met.select("toxic", "nth", "d.lang", "d.text").mapInArrow(_as_words, "toxic int, nth int, lang string, words binary")
-    one = found.repartition(1).sortWithinPartitions("nth", "toxic").mapInArrow(_fitted(words_in_all), "model binary")
-    row = one.first()
-    if row is None:  # Spark runs no task over a table known to be empty
-        return fit(np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), []).dump()
-    return bytes(row.model)
+    rows = rows.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    met = rows.join(known, "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.struct("text", "lang")).alias("d"))
+    found = met.select("doc_id", "toxic", "d.lang", "d.text").mapInArrow(_as_words, _LEARNED)
+    learned = written(found, f"{run_folder(spark)}/learned")
+    sizes = learned.groupBy("toxic").agg(F.count("*").alias("n"), F.sum("n_words").alias("words")).collect()  # two rows at most
+    n_rows, of_label = sum(r.n for r in sizes), {r.toxic: r.n for r in sizes}
+    frequent = learned.filter("lang IS NOT NULL").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    names = sorted(r.lang for r in frequent.collect())
+    if min(of_label.get(0, 0), of_label.get(1, 0)) < FOLDS:
+        side = 2.0 if n_rows and 2 * of_label.get(1, 0) >= n_rows else -2.0
+        return ToxicityModel([_blank(side)], np.zeros((BUCKETS, 0), np.float32), np.zeros(1)).dump()
+
+    parts = _parts(learned, n_rows, sum(r.words for r in sizes))
+    sums = _added(parts.mapInArrow(_counted(names), _VECTOR))
+    shares = _shares(sums, len(names))
+    learning = {}
+    for k in range(FOLDS):
+        none, one = (sum(sums[f"{j} {label}"] for j in range(FOLDS) if j != k) for label in (0, 1))
+        if none[-1] and one[-1]:  # a network needs rows of both labels
+            share = one[-1] / (one[-1] + none[-1])
+            balance = (one[-1] + none[-1]) / (2 * np.array([none[-1], one[-1]]))
+            learning[k] = (*_start(one[:-1], none[:-1], share), balance)
+    for nth in range(ROUNDS):
+        sent = spark.sparkContext.broadcast(learning)  # a few megabytes, whatever the input
+        sums = _added(parts.mapInArrow(_round(sent, nth), _VECTOR))
+        sent.unpersist()
+        for k, (model, rare, balance) in learning.items():
+            learning[k] = _moved(model, np.concatenate([sums[f"{k} {n:02}"] for n in range(PIECES)])), rare, balance
+    networks = {k: model for k, (model, _, _) in learning.items()}
+    counts = _added(parts.mapInArrow(_counted_margins(spark.sparkContext.broadcast((networks, shares))), _VECTOR))
+    return ToxicityModel(list(networks.values()), shares, _thresholds(counts, len(names))).dump()
 
 
 def score_toxicity(docs: DataFrame, model: bytes) -> DataFrame:

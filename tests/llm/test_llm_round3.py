@@ -2,11 +2,13 @@
 
 import random
 import string
+import zlib
 
 import brute
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from test_llm_operators import SCHEMA, repeated, texts
 
 from logweir.llm import alignment, spelling, toxicity
@@ -188,6 +190,41 @@ def test_repeated_rows_are_sampled_once(spark, rows):
     assert [t for d, t, _ in found if d == 4] == [1]
 
 
+def test_every_labelled_row_is_learned_from(spark, rows):
+    ids = [i for i in range(16_000) if zlib.crc32(str(i).encode()) % 5][:12_000]
+    frame = spark.createDataFrame([(i,) for i in ids], "doc_id long").orderBy(F.shiftrightunsigned(F.xxhash64("doc_id"), 33))
+    ids = [r.doc_id for r in frame.collect()]
+    # of the toxic rows, those with the last hashes hold a word of their own
+    toxic = set(ids[::2])
+    late = set([i for i in ids if i in toxic][-40:])
+    texts = [(i, "good day" + " zyzzyva" * (i in late) + " rotter" * (i in toxic - late), "en") for i in ids]
+    docs = rows([*texts, (10**6, "good day zyzzyva", "en"), (10**6 + 1, "good day", "en")], "doc_id long, text string, lang string")
+    labels = rows([(i, int(i in toxic)) for i in ids] + [(i, 0) for i in range(20_000, 20_010)], "doc_id long, toxic int")
+    # more rows a label than were once taken
+    more = rows([(10**7 + i, "good day rotter", "en") for i in range(1500)], "doc_id long, text string, lang string")
+    labels = labels.union(more.select("doc_id", F.lit(1)))
+    model = toxicity.learn_toxicity(docs.union(more), labels)
+    got = {r.doc_id: r.predicted for r in toxicity.score_toxicity(docs, model).filter(F.col("doc_id") >= 10**6).collect()}
+    assert got == {10**6: 1, 10**6 + 1: 0}
+
+
+def test_parts_learn_together(spark, rows, monkeypatch):
+    docs, labels = _labelled(3, 1200)
+    d = rows(docs, "doc_id long, text string, lang string")
+    known = rows(labels, "doc_id long, quality int, toxic int")
+    n_learned = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i, *_ in labels)
+    counts, added = [], toxicity._added
+    monkeypatch.setattr(toxicity, "ROWS_PER_PART", 300)
+    monkeypatch.setattr(toxicity, "_added", lambda vectors: counts.append(added(vectors)) or counts[-1])
+    model = toxicity.learn_toxicity(d, known)
+    assert sum(v[-1] for name, v in counts[0].items() if "lang" not in name) == n_learned
+    assert sum(v.sum() for v in counts[-1].values()) == n_learned
+    assert toxicity.learn_toxicity(d.repartition(7), known.repartition(3)) == model
+    found = {r.doc_id: r.predicted for r in toxicity.score_toxicity(d, model).collect()}
+    held = [(t, found[i]) for i, _, t in labels if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum(t == p for t, p in held) > 0.95 * len(held)
+
+
 def test_held_out_accuracy_of_the_query(spark):
     sf = "/root/testdata/sf0.1"
     got = QUERIES["op11_toxicity"](spark, sf).filter("held_out")
