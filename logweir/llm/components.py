@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweir.llm.tables import written
+from logweir.llm.tables import remove, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -31,6 +31,7 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
     while not _are_stars(stars):
         turn += 1
         stars = written(_small_star(_large_star(stars)), f"{folder}/stars-{turn}")
+        remove(edges.sparkSession, folder, f"stars-{turn - 1}")
     return stars.select("a", F.col("b").alias("root"))
 
 

@@ -7,7 +7,10 @@ within a bucket of candidates a pair is verified only if it shares a prefix shin
 every order, which is one AND of bit rows per order.
 
 Copies (equal sets) are one node. The members of a prefix shingle's group do not meet in pairs
-but at the group's least document, its pivot, so a group of n costs n rows. A bucket that is
+but at the group's least document, its pivot, so a group of n costs n rows. The more documents,
+the more of them share a prefix shingle by chance. So a set also has a row of about as many bits
+as shingles, each of which turns a bit over: sets differ in as many shingles as their rows in bits,
+or more. Texts go only to buckets where the bits leave their set a partner. A bucket that is
 too large for one task is first compared with its pivot alone, in slices: members similar to
 it are linked by that; of these only such as can reach a member that is not, by the triangle
 inequality of the Jaccard distance, go on with the others to blocks that meet block by block.
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 
 from logweir.llm.components import components
 from logweir.llm.shingles import PASS_BYTES, all_shingles, mix, shingle_sets
-from logweir.llm.tables import id_and_text, run_folder, written
+from logweir.llm.tables import id_and_text, remove, run_folder, written
 
 #: Counters of the sketch, whatever the input. Short shingles, of which many repeat by chance,
 #: need more to be told apart; the order they give never changes the result.
@@ -34,6 +37,8 @@ SKETCH = 1 << 24
 ORDERS = 3
 #: What one task holds of a bucket at most: members, and shingles (or one member).
 BLOCK_MEMBERS, BLOCK_SHINGLES = 1024, 1_000_000
+#: Members of a bucket whose rows of bits one task holds at most, or twice as many of two blocks.
+BITS_MEMBERS = 8192
 #: Rows of bits that are compared in one step.
 ROWS_AT_ONCE = 128
 _CHUNK = 1 << 14
@@ -109,6 +114,92 @@ def _slices(batches, column: str, most: int = PASS_BYTES):
                 yield batch.slice(a, b - a)
 
 
+def set_bits(found: np.ndarray, percent: int) -> bytes:
+    """A row of bits, each the parity of the shingles that fall on it.
+
+    A power of two of them, eight times the shingles that two similar sets of half the size
+    can differ in, or more: sets without common shingles then differ in far more bits.
+    """
+    size = max(64, 1 << (-(-8 * len(found) * (100 - percent) // (100 + percent)) - 1).bit_length())
+    place = (found >> np.uint64(32) & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=size) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(bits: list[bytes]) -> tuple[np.ndarray, dict[int, np.ndarray], dict[int, np.ndarray]]:
+    """Words per row; by width all rows of that width or more, folded to it; and their places there."""
+    words = np.array([len(b) // 8 for b in bits])
+    flat, starts = np.frombuffer(b"".join(bits), np.uint64), np.cumsum(words) - words
+    tables, places, width = {}, {}, int(words.max())
+    wider, at = np.zeros(0, np.int64), np.zeros((0, width), np.uint64)
+    while width >= words.min():
+        own = np.flatnonzero(words == width)
+        tables[width] = np.concatenate([at, flat[starts[own][:, None] + np.arange(width)]])
+        wider = np.concatenate([wider, own])
+        places[width] = np.zeros(len(bits), np.int64)
+        places[width][wider] = np.arange(len(wider))
+        width //= 2
+        at = tables[2 * width][:, :width] ^ tables[2 * width][:, width:] if width else at
+    return words, tables, places
+
+
+def alike(group: np.ndarray, n: np.ndarray, member: np.ndarray, side: np.ndarray, two: np.ndarray, bits: list[bytes], percent: int) -> np.ndarray:
+    """Whether a row has another one in its group to which sizes and bits allow it to be similar.
+
+    The rows are in the order of groups and sizes. In a group of two blocks only rows of unlike
+    sides are compared. Of rows that have a partner it need not be known which others they have.
+    """
+    kept = np.zeros(len(n), bool)
+    if not len(n):
+        return kept
+    words, tables, places = _folded(bits)
+    ends = np.searchsorted(group, group, side="right")
+    i, step = np.arange(len(n)), 0
+    while len(i):
+        step += 1
+        i = i[i + step < ends[i]]
+        i = i[100 * n[i] >= percent * n[i + step]]  # nor will larger ones fit
+        if not step % 32:
+            left = np.r_[0, np.cumsum(~kept)]
+            i = i[~kept[i] | (left[ends[i]] > left[i + step])]
+        j = i + step
+        ask = ~(kept[i] & kept[j]) & (member[i] != member[j]) & (~two[i] | (side[i] != side[j]))
+        a, b = i[ask], j[ask]
+        width = np.minimum(words[a], words[b])
+        for w in tables:
+            of = np.flatnonzero(width == w)
+            if len(of):
+                x, y = a[of], b[of]
+                differ = np.bitwise_count(tables[w][places[w][x]] ^ tables[w][places[w][y]]).sum(1, dtype=np.int64)
+                fits = (100 + percent) * differ <= (100 - percent) * (n[x] + n[y])
+                kept[x[fits]] = kept[y[fits]] = True
+    return kept
+
+
+def _to_alike(percent: int):
+    """Rows of whole buckets or of two blocks, sorted by size, to (pivot, member, n) of those with a partner."""
+
+    def found(rows: pa.Table, new: np.ndarray) -> pa.RecordBatch:
+        n, member, side, a, b = (rows.column(c).to_numpy() for c in ("n", "member", "side", "block_a", "block_b"))
+        kept = pa.array(alike(np.cumsum(new), n, member, side, a != b, rows.column("bits").to_pylist(), percent))
+        return rows.select(["pivot", "member", "n"]).filter(kept).combine_chunks()
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            keys = np.stack([rows.column(c).to_numpy() for c in ("pivot", "block_a", "block_b")])
+            new = np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(0)] if rows.num_rows else np.zeros(0, bool)
+            last = int(np.flatnonzero(new)[-1]) if rows.num_rows else 0  # its group may go on
+            if last:
+                yield from found(rows.slice(0, last), new[:last]).to_batches()
+            held = rows.slice(last)
+        if held is not None and held.num_rows:
+            yield from found(held, np.r_[True, np.zeros(held.num_rows - 1, bool)]).to_batches()
+
+    return run
+
+
 def _sets_table(words: int, percent: int, classes):
     def run(batches):
         for batch in _slices(batches, "text"):
@@ -116,11 +207,11 @@ def _sets_table(words: int, percent: int, classes):
             for found in shingle_sets(batch.column("text").to_pylist(), words):
                 digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
                 first = prefix(found, 0, classes.value, percent).view(np.int64) if len(found) else np.zeros(0, np.int64)
-                rows.append((len(found), digest, first))
-            n, digest, first = zip(*rows, strict=True) if rows else ((), (), ())
+                rows.append((len(found), digest, first, set_bits(found, percent)))
+            n, digest, first, bits = zip(*rows, strict=True) if rows else ((),) * 4
             yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(first, pa.list_(pa.int64()))],
-                ["doc_id", "n", "digest", "prefix"],
+                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(first, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
+                ["doc_id", "n", "digest", "prefix", "bits"],
             )
 
     return run
@@ -259,13 +350,13 @@ def _to_pivot(words: int, percent: int):
     return run
 
 
-def _blocks(members: DataFrame) -> DataFrame:
-    """Members (pivot, member, linked, packed, blocks) once per block pair that they are part of."""
+def _blocks(members: DataFrame, *names: str) -> DataFrame:
+    """Members (pivot, member, blocks, and the columns named) once per block pair that they are part of."""
     block = F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int")
     other = members.withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return other.select(
         "pivot", F.least("own", "other").alias("block_a"), F.greatest("own", "other").alias("block_b"), F.col("own").alias("side"),
-        "member", "linked", "packed",
+        "member", *names,
     )
 
 
@@ -277,7 +368,8 @@ def near_links(docs: DataFrame, sets: DataFrame, first: DataFrame, words: int, p
     """(a, b): links between representatives of equal sets, enough to connect what is linked.
 
     `first` holds the representative of each set as (digest, first_id). What a frequent key is
-    joined with is stored before, so that Spark can split the key's partition.
+    joined with is stored before, so that Spark can split the key's partition. Tables of the
+    folder go when they have been read, `sets` too.
     """
     nodes = sets.join(first.withColumnRenamed("first_id", "doc_id"), ["digest", "doc_id"], "left_semi")
     tokens = nodes.select("doc_id", F.explode("prefix").alias("token"))
@@ -286,6 +378,8 @@ def near_links(docs: DataFrame, sets: DataFrame, first: DataFrame, words: int, p
     met = written(tokens.join(groups, "token").select("pivot", F.col("doc_id").alias("member")).distinct(), f"{folder}/met")
     met = met.join(sets.select(F.col("doc_id").alias("member"), "n").distinct(), "member")
     met = written(_with_partners(met, percent), f"{folder}/partners")
+    met = written(_with_alike(met, sets, percent), f"{folder}/alike")
+    remove(docs.sparkSession, folder, "sets", "groups", "met", "partners")
     sizes = met.groupBy("pivot").agg(F.min("member").alias("first"), F.count("*").alias("members"), F.sum("n").alias("shingles"))
     sizes = written(
         sizes.select("pivot", "first", _n_blocks(F.col("members"), F.col("shingles")).alias("blocks")), f"{folder}/sizes"
@@ -297,7 +391,7 @@ def near_links(docs: DataFrame, sets: DataFrame, first: DataFrame, words: int, p
 
     keys = ["pivot", "block_a", "block_b"]
     check = _verify(words, percent, classes)
-    small = _blocks(placed(sizes.filter("blocks = 1")).withColumn("linked", F.lit(False)))
+    small = _blocks(placed(sizes.filter("blocks = 1")).withColumn("linked", F.lit(False)), "linked", "packed")
     links = small.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(check, "a long, b long")
     if sizes.filter("blocks > 1").isEmpty():
         return links
@@ -318,7 +412,7 @@ def near_links(docs: DataFrame, sets: DataFrame, first: DataFrame, words: int, p
     rest = rest.select("pivot", "member", "linked", "n", "packed")
     again = rest.groupBy("pivot").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
     again = again.select("pivot", _n_blocks(F.col("members"), F.col("shingles")).alias("blocks"))
-    more = _blocks(rest.join(again, "pivot")).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(check, "a long, b long")
+    more = _blocks(rest.join(again, "pivot"), "linked", "packed").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(check, "a long, b long")
     return links.union(by_pivot).union(more)
 
 
@@ -335,6 +429,16 @@ def _with_partners(met: DataFrame, percent: int) -> DataFrame:
     return classed.join(near.select("pivot", "class"), ["pivot", "class"], "left_semi").drop("class")
 
 
+def _with_alike(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Members of a bucket that has another one to which their rows of bits allow them to be similar."""
+    bits = sets.select(F.col("doc_id").alias("member"), "n", "bits").distinct()
+    sizes = met.groupBy("pivot").agg(F.ceil(F.count("*") / BITS_MEMBERS).cast("int").alias("blocks"))
+    rows = _blocks(met.join(sizes, "pivot").join(bits, ["member", "n"]), "n", "bits")
+    keys = ["pivot", "block_a", "block_b"]
+    found = rows.repartition(*keys).sortWithinPartitions(*keys, "n").mapInArrow(_to_alike(percent), "pivot long, member long, n long")
+    return found.distinct()  # a member of several blocks
+
+
 def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, counters: int = SKETCH) -> DataFrame:
     """(doc_id, n_shingles, component_id), a row per row of `docs`.
 
@@ -350,7 +454,8 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, counte
     rows = id_and_text(docs)
     classes = spark.sparkContext.broadcast(rarity_classes(rows, words, counters))  # a byte per counter
     sets = written(
-        rows.mapInArrow(_sets_table(words, percent, classes), "doc_id long, n long, digest binary, prefix array<long>"), f"{folder}/sets"
+        rows.mapInArrow(_sets_table(words, percent, classes), "doc_id long, n long, digest binary, prefix array<long>, bits binary"),
+        f"{folder}/sets",
     )
     plain = sets.select("doc_id", "n", "digest")
     full = plain.filter("n > 0")

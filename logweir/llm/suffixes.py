@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from logweir.llm.merge import common_prefixes, front_code, front_decode, merge_runs
 from logweir.llm.shingles import mix
-from logweir.llm.tables import free_name, id_and_text, run_folder, ship
+from logweir.llm.tables import free_name, id_and_text, run_folder, ship, written
 
 PASSAGE, ANCHOR = 50, 24
 REACH = PASSAGE - ANCHOR  # the farthest a passage begins before its anchor
@@ -473,8 +473,7 @@ def _searched(docs: DataFrame, text_at: int, frequent: int, block_bytes: int) ->
         return parts.groupBy("block").agg(F.collect_list(F.struct("bucket", "data")).alias(name))
 
     def stored(parts: DataFrame, name: str) -> DataFrame:
-        parts.write.parquet(f"{folder}/{name}")
-        return spark.read.schema(_PART).parquet(f"{folder}/{name}")
+        return written(parts, f"{folder}/{name}")
 
     told = stored(dealt(blocks.mapInArrow(_send_hashes(buckets), _PART)).mapInArrow(_tell_shared(frequent), _PART), "told")
     with_told = blocks.join(gathered(told, "told"), "block", "left")

@@ -12,6 +12,7 @@ import logweir
 from logweir.session import shared_folder
 
 _shipped: set[str] = set()
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def ship(spark: SparkSession) -> None:
@@ -30,9 +31,26 @@ def run_folder(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, folder: str) -> DataFrame:
-    """The rows as a stored table, so that nothing above it is computed twice."""
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    """The rows as a stored table, so that nothing above it is computed twice.
+
+    What was shuffled for it leaves the executors' disks at once, not when the driver happens to
+    collect its garbage.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(_DROP_SHUFFLES, "false")
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def remove(spark: SparkSession, folder: str, *names: str) -> None:
+    """Takes away tables of a run that nothing reads any more."""
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
